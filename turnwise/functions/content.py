@@ -18,6 +18,15 @@ def bind(col: Column, fn: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(col), fn)[0]
 
 
+def once(col: Column) -> Column:
+    """Compute a value in a ``select`` exactly once, however it is used after that.
+
+    A filter on a plain projected column is pushed below it, where the expression is
+    repeated (and planned) again. It cannot pass this one-row ``explode``.
+    """
+    return F.explode(F.array(col))
+
+
 def as_array(v: Column) -> Column:
     """``array<variant>`` of a JSON array, null for anything else."""
     return F.try_variant_get(v, "$", "array<variant>")

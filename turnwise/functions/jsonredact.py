@@ -8,12 +8,24 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from turnwise.functions import redaction as R
+from turnwise.functions.redaction import (CARD_PATTERN, CARD_TOKEN, CPF_PATTERN, CPF_TOKEN,
+                                          PLAIN_CLASSES, coerce_disabled)
+
+# Compiled rule sets of this process, by what they were built from.
+_COMPILED: dict = {}
+_COMPILED_MAX = 1024
+
+
+def _cached(key, build):
+    if key not in _COMPILED:
+        if len(_COMPILED) >= _COMPILED_MAX:
+            _COMPILED.clear()
+        _COMPILED[key] = build()
+    return _COMPILED[key]
 
 
 def _number_ok(match: re.Match, kind: str) -> bool:
@@ -27,17 +39,16 @@ def _number_ok(match: re.Match, kind: str) -> bool:
         sum(d * (n + 1 - i) for i, d in enumerate(digits[:n])) * 10 % 11 % 10 == digits[n] for n in (9, 10))
 
 
-@lru_cache(maxsize=256)
 def _scrubber(disabled: tuple[str, ...]):
-    off = R.coerce_disabled(disabled)
+    off = coerce_disabled(disabled)
     steps = []
     if "cpf" not in off:
-        steps.append((re.compile(R.CPF_PATTERN), lambda m: R.CPF_TOKEN if _number_ok(m, "cpf") else m.group(0)))
-    for name, pattern, token in R.PLAIN_CLASSES:
+        steps.append((re.compile(CPF_PATTERN), lambda m: CPF_TOKEN if _number_ok(m, "cpf") else m.group(0)))
+    for name, pattern, token in PLAIN_CLASSES:
         if name not in off:
             steps.append((re.compile(pattern), lambda m, t=token: t))
     if "card" not in off:
-        steps.append((re.compile(R.CARD_PATTERN), lambda m: R.CARD_TOKEN if _number_ok(m, "card") else m.group(0)))
+        steps.append((re.compile(CARD_PATTERN), lambda m: CARD_TOKEN if _number_ok(m, "card") else m.group(0)))
 
     def scrub(text: str) -> str:
         for pattern, repl in steps:
@@ -46,7 +57,6 @@ def _scrubber(disabled: tuple[str, ...]):
     return scrub
 
 
-@lru_cache(maxsize=1024)
 def _custom(rules: str):
     steps = []
     for rule in json.loads(rules):
@@ -99,8 +109,12 @@ def _block(block, fix):
 
 
 def _redact_one(text: str, disabled, rules: str | None) -> str:
-    scrub = _scrubber(tuple(sorted(disabled)) if disabled is not None else ())
-    both = scrub if rules is None else (lambda t, custom=_custom(rules): custom(scrub(t)))
+    off = tuple(sorted(disabled)) if disabled is not None else ()
+    scrub = _cached(off, lambda: _scrubber(off))
+    both = scrub
+    if rules is not None:
+        custom = _cached(rules, lambda: _custom(rules))
+        both = lambda t: custom(scrub(t))
     out = []
     for m in json.loads(text):
         if isinstance(m, dict):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.operators.scan import lookup_join
-from turnwise.session import scratch_path
+from turnwise.operators.scan import blocked_scan, line_block, lookup_join
+from turnwise.session import landed
 
 OFFSETS_DDL = "session_id string, turns bigint"
 
@@ -29,7 +30,6 @@ def mark_new_turns(turns: DataFrame, offsets: DataFrame, only_closed: bool = Fal
 
 def renumber(turns: DataFrame) -> DataFrame:
     """Number the kept turns of a session 1, 2, 3...; grouping leaves gaps where a turn was dropped."""
-    from turnwise.operators.scan import blocked_scan, line_block
     numbered = blocked_scan(turns, ["session_id"], line_block(F.col("turn_no")), ["turn_no"],
                             sums={"_n": F.lit(1)})
     return numbered.withColumn("turn_no", F.col("_n")).drop("_n")
@@ -53,34 +53,24 @@ def next_offsets(marked: DataFrame, offsets: DataFrame) -> DataFrame:
 
 
 def load_incremental(spark: SparkSession, turns: DataFrame, offsets_path: str, write, only_closed: bool = False) -> dict:
-    """Write the new turns with ``write(df)``, then move the offsets forward.
+    """Write the new turns with ``write(df)``, then append the sessions' new offsets.
 
-    Offsets live as a folder of Parquet versions; a reader takes the newest complete one.
+    The offsets table is append-only and read as the maximum per session, so a run that
+    dies between the two writes is simply repeated.
     """
-    offsets, version = read_offsets(spark, offsets_path)
-    marked = mark_new_turns(turns, offsets, only_closed)
-    stage = scratch_path(spark, "marked-turns")
-    marked.write.parquet(stage)
-    marked = spark.read.parquet(stage)
+    marked = landed(spark, mark_new_turns(turns, read_offsets(spark, offsets_path), only_closed), "marked-turns")
     counts = marked.agg(F.count_if("is_new").alias("n"), F.count_if(~F.col("is_new")).alias("s")).first()
     if counts.n:
-        write(marked.where("is_new").drop("is_new"))
-        next_offsets(marked, offsets).write.mode("overwrite").parquet(f"{offsets_path}/v={version + 1}")
+        fresh = marked.where("is_new").drop("is_new")
+        write(fresh)
+        fresh.groupBy("session_id").agg(F.max("turn_no").alias("turns")).write.mode("append").parquet(offsets_path)
     return {"total_inserted": counts.n, "skipped": counts.s}
 
 
-def read_offsets(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """Current offsets and their version; none and 0 where nothing was loaded yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = []
-    if fs.exists(folder):
-        for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if name.startswith("v=") and fs.exists(done):
-                versions.append(int(name[2:]))
-    if not versions:
-        return spark.createDataFrame([], OFFSETS_DDL), 0
-    newest = max(versions)
-    return spark.read.schema(OFFSETS_DDL).parquet(f"{path}/v={newest}"), newest
+def read_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """Turns loaded so far per session; empty where nothing was loaded yet."""
+    try:
+        log = spark.read.schema(OFFSETS_DDL).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], OFFSETS_DDL)
+    return log.groupBy("session_id").agg(F.max("turns").alias("turns"))

@@ -52,77 +52,57 @@ def _valid_message(m: Column) -> Column:
     return _object(m) & C.is_string(F.try_variant_get(m, "$.role", "variant")) & ok_body
 
 
-def record_errors(df: DataFrame) -> Column:
-    """Codes of what is wrong with a raw record; an empty array means valid."""
-    def bad_text(name: str) -> Column:
-        return present(F.col(name)) & ~C.is_string(F.col(name))
+def _named(names: Iterable[str]) -> Column:
+    """Fields as an array of (name, value), so one lambda checks them all."""
+    return F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("v")) for n in names])
 
-    def bad_count(name: str) -> Column:
-        return present(F.col(name)) & F.try_variant_get(F.col(name), "$", "bigint").isNull()
 
-    msg = F.col("msg")
-    checks = {
-        "missing_namespace": ~F.coalesce(present(F.col("namespace")), F.lit(False)),
-        "missing_agent": ~F.coalesce(present(F.col("agent")), F.lit(False)),
-        "missing_msg": ~F.coalesce(present(msg), F.lit(False)),
-        "bad_msg": F.coalesce(present(msg), F.lit(False)) & ~(
-            _object(msg) | F.coalesce(F.forall(C.as_array(msg), _valid_message), F.lit(False))),
-        **{f"bad_{n}": F.coalesce(bad_text(n), F.lit(False)) for n in ("namespace", "agent", *_RECORD_TEXT)},
-        **{f"bad_{n}": F.coalesce(bad_count(n), F.lit(False)) for n in _RECORD_COUNTS},
-    }
-    return F.filter(F.array(*[F.when(cond, F.lit(code)) for code, cond in checks.items()]), lambda c: c.isNotNull())
+def _codes(prefix: str, names: Iterable[str], bad) -> Column:
+    """``prefix + name`` of every named field for which ``bad(value)`` holds."""
+    found = F.filter(_named(names), lambda x: F.coalesce(bad(x["v"]), F.lit(False)))
+    return F.transform(found, lambda x: F.concat(F.lit(prefix), x["name"]))
 
 
-def log_errors(df: DataFrame) -> Column:
-    checks = {f"missing_{n}": ~F.coalesce(present(F.col(n)), F.lit(False)) for n in ("namespace", "level", "message")}
-    checks.update({f"bad_{n}": F.coalesce(present(F.col(n)) & ~C.is_string(F.col(n)), F.lit(False))
-                   for n in ("namespace", "level", "message", "timestamp", "resource_id")})
-    checks["bad_custom_object"] = F.coalesce(present(F.col("custom_object")) & ~_object(F.col("custom_object")), F.lit(False))
-    return F.filter(F.array(*[F.when(cond, F.lit(code)) for code, cond in checks.items()]), lambda c: c.isNotNull())
+def _missing(v: Column) -> Column:
+    return ~F.coalesce(present(v), F.lit(False))
 
 
-def _text(name: str) -> Column:
-    return F.try_variant_get(F.col(name), "$", "string").alias(name)
+def _not_text(v: Column) -> Column:
+    return present(v) & ~C.is_string(v)
 
 
-def stored_message(m: Column) -> Column:
-    """Raw message variant -> stored message struct."""
-    def sub(path: str) -> Column:
-        v = F.try_variant_get(m, path, "variant")
-        return F.when(present(v), v)
-    return F.struct(
-        C.get_text(m, "$.role").alias("role"), sub("$.content").alias("content"),
-        C.get_text(m, "$.sender").alias("sender"), sub("$.tool_calls").alias("tool_calls"),
-        C.get_text(m, "$.tool_call_id").alias("tool_call_id"), C.get_text(m, "$.tool_name").alias("tool_name"),
-        F.coalesce(F.try_variant_get(m, "$.is_internal_tool", "boolean"), F.lit(False)).alias("is_internal_tool"),
-        C.get_text(m, "$.internal_tool_type").alias("internal_tool_type"))
+def _bad_message(v: Column) -> Column:
+    listed = F.coalesce(F.forall(C.as_array(v), _valid_message), F.lit(False))
+    return present(v) & ~(_object(v) | listed)
 
 
-def parse_records(raw: DataFrame) -> DataFrame:
-    """Raw VARIANT fields -> typed record columns (call on valid rows)."""
-    transfers = F.transform(C.as_array(F.col("transfers")), lambda t: F.struct(
-        F.coalesce(C.get_text(t, "$.from"), C.get_text(t, "$.from_agent")).alias("from_agent"),
-        F.coalesce(C.get_text(t, "$.to"), C.get_text(t, "$.to_agent")).alias("to_agent"),
-        C.get_text(t, "$.reason").alias("reason"), C.get_text(t, "$.timestamp").alias("timestamp")))
-    counts = [F.try_variant_get(F.col(n), "$", "bigint").alias(n) for n in _RECORD_COUNTS]
-    texts = [T.parse_iso(_text(n)).alias(n) if n == "inserted_at" else _text(n) for n in _RECORD_TEXT]
-    shaped = raw.select(
-        _text("namespace"), _text("agent"),
-        F.transform(C.normalize_messages(F.col("msg")), stored_message).cast(MSG_DDL).alias("msg"),
-        transfers.cast(TRANSFERS_DDL).alias("transfers"), *counts, *texts)
-    return shaped.withColumn("total_tokens", T.total_tokens(
-        F.col("total_tokens"), *[F.col(n) for n in T.TOKEN_FIELDS]))
+def record_errors() -> Column:
+    """Codes of what is wrong with a raw record; an empty array means valid."""
+    return F.concat(
+        _codes("missing_", ("namespace", "agent", "msg"), _missing),
+        _codes("bad_", ("msg",), _bad_message),
+        _codes("bad_", ("namespace", "agent", *_RECORD_TEXT), _not_text),
+        _codes("bad_", _RECORD_COUNTS, lambda v: present(v) & F.try_variant_get(v, "$", "bigint").isNull()))
+
+
+def log_errors() -> Column:
+    return F.concat(
+        _codes("missing_", ("namespace", "level", "message"), _missing),
+        _codes("bad_", ("namespace", "level", "message", "timestamp", "resource_id"), _not_text),
+        _codes("bad_", ("custom_object",), lambda v: present(v) & ~_object(v)))
+
+
+def _split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0)
 
 
 def validate_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with their ``reasons``; no row is lost."""
-    checked = raw.withColumn("reasons", record_errors(raw))
-    return (checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0))
+    return _split(raw.withColumn("reasons", C.once(record_errors())))
 
 
 def validate_logs(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    checked = raw.withColumn("reasons", log_errors(raw))
-    return (checked.where(F.size("reasons") == 0).drop("reasons"), checked.where(F.size("reasons") > 0))
+    return _split(raw.withColumn("reasons", C.once(log_errors())))
 
 
 def rejects_by_reason(rejected: DataFrame) -> DataFrame:
@@ -155,6 +135,39 @@ def _require_structure(spark: SparkSession, path, kind: str) -> None:
         raise BadStructure(f"JSON must contain '{kind}' key or be an array")
 
 
+def _text(name: str) -> Column:
+    return F.try_variant_get(F.col(name), "$", "string").alias(name)
+
+
+def stored_message(m: Column) -> Column:
+    """Raw message variant -> stored message struct."""
+    def sub(path: str) -> Column:
+        v = F.try_variant_get(m, path, "variant")
+        return F.when(present(v), v)
+    return F.struct(
+        C.get_text(m, "$.role").alias("role"), sub("$.content").alias("content"),
+        C.get_text(m, "$.sender").alias("sender"), sub("$.tool_calls").alias("tool_calls"),
+        C.get_text(m, "$.tool_call_id").alias("tool_call_id"), C.get_text(m, "$.tool_name").alias("tool_name"),
+        F.coalesce(F.try_variant_get(m, "$.is_internal_tool", "boolean"), F.lit(False)).alias("is_internal_tool"),
+        C.get_text(m, "$.internal_tool_type").alias("internal_tool_type"))
+
+
+def parse_records(raw: DataFrame) -> DataFrame:
+    """Raw VARIANT fields -> typed record columns (call on valid rows)."""
+    transfers = F.transform(C.as_array(F.col("transfers")), lambda t: F.struct(
+        F.coalesce(C.get_text(t, "$.from"), C.get_text(t, "$.from_agent")).alias("from_agent"),
+        F.coalesce(C.get_text(t, "$.to"), C.get_text(t, "$.to_agent")).alias("to_agent"),
+        C.get_text(t, "$.reason").alias("reason"), C.get_text(t, "$.timestamp").alias("timestamp")))
+    counts = [F.try_variant_get(F.col(n), "$", "bigint").alias(n) for n in _RECORD_COUNTS]
+    texts = [T.parse_iso(_text(n)).alias(n) if n == "inserted_at" else _text(n) for n in _RECORD_TEXT]
+    shaped = raw.select(
+        _text("namespace"), _text("agent"),
+        F.transform(C.normalize_messages(F.col("msg")), stored_message).cast(MSG_DDL).alias("msg"),
+        transfers.cast(TRANSFERS_DDL).alias("transfers"), *counts, *texts)
+    return shaped.withColumn("total_tokens", T.total_tokens(
+        F.col("total_tokens"), *[F.col(n) for n in T.TOKEN_FIELDS]))
+
+
 def read_records_json(spark: SparkSession, path, lines: bool = False, check: bool = False) -> DataFrame:
     """Valid records of JSON files: ``{"records": [...]}``, a bare array, or JSON lines.
 
@@ -174,14 +187,12 @@ def raw_records_json(spark: SparkSession, path, lines: bool = False) -> DataFram
 
 def raw_records(df: DataFrame, column: str = "value") -> DataFrame:
     """Raw record fields of a column of JSON texts, one record each."""
-    v = F.try_parse_json(column)
-    return df.select(v.alias("_v")).select(
+    return df.select(C.once(F.try_parse_json(F.col(column))).alias("_v")).select(
         *[F.try_variant_get("_v", f"$.{f}", "variant").alias(f) for f in _RECORD_FIELDS])
 
 
 def raw_logs(df: DataFrame, column: str = "value") -> DataFrame:
-    v = F.try_parse_json(column)
-    return df.select(v.alias("_v")).select(
+    return df.select(C.once(F.try_parse_json(F.col(column))).alias("_v")).select(
         *[F.try_variant_get("_v", f"$.{f}", "variant").alias(f) for f in _LOG_FIELDS])
 
 

@@ -52,7 +52,7 @@ def parse_claude_lines(raw: DataFrame, agent: str = "claude-code") -> DataFrame:
     def get(path: str, ddl: str) -> Column:
         return F.try_variant_get("_v", path, ddl)
     encoded = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    return (raw.withColumn("_v", F.try_parse_json(F.trim("value"))).where(F.schema_of_variant("_v").startswith("OBJECT"))
+    return (raw.withColumn("_v", C.once(F.try_parse_json(F.trim("value")))).where(F.schema_of_variant("_v").startswith("OBJECT"))
             .select(file_stem(F.col("path")).alias("session_id"), encoded.alias("project_dir"),
                     T.decode_project_path(encoded).alias("project"), "line",
                     F.coalesce(get("$.type", "string"), F.lit("")).alias("role"),
@@ -70,7 +70,7 @@ def parse_openclaw_lines(raw: DataFrame, agent: str = "openclaw") -> DataFrame:
     message = F.try_variant_get("_v", "$.message", "variant")
     agent_id = F.coalesce(F.nullif(F.regexp_extract("path", r"(?:^|/)agents/([^/]+)(?:/|$)", 1), F.lit("")),
                           F.lit("unknown"))
-    return (raw.withColumn("_v", F.try_parse_json(F.trim("value")))
+    return (raw.withColumn("_v", C.once(F.try_parse_json(F.trim("value"))))
             .withColumn("_m", message).where(F.schema_of_variant("_m").startswith("OBJECT"))
             .select(F.concat(F.lit("openclaw-"), file_stem(F.col("path"))).alias("session_id"),
                     agent_id.alias("agent_id"), "line",
@@ -103,11 +103,10 @@ def read_cline_tasks(spark: SparkSession, root, agent: str = "cline") -> DataFra
 
 def parse_copilot_chat(raw: DataFrame) -> DataFrame:
     """Chat history files (``path``, ``value``) -> ``path, conv_id, turns``, one row per conversation."""
-    v = F.try_parse_json("value")
     convs = F.coalesce(C.as_array(F.col("_v")), C.as_array(F.try_variant_get("_v", "$.conversations", "variant")))
     def first(a: str, b: str, ddl: str) -> Column:
         return F.coalesce(F.try_variant_get("_c", f"$.{a}", ddl), F.try_variant_get("_c", f"$.{b}", ddl))
-    return (raw.select("path", v.alias("_v")).select("path", F.explode(convs).alias("_c"))
+    return (raw.select("path", C.once(F.try_parse_json(F.col("value"))).alias("_v")).select("path", F.explode(convs).alias("_c"))
             .select("path", F.coalesce(first("id", "conversationId", "string"), F.lit("")).alias("conv_id"),
                     first("turns", "messages", "array<variant>").alias("turns"))
             .where(F.size("turns") > 0))

@@ -1,0 +1,130 @@
+"""Per-event sessions and exact 60-second dedup of streams, equal to their batch forms.
+
+Rows of a key reach a micro-batch in any order. They wait in state until the watermark
+has passed them and are then taken in (time, id) order, so deciding on a row always
+happens after everything before it is known.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.types import StructType
+
+_ROW = "at bigint, tie bigint, force boolean, close boolean"
+
+
+class InOrder(StatefulProcessor):
+    """Holds rows back until the watermark passes, then folds them in order."""
+
+    memory = "start bigint, last bigint, closed boolean"
+
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._waiting = handle.getListState("waiting", _ROW)
+        self._memory = handle.getValueState("memory", self.memory)
+
+    def step(self, memory: tuple | None, row: tuple) -> tuple[tuple, tuple]:
+        """(new memory, output values) for the next row in order."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        soonest = None
+        for pdf in rows:
+            batch = list(pdf[["at", "tie", "force", "close"]].itertuples(index=False, name=None))
+            self._waiting.appendList([(int(a), int(t), bool(f), bool(c)) for a, t, f, c in batch])
+            low = min(b[0] for b in batch)
+            soonest = low if soonest is None else min(soonest, low)
+        if soonest is not None:
+            self._handle.registerTimer(soonest // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted(tuple(r) for r in self._waiting.get())
+        ready = [r for r in rows if r[0] < passed]
+        left = [r for r in rows if r[0] >= passed]
+        if left:
+            self._waiting.put(left)
+            self._handle.registerTimer(left[0][0] // 1000 + 1)
+        else:
+            self._waiting.clear()
+        memory = tuple(self._memory.get()) if self._memory.exists() else None
+        out = []
+        for row in ready:
+            memory, values = self.step(memory, row)
+            out.append((*key, row[0], row[1], *values))
+        if memory is not None:
+            self._memory.update(memory)
+        if out:
+            yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+class Sessionizer(InOrder):
+    def __init__(self, timeout: float, columns: Sequence[str]):
+        self.micros, self.columns = int(round(timeout * 1_000_000)), list(columns)
+
+    def step(self, memory, row):
+        at, _, force, close = row
+        opens = memory is None or force or memory[2] or at - memory[1] >= self.micros
+        start = at if opens else memory[0]
+        return (start, at, close), (start,)
+
+
+class Deduper(InOrder):
+    def __init__(self, seconds: float, columns: Sequence[str]):
+        self.micros, self.columns = int(round(seconds * 1_000_000)), list(columns)
+
+    def step(self, memory, row):
+        at = row[0]
+        duplicate = memory is not None and at - memory[1] <= self.micros
+        return (at, at, False), (duplicate,)
+
+
+def _timed(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, delay: str,
+           force: Column | None, close: Column | None) -> DataFrame:
+    return stream.select(
+        *[F.col(k).cast("string").alias(k) for k in keys],
+        F.col(ts).cast("timestamp").alias("_event_time"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(tie).cast("bigint").alias("tie"),
+        F.coalesce(F.lit(False) if force is None else force, F.lit(False)).alias("force"),
+        F.coalesce(F.lit(False) if close is None else close, F.lit(False)).alias("close"),
+    ).withWatermark("_event_time", delay)
+
+
+def stream_sessionize(stream: DataFrame, timeout: float = 120, keys: Sequence[str] = ("namespace", "user_id"),
+                      ts: str = "ts", tie: str = "event_id", force_new: Column | None = None,
+                      close: Column | None = None, delay: str = "10 minutes") -> DataFrame:
+    """Session id of every event of a stream, as :func:`turnwise.operators.sessions.sessionize`.
+
+    Needs the RocksDB state store (``turnwise.session.ROCKSDB``).
+    """
+    from turnwise.operators.sessions import session_id
+    keys = list(keys)
+    out = StructType.fromDDL(", ".join([f"{k} string" for k in keys] + ["at bigint", "tie bigint", "start bigint"]))
+    timed = _timed(stream, keys, ts, tie, delay, force_new, close)
+    rows = timed.groupBy(*keys).transformWithStateInPandas(
+        Sessionizer(timeout, out.names), out, "Append", "EventTime")
+    return rows.select(*keys, F.col("tie").alias(tie), F.timestamp_micros("at").alias(ts),
+                       session_id([F.col(k) for k in keys], F.timestamp_micros("start")).alias("session_id"))
+
+
+def stream_dedup(stream: DataFrame, key: str, seconds: float = 60, ts: str = "ts", tie: str = "id",
+                 delay: str = "10 minutes") -> DataFrame:
+    """``is_duplicate`` for every row of a stream, as the batch 60-second rule decides it."""
+    out = StructType.fromDDL(f"{key} string, at bigint, tie bigint, is_duplicate boolean")
+    timed = _timed(stream, [key], ts, tie, delay, None, None)
+    rows = timed.groupBy(key).transformWithStateInPandas(Deduper(seconds, out.names), out, "Append", "EventTime")
+    return rows.select(key, F.col("tie").alias(tie), F.timestamp_micros("at").alias(ts), "is_duplicate")
+
+
+def stream_dedup_approx(stream: DataFrame, key: str, seconds: int = 60, ts: str = "ts") -> DataFrame:
+    """Cheaper dedup that may also drop a copy that comes later than the window."""
+    timed = stream.withColumn("_event_time", F.col(ts).cast("timestamp")).withWatermark("_event_time", f"{seconds} seconds")
+    return timed.dropDuplicatesWithinWatermark([key]).drop("_event_time")
