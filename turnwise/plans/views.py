@@ -210,10 +210,10 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 def dups(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.md5("text").alias("key"),
-        F.timestamp_seconds("doc_id").alias("ts"), "lang", "source")
+        F.timestamp_seconds(F.col("doc_id") + 86400).alias("ts"), "lang", "source")
 
 
-DUPS = "dups AS (SELECT doc_id AS id, md5(text) AS key, make_timestamp(doc_id * 1000000) AS ts, lang, source FROM documents)"
+DUPS = "dups AS (SELECT doc_id AS id, md5(text) AS key, make_timestamp((doc_id + 86400) * 1000000) AS ts, lang, source FROM documents)"
 
 
 def messages_digest(msg):
