@@ -36,7 +36,7 @@ def dedup_within(df: DataFrame, key: str, ts: str = "ts", tie: str = "id",
     The row before counts whether or not it was itself dropped, so a steady stream of
     copies keeps one row until it pauses for longer than the window.
     """
-    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": F.col(ts)})
+    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": ts})
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col(ts))
     return scanned.withColumn("is_duplicate",
                               F.coalesce(gap <= int(round(seconds * 1_000_000)), F.lit(False)))

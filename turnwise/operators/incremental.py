@@ -23,7 +23,7 @@ def mark_new_turns(turns: DataFrame, offsets: DataFrame, only_closed: bool = Fal
     if only_closed:
         # Aggregated, not a window: one row per session whatever its number of turns.
         last = turns.groupBy("session_id").agg(F.max("turn_no").alias("_last_turn"))
-        marked = marked.join(last, "session_id")
+        marked = marked.join(last, "session_id", "left")
         is_new = is_new & (F.col("turn_no") < F.col("_last_turn"))
     return marked.withColumn("is_new", is_new).drop("_loaded", "_last_turn")
 

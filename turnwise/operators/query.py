@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from turnwise.operators.scan import blocked_scan, time_block
+from turnwise.operators.scan import SECONDS_PER_BLOCK, blocked_scan, line_block
 
 MAX_LIMIT = 1000
 
@@ -58,7 +58,7 @@ def paginate(df: DataFrame, page_size: int, ts: str = "inserted_at", tie: str =
     """
     newest_first = -F.unix_micros(F.col(ts).cast("timestamp"))
     keyed = df.withColumns({"_all": F.lit(0), "_back": newest_first})
-    numbered = blocked_scan(keyed, ["_all"], -time_block(F.col(ts)), ["_back", tie], sums={"row_no": F.lit(1)})
+    numbered = blocked_scan(keyed, ["_all"], line_block(F.col("_back"), SECONDS_PER_BLOCK * 1_000_000), ["_back", tie], sums={"row_no": F.lit(1)})
     return numbered.withColumn("row_no", F.col("row_no") - 1).withColumn(
         "page", F.floor(F.col("row_no") / F.lit(page_size)).cast("bigint")).drop("_all", "_back")
 

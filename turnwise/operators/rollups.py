@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnwise.functions import tokens as T
-from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block
+from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block, solid_join
 from turnwise.schemas import LEVELS, QUOTAS
 
 SEGMENTS = T.TOKEN_FIELDS
@@ -72,7 +72,7 @@ def tool_usage(calls: DataFrame, by: Sequence[str] = ("tool_name", "agent"), app
             *basics, F.approx_count_distinct("session_id").alias("sessions"),
             F.percentile_approx("latency_ms", 0.5).alias("p50_ms"), F.percentile_approx("latency_ms", 0.95).alias("p95_ms"))
     base = calls.groupBy(*by).agg(*basics, F.countDistinct("session_id").alias("sessions"))
-    return base.join(exact_percentiles(calls, by, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), by, "left")
+    return solid_join(base, exact_percentiles(calls, by, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), by, "left")
 
 
 def handoff_flow(handoffs: DataFrame, by: Sequence[str] = ("from_agent", "to_agent")) -> DataFrame:
@@ -99,7 +99,7 @@ def llm_latency(calls: DataFrame, grain: str = "1 hour", by: Sequence[str] = ("m
     keys = ["bucket", *by]
     base = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("calls"), F.avg("latency_ms").alias("avg_ms"),
                                    F.max("latency_ms").alias("max_ms"))
-    return base.join(exact_percentiles(rows, keys, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), keys, "left")
+    return solid_join(base, exact_percentiles(rows, keys, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), keys, "left")
 
 
 def log_level_counts(logs: DataFrame, grain: str = "1 day", by: Sequence[str] = ("namespace",), ts: str = "timestamp") -> DataFrame:
@@ -139,7 +139,7 @@ def turn_deltas(turns: DataFrame, keys: Sequence[str] = ("session_id",), line: s
                 tokens: str = "total_tokens", ts: str = "ts") -> DataFrame:
     """Running tokens per session and seconds since the turn before."""
     scanned = blocked_scan(turns, keys, line_block(F.col(line)), [line],
-                           sums={"running_tokens": F.col(tokens)}, prev={"_prev": F.col(ts)})
+                           sums={"running_tokens": F.col(tokens)}, prev={"_prev": ts})
     gap = F.timestamp_diff("MICROSECOND", F.col("_prev"), F.col(ts)) / F.lit(1e6)
     return scanned.withColumn("seconds_since_prev", gap).drop("_prev")
 
@@ -157,15 +157,20 @@ def top_k(counts: DataFrame, k: int, by: str, per: Sequence[str] = (), tie: Sequ
 
 
 def pair_tool_calls(calls: DataFrame, results: DataFrame, keys: Sequence[str] = ("session_id", "call_id")) -> DataFrame:
-    """Each tool call with its result; unanswered calls stay.
+    """Each tool call with its result; unanswered calls stay, also those without an id.
 
     Repeats of one call id are cut to the first call and the first result before the join
     (a map-side ``min_by``), so copies never multiply.
     """
     keys = list(keys)
+    blank = F.coalesce(F.col(keys[-1]), F.lit("")) == ""
+    calls = calls.withColumn("_own", F.when(blank, F.col("line")))
+    results = results.where(~blank)
+
     def first(df: DataFrame, name: str) -> DataFrame:
-        rest = [c for c in df.columns if c not in keys]
-        return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col("line")).alias(name))
+        rest = [c for c in df.columns if c not in keys and c != "_own"]
+        groups = [*keys, "_own"] if "_own" in df.columns else keys
+        return df.groupBy(*groups).agg(F.min_by(F.struct(*rest), F.col("line")).alias(name))
     joined = first(calls, "_call").join(first(results, "_result"), keys, "left")
     return joined.select(
         *keys, "_call.tool_name", F.col("_call.line").alias("call_line"), F.col("_result.line").alias("result_line"),

@@ -22,13 +22,29 @@ SECONDS_PER_BLOCK = 60
 
 
 def line_block(line: Column, size: int = LINES_PER_BLOCK) -> Column:
-    """Block of an integer line number that is unique within its key."""
-    return F.floor(line / F.lit(size)).cast("bigint")
+    """Block of an integer line number that is unique within its key, named by its first line."""
+    number = line.cast("bigint")
+    return number - F.pmod(number, F.lit(size).cast("bigint"))
 
 
 def time_block(ts: Column, seconds: int = SECONDS_PER_BLOCK) -> Column:
-    """Block of an event time."""
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
+    """Block of an event time, named by its first microsecond."""
+    return line_block(F.unix_micros(ts.cast("timestamp")), seconds * 1_000_000)
+
+
+# Stand-ins for null keys, so that those rows form a key of their own instead of being lost
+# in the join below, and the plan carries no null checks that would keep its shuffles apart.
+_NULL_STAND_INS = {"string": "\x00", "bigint": -(2**63), "int": -(2**31)}
+
+
+def solid_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """``_k0, _k1, ...``: the keys with nulls replaced by a value no real key has."""
+    types = dict(df.dtypes)
+    out = {}
+    for i, key in enumerate(keys):
+        kind = types[key] if types[key] in _NULL_STAND_INS else "string"
+        out[f"_k{i}"] = F.coalesce(F.col(key).cast(kind), F.lit(_NULL_STAND_INS[kind]).cast(kind))
+    return out
 
 
 def blocked_scan(
@@ -37,51 +53,58 @@ def blocked_scan(
     block: Column,
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
-    prev: Mapping[str, Column] | None = None,
+    prev: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and previous-row values per key.
 
     ``sums`` maps an output name to the number summed over the key's rows up to and
-    including this one; ``prev`` maps an output name to the value taken from the row
-    before. ``order`` must be a total order within the key and agree with ``block``;
-    ``keys`` must be non-null. The input columns are all kept.
+    including this one; ``prev`` maps an output name to the column whose value is taken from
+    the row before. ``order`` must be a total order within the key, and ``block`` must rise
+    with its first column. The input columns and all rows are kept.
     """
     sums, prev = dict(sums or {}), dict(prev or {})
     kept = df.columns
-    keys = list(keys)
-    rows = df.withColumn("_block", block)
-    for name, value in sums.items():
-        rows = rows.withColumn(f"_v_{name}", value)
-    for name, value in prev.items():
-        rows = rows.withColumn(f"_p_{name}", value)
+    solid = solid_keys(df, keys)
+    by = list(solid)
+    rows = df.withColumns({**solid, "_block": F.coalesce(block, F.lit(-(2**63))),
+                           **{f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()}})
 
     totals = [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums]
-    if prev:
-        totals.append(
-            F.max_by(F.struct(*[F.col(f"_p_{n}").alias(n) for n in prev]),
-                     F.struct(*[F.col(c) for c in order])).alias("_last"))
-    summary = rows.groupBy(*keys, "_block").agg(*totals)
-    by_key = Window.partitionBy(*keys).orderBy("_block")
+    # The leading order column is largest on a block's last row; others need a max_by.
+    leading = [n for n, c in prev.items() if c == order[0]]
+    others = {n: c for n, c in prev.items() if c != order[0]}
+    totals += [F.max(order[0]).alias(f"_e_{n}") for n in leading]
+    if others:
+        last = F.max_by(F.struct(*[F.col(c).alias(n) for n, c in others.items()]), F.struct(*order))
+        totals.append(last.alias("_last"))
+    summary = rows.groupBy(*by, "_block").agg(*totals)
+    by_key = Window.partitionBy(*by).orderBy("_block")
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums]
-    if prev:
-        carried.append(F.lag("_last").over(by_key).alias("_before"))
-    carry = summary.select(*keys, "_block", *carried)
+    carried += [F.lag(f"_e_{n}").over(by_key).alias(f"_b_{n}") for n in leading]
+    carried += [F.lag("_last").over(by_key)[n].alias(f"_b_{n}") for n in others]
+    carry = summary.select(*by, "_block", *carried)
 
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    inside = Window.partitionBy(*by, "_block").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {f"_l_{n}": F.coalesce(F.sum(f"_v_{n}").over(upto), F.lit(0)) for n in sums}
+    local = {f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
     if prev:
         local["_at"] = F.row_number().over(inside)
-        local.update({f"_q_{n}": F.lag(f"_p_{n}").over(inside) for n in prev})
-    joined = rows.withColumns(local).join(carry, [*keys, "_block"])
+        local.update({f"_q_{n}": F.lag(c).over(inside) for n, c in prev.items()})
+    joined = rows.withColumns(local).join(carry, [*by, "_block"])
     out = [F.col(c) for c in kept]
     out += [(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(n) for n in sums]
-    out += [F.when(F.col("_at") > 1, F.col(f"_q_{n}")).otherwise(F.col("_before")[n]).alias(n)
-            for n in prev]
+    out += [F.when(F.col("_at") > 1, F.col(f"_q_{n}")).otherwise(F.col(f"_b_{n}")).alias(n) for n in prev]
     return joined.select(*out)
 
 
+def solid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null equals null, as grouping has it; the left's keys are kept."""
+    a, b = left.withColumns(solid_keys(left, keys)), right.withColumns(solid_keys(right, keys)).drop(*keys)
+    solid = [f"_k{i}" for i in range(len(keys))]
+    return a.join(b, solid, how).drop(*solid)
+
+
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       probs: Mapping[str, float], block_size: int = 1024) -> DataFrame:
     """Exact discrete percentiles of an integer column per key, without collecting a key.
@@ -94,7 +117,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
               .agg(F.count(F.lit(1)).alias("_n")))
     ranked = blocked_scan(counts, keys, line_block(F.col(value), block_size), [value],
                           sums={"_cum": F.col("_n")})
-    sized = ranked.join(counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
+    sized = solid_join(ranked, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
     picks = [F.min(F.when(F.col("_cum") >= F.ceil(F.col("_total") * F.lit(p)), F.col(value))).alias(n)
              for n, p in probs.items()]
     return sized.groupBy(*keys).agg(*picks)

@@ -45,7 +45,7 @@ def sessionize(
     rows = events.withColumns({
         **{k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys[:-1]},
         user: F.coalesce(F.nullif(F.col(user).cast("string"), F.lit("")), F.lit(ANONYMOUS)),
-        "_block": time_block(F.col(ts), block_seconds),
+        "_block": F.coalesce(time_block(F.col(ts), block_seconds), F.lit(-(2**63))),
         "_force": F.coalesce(F.lit(False) if force_new is None else force_new, F.lit(False)),
         "_close": F.coalesce(F.lit(False) if close is None else close, F.lit(False)),
     })

@@ -51,9 +51,9 @@ def turn_records(spark: SparkSession, sf: str) -> DataFrame:
     src = src.withColumn("n", T.tokens_chars4(F.col("text"))).drop("text", "tool")
     numbered = number_turns(src, F.col("role") == "user").where("turn_no > 0")
     reply = F.col("role") == "assistant"
-    return numbered.groupBy("session_id", "turn_no").agg(
-        F.first("namespace").alias("namespace"), F.first("agent").alias("agent"), F.first("user_id").alias("user_id"),
-        F.first("model").alias("model"), F.first("conv_id").alias("conv_id"), F.min("ts").alias("ts"),
+    # Grouped by the session's constants too: nothing but numbers is aggregated, by hash.
+    return numbered.groupBy("session_id", "turn_no", "namespace", "agent", "user_id", "model", "conv_id").agg(
+        F.min("ts").alias("ts"),
         F.count(F.lit(1)).alias("messages"),
         F.coalesce(F.sum(F.when(~reply, F.col("n"))), F.lit(0)).alias("input_tokens"),
         F.coalesce(F.sum(F.when(reply, F.col("n"))), F.lit(0)).alias("output_tokens"),

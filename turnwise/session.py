@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 # Runtime settings every job relies on. None of them pins a partition count:
 # AQE picks that from the real shuffle sizes, on one machine or a thousand.
 RUNTIME_CONF = {
+    # No call-site capture per Column call; it dominates plan building for wide expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
