@@ -28,8 +28,9 @@ def test_random_against_brute_force(spark):
         k, s = items[i]
         want[i] = k in last and s - last[k] <= 60
         last[k] = s
-    got = {r.id: r.is_duplicate for r in D.dedup_within(rows(spark, items), "key").collect()}
-    assert got == want
+    for hot in (0, 150, 10**6):
+        got = {r.id: r.is_duplicate for r in D.dedup_within(rows(spark, items), "key", hot_rows=hot).collect()}
+        assert got == want
     assert D.drop_within(rows(spark, items), "key").count() == sum(not d for d in want.values())
 
 

@@ -23,13 +23,22 @@ def _rows(seed, n=600):
 def test_scan_equals_plain_window(spark):
     for seed in (1, 2):
         df = spark.createDataFrame(_rows(seed), "k string, line bigint, v int, s string").repartition(5)
-        got = blocked_scan(df, ["k"], line_block(F.col("line"), 37), ["line"], sums={"total": F.col("v")},
-                           prev={"prev_line": "line", "prev_s": "s"})
         w = Window.partitionBy("k").orderBy("line")
         want = df.withColumns({"total": F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)),
                                "prev_line": F.lag("line").over(w), "prev_s": F.lag("s").over(w)})
-        assert got.count() == df.count()
-        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        for hot in (None, 0, 150, 10**6):
+            got = blocked_scan(df, ["k"], line_block(F.col("line"), 37), ["line"], sums={"total": F.col("v")},
+                               prev={"prev_line": "line", "prev_s": "s"}, hot_rows=hot)
+            assert got.count() == df.count()
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_more_hot_keys_than_listed(spark, monkeypatch):
+    from turnwise.operators import scan
+    monkeypatch.setattr(scan, "MAX_HOT_KEYS", 2)
+    df = spark.range(40).selectExpr("cast(id % 4 AS string) AS k", "id AS line", "1 AS v")
+    got = blocked_scan(df, ["k"], line_block(F.col("line"), 7), ["line"], sums={"n": F.col("v")}, hot_rows=1)
+    assert got.where("n != line DIV 4 + 1").count() == 0
 
 
 def test_scan_splits_a_hot_key_over_blocks(spark):

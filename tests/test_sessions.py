@@ -56,8 +56,9 @@ def test_random_against_brute_force(spark):
     rows = [("n" + str(rnd.randrange(2)), "hot" if rnd.random() < 0.4 else rnd.choice("abc"), rnd.randrange(0, 20000) / 2,
              rnd.random() < 0.05, rnd.random() < 0.05) for _ in range(800)]
     want = brute(rows, 60)
-    for block in (1, 60, 100000):
-        got = starts(spark, rows, timeout=60, block_seconds=block)
+    # Every key cut, only the large ones cut, none cut.
+    for block, hot in ((1, 0), (60, 0), (60, 150), (100000, 0), (60, 10**6)):
+        got = starts(spark, rows, timeout=60, block_seconds=block, hot_rows=hot)
         assert {i: n for i, (n, _) in got.items()} == want
 
 

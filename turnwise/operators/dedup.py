@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from turnwise.operators.scan import blocked_scan, time_block
+from turnwise.operators.scan import HOT_ROWS, blocked_scan, time_block
 from turnwise.session import landed
 
 
@@ -30,13 +30,14 @@ def record_key() -> Column:
 
 
 def dedup_within(df: DataFrame, key: str, ts: str = "ts", tie: str = "id",
-                 seconds: float = 60) -> DataFrame:
+                 seconds: float = 60, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``prev_ts`` and ``is_duplicate``: an identical row came at most ``seconds`` before.
 
     The row before counts whether or not it was itself dropped, so a steady stream of
     copies keeps one row until it pauses for longer than the window.
     """
-    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": ts})
+    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": ts},
+                           hot_rows=hot_rows)
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col(ts))
     return scanned.withColumn("is_duplicate",
                               F.coalesce(gap <= int(round(seconds * 1_000_000)), F.lit(False)))

@@ -9,6 +9,10 @@ number is bounded by the key's range of lines or time, not by its rows times the
 
 Blocks are plain functions of the data, so a recomputed task after a lost executor
 arrives at the same blocks.
+
+Line blocks cost ordinary keys nothing, since these fit into one block. Blocks of time would
+cut a sparse key into as many blocks as it has rows; there :func:`cut_hot_keys` first counts
+rows per key and cuts only the keys that are really large.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 LINES_PER_BLOCK = 65536
 SECONDS_PER_BLOCK = 60
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def line_block(line: Column, size: int = LINES_PER_BLOCK) -> Column:
@@ -47,6 +53,26 @@ def solid_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     return out
 
 
+def cut_hot_keys(df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int) -> tuple[DataFrame, bool]:
+    """Add ``_block``: ``block`` for keys of more than ``hot_rows`` rows, one block for any other.
+
+    Also returns whether any key was cut. The count runs first, over the key columns only
+    and combined map-side. At most ``MAX_HOT_KEYS`` keys are listed; beyond that every key
+    is cut. Keys must be non-null.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
+    hot = sizes.limit(MAX_HOT_KEYS + 1).collect()
+    whole = F.lit(0).cast("bigint")
+    if not hot:
+        return df.withColumn("_block", whole), False
+    block = F.coalesce(block, F.lit(-(2**63)))
+    if len(hot) > MAX_HOT_KEYS:
+        return df.withColumn("_block", block), True
+    listed = df.sparkSession.createDataFrame(hot, sizes.schema).withColumn("_hot", F.lit(True))
+    cut = F.when(F.coalesce("_hot", F.lit(False)), block).otherwise(whole)
+    return df.join(F.broadcast(listed), list(keys), "left").withColumn("_block", cut).drop("_hot"), True
+
+
 def blocked_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,20 +80,36 @@ def blocked_scan(
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
     prev: Mapping[str, str] | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and previous-row values per key.
 
     ``sums`` maps an output name to the number summed over the key's rows up to and
     including this one; ``prev`` maps an output name to the column whose value is taken from
     the row before. ``order`` must be a total order within the key, and ``block`` must rise
-    with its first column. The input columns and all rows are kept.
+    with its first column. With ``hot_rows`` only keys of more rows are cut into blocks. The
+    input columns and all rows are kept.
     """
     sums, prev = dict(sums or {}), dict(prev or {})
     kept = df.columns
     solid = solid_keys(df, keys)
     by = list(solid)
-    rows = df.withColumns({**solid, "_block": F.coalesce(block, F.lit(-(2**63))),
-                           **{f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()}})
+    rows = df.withColumns({**solid, **{f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()}})
+    cut = True
+    if hot_rows is None:
+        rows = rows.withColumn("_block", F.coalesce(block, F.lit(-(2**63))))
+    else:
+        rows, cut = cut_hot_keys(rows, by, block, hot_rows)
+
+    inside = Window.partitionBy("_block", *by).orderBy(*order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = {f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
+    local.update({f"_q_{n}": F.lag(c).over(inside) for n, c in prev.items()})
+    if not cut:
+        return rows.withColumns(local).select(
+            *kept, *[F.col(f"_l_{n}").alias(n) for n in sums], *[F.col(f"_q_{n}").alias(n) for n in prev])
+    if prev:
+        local["_at"] = F.row_number().over(inside)
 
     totals = [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums]
     # The leading order column is largest on a block's last row; others need a max_by.
@@ -77,7 +119,7 @@ def blocked_scan(
     if others:
         last = F.max_by(F.struct(*[F.col(c).alias(n) for n, c in others.items()]), F.struct(*order))
         totals.append(last.alias("_last"))
-    summary = rows.groupBy(*by, "_block").agg(*totals)
+    summary = rows.groupBy("_block", *by).agg(*totals)
     by_key = Window.partitionBy(*by).orderBy("_block")
     earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums]
@@ -85,13 +127,7 @@ def blocked_scan(
     carried += [F.lag("_last").over(by_key)[n].alias(f"_b_{n}") for n in others]
     carry = summary.select(*by, "_block", *carried)
 
-    inside = Window.partitionBy(*by, "_block").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
-    if prev:
-        local["_at"] = F.row_number().over(inside)
-        local.update({f"_q_{n}": F.lag(c).over(inside) for n, c in prev.items()})
-    joined = rows.withColumns(local).join(carry, [*by, "_block"])
+    joined = rows.withColumns(local).join(carry, ["_block", *by])
     out = [F.col(c) for c in kept]
     out += [(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(n) for n in sums]
     out += [F.when(F.col("_at") > 1, F.col(f"_q_{n}")).otherwise(F.col(f"_b_{n}")).alias(n) for n in prev]

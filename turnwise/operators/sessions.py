@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from turnwise.operators.scan import SECONDS_PER_BLOCK, time_block
+from turnwise.operators.scan import HOT_ROWS, SECONDS_PER_BLOCK, cut_hot_keys, time_block
 
 ANONYMOUS = "anonymous"
 
@@ -30,13 +30,15 @@ def sessionize(
     force_new: Column | None = None,
     close: Column | None = None,
     block_seconds: int = SECONDS_PER_BLOCK,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``session_start``, ``session_no`` and ``session_id`` to every event.
 
     A session starts at a key's first event, after a gap of ``timeout`` seconds or more,
     on ``force_new``, and after a ``close`` event. A missing last key (the user) counts as
-    ``anonymous``. Keys are cut into blocks of time (see :mod:`turnwise.operators.scan`),
-    so a user with a third of all events is spread over as many tasks as it has blocks.
+    ``anonymous``. Keys with more than ``hot_rows`` events are cut into blocks of time (see
+    :mod:`turnwise.operators.scan`), so a user with a third of all events is spread over as
+    many tasks as it has blocks; without such keys it is one shuffle and one window.
     """
     keys = list(keys)
     kept = events.columns
@@ -45,28 +47,36 @@ def sessionize(
     rows = events.withColumns({
         **{k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys[:-1]},
         user: F.coalesce(F.nullif(F.col(user).cast("string"), F.lit("")), F.lit(ANONYMOUS)),
-        "_block": F.coalesce(time_block(F.col(ts), block_seconds), F.lit(-(2**63))),
         "_force": F.coalesce(F.lit(False) if force_new is None else force_new, F.lit(False)),
         "_close": F.coalesce(F.lit(False) if close is None else close, F.lit(False)),
     })
 
+    rows, cut = cut_hot_keys(rows, keys, time_block(F.col(ts), block_seconds), hot_rows)
+
     def opens(before_ts: Column, before_close: Column, at: Column, forced: Column) -> Column:
         return forced | before_close | (F.timestamp_diff("MICROSECOND", before_ts, at) >= micros)
 
-    inside = Window.partitionBy(*keys, "_block").orderBy(ts, tie)
+    inside = Window.partitionBy("_block", *keys).orderBy(ts, tie)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({
         "_at": F.row_number().over(inside),
         "_opens": opens(F.lag(ts).over(inside), F.lag("_close").over(inside), F.col(ts), F.col("_force")),
-    }).withColumn("_opens", (F.col("_at") > 1) & F.col("_opens"))
+    })
+    # Of a whole key the first event opens a session; of a block that is not known yet.
+    rows = rows.withColumn("_opens", ((F.col("_at") > 1) & F.col("_opens")) if cut
+                           else ((F.col("_at") == 1) | F.col("_opens")))
     rows = rows.withColumns({
         "_local_start": F.max(F.when(F.col("_opens"), F.col(ts))).over(upto),
         "_local_no": F.sum(F.col("_opens").cast("bigint")).over(upto),
     })
+    if not cut:
+        return rows.select(
+            *kept, F.col("_local_start").alias("session_start"), F.col("_local_no").alias("session_no"),
+            session_id([F.col(k) for k in keys], F.col("_local_start")).alias("session_id"))
 
     # One summary row per (key, block): its first and last event and its inner starts.
     edge = F.struct(F.col(ts), F.col(tie))
-    summary = rows.groupBy(*keys, "_block").agg(
+    summary = rows.groupBy("_block", *keys).agg(
         F.min_by(F.struct(F.col(ts).alias("ts"), F.col("_force").alias("force")), edge).alias("_first"),
         F.max_by(F.struct(F.col(ts).alias("ts"), F.col("_close").alias("close")), edge).alias("_last"),
         F.max(F.when(F.col("_opens"), F.col(ts))).alias("_inner_start"),
@@ -90,7 +100,7 @@ def sessionize(
 
     start = F.coalesce(F.col("_local_start"), F.when(F.col("_first_opens"), F.col("_first_ts")),
                        F.col("_carry_start"))
-    joined = rows.join(carry, [*keys, "_block"])
+    joined = rows.join(carry, ["_block", *keys])
     return joined.select(
         *[F.col(c) for c in kept],
         start.alias("session_start"),

@@ -34,7 +34,11 @@ def _redacted(text: str, card: bool = True, email: bool = True) -> str:
 
 
 def docs(spark, sf):
-    return V.table(spark, sf, "documents").select("doc_id", "text", "lang", F.concat(F.lit("ns"), F.col("doc_id") % 5).alias("namespace"))
+    return docs_of(V.table(spark, sf, "documents"))
+
+
+def docs_of(documents):
+    return documents.select("doc_id", "text", "lang", F.concat(F.lit("ns"), F.col("doc_id") % 5).alias("namespace"))
 
 
 @query("a1_redact_text_nophone", f"SELECT doc_id, md5({_redacted('text')}) AS redacted FROM documents")
@@ -105,13 +109,14 @@ def _rules(spark, sf):
     return O.compile_rules(spark, raw)
 
 
-def _text_records(spark, sf):
+def text_records(documents):
+    """Documents as one-message records."""
     msg = F.array(F.struct(
         F.lit("user").alias("role"), F.col("text").cast("variant").alias("content"), F.lit(None).cast("string").alias("sender"),
         F.lit(None).cast("variant").alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"),
         F.lit(None).cast("string").alias("tool_name"), F.lit(False).alias("is_internal_tool"),
         F.lit(None).cast("string").alias("internal_tool_type"))).cast(MSG_DDL)
-    return docs(spark, sf).withColumn("msg", msg)
+    return documents.withColumn("msg", msg)
 
 
 _CUSTOM = "regexp_replace(regexp_replace({0}, '(?i)\\bthe (\\w+)', '<\\1>', 'g'), 'und', '$', 'g')"
@@ -120,7 +125,7 @@ _TENANT = f"""CASE doc_id % 5 WHEN 1 THEN {_redacted('text', email=False)} WHEN
 
 @query("a7_tenant_rules", f"SELECT doc_id, md5({_TENANT}) AS redacted, CAST(doc_id % 5 + 1 AS INTEGER) AS anonymization_version FROM documents")
 def a7(spark, sf):
-    out = O.redact_messages(_text_records(spark, sf), _rules(spark, sf), required=True)
+    out = O.redact_messages(text_records(docs(spark, sf)), _rules(spark, sf), required=True)
     return out.select("doc_id", F.md5(F.try_variant_get(F.col("msg")[0]["content"], "$", "string")).alias("redacted"), "anonymization_version")
 
 

@@ -13,28 +13,24 @@ from turnwise.streaming import jobs, stateful
 _ST = V.STAMP.format
 
 
+def _source(spark, sf, name):
+    """A given table as a file stream."""
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
 def _stream(spark, sf, name, view):
     """A table as a stream in a view's shape, plus one closing row far in the future.
 
     The closing row drives the watermark past the last real row, so everything is emitted.
     """
-    batch = view(spark, sf)
-    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-
-    def source(_spark, _sf, _name):
-        return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-
-    table, V.table = V.table, source
-    try:
-        rows = view(spark, sf)
-    finally:
-        V.table = table
+    batch = view(V.table(spark, sf, name))
     closing = scratch_path(spark, "closing")
-    last = batch.agg(F.max("ts").alias("ts"))
     blank = {"string": F.lit(""), "bigint": F.lit(-1).cast("bigint"), "boolean": F.lit(False)}
-    last.select(*[(F.col("ts") + F.expr("INTERVAL 30 DAYS") if c == "ts" else blank[t]).cast(t).alias(c)
-                  for c, t in batch.dtypes]).write.parquet(closing)
-    return rows.unionByName(spark.readStream.schema(batch.schema).parquet(closing))
+    batch.agg(F.max("ts").alias("ts")).select(
+        *[(F.col("ts") + F.expr("INTERVAL 30 DAYS") if c == "ts" else blank[t]).cast(t).alias(c)
+          for c, t in batch.dtypes]).write.parquet(closing)
+    return view(_source(spark, sf, name)).unionByName(spark.readStream.schema(batch.schema).parquet(closing))
 
 
 def _with_rocksdb(spark):
@@ -45,13 +41,13 @@ def _with_rocksdb(spark):
 @query("r1_stream_sessions", f"""WITH {V.sessionized(1800)} SELECT namespace, user_id, session_id, {_ST('created_at')} AS created_at,
   {_ST('last_activity')} AS last_activity, events FROM sessions""")
 def r1(spark, sf):
-    out = jobs.run_available(jobs.stream_sessions(_stream(spark, sf, "events", V.activity), 1800), "sessions")
+    out = jobs.run_available(jobs.stream_sessions(_stream(spark, sf, "events", V.activity_of), 1800), "sessions")
     return out.where("user_id <> ''").select("namespace", "user_id", "session_id", V.stamp("created_at"), V.stamp("last_activity"), "events")
 
 
 @query("r2_stream_sessionize", f"WITH {V.sessionized(1800, forced=True, closing=True)} SELECT event_id, session_id FROM sessionized")
 def r2(spark, sf):
-    stream = _stream(_with_rocksdb(spark), sf, "events", V.activity)
+    stream = _stream(_with_rocksdb(spark), sf, "events", V.activity_of)
     out = jobs.run_available(stateful.stream_sessionize(
         stream, 1800, force_new=F.col("force_new"), close=F.col("is_close")), "sessionized")
     return out.where("event_id >= 0").select("event_id", "session_id")
@@ -59,12 +55,12 @@ def r2(spark, sf):
 
 @query("r3_stream_dedup_60s", f"WITH {_flagged(60)} SELECT id, is_duplicate FROM flagged")
 def r3(spark, sf):
-    out = jobs.run_available(stateful.stream_dedup(_stream(_with_rocksdb(spark), sf, "documents", V.dups), "key"), "dedup")
+    out = jobs.run_available(stateful.stream_dedup(_stream(_with_rocksdb(spark), sf, "documents", V.dups_of), "key"), "dedup")
     return out.where("id >= 0").select("id", "is_duplicate")
 
 
-def _calls(spark, sf):
-    return V.table(spark, sf, "events").where("event_type = 'view'").selectExpr(
+def _calls(events):
+    return events.where("event_type = 'view'").selectExpr(
         "ts", "concat('model', event_id % 3) AS model", "cast(floor(value) AS bigint) AS latency_ms", "event_id % 50 AS tokens")
 
 
@@ -81,7 +77,10 @@ def r6(spark, sf):
   turns AS (SELECT session_id, t FROM l WHERE t > 0 GROUP BY session_id, t HAVING count(*) FILTER (role = 'assistant') > 0)
   SELECT session_id, count(*) AS turns FROM turns GROUP BY session_id""")
 def r4(spark, sf):
-    """Transcripts landed as files, picked up by a file stream, grouped into turns per micro-batch."""
+    """Transcripts landed as files, picked up by a file stream, grouped into turns per micro-batch.
+
+    A transcript is one file by its format, so landing one is one task's work; reading it is not.
+    """
     from turnwise.operators.turns import group_turns
     from turnwise.sources.transcripts import parse_claude_lines
     land, out = scratch_path(spark, "transcripts"), scratch_path(spark, "turns")
@@ -101,18 +100,12 @@ def r4(spark, sf):
 @query("r5_stream_redact")
 def r5(spark, sf):
     """Documents as a stream, redacted with the tenants' rules; the phone class keeps it from a SQL form."""
-    from turnwise.operators.redact import RULES_DDL, redact_messages  # noqa: F401
-    from turnwise.plans.privacy import _text_records, docs
+    from turnwise.plans.privacy import docs, docs_of, text_records
     rules = jobs.RulesCache(lambda: docs(spark, sf).select(
         F.col("namespace").alias("tenant"), F.lit(1).alias("version"), F.create_map().cast("map<string,boolean>").alias("toggles"),
         F.expr("array(named_struct('name', 'the', 'pattern', 'the', 'replacement', '<the>'))").alias("custom")).dropDuplicates(["tenant"]))
     out = scratch_path(spark, "redacted")
-    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
-    table, V.table = V.table, lambda *_: spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
-    try:
-        stream = _text_records(spark, sf)
-    finally:
-        V.table = table
+    stream = text_records(docs_of(_source(spark, sf, "documents")))
     jobs.stream_redact(stream, rules, lambda df, _: df.select(
         "doc_id", F.md5(F.try_variant_get(F.col("msg")[0]["content"], "$", "string")).alias("redacted"),
         "anonymization_version").write.mode("append").parquet(out), scratch_path(spark, "redact-state")).awaitTermination()

@@ -133,7 +133,11 @@ def cline_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def activity(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").selectExpr(
+    return activity_of(table(spark, sf, "events"))
+
+
+def activity_of(events: DataFrame) -> DataFrame:
+    return events.selectExpr(
         "event_id", "ts", "concat('ns', user_id % 5) AS namespace", "cast(user_id AS string) AS user_id",
         "event_type = 'signup' AS force_new", "event_type = 'error' AS is_close")
 
@@ -208,7 +212,11 @@ def requests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dups(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return dups_of(table(spark, sf, "documents"))
+
+
+def dups_of(documents: DataFrame) -> DataFrame:
+    return documents.select(
         F.col("doc_id").alias("id"), F.md5("text").alias("key"),
         F.timestamp_seconds(F.col("doc_id") + 86400).alias("ts"), "lang", "source")
 
