@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnwise.operators import folds, rollups
+from turnwise.operators.query import filter_records
 from turnwise.sources import events as E, records as R, sinks as K, usage as U
 
 GOOD = {"namespace": "n", "agent": "a", "session_id": "s", "msg": {"role": "user", "content": "hi"}, "input_tokens": 10,
@@ -109,6 +110,13 @@ def test_sinks(spark, tmp_path):
     assert K.write_records(rec, out)["total_inserted"] == 2
     stored = spark.read.parquet(out)
     assert stored.where("namespace = 'n' AND dt = date'2025-01-02'").count() == 2
+    hits = filter_records(stored, "n", start_date="2025-01-02", end_date="2025-01-03")
+    assert hits.count() == 2 and filter_records(stored, "n", end_date="2025-01-02").count() == 0
+    plan = hits.select("agent")._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan"):]
+    assert "namespace" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
+    assert "dt#" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
+    assert "GreaterThanOrEqual(inserted_at" in scan and "msg" not in scan.split("ReadSchema:")[1]
     K.export_records(stored, str(tmp_path / "csv"), "csv", namespace="n")
     csv = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
     assert tuple(csv.columns) == K.RECORD_EXPORT_COLUMNS

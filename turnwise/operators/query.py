@@ -14,10 +14,16 @@ def _filtered(df: DataFrame, ts: str, equal: dict, start, end) -> DataFrame:
     for name, value in equal.items():
         if value:
             df = df.where(F.col(name) == value)
+    # A stored table is also partitioned by day, which prunes whole folders.
+    by_day = "dt" in df.columns
     if start:
-        df = df.where(F.col(ts) >= F.lit(start).cast(dict(df.dtypes)[ts]))
+        at = F.lit(start).cast(dict(df.dtypes)[ts])
+        df = df.where(F.col(ts) >= at)
+        df = df.where(F.col("dt") >= F.to_date(at)) if by_day else df
     if end:
-        df = df.where(F.col(ts) < F.lit(end).cast(dict(df.dtypes)[ts]))
+        at = F.lit(end).cast(dict(df.dtypes)[ts])
+        df = df.where(F.col(ts) < at)
+        df = df.where(F.col("dt") <= F.to_date(at)) if by_day else df
     return df
 
 

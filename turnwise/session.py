@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Session windows of a stream are merged within a task before the shuffle, so a busy
+    # user arrives as one row per session and task.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
