@@ -52,6 +52,18 @@ def test_sessionize_equals_batch_out_of_order(rocks, tmp_path):
     assert got == {r.event_id: r.session_id for r in want.collect()}
 
 
+def test_state_is_forgotten(rocks, tmp_path):
+    ddl = "id bigint, key string, ts timestamp"
+    land(rocks, tmp_path / "in", [[(i, f"k{i}", T0 + dt.timedelta(seconds=1 + i)) for i in range(50)],
+                                  [(98, "x", T0 + dt.timedelta(days=1))], [(99, "y", T0 + dt.timedelta(days=2))]], ddl)
+    out = stateful.stream_dedup(stream(rocks, tmp_path / "in", ddl), "key")
+    (out.writeStream.format("memory").queryName("forget").outputMode("append")
+     .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()).awaitTermination()
+    assert rocks.table("forget").where("id < 50").count() == 50
+    state = (rocks.read.format("statestore").option("path", str(tmp_path / "c")).option("stateVarName", "memory").load())
+    assert state.count() <= 2
+
+
 def test_sessions_equal_batch(spark, tmp_path):
     rows, batches = _batches(2)
     # A gap of exactly the timeout must split here too.

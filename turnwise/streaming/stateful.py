@@ -21,6 +21,7 @@ class InOrder(StatefulProcessor):
     """Holds rows back until the watermark passes, then folds them in order."""
 
     memory = "start bigint, last bigint, closed boolean"
+    micros = 0
 
     def init(self, handle) -> None:
         self._handle = handle
@@ -58,7 +59,14 @@ class InOrder(StatefulProcessor):
             memory, values = self.step(memory, row)
             out.append((*key, row[0], row[1], *values))
         if memory is not None:
-            self._memory.update(memory)
+            # Once the watermark is past the window after the last row, no row that can still
+            # come is affected by it: the key is forgotten, so state does not grow for ever.
+            over = memory[1] + self.micros
+            if not left and over < passed:
+                self._memory.clear()
+            else:
+                self._memory.update(memory)
+                self._handle.registerTimer(over // 1000 + 1)
         if out:
             yield pd.DataFrame(out, columns=self.columns)
 
