@@ -39,20 +39,27 @@ def _number_ok(match: re.Match, kind: str) -> bool:
         sum(d * (n + 1 - i) for i, d in enumerate(digits[:n])) * 10 % 11 % 10 == digits[n] for n in (9, 10))
 
 
+# A character without which a class cannot occur; all others need a digit.
+_NEEDS = {"email": "@", "ipv6": ":"}
+
+
 def _scrubber(disabled: tuple[str, ...]):
     off = coerce_disabled(disabled)
     steps = []
     if "cpf" not in off:
-        steps.append((re.compile(CPF_PATTERN), lambda m: CPF_TOKEN if _number_ok(m, "cpf") else m.group(0)))
+        steps.append((None, re.compile(CPF_PATTERN), lambda m: CPF_TOKEN if _number_ok(m, "cpf") else m.group(0)))
     for name, pattern, token in PLAIN_CLASSES:
         if name not in off:
-            steps.append((re.compile(pattern), lambda m, t=token: t))
+            steps.append((_NEEDS.get(name), re.compile(pattern), lambda m, t=token: t))
     if "card" not in off:
-        steps.append((re.compile(CARD_PATTERN), lambda m: CARD_TOKEN if _number_ok(m, "card") else m.group(0)))
+        steps.append((None, re.compile(CARD_PATTERN), lambda m: CARD_TOKEN if _number_ok(m, "card") else m.group(0)))
+    digit = re.compile(r"\d")
 
     def scrub(text: str) -> str:
-        for pattern, repl in steps:
-            text = pattern.sub(repl, text)
+        numbers = digit.search(text) is not None
+        for need, pattern, repl in steps:
+            if numbers if need is None else need in text:
+                text = pattern.sub(repl, text)
         return text
     return scrub
 
