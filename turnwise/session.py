@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -10,8 +11,6 @@ from pyspark.sql import SparkSession
 # Runtime settings every job relies on. None of them pins a partition count:
 # AQE picks that from the real shuffle sizes, on one machine or a thousand.
 RUNTIME_CONF = {
-    # No call-site capture per Column call; it dominates plan building for wide expressions.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,14 +21,29 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Settings that only a session under construction takes.
+STATIC_CONF = {
+    # No call-site capture per Column call; it dominates plan building for wide expressions.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created.
+
+    Python workers started for this session also find the package where it lies, so a
+    checkout works without being installed.
+    """
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, paths)))
     return spark
 
 
@@ -43,7 +57,7 @@ def local_session(cores: str | int = "*", app: str = "turnwise", memory: str = "
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
