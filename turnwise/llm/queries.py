@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import exact
+from turnwise.llm import exact, lines
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,6 +12,28 @@ __all__ = ["ORACLES", "QUERIES"]
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_BLANK = r"[\x20\x09-\x0D]"
+
+LINES_SQL = rf"""
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+    keyed AS (SELECT *, translate(regexp_replace(line, '^{_BLANK}+|{_BLANK}+$', '', 'g'), '{_UP}', '{_LOW}') AS k FROM lines),
+    often AS (SELECT k, max(doc_id) AS keep_id FROM keyed WHERE length(k) >= 20
+              GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+    marked AS (SELECT doc_id, line, pos, keep_id IS NOT NULL AND doc_id <> keep_id AS gone
+               FROM keyed LEFT JOIN often USING (k))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept_text
+    FROM marked GROUP BY doc_id"""
+
+
+@query("op3_line_dedup", f"SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM ({LINES_SQL})")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.dedup_lines(documents(spark, sf_dir))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op8_exact_dedup", f"""
     WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{_UP}', '{_LOW}')) AS text_sha256 FROM documents),
     g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size,
