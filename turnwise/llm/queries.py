@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import exact, lines
+from turnwise.llm import exact, lines, pii
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -43,3 +43,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM d JOIN g USING (text_sha256)""")
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(documents(spark, sf_dir))
+
+
+@query("op9_pii")
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(documents(spark, sf_dir))
+    base = F.filter("pii", lambda x: x["rank"] < pii.BASE)
+    counts = [F.size(F.filter("pii", pii.of_kind(r))).cast("bigint").alias(f"n_{kind.name}")
+              for r, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("pii")).alias("spans"),
+                        F.transform("pii", lambda x: x["score"]).alias("scores"))
