@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import exact, lines, pii
+from turnwise.llm import decontaminate, exact, lines, pii
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,6 +28,34 @@ LINES_SQL = rf"""
     FROM marked GROUP BY doc_id"""
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _words_sql(table: str, key: str) -> str:
+    return rf"""(SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '{_WORD}') AS w
+                 FROM {table})"""
+
+
+CONTAMINATION_SQL = f"""
+    WITH d AS {_words_sql("documents", "doc_id")},
+    b AS {_words_sql("benchmark", "item_id")},
+    sized AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) > 0),
+    phrases AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+                FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+    wins AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase
+           FROM (SELECT doc_id, w, size, unnest(range(1, greatest(len(w) - size + 2, 1))) AS i
+                 FROM d, (SELECT DISTINCT size FROM sized))),
+    met AS (SELECT doc_id, i, wins.size, item_id FROM wins JOIN phrases USING (phrase)),
+    hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
+             FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM met) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(listed, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 @query("op3_line_dedup", f"SELECT doc_id, n_lines, n_dropped, sha256(kept_text) AS kept_sha256 FROM ({LINES_SQL})")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = lines.dedup_lines(documents(spark, sf_dir))
@@ -54,3 +82,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
                         pii.listed(F.col("pii")).alias("spans"),
                         F.transform("pii", lambda x: x["score"]).alias("scores"))
+
+
+@query("op10_decontamination", CONTAMINATION_SQL)
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

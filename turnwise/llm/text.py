@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 # Space and the controls \x09-\x0D; fixed by the contracts.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -94,3 +95,28 @@ def code_points(raw: np.ndarray) -> np.ndarray:
     """Code points of UTF-8 bytes."""
     return np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"),
                          dtype=np.uint32)
+
+
+def add_columns(docs: DataFrame, added: Mapping[str, DataType], work, text: str = "text",
+                most: int = BATCH_BYTES) -> DataFrame:
+    """``docs`` with columns computed in Python from slices of whole texts.
+
+    ``work(rows, raw, offsets)`` gets a slice as an Arrow batch, the bytes of its texts and
+    their row offsets, and returns one Arrow array per added column. Columns of the added names
+    are replaced, all others are kept; rows move through in batches, without a shuffle.
+    """
+    keep = [f for f in docs.schema.fields if f.name not in added]
+    at = next(i for i, f in enumerate(docs.schema.fields) if f.name == text)
+    inner = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
+    passed = [i for i, f in enumerate(docs.schema.fields) if f.name not in added]
+    types = list(added.values())
+    out = StructType([inner.fields[i] for i in passed] + [StructField(f"a{i}", t) for i, t in enumerate(types)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, raw, offsets in text_pieces(batch, f"c{at}", most):
+                arrays = [rows.column(i) for i in passed] + list(work(rows, raw, offsets))
+                yield pa.RecordBatch.from_arrays(arrays, names=out.fieldNames())
+
+    named = docs.toDF(*inner.fieldNames())
+    return named.mapInArrow(run, out).toDF(*[f.name for f in keep], *added)
