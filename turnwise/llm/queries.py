@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, lines, pii
+from turnwise.llm import decontaminate, exact, lines, packing, pii
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -89,3 +90,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark_contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return marked.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                          F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "loss_tokens", "segment")
