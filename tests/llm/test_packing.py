@@ -15,7 +15,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     None, "", " ", "\n\n", "a", "It's  they'll\tWE'VE 12 345!", "x<|endoftext|>y <|startoftext|> z", "é ̈a  b c",
     "İİ ΣΣ ß", "\U0001F600\U0001F469‍\U0001F4BB hi", "日本語 текст ١٢٣", "a\x0bb\x0cc\rd\x1ce\x85f",
-    "lo" * 9000, "word " * 9000, "ﬁne Å 가가",
+    "don't.'s a.b,c;d'll-'re_x \"q\"", "<\u0338 a<\u0338 =\u0338b", "Caf\u00c9, caf\u00e9. \u00c9t\u00e9 \u00aa\u00ba\u02b0 \u0345x", "lo" * 9000, "word " * 9000, "ﬁne Å 가가",
 ]
 
 
@@ -55,6 +55,8 @@ def frame(spark, texts):
 def test_odd_texts(spark):
     df, texts = frame(spark, ODD)
     check(packing.pack(df, PATH).collect(), texts)
+    df, texts = frame(spark, [t for t in ODD if t and "<|" not in t])
+    check(packing.pack(df, PATH).collect(), texts)
 
 
 def test_table(spark, sf):

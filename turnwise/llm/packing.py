@@ -9,14 +9,18 @@ Each task packs its own documents as they stream by, so nothing is shuffled. It
 a bounded number of pieces waiting; bins that are nearly full leave, the pieces of others wait
 on. A task thus ends with at most a few bins that are not full, whatever its size.
 
-Tokenizing is by the given tokenizer, once per distinct chunk between ASCII blanks: the
-tokenizer's normalisation and split never reach across one, so a text's ids are its chunks'
-ids in order. Each worker keeps the ids of chunks it has seen, by 64-bit hash, up to a bound.
+Tokenizing is by the given tokenizer, once per distinct chunk: text is cut at ASCII blanks and
+between ASCII letters and punctuation, where neither the tokenizer's normalisation nor its
+split reaches across, and A-Z are lower-cased, as the tokenizer does itself. A text's ids are
+its chunks' ids in order. Each worker keeps the ids of chunks it has seen, by 64-bit hash, up
+to a bound. This holds for word tokenizers that drop blanks and lower-case, such as the one
+the query names.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,14 +29,28 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from turnwise.llm.text import IS_BLANK, hash_spans, text_pieces, word_spans
+from turnwise.llm.text import IS_BLANK, LOWER, hash_spans, text_pieces, word_spans
 
 END_ID = 2
 CACHED_CHUNKS = 1 << 21
 ENCODE_AT_ONCE = 4096
+JOINED = 256
 WAITING = 4096
 FULL_ENOUGH = 0.995
 
+# 1 an ASCII letter, 2 ASCII punctuation without the apostrophe, which may start a contraction.
+SIDE = np.zeros(256, dtype=np.uint8)
+SIDE[0x21:0x7F] = 2
+SIDE[0x30:0x3A] = SIDE[0x27] = 0
+SIDE[0x41:0x5B] = SIDE[0x61:0x7B] = 1
+# Special tokens are matched in the text as it is.
+SPECIAL_MARK = b"<|"
+
+
+def plain(chunk: str) -> bool:
+    """Whether a chunk is surely one word to the tokenizer's split: letters that stay as they are."""
+    return chunk.isalpha() and chunk == chunk.lower() and unicodedata.is_normalized("NFC", chunk)
+
 PIECE_DDL = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, loss_tokens bigint, "
              "sequence_id bigint, segment bigint, offset bigint, ids binary")
 
@@ -51,22 +69,43 @@ class ChunkIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.keys, self.place = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.begins, self.pool = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
 
+    def _coded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _one_word_each(self, chunks: list[str]) -> list[np.ndarray]:
+        """Ids of plain chunks: joined by spaces, a token that ends a word ends a chunk."""
+        out = []
+        for at in range(0, len(chunks), JOINED):
+            part = chunks[at: at + JOINED]
+            ids = self._coded([" ".join(part)])[0]
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            out += np.split(ids, ends[:-1]) if len(ends) == len(part) else self._coded(part)
+        return out
+
     def _learn(self, keys: np.ndarray, chunks: list[bytes]) -> None:
-        sizes, ids = [], [self.pool]
-        for at in range(0, len(chunks), ENCODE_AT_ONCE):
-            part = [c.decode("utf-8", "replace") for c in chunks[at: at + ENCODE_AT_ONCE]]
-            coded = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            sizes += [len(x) for x in coded]
-            ids.append(np.fromiter((i for x in coded for i in x), dtype=np.uint32))
+        texts = [c.decode("utf-8", "replace") for c in chunks]
+        simple = np.fromiter((plain(t) for t in texts), dtype=bool, count=len(texts))
+        coded: list[np.ndarray] = [self.pool[:0]] * len(texts)
+        words = np.flatnonzero(simple)
+        for i, ids in zip(words, self._one_word_each([texts[i] for i in words])):
+            coded[i] = ids
+        others = np.flatnonzero(~simple)
+        for at in range(0, len(others), ENCODE_AT_ONCE):
+            part = others[at: at + ENCODE_AT_ONCE]
+            for i, ids in zip(part, self._coded([texts[i] for i in part])):
+                coded[i] = ids
         known = len(self.begins) - 1
-        self.pool = np.concatenate(ids)
-        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(sizes, dtype=np.int64)])
+        self.pool = np.concatenate([self.pool, *coded])
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum([len(x) for x in coded], dtype=np.int64)])
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.place = np.insert(self.place, where, known + np.arange(len(keys)))
@@ -79,7 +118,12 @@ class ChunkIds:
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows with ``END_ID`` after each, and the rows' offsets in them."""
-        starts, ends, row_words = word_spans(raw, offsets, IS_BLANK)
+        cuts = None
+        if SPECIAL_MARK not in raw.tobytes():
+            side = SIDE[raw]
+            cuts = np.flatnonzero(side[:-1] + side[1:] == 3) + 1
+            raw = LOWER[raw]
+        starts, ends, row_words = word_spans(raw, offsets, IS_BLANK, cuts)
         keys, first, which = np.unique(hash_spans(raw, starts, ends), return_index=True, return_inverse=True)
         new = self._missing(keys)
         if len(self.keys) and len(self.keys) + int(new.sum()) > self.most:

@@ -60,15 +60,19 @@ def text_pieces(batch: pa.RecordBatch, name: str = "text", most: int = BATCH_BYT
         at = end
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(raw: np.ndarray, offsets: np.ndarray, apart: np.ndarray,
+               cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte ranges of words and, per row, the number of words before it.
 
-    ``apart`` marks the byte values that separate words; a row's end ends a word too.
+    ``apart`` marks the byte values that separate words; a row's end ends a word too, and so
+    does each position in ``cuts``.
     """
     inside = np.zeros(len(raw) + 2, dtype=bool)
     np.logical_not(apart[raw], out=inside[1:-1])
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge[cuts] = True
     starts = np.flatnonzero(inside[1:] & (edge | ~inside[:-1]))
     ends = np.flatnonzero(inside[:-1] & (edge | ~inside[1:]))
     return starts, ends, np.searchsorted(starts, offsets)
