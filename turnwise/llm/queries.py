@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, packing, pii
+from turnwise.llm import decontaminate, exact, language, lines, packing, pii, sharding
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -103,3 +103,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir)).select(
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query("op1_sharding")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard_table(documents(spark, sf_dir))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
