@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, packing, pii, sharding
+from turnwise.llm import decontaminate, exact, language, lines, packing, pii, secrets, sharding
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -110,3 +110,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_table(documents(spark, sf_dir))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    counts = [F.size(F.filter("secrets", _of_kind(kind))).cast("bigint").alias(f"n_{kind}") for kind in secrets.KINDS]
+    base = F.filter("secrets", lambda x: x["kind"] != secrets.KINDS[secrets.BASE])
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("secrets")).alias("spans"), F.transform("secrets", lambda x: x["ratio"]).alias("ratios"))
