@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, packing, pii, secrets, sharding
+from turnwise.llm import decontaminate, exact, language, lines, near, packing, pii, secrets, sharding
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -123,3 +123,8 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("secrets", lambda x: x["kind"] != secrets.KINDS[secrets.BASE])
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
                         pii.listed(F.col("secrets")).alias("spans"), F.transform("secrets", lambda x: x["ratio"]).alias("ratios"))
+
+
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir))
