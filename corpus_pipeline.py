@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnwise.llm import decontaminate, language, lines, near, packing
+from turnwise.llm.text import keep_where
 from turnwise.session import landed, prepare
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -19,7 +20,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language models do not reject."""
     prepare(spark)
-    return language.identify(docs).where("not rejected").select(*docs.columns)
+    return keep_where(docs, language.identify, "not rejected", ("doc_id", "text", "lang"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

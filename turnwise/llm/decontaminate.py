@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from turnwise.llm.fm_index import FMIndex
-from turnwise.llm.text import LOWER, add_columns, hash_spans, word_spans
+from turnwise.llm.text import LOWER, add_columns, hash_spans, keep_where, word_spans
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -190,4 +190,4 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they were."""
-    return mark_contamination(docs, benchmark).where("not contaminated").select(*docs.columns)
+    return keep_where(docs, lambda rows: mark_contamination(rows, benchmark), "not contaminated", ("text",))

@@ -124,3 +124,12 @@ def add_columns(docs: DataFrame, added: Mapping[str, DataType], work, text: str
 
     named = docs.toDF(*inner.fieldNames())
     return named.mapInArrow(run, out).toDF(*[f.name for f in keep], *added)
+
+
+def keep_where(docs: DataFrame, mark, condition: str, needed: tuple[str, ...]) -> DataFrame:
+    """The rows for which ``condition`` holds on columns that ``mark`` adds, otherwise unchanged.
+
+    Columns but the ``needed`` ones go by other names meanwhile, so none can clash.
+    """
+    names = [c if c in needed else f"_c{i}" for i, c in enumerate(docs.columns)]
+    return mark(docs.toDF(*names)).where(condition).select(*names).toDF(*docs.columns)
