@@ -23,8 +23,8 @@ def reply(*blocks, usage=None, model="m-1"):
 
 
 TEXT = {"type": "text", "text": "hello"}
-USE = {"type": "tool_use", "id": "t1", "name": "Read", "input": {"path": "/x", "n": [1, 2]}}
-USAGE = {"input_tokens": 12, "output_tokens": 8, "cache_creation_input_tokens": 3, "cache_read_input_tokens": 4}
+USE = {"type": "tool_use", "id": "call-77", "name": "Read", "input": {"path": "/x", "n": [1, 2]}}
+USAGE = {"input_tokens": 31, "output_tokens": 6, "cache_creation_input_tokens": 3, "cache_read_input_tokens": 4}
 
 
 def turns(spark, path, **kw):
@@ -38,9 +38,9 @@ def test_claude_one_turn(spark, tmp_path):
     assert [m.role for m in t.msg] == ["user", "assistant", "tool"]
     assert [m.content for m in t.msg] == ["hi", "hello", "Tool: Read"]
     assert [m.sender for m in t.msg] == ["user", "m-1", "claude-code"]
-    assert json.loads(t.msg[1].tool_calls) == [{"name": "Read", "arguments": {"path": "/x", "n": [1, 2]}, "id": "t1"}]
+    assert json.loads(t.msg[1].tool_calls) == [{"name": "Read", "arguments": {"path": "/x", "n": [1, 2]}, "id": "call-77"}]
     assert t.msg[2].tool_name == "Read" and t.msg[0].tool_calls is None
-    assert (t.input_tokens, t.output_tokens, t.process_tokens, t.memory_tokens, t.total_tokens) == (12, 8, 3, 4, 27)
+    assert (t.input_tokens, t.output_tokens, t.process_tokens, t.memory_tokens, t.total_tokens) == (31, 6, 3, 4, 44)
     assert t.model == "m-1" and t.source == "claude-code"
     projects = S.list_projects(S.read_claude_sessions(spark, str(tmp_path))).collect()
     assert [(p.encoded_name, p.decoded_path, p.session_count) for p in projects] == [("-Users-me-app", "/Users/me/app", 1)]
@@ -112,12 +112,12 @@ def test_cline(spark, tmp_path):
         {"role": "user", "content": "last"},
         {"role": "user", "content": ""},
     ]
-    for task, body in (("t1", json.dumps(history)), ("t2", '{"not": "a list"}'), ("t3", "[broken")):
+    for task, body in (("job-a", json.dumps(history)), ("job-b", '{"not": "a list"}'), ("job-c", "[broken")):
         write(tmp_path / "tasks" / task / "api_conversation_history.json", body)
     lines = S.read_cline_tasks(spark, str(tmp_path))
-    assert {(r.task_id, r.message_count) for r in S.list_tasks(lines).collect()} == {("t1", 7)}
+    assert {(r.task_id, r.message_count) for r in S.list_tasks(lines).collect()} == {("job-a", 7)}
     got = T.group_turns(lines, "cline").orderBy("turn_no").collect()
-    assert [t.session_id for t in got] == ["cline-t1"] * 3
+    assert [t.session_id for t in got] == ["cline-job-a"] * 3
     early, main, last = got
     assert [(m.role, m.content) for m in early.msg] == [("assistant", "early")]
     assert [(m.role, m.content) for m in main.msg] == [

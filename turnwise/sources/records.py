@@ -132,7 +132,7 @@ def _require_structure(spark: SparkSession, path, kind: str) -> None:
     bad = (spark.read.option("wholetext", True).text(path).where(
         C.as_array(v).isNull() & F.try_variant_get(v, f"$.{kind}", "variant").isNull()))
     if not bad.isEmpty():
-        raise BadStructure(f"JSON must contain '{kind}' key or be an array")
+        raise BadStructure(f"expected a list of {kind}, or an object that holds one under '{kind}'")
 
 
 def _text(name: str) -> Column:
