@@ -28,9 +28,8 @@ def test_random_against_brute_force(spark):
         k, s = items[i]
         want[i] = k in last and s - last[k] <= 60
         last[k] = s
-    for hot in (0, 150, 10**6):
-        got = {r.id: r.is_duplicate for r in D.dedup_within(rows(spark, items), "key", hot_rows=hot).collect()}
-        assert got == want
+    got = {r.id: r.is_duplicate for r in D.dedup_within(rows(spark, items), "key").collect()}
+    assert got == want
     assert D.drop_within(rows(spark, items), "key").count() == sum(not d for d in want.values())
 
 
@@ -79,12 +78,24 @@ def brute_requests(reqs):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 60, 0])
-def test_idempotency_against_brute_force(spark, hot_rows):
+def requests(spark, reqs):
+    return spark.createDataFrame([(i, t, k, b, T0 + dt.timedelta(seconds=s), ok) for i, (t, k, b, s, ok) in enumerate(reqs)],
+                                 "id bigint, tenant string, request_key string, body_hash string, ts timestamp, is_ok boolean")
+
+
+def test_idempotency_against_brute_force(spark):
     rnd = random.Random(4)
     reqs = [(rnd.choice("xy"), rnd.choice(["hot", "hot", "hot", "k1", "k2", None, ""]), rnd.choice(["b1", "b2"]),
              rnd.randrange(86400 * 4) // 3600 * 3600, rnd.random() < 0.7) for _ in range(300)]
-    df = spark.createDataFrame([(i, t, k, b, T0 + dt.timedelta(seconds=s), ok) for i, (t, k, b, s, ok) in enumerate(reqs)],
-                               "id bigint, tenant string, request_key string, body_hash string, ts timestamp, is_ok boolean")
-    got = D.idempotency_classify(df, ok=F.col("is_ok"), hot_rows=hot_rows)
+    got = D.idempotency_classify(requests(spark, reqs), ok=F.col("is_ok"))
     assert {r.id: (r.outcome, r.original_id) for r in got.collect()} == brute_requests(reqs)
+
+
+def test_idempotency_of_a_year_with_a_hot_key(spark):
+    """A key with a third of all rows over a year: hundreds of originals, found in a few rounds."""
+    rnd = random.Random(6)
+    reqs = [("t", "hot" if i % 3 == 0 else f"k{rnd.randrange(40)}", rnd.choice(["b1", "b2"]),
+             rnd.randrange(86400 * 365), rnd.random() < 0.9) for i in range(3000)]
+    got = {r.id: (r.outcome, r.original_id) for r in D.idempotency_classify(requests(spark, reqs), ok=F.col("is_ok")).collect()}
+    want = brute_requests(reqs)
+    assert got == want and len({o for i, (_, o) in got.items() if i % 3 == 0}) > 150

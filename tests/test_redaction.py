@@ -219,9 +219,28 @@ def test_validate_version_conflict():
         O.validate_rules([], current_version=3, expected_version=2)
 
 
-def test_replacement_translation():
-    assert O.jvm_replacement(r"(?P<a_b>x)", r"\g<a_b>!$") == r"$1!\$"
-    assert O.jvm_pattern(r"(?P<a_b>x)(?P=a_b)") == r"(?U)(x)\1"
+def test_rules_that_cannot_run_are_left_out(spark):
+    """A replacement that names a group the pattern lacks would fail at the first match."""
+    rules = [("a", "abc", r"\5"), ("b", "(x", "y"), ("c", "(?P<n>z)", r"\g<n>!"), ("d", "(?P<n>z)", r"\g<m>"), ("e", None, "y"), ("f", "q", None)]
+    table = spark.createDataFrame([("t", 1, {}, rules)], O.RULES_DDL)
+    compiled = O.compile_rules(spark, table)
+    df = O.redact_messages(_records(spark, [{"role": "user", "content": "abc z q"}]), compiled)
+    assert _msgs(df)[0]["content"] == "abc z! [REDACTED]"
+    assert {(r.rule, r.problem) for r in O.rule_problems(table).collect()} >= {(0, "invalid_replacement"), (1, "invalid_regex"), (4, "missing_field")}
+
+
+def test_too_many_rules_are_reported(spark):
+    table = spark.createDataFrame([("t", 1, {}, [("a", "x" * 100, "y")])], O.RULES_DDL)
+    with pytest.raises(O.RulesTooLarge):
+        O.read_rules(table, most=50)
+
+
+def test_plain_rows_do_not_reach_python(spark):
+    """The branch of plain rows has no Arrow node below it."""
+    rules = O.compile_rules(spark, spark.createDataFrame([("t", 1, {"email": False}, [])], O.RULES_DDL))
+    plan = O.redact_messages(_records(spark, [{"role": "user", "content": "x"}]), rules)._jdf.queryExecution().optimizedPlan().toString()
+    plain, walked = plan.split("Union")[1].split("ArrowEvalPython")[0], plan.count("ArrowEvalPython")
+    assert walked == 1 and "transform" in plain
 
 
 def test_audit_counts_then_zero(spark):

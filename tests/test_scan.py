@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from turnwise.operators import query as Q
-from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block, lookup_join, solid_join
+from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block, lookup_join, solid_join, value_counts
 
 
 def _rows(seed, n=600):
@@ -26,21 +26,13 @@ def test_scan_equals_plain_window(spark):
         w = Window.partitionBy("k").orderBy("line")
         want = df.withColumns({"total": F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)),
                                "prev_line": F.lag("line").over(w), "prev_s": F.lag("s").over(w)})
-        for hot in (None, 0, 150, 10**6):
-            got = blocked_scan(df, ["k"], line_block(F.col("line"), 37), ["line"], sums={"total": F.col("v")},
-                               prev={"prev_line": "line", "prev_s": "s"}, hot_rows=hot)
+        for size in (1, 37, 10**6):
+            got = blocked_scan(df, ["k"], line_block(F.col("line"), size), ["line"], sums={"total": F.col("v")},
+                               prev={"prev_line": "line", "prev_s": "s"})
             assert got.count() == df.count()
             assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_more_hot_keys_than_listed(spark, monkeypatch):
-    from turnwise.operators import scan
-    monkeypatch.setattr(scan, "MAX_HOT_KEYS", 2)
-    df = spark.range(40).selectExpr("cast(id % 4 AS string) AS k", "id AS line", "1 AS v")
-    got = blocked_scan(df, ["k"], line_block(F.col("line"), 7), ["line"], sums={"n": F.col("v")}, hot_rows=1)
-    assert got.where("n != line DIV 4 + 1").count() == 0
-
-
 def test_scan_splits_a_hot_key_over_blocks(spark):
     """No window of the plan is partitioned by the key alone over the raw rows."""
     df = spark.range(1000).selectExpr("'hot' AS k", "id AS line", "1 AS v")
@@ -54,7 +46,7 @@ def test_exact_percentiles(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice(["a", None]), rnd.randrange(3000)) for _ in range(501)]
     df = spark.createDataFrame(rows, "k string, v bigint")
-    got = {r.k: (r.p50, r.p95) for r in exact_percentiles(df, ["k"], "v", {"p50": 0.5, "p95": 0.95}, 100).collect()}
+    got = {r.k: (r.p50, r.p95) for r in exact_percentiles(value_counts(df, ["k"], "v"), ["k"], "v", {"p50": 0.5, "p95": 0.95}, 100).collect()}
     import math
     for key in ("a", None):
         vals = sorted(v for k, v in rows if k == key)
@@ -65,8 +57,8 @@ def test_joins(spark):
     a = spark.createDataFrame([(None, 1), ("x", 2), ("y", 3)], "k string, a int")
     b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
     assert {(r.k, r.a, r.b) for r in solid_join(a, b, ["k"], "left").collect()} == {(None, 1, 10), ("x", 2, 20), ("y", 3, None)}
-    for cap in (0, 100):
-        assert {(r.a, r.b) for r in lookup_join(a, b, ["k"], max_broadcast_rows=cap).collect()} == {(1, None), (2, 20), (3, None)}
+    for cap in (0, 10**6):
+        assert {(r.a, r.b) for r in lookup_join(a, b, ["k"], max_broadcast_bytes=cap).collect()} == {(1, None), (2, 20), (3, None)}
 
 
 def test_paginate_and_keyset(spark):

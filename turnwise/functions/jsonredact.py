@@ -23,7 +23,7 @@ _COMPILED_MAX = 1024
 def _cached(key, build):
     if key not in _COMPILED:
         if len(_COMPILED) >= _COMPILED_MAX:
-            _COMPILED.clear()
+            _COMPILED.pop(next(iter(_COMPILED)))  # the oldest; others stay compiled
         _COMPILED[key] = build()
     return _COMPILED[key]
 
@@ -146,3 +146,12 @@ def redact_json_messages(texts: Column, disabled: Column, rules: Column) -> Colu
     rules as JSON text or null; custom rules touch content only, not tool calls.
     """
     return F.pandas_udf(_redact_batch, "string")(texts, disabled, rules)
+
+
+def _custom_batch(texts: pd.Series, rules: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else _cached(r, lambda: _custom(r))(t) for t, r in zip(texts, rules)])
+
+
+def custom_rules_text(text: Column, rules: Column) -> Column:
+    """The tenant's custom rules, as JSON text, over a whole text."""
+    return F.pandas_udf(_custom_batch, "string")(text, rules)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from turnwise.operators.scan import HOT_ROWS, blocked_scan, time_block
+from turnwise.operators.scan import blocked_scan, time_block
 from turnwise.session import landed
 
 
@@ -30,14 +30,13 @@ def record_key() -> Column:
 
 
 def dedup_within(df: DataFrame, key: str, ts: str = "ts", tie: str = "id",
-                 seconds: float = 60, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 seconds: float = 60) -> DataFrame:
     """Add ``prev_ts`` and ``is_duplicate``: an identical row came at most ``seconds`` before.
 
     The row before counts whether or not it was itself dropped, so a steady stream of
     copies keeps one row until it pauses for longer than the window.
     """
-    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": ts},
-                           hot_rows=hot_rows)
+    scanned = blocked_scan(df, [key], time_block(F.col(ts)), [ts, tie], prev={"prev_ts": ts})
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col(ts))
     return scanned.withColumn("is_duplicate",
                               F.coalesce(gap <= int(round(seconds * 1_000_000)), F.lit(False)))
@@ -61,13 +60,11 @@ def distinct_rows(df: DataFrame, key: str, tie: str) -> DataFrame:
 def anti_join_existing(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """New rows whose key is not stored yet.
 
-    The stored side is cut to distinct keys first. The new side's keys are also looked up
-    once each: distinct new keys (combined map-side) meet distinct stored keys, and the
-    keys found are struck off the new rows by a left anti join, where AQE can split a
-    partition full of copies because the other side is one row per key.
+    The stored side is cut to distinct keys, combined map-side, and struck off the new rows by
+    a left anti join, where AQE can split a partition full of copies because the other side is
+    one row per key.
     """
-    known = stored.select(key).distinct().join(new.select(key).distinct(), key, "left_semi")
-    return new.join(known, key, "left_anti")
+    return new.join(stored.select(key).distinct(), key, "left_anti")
 
 
 def dedup_report(flagged: DataFrame, by: Sequence[str] = (), strict: bool = False) -> DataFrame:
@@ -87,54 +84,71 @@ def dedup_report(flagged: DataFrame, by: Sequence[str] = (), strict: bool = Fals
     return report
 
 
+def _in_loads(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Each key once, with whether it is in the old and in the new load: one scan of each side."""
+    tagged = old.select(key, F.lit(False).alias("_new")).unionByName(new.select(key, F.lit(True).alias("_new")))
+    return tagged.groupBy(key).agg(F.bool_or(~F.col("_new")).alias("_in_old"), F.bool_or("_new").alias("_in_new"))
+
+
 def diff_loads(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys only in one of two loads, tagged ``new`` or ``gone``."""
-    a, b = old.select(key).distinct(), new.select(key).distinct()
-    added = b.join(a, key, "left_anti").withColumn("change", F.lit("new"))
-    gone = a.join(b, key, "left_anti").withColumn("change", F.lit("gone"))
-    return added.unionByName(gone)
+    return (_in_loads(old, new, key).where(F.col("_in_old") != F.col("_in_new"))
+            .select(key, F.when(F.col("_in_new"), "new").otherwise("gone").alias("change")))
 
 
 def overlap_loads(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys present in both loads."""
-    return old.select(key).distinct().join(new.select(key).distinct(), key, "left_semi")
+    return _in_loads(old, new, key).where(F.col("_in_old") & F.col("_in_new") & F.col(key).isNotNull()).select(key)
 
 
 # --- request keys -----------------------------------------------------------------------
 
-_DAY = 24 * 3600 * 1_000_000
-
+BY_KEY = ("_tenant", "_key")
 
-def _fold_originals(rows: DataFrame, micros: int) -> DataFrame:
-    """Originals of keys with a bounded number of rows, by an ordered fold per key."""
-    ok = rows.where("_ok").groupBy("_tenant", "_key").agg(
-        F.array_sort(F.collect_list(F.struct("_at", "_id", "_body"))).alias("_rows"))
-    empty = F.array().cast("array<struct<_at:bigint,_id:bigint,_body:string>>")
-    chain = F.aggregate("_rows", empty, lambda acc, r: F.when(
-        (F.size(acc) == 0) | (r["_at"] >= F.try_element_at(acc, F.lit(-1))["_at"] + F.lit(micros)),
-        F.concat(acc, F.array(r))).otherwise(acc))
-    return ok.select("_tenant", "_key", F.explode(chain).alias("_o")).select("_tenant", "_key", "_o.*")
 
+def _successors(ok: DataFrame, micros: int) -> DataFrame:
+    """(tenant, key, id, next): the first request at least ``micros`` later, where there is one.
 
-def _walk_originals(rows: DataFrame, micros: int) -> DataFrame:
-    """Originals of hot keys: one original per key and round, each round a partial ``min``.
-
-    Rounds are bounded by the time span over the window (originals lie that far apart),
-    not by rows. Each round's result is written to the shared folder, so lineage stays
-    short and a lost executor does not restart the walk.
+    The time of an answer is looked up in its block (a 24th of the window) of the same key,
+    else it is the first request of the next block that has any. Windows over requests are per
+    block; the one per key is over block summaries only.
+    """
+    width = max(micros // 24, 1)
+    block = F.floor(F.col("_t") / F.lit(width)).alias("_block")
+    rows = ok.select(*BY_KEY, F.col("_at").alias("_t"), F.lit(1).alias("_real"), "_id").unionByName(
+        ok.select(*BY_KEY, (F.col("_at") + F.lit(micros)).alias("_t"), F.lit(0).alias("_real"), "_id")).select("*", block)
+    onwards = (Window.partitionBy(*BY_KEY, "_block").orderBy("_t", "_real", "_id")
+               .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    real = F.when(F.col("_real") == 1, F.col("_id"))
+    here = rows.withColumn("_here", F.first(real, ignorenulls=True).over(onwards)).where("_real = 0")
+    blocks = rows.groupBy(*BY_KEY, "_block").agg(F.min_by(real, F.when(F.col("_real") == 1, F.struct("_t", "_id"))).alias("_first"))
+    later = Window.partitionBy(*BY_KEY).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
+    after = blocks.select(*BY_KEY, "_block", F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    return (here.join(after.hint("merge"), [*BY_KEY, "_block"])
+            .select(*BY_KEY, "_id", F.coalesce("_here", "_after").alias("_next")).where("_next IS NOT NULL"))
+
+
+def _originals(keyed: DataFrame, micros: int) -> DataFrame:
+    """The originals of all keys: the first good request, and always the first one a window later.
+
+    They are followed by doubling: once the first 2^k of every key are known, one join with the
+    2^k-fold successor gives as many more. Rounds are the logarithm of the time span over the
+    window, for all keys at once; each is a written table, so a lost executor repeats little.
     """
-    spark = rows.sparkSession
-    ok = landed(spark, rows.where("_ok").select("_tenant", "_key", "_at", "_id", "_body"), "requests")
-    pick = F.min(F.struct("_at", "_id", "_body")).alias("_o")
-    found = None
-    step = landed(spark, ok.groupBy("_tenant", "_key").agg(pick).select("_tenant", "_key", "_o.*"), "originals")
-    while not step.isEmpty():
-        found = step if found is None else found.unionByName(step)
-        last = F.broadcast(step.select("_tenant", "_key", F.col("_at").alias("_from")))
-        later = ok.join(last, ["_tenant", "_key"]).where(F.col("_at") >= F.col("_from") + F.lit(micros))
-        step = landed(spark, later.groupBy("_tenant", "_key").agg(pick).select("_tenant", "_key", "_o.*"),
-                      "originals")
-    return step if found is None else found
+    spark = keyed.sparkSession
+    ok = landed(spark, keyed.where("_ok").select(*BY_KEY, "_at", "_id", "_body"), "requests")
+    jump = landed(spark, _successors(ok, micros), "successors")
+    step = landed(spark, ok.groupBy(*BY_KEY).agg(F.min(F.struct("_at", "_id")).alias("_o")).select(*BY_KEY, "_o._id"), "originals")
+    found = step
+    while True:
+        step = landed(spark, found.join(jump, [*BY_KEY, "_id"]).select(*BY_KEY, F.col("_next").alias("_id")), "originals")
+        if step.isEmpty():
+            break
+        found = found.unionByName(step)
+        further = jump.select(*BY_KEY, F.col("_id").alias("_next"), F.col("_next").alias("_further"))
+        jump = landed(spark, jump.join(further, [*BY_KEY, "_next"]).select(*BY_KEY, "_id", F.col("_further").alias("_next")),
+                      "successors")
+    return ok.join(found, [*BY_KEY, "_id"], "left_semi")
 
 
 def idempotency_classify(
@@ -146,14 +160,13 @@ def idempotency_classify(
     tie: str = "id",
     ok: Column | None = None,
     hours: float = 24,
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Add ``outcome``: ``fresh``, ``replay`` or ``conflict``, and ``original_id``.
 
     Within ``hours`` of the original request of a (tenant, key) the same body is a replay
     and another body a conflict; a missing key, or a request after that time, is fresh. A
-    failed request is never an original. Keys above ``hot_rows`` rows take a path whose
-    work per key is spread over tasks; all others are folded in one ordered pass.
+    failed request is never an original. ``tie`` is unique within a key. There is one plan for
+    keys of any size, and no key is ever gathered.
     """
     micros = int(round(hours * 3600 * 1_000_000))
     kept = requests.columns
@@ -163,16 +176,7 @@ def idempotency_classify(
         "_id": F.col(tie).cast("bigint"), "_ok": F.coalesce(F.lit(True) if ok is None else ok, F.lit(True)),
     })
     keyed = rows.where(F.col("_key").isNotNull() & (F.col("_key") != ""))
-    sizes = keyed.groupBy("_tenant", "_key").agg(F.count(F.lit(1)).alias("_n"))
-    # At most (all rows / hot_rows) keys can be hot, so this list is small by construction.
-    hot = sizes.where(F.col("_n") > hot_rows).select("_tenant", "_key")
-    if hot.isEmpty():
-        originals = _fold_originals(keyed, micros)
-    else:
-        hot = landed(requests.sparkSession, hot, "hot-keys")
-        is_hot = F.broadcast(hot)
-        originals = _fold_originals(keyed.join(is_hot, ["_tenant", "_key"], "left_anti"), micros).unionByName(
-            _walk_originals(keyed.join(is_hot, ["_tenant", "_key"], "left_semi"), micros))
+    originals = _originals(keyed, micros)
 
     # An original covers [at, at + hours): it is listed under every bucket (a 24th of that
     # time) it touches, and a request looks in its own. Originals of a key lie `hours` apart,

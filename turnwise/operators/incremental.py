@@ -71,6 +71,8 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     """Turns loaded so far per session; empty where nothing was loaded yet."""
     try:
         log = spark.read.schema(OFFSETS_DDL).parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], OFFSETS_DDL)
     return log.groupBy("session_id").agg(F.max("turns").alias("turns"))

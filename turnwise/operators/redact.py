@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnwise.functions import redaction as R
-from turnwise.functions.content import as_array, bind, is_string
-from turnwise.functions.jsonredact import redact_json_messages
+from turnwise.functions.content import as_array, is_string
+from turnwise.functions.jsonredact import custom_rules_text, redact_json_messages
 from turnwise.operators.scan import lookup_join
 from turnwise.schemas import MSG_DDL
+from turnwise.session import landed
 
 DEFAULT_TOKEN = "[REDACTED]"
-MAX_RULE_ROWS = 100_000
+MAX_RULE_BYTES = 64 << 20
 
 RULES_DDL = ("tenant string, version int, toggles map<string,boolean>, "
              "custom array<struct<name:string,pattern:string,replacement:string>>")
@@ -25,6 +26,10 @@ class RulesNotReady(RuntimeError):
     """Rules are required but were never loaded: nothing may be published."""
 
 
+class RulesTooLarge(RuntimeError):
+    """The rules table is no configuration any more; nothing was applied."""
+
+
 class InvalidRules(ValueError):
     """A rules document was refused; ``problems`` lists (rule index, code)."""
 
@@ -35,39 +40,13 @@ class InvalidRules(ValueError):
 
 # --- rule syntax -------------------------------------------------------------------------
 
-_NAMED_GROUP = re.compile(r"\(\?P<(\w+)>")
-
-
-def jvm_pattern(pattern: str) -> str:
-    """A Python pattern as the JVM reads it: Unicode classes, groups by number."""
-    index = re.compile(pattern).groupindex
-    out = _NAMED_GROUP.sub("(", pattern)
-    out = re.sub(r"\(\?P=(\w+)\)", lambda m: rf"\{index[m.group(1)]}", out)
-    return R.UNICODE + re.sub(r"(?<!\\)((?:\\\\)*)\\Z", r"\1\\z", out)
-
-
-def jvm_replacement(pattern: str, replacement: str) -> str:
-    r"""A Python replacement as the JVM reads it: ``\1`` -> ``$1``, a plain ``$`` escaped."""
-    compiled = re.compile(pattern)
-    out, i = [], 0
-    while i < len(replacement):
-        ref = re.compile(r"\\(?:g<(\w+)>|(\d{1,2}))").match(replacement, i)
-        if ref:
-            name = ref.group(1) or ref.group(2)
-            number = int(name) if name.isdigit() else compiled.groupindex[name]
-            out.append(f"${number}")
-            # A digit right after the reference would be read as part of its number.
-            if replacement[ref.end():ref.end() + 1].isdigit():
-                out.append("\\")
-            i = ref.end()
-        elif replacement[i] == "\\" and i + 1 < len(replacement):
-            nxt = replacement[i + 1]
-            out.append({"n": "\n", "t": "\t", "r": "\r"}.get(nxt, "\\\\" if nxt == "\\" else "\\\\" + nxt))
-            i += 2
-        else:
-            out.append({"$": r"\$", "\\": r"\\"}.get(replacement[i], replacement[i]))
-            i += 1
-    return "".join(out)
+def usable(pattern, replacement: str) -> bool:
+    """Whether a rule compiles and its replacement names only groups the pattern has."""
+    try:
+        re.compile(pattern).sub(replacement, "")
+    except (re.error, TypeError, IndexError):
+        return False
+    return True
 
 
 def validate_rules(custom: Sequence[dict], current_version: int | None = None,
@@ -98,61 +77,45 @@ def validate_rules(custom: Sequence[dict], current_version: int | None = None,
         raise InvalidRules(problems)
 
 
-def _jvm_accepts(spark: SparkSession, rules: list[tuple[str, str]]) -> list[bool]:
-    """Which (pattern, replacement) pairs the JVM compiles: one query, halved on failure."""
-    if not rules:
-        return []
-    probe = spark.createDataFrame(rules, "p string, r string").coalesce(1)
-    try:
-        probe.select(F.regexp_replace(F.lit("x"), F.col("p"), F.col("r"))).collect()
-        return [True] * len(rules)
-    except PySparkException:
-        if len(rules) == 1:
-            return [False]
-        half = len(rules) // 2
-        return _jvm_accepts(spark, rules[:half]) + _jvm_accepts(spark, rules[half:])
+def read_rules(rules: DataFrame, most: int = MAX_RULE_BYTES) -> list:
+    """The rows of a rules table, which is configuration: refused, not cut, beyond ``most`` bytes."""
+    kept = landed(rules.sparkSession, rules.select("tenant", "version", "toggles", "custom"), "rules")
+    size = kept.agg(F.sum(F.octet_length(F.to_json(F.struct(*kept.columns))))).first()[0] or 0
+    if size > most:
+        raise RulesTooLarge(f"rules take {size} bytes, more than {most}")
+    return kept.collect()
+
+
+COMPILED_DDL = "tenant string, version int, toggles map<string,boolean>, disabled array<string>, custom_json string"
 
 
 def compile_rules(spark: SparkSession, rules: DataFrame) -> DataFrame:
-    """Rules table ready to join: ``tenant, version, disabled, custom, custom_json``.
+    """Rules table ready to join: ``tenant, version, toggles, disabled, custom_json``.
 
-    A rules table is configuration. Its size is checked before its patterns are read on the
-    driver, where each is translated and tried once, since one bad pattern would fail the
-    whole job; rules that do not compile are left out.
+    Rules that do not compile, or whose replacement names a group the pattern lacks, are left
+    out. ``custom_json`` lists the others in order, null where a tenant has none.
     """
-    flat = rules.select("tenant", F.posexplode("custom").alias("pos", "rule")).select("tenant", "pos", "rule.*")
-    listed = flat.limit(MAX_RULE_ROWS + 1).collect()
-    if len(listed) > MAX_RULE_ROWS:
-        raise ValueError(f"more than {MAX_RULE_ROWS} custom rules")
-    good = []
-    for row in listed:
-        token = DEFAULT_TOKEN if row.replacement is None else row.replacement
-        if not isinstance(row.pattern, str):
-            continue
+    out = []
+    for row in read_rules(rules):
+        toggles = row.toggles or {}
+        listed = [{"pattern": r.pattern, "replacement": DEFAULT_TOKEN if r.replacement is None else r.replacement}
+                  for r in (row.custom or []) if r is not None]
+        good = [r for r in listed if usable(r["pattern"], r["replacement"])]
+        out.append((row.tenant, row.version, toggles, [k for k, v in toggles.items() if v is False],
+                    json.dumps(good) if good else None))
+    return spark.createDataFrame(out, COMPILED_DDL)
+
+
+def rule_problems(rules: DataFrame) -> DataFrame:
+    """(tenant, rule, problem) of every rule :func:`validate_rules` would refuse."""
+    found = []
+    for row in read_rules(rules):
+        custom = [{k: v for k, v in r.asDict().items() if v is not None} for r in (row.custom or []) if r is not None]
         try:
-            good.append((row.tenant, row.pos, row.name, row.pattern, token,
-                         jvm_pattern(row.pattern), jvm_replacement(row.pattern, token)))
-        except (re.error, KeyError, IndexError):
-            continue
-    accepted = _jvm_accepts(spark, [(g[5], g[6]) for g in good])
-    good = [g for g, ok in zip(good, accepted) if ok]
-    table = spark.createDataFrame(
-        good, "tenant string, pos int, name string, pattern string, replacement string, "
-              "jvm_pattern string, jvm_replacement string")
-    per_tenant = table.groupBy("tenant").agg(F.array_sort(F.collect_list(F.struct(
-        "pos", "name", "pattern", "replacement", "jvm_pattern", "jvm_replacement"))).alias("_rules"))
-    merged = rules.select(
-        "tenant", "version",
-        F.coalesce("toggles", F.create_map().cast("map<string,boolean>")).alias("toggles"),
-    ).join(per_tenant, "tenant", "left")
-    return merged.select(
-        "tenant", "version", "toggles",
-        F.map_keys(F.map_filter("toggles", lambda k, v: ~v)).alias("disabled"),
-        F.coalesce(F.transform("_rules", lambda r: F.struct(
-            r["jvm_pattern"].alias("pattern"), r["jvm_replacement"].alias("replacement"))),
-            F.array().cast("array<struct<pattern:string,replacement:string>>")).alias("custom"),
-        F.to_json(F.transform("_rules", lambda r: F.struct(r["pattern"], r["replacement"]))).alias("custom_json"),
-    )
+            validate_rules(custom)
+        except InvalidRules as refused:
+            found += [(row.tenant, i, code) for i, code in refused.problems]
+    return rules.sparkSession.createDataFrame(found, "tenant string, rule int, problem string")
 
 
 def require_rules(rules: DataFrame | None) -> DataFrame:
@@ -164,11 +127,6 @@ def require_rules(rules: DataFrame | None) -> DataFrame:
 
 # --- applying ----------------------------------------------------------------------------
 
-def apply_custom_rules(text: Column, custom: Column) -> Column:
-    """Compiled rules of the row's tenant, in order, over a text that baseline already cleaned."""
-    return F.aggregate(custom, text, lambda acc, r: F.regexp_replace(acc, r["pattern"], r["replacement"]))
-
-
 def redact_column(df: DataFrame, column: str, disabled: Iterable[str] | None = None) -> DataFrame:
     return df.withColumn(column, R.redact_text(F.col(column), disabled))
 
@@ -194,37 +152,37 @@ def redact_messages(records: DataFrame, rules: DataFrame | None = None, tenant:
                     disabled: Iterable[str] | None = None, required: bool = False) -> DataFrame:
     """Redact the ``msg`` array of stored messages and stamp ``anonymization_version``.
 
-    ``rules`` is the output of :func:`compile_rules`. Text content is redacted in the JVM;
-    rows with blocks or tool calls go through Arrow once. A tenant without rules gets the
-    baseline and version 0. ``required`` refuses to go on without rules.
+    ``rules`` is the output of :func:`compile_rules`. Plain text is redacted in the JVM. Rows
+    with blocks or tool calls, or of a tenant with custom rules, are a branch of their own that
+    goes through Arrow once; no other row does, and a rule is only ever run by one regex
+    engine. A tenant without rules gets the baseline and version 0. ``required`` refuses to go
+    on without rules.
     """
     if required:
         rules = require_rules(rules)
     off = F.array(*[F.lit(d) for d in sorted(R.coerce_disabled(disabled))]).cast("array<string>")
     kept = records.columns
+    deep = has_payload(F.col("msg"))
     if rules is None:
         df = records
         clean = lambda t: R.redact_text(t, disabled)
         skip, custom_json = off, F.lit(None).cast("string")
     else:
         dim = rules.select(F.col("tenant").alias(tenant), F.struct(
-            "version", "toggles", "disabled", "custom", "custom_json").alias("_rules"))
+            "version", "toggles", "disabled", "custom_json").alias("_rules"))
         df = lookup_join(records, dim, [tenant])
         toggles = F.coalesce(F.col("_rules.toggles"), F.create_map().cast("map<string,boolean>"))
-        custom = F.coalesce(F.col("_rules.custom"), F.array().cast("array<struct<pattern:string,replacement:string>>"))
-        clean = lambda t: bind(R.redact_text_toggled(t, toggles), lambda x: apply_custom_rules(x, custom))
+        clean = lambda t: R.redact_text_toggled(t, toggles)
         skip = F.coalesce(F.array_union(F.col("_rules.disabled"), off), off)
         custom_json = F.col("_rules.custom_json")
-    df = df.withColumn("_deep", has_payload(F.col("msg")))
-    df = df.withColumn("_json", redact_json_messages(
-        F.when(F.col("_deep"), F.to_json("msg")), skip, custom_json))
-    msg = F.when(F.col("_deep"), F.from_json("_json", MSG_DDL)).otherwise(
-        F.transform("msg", lambda m: _native_message(m, clean)))
-    out = df.withColumn("msg", msg)
-    if rules is not None:
-        out = out.withColumn("anonymization_version", F.coalesce(F.col("_rules.version"), F.lit(0)))
+        deep = deep | custom_json.isNotNull()
+        df = df.withColumn("anonymization_version", F.coalesce(F.col("_rules.version"), F.lit(0)))
         kept = [*[c for c in kept if c != "anonymization_version"], "anonymization_version"]
-    return out.select(*kept)
+    deep = F.coalesce(deep, F.lit(False))
+    plain = df.where(~deep).withColumn("msg", F.transform("msg", lambda m: _native_message(m, clean)))
+    walked = df.where(deep).withColumn("_json", redact_json_messages(F.to_json("msg"), skip, custom_json)).withColumn(
+        "msg", F.from_json("_json", MSG_DDL))
+    return plain.select(*kept).unionByName(walked.select(*kept))
 
 
 def stamp_version(records: DataFrame, rules: DataFrame, tenant: str = "namespace") -> DataFrame:
@@ -239,28 +197,31 @@ def reapply_on_drift(records: DataFrame, rules: DataFrame, tenant: str = "namesp
     """Apply *all* current custom rules to rows stamped with an older version.
 
     They go over the message JSON text, as on ingest. Rows at or ahead of the current
-    version are not touched.
+    version are not touched; only rows that get rules go through Arrow.
     """
     kept = records.columns
-    dim = rules.select(F.col("tenant").alias(tenant), F.struct("version", "custom").alias("_rules"))
+    dim = rules.select(F.col("tenant").alias(tenant), F.struct("version", "custom_json").alias("_rules"))
     df = lookup_join(records, dim, [tenant])
     behind = F.coalesce(F.coalesce(F.col("anonymization_version"), F.lit(0)) < F.col("_rules.version"), F.lit(False))
-    with_rules = behind & (F.size("_rules.custom") > 0)
+    with_rules = behind & F.col("_rules.custom_json").isNotNull()
+    stamped = F.when(behind, F.col("_rules.version")).otherwise(F.col("anonymization_version"))
     text_column = dict(records.dtypes)[message] == "string"
-    fixed = apply_custom_rules(F.col(message) if text_column else F.to_json(message), F.col("_rules.custom"))
-    return df.withColumns({
-        message: F.when(with_rules, fixed if text_column else F.from_json(fixed, ddl)).otherwise(F.col(message)),
-        "anonymization_version": F.when(behind, F.col("_rules.version")).otherwise(F.col("anonymization_version")),
-    }).select(*kept)
+    fixed = custom_rules_text(F.col(message) if text_column else F.to_json(message), F.col("_rules.custom_json"))
+    changed = df.where(with_rules).withColumn("_text", fixed).withColumns({
+        message: F.col("_text") if text_column else F.from_json("_text", ddl), "anonymization_version": stamped})
+    others = df.where(~with_rules).withColumn("anonymization_version", stamped)
+    return others.select(*kept).unionByName(changed.select(*kept))
 
 
 def pii_audit(df: DataFrame, column: str, by: Sequence[str] = ("namespace",),
               classes: Sequence[str] | None = None) -> DataFrame:
     """Hits per class and group that are still in the text; all zero after redaction."""
     names = tuple(classes or R.class_names())
-    hits = F.create_map(*[x for n in names for x in (F.lit(n), F.when(
-        F.col(column).rlike(R.CANDIDATE), R.count_class(F.col(column), n)).otherwise(F.lit(0)))])
-    return (df.select(*by, F.explode(hits).alias("pii_class", "_n"))
-            .groupBy(*by, "pii_class")
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("hits"),
-                 F.count_if(F.col("_n") > 0).alias("rows_hit")))
+    guarded = df.select(*by, F.when(F.col(column).rlike(R.CANDIDATE), F.col(column)).alias("_text"))
+    counted = guarded.select(*by, *[F.coalesce(R.count_class(F.col("_text"), n), F.lit(0)).alias(f"_n{i}")
+                                    for i, n in enumerate(names)])
+    sums = counted.groupBy(*by).agg(*[x for i in range(len(names)) for x in (
+        F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"_hits{i}"), F.count_if(F.col(f"_n{i}") > 0).alias(f"_rows{i}"))])
+    per_class = F.array(*[F.struct(F.lit(n).alias("pii_class"), F.col(f"_hits{i}").alias("hits"),
+                                   F.col(f"_rows{i}").alias("rows_hit")) for i, n in enumerate(names)])
+    return sums.select(*by, F.inline(per_class))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnwise.functions import tokens as T
-from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block, solid_join
+from turnwise.operators.scan import blocked_scan, exact_percentiles, line_block, solid_join, value_counts
 from turnwise.schemas import LEVELS, QUOTAS
 
 SEGMENTS = T.TOKEN_FIELDS
@@ -65,14 +65,22 @@ def tool_usage(calls: DataFrame, by: Sequence[str] = ("tool_name", "agent"), app
     percentiles and distinct counts by sketches of bounded size.
     """
     by = list(by)
-    basics = [F.count(F.lit(1)).alias("calls"), F.count_if("is_error").alias("errors"),
-              F.avg("latency_ms").alias("avg_ms")]
     if approx:
         return calls.groupBy(*by).agg(
-            *basics, F.approx_count_distinct("session_id").alias("sessions"),
+            F.count(F.lit(1)).alias("calls"), F.count_if("is_error").alias("errors"), F.avg("latency_ms").alias("avg_ms"),
+            F.approx_count_distinct("session_id").alias("sessions"),
             F.percentile_approx("latency_ms", 0.5).alias("p50_ms"), F.percentile_approx("latency_ms", 0.95).alias("p95_ms"))
-    base = calls.groupBy(*by).agg(*basics, F.countDistinct("session_id").alias("sessions"))
-    return solid_join(base, exact_percentiles(calls, by, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), by, "left")
+    counts = value_counts(calls, by, "latency_ms", _errors=F.count_if("is_error"))
+    base = counts.groupBy(*by).agg(F.sum("_n").alias("calls"), F.sum("_errors").alias("errors"), _mean("latency_ms"))
+    sessions = calls.groupBy(*by).agg(F.countDistinct("session_id").alias("sessions"))
+    tails = exact_percentiles(counts, by, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95})
+    return solid_join(solid_join(base, sessions, by, "left"), tails, by, "left")
+
+
+def _mean(value: str) -> Column:
+    """The mean of a counted value; missing values do not count."""
+    known = F.when(F.col(value).isNotNull(), F.col("_n"))
+    return (F.sum(F.col(value).cast("double") * F.col("_n")) / F.sum(known)).alias("avg_ms")
 
 
 def handoff_flow(handoffs: DataFrame, by: Sequence[str] = ("from_agent", "to_agent")) -> DataFrame:
@@ -97,9 +105,9 @@ def llm_latency(calls: DataFrame, grain: str = "1 hour", by: Sequence[str] = ("m
     """Calls and latency over time per model."""
     rows = calls.withColumn("bucket", F.window(F.col(ts), grain)["start"])
     keys = ["bucket", *by]
-    base = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("calls"), F.avg("latency_ms").alias("avg_ms"),
-                                   F.max("latency_ms").alias("max_ms"))
-    return solid_join(base, exact_percentiles(rows, keys, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), keys, "left")
+    counts = value_counts(rows, keys, "latency_ms")
+    base = counts.groupBy(*keys).agg(F.sum("_n").alias("calls"), _mean("latency_ms"), F.max("latency_ms").alias("max_ms"))
+    return solid_join(base, exact_percentiles(counts, keys, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), keys, "left")
 
 
 def log_level_counts(logs: DataFrame, grain: str = "1 day", by: Sequence[str] = ("namespace",), ts: str = "timestamp") -> DataFrame:

@@ -10,9 +10,8 @@ number is bounded by the key's range of lines or time, not by its rows times the
 Blocks are plain functions of the data, so a recomputed task after a lost executor
 arrives at the same blocks.
 
-Line blocks cost ordinary keys nothing, since these fit into one block. Blocks of time would
-cut a sparse key into as many blocks as it has rows; there :func:`cut_hot_keys` first counts
-rows per key and cuts only the keys that are really large.
+There is one plan for keys of any size: no count decides on it beforehand. Blocks are wide
+enough that ordinary keys have one or a few, and narrow enough that the largest has many.
 """
 
 from __future__ import annotations
@@ -21,10 +20,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from turnwise.session import landed
+
 LINES_PER_BLOCK = 65536
-SECONDS_PER_BLOCK = 60
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+SECONDS_PER_BLOCK = 3600
+BROADCAST_BYTES = 16 << 20
 
 
 def line_block(line: Column, size: int = LINES_PER_BLOCK) -> Column:
@@ -53,26 +53,6 @@ def solid_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
     return out
 
 
-def cut_hot_keys(df: DataFrame, keys: Sequence[str], block: Column, hot_rows: int) -> tuple[DataFrame, bool]:
-    """Add ``_block``: ``block`` for keys of more than ``hot_rows`` rows, one block for any other.
-
-    Also returns whether any key was cut. The count runs first, over the key columns only
-    and combined map-side. At most ``MAX_HOT_KEYS`` keys are listed; beyond that every key
-    is cut. Keys must be non-null.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
-    hot = sizes.limit(MAX_HOT_KEYS + 1).collect()
-    whole = F.lit(0).cast("bigint")
-    if not hot:
-        return df.withColumn("_block", whole), False
-    block = F.coalesce(block, F.lit(-(2**63)))
-    if len(hot) > MAX_HOT_KEYS:
-        return df.withColumn("_block", block), True
-    listed = df.sparkSession.createDataFrame(hot, sizes.schema).withColumn("_hot", F.lit(True))
-    cut = F.when(F.coalesce("_hot", F.lit(False)), block).otherwise(whole)
-    return df.join(F.broadcast(listed), list(keys), "left").withColumn("_block", cut).drop("_hot"), True
-
-
 def blocked_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,34 +60,25 @@ def blocked_scan(
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
     prev: Mapping[str, str] | None = None,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and previous-row values per key.
 
     ``sums`` maps an output name to the number summed over the key's rows up to and
     including this one; ``prev`` maps an output name to the column whose value is taken from
     the row before. ``order`` must be a total order within the key, and ``block`` must rise
-    with its first column. With ``hot_rows`` only keys of more rows are cut into blocks. The
-    input columns and all rows are kept.
+    with its first column. The input columns and all rows are kept.
     """
     sums, prev = dict(sums or {}), dict(prev or {})
     kept = df.columns
     solid = solid_keys(df, keys)
     by = list(solid)
     rows = df.withColumns({**solid, **{f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()}})
-    cut = True
-    if hot_rows is None:
-        rows = rows.withColumn("_block", F.coalesce(block, F.lit(-(2**63))))
-    else:
-        rows, cut = cut_hot_keys(rows, by, block, hot_rows)
+    rows = rows.withColumn("_block", F.coalesce(block, F.lit(-(2**63))))
 
     inside = Window.partitionBy("_block", *by).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {f"_l_{n}": F.sum(f"_v_{n}").over(upto) for n in sums}
     local.update({f"_q_{n}": F.lag(c).over(inside) for n, c in prev.items()})
-    if not cut:
-        return rows.withColumns(local).select(
-            *kept, *[F.col(f"_l_{n}").alias(n) for n in sums], *[F.col(f"_q_{n}").alias(n) for n in prev])
     if prev:
         local["_at"] = F.row_number().over(inside)
 
@@ -141,16 +112,21 @@ def solid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return a.join(b, solid, how).drop(*solid)
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, **more: Column) -> DataFrame:
+    """Rows per (keys, value) as ``_n``, with further aggregates: written once, read as often as needed."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in more.items()])
+    return landed(df.sparkSession, counts, "value-counts")
+
+
+def exact_percentiles(counts: DataFrame, keys: Sequence[str], value: str,
                       probs: Mapping[str, float], block_size: int = 1024) -> DataFrame:
     """Exact discrete percentiles of an integer column per key, without collecting a key.
 
-    Counts per (key, value) are combined map-side first; the running count then goes over
-    distinct values, in blocks of the value range.
+    ``counts`` is a :func:`value_counts`; the running count goes over distinct values, in
+    blocks of the value range. Missing values do not count.
     """
     keys = list(keys)
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
-              .agg(F.count(F.lit(1)).alias("_n")))
+    counts = counts.where(F.col(value).isNotNull()).select(*keys, value, "_n")
     ranked = blocked_scan(counts, keys, line_block(F.col(value), block_size), [value],
                           sums={"_cum": F.col("_n")})
     sized = solid_join(ranked, counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), keys)
@@ -160,13 +136,13 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left",
-                max_broadcast_rows: int = 50_000) -> DataFrame:
+                max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join facts to a lookup table with one row per key.
 
-    The lookup is broadcast only after counting that it has at most ``max_broadcast_rows``
-    rows (the count itself stops there). Beyond that it is a shuffle join whose skewed
-    fact partitions AQE splits; the lookup side has one row per key, so no key is copied
+    The lookup is broadcast only if its values, written as JSON, are at most
+    ``max_broadcast_bytes``; a row may be of any size. Beyond that it is a shuffle join whose
+    skewed fact partitions AQE splits; the lookup side has one row per key, so no key is copied
     more than once per split.
     """
-    small = dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    return facts.join(F.broadcast(dim) if small else dim.hint("merge"), list(keys), how)
+    size = dim.agg(F.sum(F.octet_length(F.to_json(F.struct(*dim.columns))))).first()[0] or 0
+    return facts.join(F.broadcast(dim) if size <= max_broadcast_bytes else dim.hint("merge"), list(keys), how)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from turnwise.operators.scan import HOT_ROWS, SECONDS_PER_BLOCK, cut_hot_keys, time_block
+from turnwise.operators.scan import SECONDS_PER_BLOCK, time_block
 
 ANONYMOUS = "anonymous"
 
@@ -15,6 +15,13 @@ def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
 
 
+def known_keys(keys: Sequence[str]) -> dict[str, Column]:
+    """The keys as sessions name them: text, the last one (the user) ``anonymous`` where missing."""
+    user = keys[-1]
+    return {**{k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys[:-1]},
+            user: F.coalesce(F.nullif(F.col(user).cast("string"), F.lit("")), F.lit(ANONYMOUS))}
+
+
 def session_id(keys: Sequence[Column], start: Column) -> Column:
     """``{namespace}-{user}-{yyyyMMdd-HHmmss-ffffff}`` of the first event."""
     parts = [k.cast("string") for k in keys]
@@ -30,29 +37,23 @@ def sessionize(
     force_new: Column | None = None,
     close: Column | None = None,
     block_seconds: int = SECONDS_PER_BLOCK,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``session_start``, ``session_no`` and ``session_id`` to every event.
 
     A session starts at a key's first event, after a gap of ``timeout`` seconds or more,
     on ``force_new``, and after a ``close`` event. A missing last key (the user) counts as
-    ``anonymous``. Keys with more than ``hot_rows`` events are cut into blocks of time (see
-    :mod:`turnwise.operators.scan`), so a user with a third of all events is spread over as
-    many tasks as it has blocks; without such keys it is one shuffle and one window.
+    ``anonymous``. Keys are cut into blocks of time (see :mod:`turnwise.operators.scan`), so a
+    user with a third of all events is spread over as many tasks as it has blocks.
     """
     keys = list(keys)
     kept = events.columns
     micros = int(round(timeout * 1_000_000))
-    user = keys[-1]
     rows = events.withColumns({
-        **{k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys[:-1]},
-        user: F.coalesce(F.nullif(F.col(user).cast("string"), F.lit("")), F.lit(ANONYMOUS)),
+        **known_keys(keys), "_block": F.coalesce(time_block(F.col(ts), block_seconds), F.lit(-(2**63))),
         "_force": F.coalesce(F.lit(False) if force_new is None else force_new, F.lit(False)),
         "_close": F.coalesce(F.lit(False) if close is None else close, F.lit(False)),
     })
 
-    rows, cut = cut_hot_keys(rows, keys, time_block(F.col(ts), block_seconds), hot_rows)
-
     def opens(before_ts: Column, before_close: Column, at: Column, forced: Column) -> Column:
         return forced | before_close | (F.timestamp_diff("MICROSECOND", before_ts, at) >= micros)
 
@@ -62,17 +63,12 @@ def sessionize(
         "_at": F.row_number().over(inside),
         "_opens": opens(F.lag(ts).over(inside), F.lag("_close").over(inside), F.col(ts), F.col("_force")),
     })
-    # Of a whole key the first event opens a session; of a block that is not known yet.
-    rows = rows.withColumn("_opens", ((F.col("_at") > 1) & F.col("_opens")) if cut
-                           else ((F.col("_at") == 1) | F.col("_opens")))
+    # Whether a block's first event opens a session is not known yet.
+    rows = rows.withColumn("_opens", (F.col("_at") > 1) & F.col("_opens"))
     rows = rows.withColumns({
         "_local_start": F.max(F.when(F.col("_opens"), F.col(ts))).over(upto),
         "_local_no": F.sum(F.col("_opens").cast("bigint")).over(upto),
     })
-    if not cut:
-        return rows.select(
-            *kept, F.col("_local_start").alias("session_start"), F.col("_local_no").alias("session_no"),
-            session_id([F.col(k) for k in keys], F.col("_local_start")).alias("session_id"))
 
     # One summary row per (key, block): its first and last event and its inner starts.
     edge = F.struct(F.col(ts), F.col(tie))
@@ -159,24 +155,27 @@ def attach_session(events: DataFrame, sessions: DataFrame,
     An interval join made an equi-join: a session is listed under each time bucket it
     touches, an event looks in its own bucket only, and the range is checked there. The
     bucket is part of the join key, so a hot user is spread over its buckets. Sessions of
-    one user do not overlap, so an event meets at most one. A session is open from its
+    one user do not overlap, so an event meets at most one. Missing users are named as in
+    :func:`sessionize`, on both sides. A session is open from its
     first event up to, not including, ``timeout`` seconds after its last; with
     ``timeout=0`` up to and including its last event.
     """
     micros = int(round(timeout * 1_000_000))
     width = bucket_seconds * 1_000_000
     end = F.unix_micros(F.col("last_activity").cast("timestamp")) + F.lit(micros)
+    names = [f"_k{i}" for i in range(len(keys))]
     spans = sessions.select(
-        *keys, "session_id",
+        *[c.alias(n) for n, c in zip(names, known_keys(keys).values())], "session_id",
         F.unix_micros(F.col("created_at").cast("timestamp")).alias("_from"), end.alias("_to"),
     ).withColumn("_bucket", F.explode(F.sequence(
         F.floor(F.col("_from") / F.lit(width)), F.floor(F.col("_to") / F.lit(width)))))
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    probe = events.withColumns({"_at": at, "_bucket": F.floor(at / F.lit(width))})
+    probe = events.withColumns({"_at": at, "_bucket": F.floor(at / F.lit(width)),
+                                **dict(zip(names, known_keys(keys).values()))})
     e, s = probe.alias("e"), spans.alias("s")
     upper = F.col("e._at") < F.col("s._to") if micros else F.col("e._at") <= F.col("s._to")
     cond = (F.col("e._bucket") == F.col("s._bucket")) & (F.col("e._at") >= F.col("s._from")) & upper
-    for k in keys:
+    for k in names:
         cond = (F.col(f"e.{k}") == F.col(f"s.{k}")) & cond
     return e.join(s, cond, "left").select(
         *[F.col(f"e.{c}") for c in events.columns], F.col("s.session_id").alias("session_id"))

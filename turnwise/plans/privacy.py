@@ -95,9 +95,9 @@ def a5(spark, sf):
         F.col("text"), [*_NO_PHONE, "Credit_Card", "EMAIL"])).alias("redacted"))
 
 
-def _rules(spark, sf):
+def _raw_rules(spark, sf):
     """Tenant rules derived from the documents' namespaces: toggles and custom patterns differ per tenant."""
-    raw = docs(spark, sf).select("namespace").distinct().select(
+    return docs(spark, sf).select("namespace").distinct().select(
         F.col("namespace").alias("tenant"), (F.substring("namespace", 3, 2).cast("int") + 1).alias("version"),
         F.when(F.col("namespace") == "ns1", F.create_map(F.lit("email"), F.lit(False), F.lit("brazilian_phone"), F.lit(False)))
          .otherwise(F.create_map(F.lit("brazilian_phone"), F.lit(False))).alias("toggles"),
@@ -106,7 +106,10 @@ def _rules(spark, sf):
             "named_struct('name', 'bad', 'pattern', '[open', 'replacement', 'x'), "
             "named_struct('name', 'und', 'pattern', 'und', 'replacement', '$'))"))
          .otherwise(F.expr("cast(array() AS array<struct<name:string,pattern:string,replacement:string>>)")).alias("custom"))
-    return O.compile_rules(spark, raw)
+
+
+def _rules(spark, sf):
+    return O.compile_rules(spark, _raw_rules(spark, sf))
 
 
 def text_records(documents):
@@ -180,7 +183,16 @@ def a12_after(spark, sf):
     return O.pii_audit(O.redact_column(docs(spark, sf), "text"), "text")
 
 
-@query("a10_validate_rules", "SELECT 'ns' || (doc_id % 5) AS tenant, CAST(CASE WHEN doc_id % 5 = 2 THEN 2 ELSE 0 END AS BIGINT) AS usable_rules FROM documents GROUP BY ALL")
+@query("a10_validate_rules", "SELECT DISTINCT 'ns' || (doc_id % 5) AS tenant, CAST(1 AS INTEGER) AS rule, 'invalid_regex' AS problem FROM documents WHERE doc_id % 5 = 2")
 def a10(spark, sf):
-    """Rules that compile, per tenant; the broken one is left out."""
-    return _rules(spark, sf).select("tenant", F.size("custom").cast("bigint").alias("usable_rules"))
+    """What an upload of the tenants' rules would be refused for."""
+    return O.rule_problems(_raw_rules(spark, sf))
+
+
+@query("a10_usable_rules", """SELECT DISTINCT 'ns' || (doc_id % 5) AS tenant, CASE WHEN doc_id % 5 = 2 THEN 'the,und' END AS kept FROM documents""")
+def a10_usable(spark, sf):
+    """The custom rules that are applied, per tenant; the broken one is left out."""
+    listed = F.from_json("custom_json", "array<struct<pattern:string,replacement:string>>")
+    names = F.when(F.col("custom_json").isNotNull(), F.array_join(F.transform(
+        listed, lambda r: F.regexp_extract(r["pattern"], "(the|und)", 1)), ","))
+    return _rules(spark, sf).select("tenant", names.alias("kept"))

@@ -145,7 +145,7 @@ def t2(spark, sf):
 _T3 = f"""WITH {V.LINES}, flagged AS (SELECT *, role = 'user' AND conv_id % 2 = 1 AND line > 1 AS is_result
   FROM lines WHERE role IN ('user', 'assistant')), numbered AS (SELECT *, CAST(sum(CASE WHEN role = 'user' AND NOT is_result
   THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS BIGINT) AS turn_no FROM flagged),
-  parts AS (SELECT *, '{{"n":' || line || ',"q":' || to_json(substr(text, 1, 20)) || '}}' AS args,
+  parts AS (SELECT *, '{{"n":' || line || ',"q":' || to_json(text) || '}}' AS args,
     CASE WHEN is_result THEN 'tool:' || substr(text, 1, 500)
       WHEN role = 'assistant' AND conv_id % 3 = 0 THEN 'assistant:' || text || '|tool:Tool: ' || tool
       WHEN role = 'assistant' THEN 'assistant:' || text WHEN text <> '' THEN 'user:' || text END AS part FROM numbered)
@@ -174,7 +174,7 @@ def p3(spark, sf):
 
 
 @query("p4_extract_tool_calls", f"""WITH {V.LINES} SELECT session_id, line, tool AS name, 'call-' || conv_id || '-' || line AS id,
-  substr(text, 1, 20) AS q, line AS n FROM lines WHERE role = 'assistant' AND conv_id % 3 = 0""")
+  text AS q, line AS n FROM lines WHERE role = 'assistant' AND conv_id % 3 = 0""")
 def p4(spark, sf):
     calls = S.parse_claude_lines(V.claude_raw(spark, sf)).select(
         "session_id", "line", F.explode(C.extract_tool_calls(F.col("content"))).alias("c"))

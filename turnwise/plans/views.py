@@ -82,7 +82,7 @@ RECORDS = NUMBERED + """, records AS (SELECT session_id, turn_no, any_value(name
 
 _TEXT_BLOCK = "named_struct('type', 'text', 'text', text)"
 _USE_BLOCK = ("named_struct('type', 'tool_use', 'id', concat('call-', conv_id, '-', line), 'name', tool, "
-              "'input', named_struct('q', substr(text, 1, 20), 'n', line))")
+              "'input', named_struct('q', text, 'n', line))")
 
 
 def claude_raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnwise.operators.redact import RulesNotReady, compile_rules, redact_messages
-from turnwise.operators.sessions import session_id
+from turnwise.operators.sessions import known_keys, session_id
 from turnwise.session import scratch_path
 
 
@@ -21,7 +21,8 @@ def stream_sessions(stream: DataFrame, timeout: float = 120, keys: Sequence[str]
     session, so the gap is a microsecond short of the timeout.
     """
     micros = int(round(timeout * 1_000_000)) - 1
-    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
+    timed = (stream.withColumns({**known_keys(list(keys)), "_ts": F.col(ts).cast("timestamp")})
+             .withWatermark("_ts", delay))
     sessions = timed.groupBy(*keys, F.session_window("_ts", f"{micros} microseconds")).agg(
         F.min("_ts").alias("created_at"), F.max("_ts").alias("last_activity"), F.count(F.lit(1)).alias("events"))
     return sessions.select(*keys, session_id([F.col(k) for k in keys], F.col("created_at")).alias("session_id"),
@@ -79,6 +80,8 @@ def stream_incremental(spark: SparkSession, source: str, parse: Callable[[DataFr
 class RulesCache:
     """Rules re-read at most every ``ttl`` seconds; the last good ones serve when a read fails.
 
+    Rules that are too large to apply are an error, not a failed read: they are never ignored.
+
     Before the first good read nothing may pass: :class:`RulesNotReady` is raised.
     """
 
@@ -93,9 +96,9 @@ class RulesCache:
             return self._rules
         try:
             raw = self._load()
-            rules = compile_rules(raw.sparkSession, raw).cache()
-            rules.count()
-        except (PySparkException, OSError, ValueError) as exc:
+            # Read and compiled here, once; what is kept is a small local table.
+            rules = compile_rules(raw.sparkSession, raw)
+        except (PySparkException, OSError) as exc:
             if self._rules is None:
                 raise RulesNotReady("rules were never loaded") from exc
             return self._rules

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import StructType
 
+from turnwise.operators.sessions import known_keys, session_id
+
 _ROW = "at bigint, tie bigint, force boolean, close boolean"
 
 
@@ -95,10 +97,10 @@ class Deduper(InOrder):
         return (at, at, False), (duplicate,)
 
 
-def _timed(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, delay: str,
+def _timed(stream: DataFrame, keys: dict[str, Column], ts: str, tie: str, delay: str,
            force: Column | None, close: Column | None) -> DataFrame:
     return stream.select(
-        *[F.col(k).cast("string").alias(k) for k in keys],
+        *[c.alias(k) for k, c in keys.items()],
         F.col(ts).cast("timestamp").alias("_event_time"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("at"), F.col(tie).cast("bigint").alias("tie"),
         F.coalesce(F.lit(False) if force is None else force, F.lit(False)).alias("force"),
@@ -113,10 +115,9 @@ def stream_sessionize(stream: DataFrame, timeout: float = 120, keys: Sequence[st
 
     Needs the RocksDB state store (``turnwise.session.ROCKSDB``).
     """
-    from turnwise.operators.sessions import session_id
     keys = list(keys)
     out = StructType.fromDDL(", ".join([f"{k} string" for k in keys] + ["at bigint", "tie bigint", "start bigint"]))
-    timed = _timed(stream, keys, ts, tie, delay, force_new, close)
+    timed = _timed(stream, known_keys(keys), ts, tie, delay, force_new, close)
     rows = timed.groupBy(*keys).transformWithStateInPandas(
         Sessionizer(timeout, out.names), out, "Append", "EventTime")
     return rows.select(*keys, F.col("tie").alias(tie), F.timestamp_micros("at").alias(ts),
@@ -127,7 +128,7 @@ def stream_dedup(stream: DataFrame, key: str, seconds: float = 60, ts: str = "ts
                  delay: str = "10 minutes") -> DataFrame:
     """``is_duplicate`` for every row of a stream, as the batch 60-second rule decides it."""
     out = StructType.fromDDL(f"{key} string, at bigint, tie bigint, is_duplicate boolean")
-    timed = _timed(stream, [key], ts, tie, delay, None, None)
+    timed = _timed(stream, {key: F.col(key).cast("string")}, ts, tie, delay, None, None)
     rows = timed.groupBy(key).transformWithStateInPandas(Deduper(seconds, out.names), out, "Append", "EventTime")
     return rows.select(key, F.col("tie").alias(tie), F.timestamp_micros("at").alias(ts), "is_duplicate")
 
