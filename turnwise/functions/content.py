@@ -138,4 +138,5 @@ def to_variant_messages(messages: Column) -> Column:
         m["sender"].alias("sender"), F.try_parse_json(m["tool_calls"]).alias("tool_calls"),
         m["tool_call_id"].alias("tool_call_id"), m["tool_name"].alias("tool_name"),
         m["is_internal_tool"].alias("is_internal_tool"),
-        m["internal_tool_type"].alias("internal_tool_type")))
+        m["internal_tool_type"].alias("internal_tool_type"), F.lit(None).cast("string").alias("refusal"),
+        *[F.lit(None).cast("variant").alias(n) for n in ("annotations", "audio", "function_call")]))

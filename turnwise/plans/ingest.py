@@ -22,7 +22,8 @@ def _json_records(spark, sf):
         """concat('{"namespace":"', namespace, '"', CASE WHEN conv_id % 11 <> 0 THEN concat(',"agent":"', agent, '"') ELSE '' END,
           ',"session_id":"', session_id, '","msg":',
           CASE WHEN line % 7 = 6 THEN '[{"content":"no role"}]'
-            WHEN line % 2 = 0 THEN to_json(named_struct('role', role, 'content', text, 'sender', 'x'))
+            WHEN line % 2 = 0 THEN to_json(named_struct('role', role, 'content', text, 'sender', 'x', 'refusal', agent,
+              'annotations', array(line), 'audio', named_struct('id', conv_id), 'function_call', named_struct('name', tool)))
             ELSE to_json(array(named_struct('role', role, 'content', text), named_struct('role', 'tool', 'content', 'done'))) END,
           ',"input_tokens":', CASE WHEN conv_id % 13 = 5 THEN '"many"' ELSE CAST(line AS STRING) END,
           ',"output_tokens":', length(text), ',"unknown_field":1,"model":"', model, '"}') AS value""")
@@ -37,12 +38,18 @@ def stored(spark, sf):
 
 
 @query("s1_read_records", f"""WITH {V.LINES} SELECT namespace, agent, session_id, CAST(CASE WHEN line % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS messages,
-  line AS input_tokens, CAST(length(text) AS BIGINT) AS output_tokens, CAST(line + length(text) AS BIGINT) AS total_tokens, md5(text) AS text_md5, model
+  line AS input_tokens, CAST(length(text) AS BIGINT) AS output_tokens, CAST(line + length(text) AS BIGINT) AS total_tokens, md5(text) AS text_md5, model,
+  CASE WHEN line % 2 = 0 THEN agent END AS refusal, CASE WHEN line % 2 = 0 THEN line END AS annotation,
+  CASE WHEN line % 2 = 0 THEN conv_id END AS audio_id, CASE WHEN line % 2 = 0 THEN tool END AS function_name
   FROM lines WHERE {_VALID}""")
 def s1(spark, sf):
+    first = F.col("msg")[0]
     return stored(spark, sf).select(
         "namespace", "agent", "session_id", F.size("msg").cast("bigint").alias("messages"), "input_tokens", "output_tokens",
-        "total_tokens", F.md5(C.extract_text(F.col("msg")[0]["content"])).alias("text_md5"), "model")
+        "total_tokens", F.md5(C.extract_text(first["content"])).alias("text_md5"), "model", first["refusal"].alias("refusal"),
+        F.try_variant_get(first["annotations"], "$[0]", "bigint").alias("annotation"),
+        F.try_variant_get(first["audio"], "$.id", "bigint").alias("audio_id"),
+        F.try_variant_get(first["function_call"], "$.name", "string").alias("function_name"))
 
 
 @query("s3_validate_records", f"""WITH {V.LINES}, bad AS (SELECT 'missing_agent' AS reason FROM lines WHERE conv_id % 11 = 0
@@ -100,7 +107,7 @@ def _batch(spark, sf):
         "type": F.expr("CASE WHEN event_id % 17 = 0 THEN 'metric' ELSE type END"),
         "from_agent": F.expr("CASE WHEN event_id % 5 <> 0 THEN from_agent END"),
         "tool_name": F.expr("CASE WHEN event_id % 7 <> 0 THEN tool_name ELSE '' END"),
-        "message": F.col("props")})
+        "message": F.col("props"), "input_tokens": F.col("event_id") % 40, "output_tokens": F.col("event_id") % 9})
 
 
 _BATCH = V.TRACES + """, checked AS (SELECT event_id // 100 AS batch_id, event_id % 100 AS "index", event_id,
@@ -112,9 +119,12 @@ _BATCH = V.TRACES + """, checked AS (SELECT event_id // 100 AS batch_id, event_i
 
 
 @query("s10_trace_batch", f"""WITH {_BATCH} SELECT batch_id, "index", type, CASE WHEN error_code IS NULL THEN 'ok' ELSE 'error' END AS status,
-  error_code, error_message FROM checked""")
+  error_code, error_message, CASE WHEN error_code IS NULL THEN CASE type WHEN 'llm' THEN 'llm_call' WHEN 'tool' THEN 'tool_call' ELSE type END END AS trace_type,
+  CASE WHEN error_code IS NULL AND type = 'llm' THEN event_id % 40 END AS result_input_tokens,
+  CASE WHEN error_code IS NULL AND type = 'llm' THEN event_id % 9 END AS result_output_tokens FROM checked""")
 def s10(spark, sf):
-    return E.check_events(_batch(spark, sf)).select("batch_id", "index", "type", "status", "error_code", "error_message")
+    return E.check_events(_batch(spark, sf)).select(
+        "batch_id", "index", "type", "status", "error_code", "error_message", "trace_type", "result_input_tokens", "result_output_tokens")
 
 
 @query("s10_trace_batch_summary", f"""WITH {_BATCH} SELECT batch_id, count(*) AS total, count(*) FILTER (error_code IS NULL) AS succeeded,

@@ -118,7 +118,8 @@ def text_records(documents):
         F.lit("user").alias("role"), F.col("text").cast("variant").alias("content"), F.lit(None).cast("string").alias("sender"),
         F.lit(None).cast("variant").alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id"),
         F.lit(None).cast("string").alias("tool_name"), F.lit(False).alias("is_internal_tool"),
-        F.lit(None).cast("string").alias("internal_tool_type"))).cast(MSG_DDL)
+        F.lit(None).cast("string").alias("internal_tool_type"), F.lit(None).cast("string").alias("refusal"),
+        *[F.lit(None).cast("variant").alias(n) for n in ("annotations", "audio", "function_call")])).cast(MSG_DDL)
     return documents.withColumn("msg", msg)
 
 

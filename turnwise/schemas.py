@@ -5,7 +5,8 @@ from __future__ import annotations
 # Message as stored: polymorphic parts are VARIANT, filter keys are plain columns.
 MSG_DDL = (
     "array<struct<role:string,content:variant,sender:string,tool_calls:variant,"
-    "tool_call_id:string,tool_name:string,is_internal_tool:boolean,internal_tool_type:string>>"
+    "tool_call_id:string,tool_name:string,is_internal_tool:boolean,internal_tool_type:string,"
+    "refusal:string,annotations:variant,audio:variant,function_call:variant>>"
 )
 TRANSFERS_DDL = "array<struct<from_agent:string,to_agent:string,reason:string,timestamp:string>>"
 

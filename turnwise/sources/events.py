@@ -20,7 +20,8 @@ def _empty(name: str) -> Column:
 
 
 def check_events(events: DataFrame) -> DataFrame:
-    """Add ``status`` (``ok`` or ``error``), ``error_code`` and ``error_message``.
+    """Add each item's result: ``status`` (``ok`` or ``error``), ``error_code``, ``error_message``,
+    and for accepted items ``trace_type`` and, of LLM calls, the token counts they came with.
 
     Columns an event type does not use may be absent from the frame.
     """
@@ -37,7 +38,14 @@ def check_events(events: DataFrame) -> DataFrame:
             first = F.when(_empty(field), F.lit(field)).otherwise(first)
         missing = F.when(kind == event_type, first).otherwise(missing)
     unknown = ~F.coalesce(kind.isin(*REQUIRED), F.lit(False))
+    for name in ("input_tokens", "output_tokens"):
+        if name not in events.columns:
+            events = events.withColumn(name, F.lit(None).cast("bigint"))
+    accepted = ~unknown & F.col("_missing").isNull()
+    names = F.create_map(*[F.lit(x) for pair in TRACE_TYPES.items() for x in pair])
     return (events.withColumn("_missing", missing).withColumns({
+        "trace_type": F.when(accepted, names[kind]),
+        **{f"result_{n}": F.when(accepted & (kind == "llm"), F.col(n)) for n in ("input_tokens", "output_tokens")},
         "status": F.when(unknown | F.col("_missing").isNotNull(), F.lit("error")).otherwise(F.lit("ok")),
         "error_code": F.when(kind.isNull() | F.col("_missing").isNotNull(), F.lit("missing_field"))
                        .when(unknown, F.lit("invalid_type")),

@@ -149,7 +149,9 @@ def stored_message(m: Column) -> Column:
         C.get_text(m, "$.sender").alias("sender"), sub("$.tool_calls").alias("tool_calls"),
         C.get_text(m, "$.tool_call_id").alias("tool_call_id"), C.get_text(m, "$.tool_name").alias("tool_name"),
         F.coalesce(F.try_variant_get(m, "$.is_internal_tool", "boolean"), F.lit(False)).alias("is_internal_tool"),
-        C.get_text(m, "$.internal_tool_type").alias("internal_tool_type"))
+        C.get_text(m, "$.internal_tool_type").alias("internal_tool_type"),
+        C.get_text(m, "$.refusal").alias("refusal"), sub("$.annotations").alias("annotations"),
+        sub("$.audio").alias("audio"), sub("$.function_call").alias("function_call"))
 
 
 def parse_records(raw: DataFrame) -> DataFrame:
