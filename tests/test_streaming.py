@@ -33,7 +33,7 @@ def stream(spark, path, ddl):
 def _batches(seed, n=240):
     """Events in three batches; within and across batches they are out of order by up to 5 minutes."""
     rnd = random.Random(seed)
-    rows = [(i, "n", rnd.choice(["hot", "hot", "a", "b"]), T0 + dt.timedelta(seconds=rnd.randrange(1, 6000)),
+    rows = [(i, "n", rnd.choice(["hot", "hot", "a", "b", None, ""]), T0 + dt.timedelta(seconds=rnd.randrange(1, 6000)),
              rnd.random() < 0.05, rnd.random() < 0.05) for i in range(n)]
     rows.sort(key=lambda r: r[3] + dt.timedelta(seconds=rnd.randrange(300)))
     third = n // 3

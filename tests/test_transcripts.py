@@ -184,3 +184,30 @@ def test_records_and_wire(spark, tmp_path):
     msgs = json.loads(wire.select(F.to_json("msg").alias("j")).first().j)
     assert msgs[0] == {"role": "user", "content": "hi"}
     assert set(msgs[1]) == {"role", "content", "tool_calls"} and msgs[2]["tool_name"] == "Read"
+
+
+@pytest.mark.parametrize("dialect", ["claude", "openclaw", "cline"])
+def test_turns_over_block_edges(spark, monkeypatch, dialect):
+    """Turns put together from pieces of many small blocks equal those of one block."""
+    from turnwise.operators.scan import line_block
+    roles = ["assistant", "user", "assistant", "assistant", "assistant", "assistant", "user", "user", "assistant"] * 4
+    rows = [(s, i, r, f"text {s} {i}", "a", f"m-{i % 3}") for s in ("x", "y", None) for i, r in enumerate(roles[: 36 if s else 5])]
+    lines = spark.createDataFrame(rows, "session_id string, line bigint, role string, text string, agent string, model string").select(
+        "session_id", "line", "role", F.col("text").cast("variant").alias("content"), "agent", "model")
+
+    def result():
+        out = T.group_turns(lines, dialect)
+        return sorted(map(repr, out.withColumn("msg", F.to_json("msg")).collect()))
+
+    whole = result()
+    for size in (1, 3, 5):
+        monkeypatch.setattr(T, "line_block", lambda c, size=size: line_block(c, size))
+        assert result() == whole
+
+
+def test_bodies_are_shuffled_once(spark):
+    """One exchange carries whole lines; the one behind it only pieces at block edges."""
+    lines = spark.createDataFrame([("x", 1, "user", "t", "a")], "session_id string, line bigint, role string, text string, agent string")
+    out = T.group_turns(lines.select("session_id", "line", "role", F.col("text").cast("variant").alias("content"), "agent"), "openclaw")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(session_id") == 1

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from turnwise.functions import content as C, tokens as T
-from turnwise.operators.scan import blocked_scan, line_block
+from turnwise.operators.scan import blocked_scan, line_block, solid_join
+from turnwise.session import landed
 
 TRANSFER_TOOL = "transfer_to_agent"
 TOOL_RESULT_PREVIEW = 200
@@ -114,10 +115,11 @@ def fold_agent_events(events: DataFrame, keys: Sequence[str] = ("session_id",),
     else:
         rows = scanned.where(F.col("run_no") > 0)
 
-    # Only finished runs become records; an unfinished one is dropped before anything of it
-    # is collected. The grouping below keeps this window's partitioning.
-    finished = F.max(ev == "agent_end").over(Window.partitionBy(*keys, "run_no"))
-    rows = rows.withColumn("_finished", finished).where("_finished").drop("_finished")
+    # Only finished runs become records. They are found by their end events, so the rows of an
+    # unfinished run, however many, never come together.
+    rows = landed(events.sparkSession, rows, "agent-events")
+    finished = rows.where(ev == "agent_end").select(*keys, "run_no").distinct()
+    rows = solid_join(rows, finished, [*keys, "run_no"], "left_semi")
 
     transfer = handoff_message(F.col("agent"), F.col("to_agent"),
                                F.lit(None).cast("string") if openai else F.col("reason"), F.col("ts").cast("string"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from turnwise.operators.scan import SECONDS_PER_BLOCK, blocked_scan, line_block
+from turnwise.session import landed
 
 MAX_LIMIT = 1000
 
@@ -59,14 +59,20 @@ def query_logs(df: DataFrame, namespace: str, level=None, resource_id=None, star
 def paginate(df: DataFrame, page_size: int, ts: str = "inserted_at", tie: str = "id") -> DataFrame:
     """Add ``row_no`` (newest first, from 0) and ``page`` to every row.
 
-    Rows are numbered within blocks of time and the blocks' counts are added up, so no task
-    sorts the whole table.
+    Rows are dealt into ranges of (time, id), sorted and numbered inside their range, and the
+    ranges' counts, one number each, are added up. No task sorts the whole table, and rows of
+    the same time, or without one (these come last), are split by id.
     """
-    newest_first = -F.unix_micros(F.col(ts).cast("timestamp"))
-    keyed = df.withColumns({"_all": F.lit(0), "_back": newest_first})
-    numbered = blocked_scan(keyed, ["_all"], line_block(F.col("_back"), SECONDS_PER_BLOCK * 1_000_000), ["_back", tie], sums={"row_no": F.lit(1)})
-    return numbered.withColumn("row_no", F.col("row_no") - 1).withColumn(
-        "page", F.floor(F.col("row_no") / F.lit(page_size)).cast("bigint")).drop("_all", "_back")
+    order = [F.col(ts).desc(), F.col(tie)]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = landed(df.sparkSession, ranged.withColumn("_at", F.monotonically_increasing_id()), "pages")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # As many rows as ranges, which the number of shuffle partitions bounds.
+    offsets = F.broadcast(counts.select("_part", before.alias("_before")))
+    numbered = rows.withColumn("_part", part).join(offsets, "_part").withColumn("row_no", F.col("_before") + place)
+    return numbered.select(*df.columns, "row_no", F.floor(F.col("row_no") / F.lit(page_size)).cast("bigint").alias("page"))
 
 
 def next_page(df: DataFrame, page_size: int, after: tuple | None = None, ts: str = "inserted_at",

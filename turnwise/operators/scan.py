@@ -60,6 +60,7 @@ def blocked_scan(
     order: Sequence[str],
     sums: Mapping[str, Column] | None = None,
     prev: Mapping[str, str] | None = None,
+    pieces_of: str | None = None,
 ) -> DataFrame:
     """Add inclusive running sums and previous-row values per key.
 
@@ -67,6 +68,10 @@ def blocked_scan(
     including this one; ``prev`` maps an output name to the column whose value is taken from
     the row before. ``order`` must be a total order within the key, and ``block`` must rise
     with its first column. The input columns and all rows are kept.
+
+    Rows come out partitioned by block and key. For grouping them by key and the running sum
+    ``pieces_of`` without another shuffle, the columns ``_block`` and ``_k0, _k1, ...`` are kept
+    then, and ``_edge`` tells the rows whose group may go on in a neighbouring block.
     """
     sums, prev = dict(sums or {}), dict(prev or {})
     kept = df.columns
@@ -96,12 +101,19 @@ def blocked_scan(
     carried = [F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_c_{n}") for n in sums]
     carried += [F.lag(f"_e_{n}").over(by_key).alias(f"_b_{n}") for n in leading]
     carried += [F.lag("_last").over(by_key)[n].alias(f"_b_{n}") for n in others]
+    if pieces_of:
+        carried += [F.lag("_block").over(by_key).isNull().alias("_is_first"), F.lead("_block").over(by_key).isNull().alias("_is_last"),
+                    F.col(f"_t_{pieces_of}").alias("_in_block")]
     carry = summary.select(*by, "_block", *carried)
 
     joined = rows.withColumns(local).join(carry, ["_block", *by])
     out = [F.col(c) for c in kept]
     out += [(F.col(f"_l_{n}") + F.col(f"_c_{n}")).alias(n) for n in sums]
     out += [F.when(F.col("_at") > 1, F.col(f"_q_{n}")).otherwise(F.col(f"_b_{n}")).alias(n) for n in prev]
+    if pieces_of:
+        local_sum = F.col(f"_l_{pieces_of}")
+        edge = (~F.col("_is_first") & (local_sum == 0)) | (~F.col("_is_last") & (local_sum == F.col("_in_block")))
+        out += [edge.alias("_edge"), F.col("_block"), *[F.col(k) for k in by]]
     return joined.select(*out)
 
 

@@ -4,14 +4,16 @@ Every function takes *lines*: ``session_id``, ``line`` (an integer unique and in
 within the session), ``role`` and ``content`` (VARIANT), and optional columns named below;
 ``namespace``, ``agent`` and other per-session columns ride along as ``keys``.
 
-Turn numbers are computed on narrow columns with :func:`blocked_scan`, so one session may
-be any share of the table. Lines are then grouped by (session, turn): the unit collected
-into one row is a turn, which is what a record is.
+Message bodies are shuffled once. :func:`blocked_scan` numbers the turns and leaves the lines
+partitioned by (session, block), so one session may be any share of the table; turns are
+collected there, without another shuffle. Only a turn that reaches over the edge of a block is
+put together from its pieces afterwards, at most two a block. The unit collected into one row
+is a turn, which is what a record is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,25 +23,37 @@ from turnwise.operators.scan import blocked_scan, line_block
 RESULT_PREVIEW = 500
 
 
-def number_turns(lines: DataFrame, opens: Column, keys: Sequence[str] = ("session_id",)) -> DataFrame:
-    """Add ``turn_no``: how many opening lines the session has had so far."""
+def number_turns(lines: DataFrame, opens: Column, keys: Sequence[str] = ("session_id",), pieces: bool = False) -> DataFrame:
+    """Add ``turn_no``: how many opening lines the session has had so far; ``pieces`` for :func:`_collected`."""
     return blocked_scan(lines, keys, line_block(F.col("line")), ["line"],
-                        sums={"turn_no": opens.cast("bigint")})
+                        sums={"turn_no": opens.cast("bigint")}, pieces_of="turn_no" if pieces else None)
 
 
 def _has_block(content: Column, *types: str) -> Column:
     return F.coalesce(F.exists(C.as_array(content), lambda b: C.block_type(b).isin(*types)), F.lit(False))
 
 
-def _in_order(keep: Column) -> Column:
-    """The kept lines' messages of a group, flattened in line order."""
-    parts = F.collect_list(F.when(keep, F.struct(F.col("line"), F.col("_messages").alias("m"))))
-    return F.flatten(F.transform(F.array_sort(parts), lambda p: p["m"]))
-
-
-def _latest(value: Column, when: Column) -> Column:
-    """The value of the last line for which ``when`` holds."""
-    return F.max_by(F.when(when, value), F.when(when, F.col("line")))
+def _collected(lines: DataFrame, keys: list[str], keep: Column, sums: Mapping[str, Column],
+               latest: Mapping[str, tuple[Column, Column]] | None = None) -> DataFrame:
+    """One row per turn: ``msg`` (messages of the kept lines in line order), sums, and for each
+    of ``latest`` the value of the last line for which its condition holds.
+    """
+    latest = dict(latest or {})
+    solid = [c for c in lines.columns if c.startswith("_k") and c[2:].isdigit()]
+    pieces = lines.groupBy("_block", *solid, *keys, "turn_no").agg(
+        F.collect_list(F.when(keep, F.struct(F.col("line"), F.col("_messages").alias("m")))).alias("_parts"),
+        *[F.sum(value).alias(name) for name, value in sums.items()],
+        *[F.max_by(F.when(when, F.struct(F.col("line"), value.alias("value"))), F.when(when, F.col("line"))).alias(name)
+          for name, (value, when) in latest.items()],
+        F.bool_or("_edge").alias("_edge"))
+    names = [*sums, *latest]
+    whole = pieces.where("not _edge").select(*keys, "turn_no", "_parts", *names)
+    joined = pieces.where("_edge").groupBy(*keys, "turn_no").agg(
+        F.flatten(F.collect_list("_parts")).alias("_parts"), *[F.sum(name).alias(name) for name in sums],
+        *[F.max_by(name, F.col(name)["line"]).alias(name) for name in latest])
+    msg = F.flatten(F.transform(F.array_sort("_parts"), lambda p: p["m"])).alias("msg")
+    return whole.unionByName(joined).select(
+        *keys, "turn_no", msg, *sums, *[F.col(name)["value"].alias(name) for name in latest])
 
 
 def group_turns(lines: DataFrame, dialect: str = "claude", keys: Sequence[str] = ("session_id",),
@@ -78,7 +92,7 @@ def _claude_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
     sender = F.coalesce(F.nullif(F.col("_model"), F.lit("")), agent)
     rows = (lines.where(F.col("role").isin("user", "assistant"))
             .withColumns({"_opens": opens, "_model": model, "_usage": T.map_anthropic_usage(usage)}))
-    numbered = number_turns(rows, F.col("_opens"), keys).where(F.col("turn_no") > 0)
+    numbered = number_turns(rows, F.col("_opens"), keys, pieces=True).where(F.col("turn_no") > 0)
     shaped = numbered.withColumns({
         "_kept": is_reply & _has_block(content, "text", "tool_use"),
         "_counted": is_reply & (F.col("_usage")["output_tokens"] > 0),
@@ -87,12 +101,10 @@ def _claude_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
     }).withColumn("_messages", F.when(is_user, F.array(
         C.message(F.lit("user"), F.col("_text"), F.lit("user")))).when(
         F.col("_kept"), C.assistant_messages(F.col("_text"), F.col("_calls"), sender, agent)))
-    turns = shaped.groupBy(*keys, "turn_no").agg(
-        _in_order(is_user | F.col("_kept")).alias("msg"),
-        F.count_if(F.col("_kept")).alias("_replies"),
-        _latest(F.col("_usage"), F.col("_counted")).alias("_usage"),
-        F.nullif(_latest(F.coalesce(F.col("_model"), F.lit("")), F.col("_kept")), F.lit("")).alias("model"),
-    ).where(F.col("_replies") > 0)
+    turns = _collected(
+        shaped, keys, is_user | F.col("_kept"), {"_replies": F.col("_kept").cast("bigint")},
+        {"_usage": (F.col("_usage"), F.col("_counted")), "model": (F.coalesce(F.col("_model"), F.lit("")), F.col("_kept"))},
+    ).where(F.col("_replies") > 0).withColumn("model", F.nullif("model", F.lit("")))
     tokens = {n: F.coalesce(F.col("_usage")[n], F.lit(0).cast("bigint")) for n in T.TOKEN_FIELDS}
     return _finish(turns.withColumns(tokens), keys, "claude-code")
 
@@ -102,17 +114,18 @@ def _openclaw_lines(lines: DataFrame, keys: list[str], agent: Column, merge: boo
     is_user, is_reply = F.col("role") == "user", F.col("role") == "assistant"
     sender = F.col("sender") if "sender" in lines.columns else agent
     rows = lines.where(F.col("role").isin("user", "assistant"))
-    numbered = number_turns(rows, is_user, keys).where(F.col("turn_no") > 0)
+    numbered = number_turns(rows, is_user, keys, pieces=True).where(F.col("turn_no") > 0)
     shaped = numbered.withColumns({
         "_text": C.extract_text(content), "_calls": C.extract_tool_calls(content),
     }).withColumn("_kept", is_reply & ((F.col("_text") != "") | (F.size("_calls") > 0))).withColumn(
         "_messages", F.when(is_user, F.array(C.message(F.lit("user"), F.col("_text"), F.lit("user")))).when(
             F.col("_kept"), C.assistant_messages(F.col("_text"), F.col("_calls"), sender, agent)))
-    turns = shaped.groupBy(*keys, "turn_no").agg(
-        _in_order(is_user | F.col("_kept")).alias("msg"), F.count_if(F.col("_kept")).alias("_replies"),
-        *[F.sum(F.when(is_user | F.col("_kept"), _role_tokens(F.col("_messages"), role))).alias(name)
-          for name, role in (("input_tokens", "user"), ("output_tokens", "assistant"), ("process_tokens", "tool"))],
-    ).where(F.col("_replies") > 0)
+    said = is_user | F.col("_kept")
+    turns = _collected(shaped, keys, said, {
+        "_replies": F.col("_kept").cast("bigint"),
+        **{name: F.when(said, _role_tokens(F.col("_messages"), role))
+           for name, role in (("input_tokens", "user"), ("output_tokens", "assistant"), ("process_tokens", "tool"))},
+    }).where(F.col("_replies") > 0)
     return _finish(turns, keys, "openclaw")
 
 
@@ -127,7 +140,7 @@ def _cline_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
     is_user, is_reply = F.col("role") == "user", F.col("role") == "assistant"
     rows = (lines.where(F.col("role").isin("user", "assistant"))
             .withColumn("_result", is_user & _has_block(content, "tool_result")))
-    numbered = number_turns(rows, is_user & ~F.col("_result"), keys)
+    numbered = number_turns(rows, is_user & ~F.col("_result"), keys, pieces=True)
 
     def result_text(block: Column) -> Column:
         inner = F.try_variant_get(block, "$.content", "variant")
@@ -156,12 +169,11 @@ def _cline_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
     zero = F.lit(0).cast("bigint")
     process = F.coalesce(F.aggregate("_results", zero, lambda a, r: a + T.tokens_chars4(r["text"])), zero) + F.when(
         is_reply, F.aggregate("_calls", zero, lambda a, c: a + T.tokens_chars4(c["arguments"]))).otherwise(zero)
-    turns = shaped.groupBy(*keys, "turn_no").agg(
-        _in_order(F.size("_messages") > 0).alias("msg"),
-        F.sum(F.when(is_user & ~F.col("_result"), T.tokens_chars4(F.col("_text"))).otherwise(zero)).alias("input_tokens"),
-        F.sum(F.when(is_reply, T.tokens_chars4(F.col("_text"))).otherwise(zero)).alias("output_tokens"),
-        F.sum(process).alias("process_tokens"),
-    ).where(F.size("msg") > 0)
+    turns = _collected(shaped, keys, F.size("_messages") > 0, {
+        "input_tokens": F.when(is_user & ~F.col("_result"), T.tokens_chars4(F.col("_text"))).otherwise(zero),
+        "output_tokens": F.when(is_reply, T.tokens_chars4(F.col("_text"))).otherwise(zero),
+        "process_tokens": process,
+    }).where(F.size("msg") > 0)
     return _finish(turns, keys, "cline")
 
 

@@ -42,7 +42,7 @@ def _with_rocksdb(spark):
   {_ST('last_activity')} AS last_activity, events FROM sessions""")
 def r1(spark, sf):
     out = jobs.run_available(jobs.stream_sessions(_stream(spark, sf, "events", V.activity_of), 1800), "sessions")
-    return out.where("user_id <> ''").select("namespace", "user_id", "session_id", V.stamp("created_at"), V.stamp("last_activity"), "events")
+    return out.where("namespace <> ''").select("namespace", "user_id", "session_id", V.stamp("created_at"), V.stamp("last_activity"), "events")
 
 
 @query("r2_stream_sessionize", f"WITH {V.sessionized(1800, forced=True, closing=True)} SELECT event_id, session_id FROM sessionized")

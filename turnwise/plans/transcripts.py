@@ -315,7 +315,7 @@ def f5(spark, sf):
   'copilot-' || user_id || '-' || strftime(ts, '%Y-%m-%d') AS resource_id FROM events""")
 def f7(spark, sf):
     from turnwise.operators.sessions import session_id
-    return V.activity(spark, sf).select(
+    return V.table(spark, sf, "events").withColumn("namespace", F.concat(F.lit("ns"), F.col("user_id") % 5)).select(
         "event_id", session_id([F.col("namespace"), F.col("user_id")], F.col("ts")).alias("session_id"),
         F.concat_ws("-", F.lit("copilot"), "user_id", F.date_format("ts", "yyyy-MM-dd")).alias("resource_id"))
 

@@ -138,11 +138,11 @@ def activity(spark: SparkSession, sf: str) -> DataFrame:
 
 def activity_of(events: DataFrame) -> DataFrame:
     return events.selectExpr(
-        "event_id", "ts", "concat('ns', user_id % 5) AS namespace", "cast(user_id AS string) AS user_id",
+        "event_id", "ts", "concat('ns', user_id % 5) AS namespace", "CASE WHEN user_id % 50 <> 0 THEN cast(user_id AS string) END AS user_id",
         "event_type = 'signup' AS force_new", "event_type = 'error' AS is_close")
 
 
-ACTIVITY = """activity AS (SELECT event_id, ts, 'ns' || (user_id % 5) AS namespace, CAST(user_id AS VARCHAR) AS user_id,
+ACTIVITY = """activity AS (SELECT event_id, ts, 'ns' || (user_id % 5) AS namespace, CASE WHEN user_id % 50 <> 0 THEN CAST(user_id AS VARCHAR) ELSE 'anonymous' END AS user_id,
   event_type = 'signup' AS force_new, event_type = 'error' AS is_close FROM events)"""
 
 
