@@ -7,11 +7,13 @@ are ordered by size, and only sizes within the band that allows the similarity a
 A hashed parity bitmap per set, as wide as its size band asks, bounds the overlap from above
 by bit counts; what passes is checked by intersecting the sorted sets.
 
-Groups of thousands of copies would make pairs by the million, so tiles are worked twice.
+Groups of thousands of copies would make pairs by the million, so tiles are worked in rounds.
 First each set of a tile is paired with the tile's smallest fitting set only, and these pairs
-are checked. Tiles whose sets are then all connected are done. In the others, only pairs of
-sets in different components are compared. Every link between components is found, and the
-number of pairs that leave a tile stays near the number of sets.
+are checked. Tiles whose sets are then all connected are done. In the others, each set is
+paired with a few sets of other components, by a preference that all tiles share, and the links
+found join components. The last round takes all pairs of sets in different components that are
+left. Every link between components is found, and the number of pairs that leave a tile stays
+near the number of sets.
 
 How frequent a shingle is comes from a count sketch of fixed size over all documents. It only
 decides the order, which is the same for all sets, so its errors cost time, never a link.
@@ -37,6 +39,8 @@ SKETCH_BITS = 20
 SLICES = 64
 SEEN_KEYS = 1 << 20
 PAIRS_AT_ONCE = 1 << 18
+# Partners of a set in a tile, round by round; the last round has no limit and makes the result whole.
+ROUNDS = (2, 4, None)
 NARROWEST, WIDEST = 256, 1 << 16
 
 _MIX = np.random.default_rng(5).integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,7 +80,7 @@ def prefix_size(n: int) -> int:
 
 def width_of(n: int) -> int:
     """Bits of the bitmap of a set of this size."""
-    return min(max(NARROWEST, 1 << int(n - 1).bit_length()), WIDEST)
+    return min(max(NARROWEST, 1 << int(2 * n - 1).bit_length()), WIDEST)
 
 
 def signature(grams: np.ndarray) -> bytes:
@@ -230,40 +234,59 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["token", "n", "key", "leader", "leader_n"])
 
 
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _preferred(i: np.ndarray, j: np.ndarray, key: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` with the smallest partner, for either of their sets."""
+    own, other = np.concatenate([i, j]), np.concatenate([j, i])
+    order = np.lexsort((key[other], own))
+    first = np.flatnonzero(np.r_[True, own[order][1:] != own[order][:-1]])
+    rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+    chosen = np.zeros(len(own), dtype=bool)
+    chosen[order[rank < most]] = True
+    return chosen[: len(i)] | chosen[len(i):]
+
+
+def _cross(most: int | None):
     """Of (token, n, key, label, bits) sorted: pairs of a tile in different components that the bitmaps allow."""
-    done: set[tuple[int, int]] = set()
-    for token, n, key, label, bits in _runs(batches):
-        begins = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        # Past-the-end row of each row's band: same tile, and not too large for it.
-        tile_end = np.repeat(np.r_[begins[1:], len(token)], np.diff(np.r_[begins, len(token)]))
-        rank = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(token)]))
-        span = int(n.max()) + 1
-        end = np.minimum(np.searchsorted(rank * span + n, rank * span + np.minimum(OF * n // PART, span - 1), side="right"), tile_end)
-        counts = end - np.arange(len(token)) - 1
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        at = 0
-        while at < len(token):
-            stop = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, side="right")) - 1)
-            size = counts[at:stop]
-            i = np.repeat(np.arange(at, stop), size)
-            j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:stop] - upto[at], size)
-            apart = label[i] != label[j]
-            i, j = i[apart], j[apart]
-            at = stop
-            if not len(i):
-                continue
-            passed = may_link([bits[x] for x in i], [bits[x] for x in j], n[i], n[j])
-            pairs = []
-            for x, y in zip(i[passed], j[passed]):
-                pair = (int(key[x]), int(key[y]))
-                if pair not in done:
-                    if len(done) >= SEEN_KEYS:
-                        done.clear()
-                    done.add(pair)
-                    pairs.append(pair)
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                                             names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
+        for token, n, key, label, bits in _runs(batches):
+            begins = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            # Past-the-end row of each row's band: same tile, and not too large for it.
+            tile_end = np.repeat(np.r_[begins[1:], len(token)], np.diff(np.r_[begins, len(token)]))
+            rank = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(token)]))
+            span = int(n.max()) + 1
+            end = np.minimum(np.searchsorted(rank * span + n, rank * span + np.minimum(OF * n // PART, span - 1), side="right"), tile_end)
+            counts = end - np.arange(len(token)) - 1
+            upto = np.concatenate([[0], np.cumsum(counts)])
+            held_i = held_j = np.zeros(0, dtype=np.int64)
+            at = 0
+            while at < len(token):
+                stop = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, side="right")) - 1)
+                size = counts[at:stop]
+                i = np.repeat(np.arange(at, stop), size)
+                j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:stop] - upto[at], size)
+                apart = label[i] != label[j]
+                i, j, at = i[apart], j[apart], stop
+                if len(i):
+                    passed = may_link([bits[x] for x in i], [bits[x] for x in j], n[i], n[j])
+                    i, j = i[passed], j[passed]
+                if most is not None:
+                    i, j = np.concatenate([held_i, i]), np.concatenate([held_j, j])
+                    few = _preferred(i, j, key, most) if len(i) else slice(None)
+                    held_i, held_j = i[few], j[few]
+                    if at < len(token):
+                        continue
+                    i, j = held_i, held_j
+                pairs = []
+                for pair in zip(key[i].tolist(), key[j].tolist()):
+                    if pair not in done:
+                        if len(done) >= SEEN_KEYS:
+                            done.clear()
+                        done.add(pair)
+                        pairs.append(pair)
+                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
+                                                 names=["a", "b"])
+    return run
 
 
 def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,21 +355,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = (stars.join(bits.select(F.col("key").alias("b"), F.col("bits").alias("bits_b")).hint("merge"), "b")
              .join(bits.select(F.col("key").alias("a"), F.col("bits").alias("bits_a")).hint("merge"), "a"))
     stars = landed(spark, stars.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_allowed, "a bigint, b bigint"), "near-stars")
-    first = _linked(docs, described, stars)
-    labels = landed(spark, components(first), "near-labels").withColumnRenamed("node", "key")
-
-    known = shared.select("token", "n", "key").join(labels.hint("merge"), "key", "left").select(
-        "token", "n", "key", F.coalesce("label", "key").alias("label"))
-    known = landed(spark, known, "near-known")
-    # A tile whose sets are all in one component has nothing left to find.
-    open_tiles = landed(spark, known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                        .where("low <> high").select("token"), "near-open")
-    tiles = known.join(open_tiles.hint("merge"), "token", "left_semi").join(bits.hint("merge"), "key")
-    crossed = (tiles.select("token", "n", "key", "label", "bits").repartition("token").sortWithinPartitions("token", "n", "key")
-               .mapInArrow(_cross, "a bigint, b bigint").distinct())
-    second = _linked(docs, described, landed(spark, crossed, "near-crossed"))
-
-    final = components(first.unionByName(second)).withColumnRenamed("node", "key")
+    found = _linked(docs, described, stars)
+    final = landed(spark, components(found), "near-labels")
+    tiles = shared.select("token", "n", "key")
+    for most in ROUNDS:
+        labels = final.withColumnRenamed("node", "key").hint("merge")
+        known = landed(spark, tiles.join(labels, "key", "left").select("token", "n", "key", F.coalesce("label", "key").alias("label")), "near-known")
+        # A tile whose sets are all in one component has nothing left to find.
+        still = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+        known = landed(spark, known.join(landed(spark, still, "near-open").hint("merge"), "token", "left_semi"), "near-open-tiles")
+        pairs = (known.join(bits.hint("merge"), "key").select("token", "n", "key", "label", "bits")
+                 .repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_cross(most), "a bigint, b bigint").distinct())
+        pairs = landed(spark, pairs, "near-pairs")
+        if pairs.isEmpty():
+            break
+        found = found.unionByName(_linked(docs, described, pairs))
+        final = landed(spark, components(found), "near-labels")
+        tiles = known.select("token", "n", "key")
+
+    final = final.withColumnRenamed("node", "key")
     keys = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     keys = landed(spark, keys.join(final, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label")), "near-keys")
     least = keys.groupBy("label").agg(F.min("least").alias("component_id"))
