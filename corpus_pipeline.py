@@ -30,11 +30,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     one that was empty before stays as it was.
     """
     prepare(spark)
-    done = lines.dedup_lines(docs)
-    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    size = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))
-    return done.where("n_dropped = 0 OR n_dropped < n_lines").select(
-        *[text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    # Columns but these go by other names meanwhile, so none can clash with the added ones.
+    names = [c if c in ("doc_id", "text", "n_chars") else f"_c{i}" for i, c in enumerate(docs.columns)]
+    done = lines.dedup_lines(docs.toDF(*names)).where("n_dropped = 0 OR n_dropped < n_lines")
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text")),
+           "n_chars": F.when(changed, F.length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))}
+    return done.select(*[new[c].alias(c) if c in new else F.col(c) for c in names]).toDF(*docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

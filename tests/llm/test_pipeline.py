@@ -74,3 +74,39 @@ def test_pipeline(spark, sf):
     for d, own in pieces.items():
         ids = np.frombuffer(b"".join(bytes(p.ids) for p in sorted(own, key=lambda p: p.start)), dtype="<u4").tolist()
         assert ids == tokenizer.encode(fourth[d], add_special_tokens=False).ids + [2]
+
+
+DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_lines int, score string, items int, key int, _id string"
+
+
+def odd_docs(spark):
+    long = "word number one of many and so on " * 3000
+    texts = [None, "", "\n\n", "12 34", "a", "the cat sat on the mat today", "the cat sat on the mat today", long, long + "end",
+             "\U0001F600 ok", "une phrase assez longue pour une ligne\nb", "une phrase assez longue pour une ligne\nc",
+             "une phrase assez longue pour une ligne\nd"]
+    rows = [(i, t, "en" if i % 2 else None, None, None if t is None else len(t), i, "s", None, 1, None) for i, t in enumerate(texts)]
+    return rows + [(None, "no id here but some words", None, None, None, None, None, None, None, None), rows[5]]
+
+
+def test_odd_rows_and_clashing_names(spark, sf):
+    """Nulls, empty and long texts, repeated rows and columns named like added ones pass every stage."""
+    docs = spark.createDataFrame(odd_docs(spark), DDL)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        rows = {(r.doc_id, r.n_lines, r.score) for r in docs.collect()}
+        assert {(r.doc_id, r.n_lines, r.score) for r in out.collect()} <= rows
+        docs = out
+    assert sum(p.length for p in corpus_pipeline.pack_sequences(spark, docs, sf).collect()) > 0
+
+
+def test_empty_tables(spark, sf):
+    docs = spark.createDataFrame([], DDL)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf).collect() == []
+
+
+def test_each_stage_takes_odd_rows_itself(spark, sf):
+    docs = spark.createDataFrame(odd_docs(spark), DDL)
+    kept = {name: stage(spark, docs, sf).count() for name, stage in corpus_pipeline.STAGES[1:-1]}
+    assert kept["decontamination"] == docs.count() and kept["line dedup"] >= docs.count() - 2

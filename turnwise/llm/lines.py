@@ -314,7 +314,8 @@ def dedup_lines(docs: DataFrame, state: LineState | None = None, min_chars: int
         refs = landed(docs.sparkSession, line_refs(docs, min_chars), "lines-refs")
     marks = drops(state, refs, min_docs).withColumnRenamed("doc_id", "_id")
     kept = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
-    rows = docs.select(*kept).join(marks, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = docs.select(*kept).toDF(*[f"c{i}" for i in range(len(kept))])
+    rows = rows.join(marks, F.col(f"c{kept.index('doc_id')}").cast("bigint").eqNullSafe(F.col("_id")), "left").drop("_id")
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate([dict(docs.dtypes)[c] for c in kept] + ["string", "bigint", "bigint"]))
     done = rows.mapInArrow(_cleaner(kept, kept.index("text"), min_chars), schema)
     return done.toDF(*kept, "kept_text", "n_lines", "n_dropped")

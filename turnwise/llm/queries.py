@@ -125,6 +125,22 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.listed(F.col("secrets")).alias("spans"), F.transform("secrets", lambda x: x["ratio"]).alias("ratios"))
 
 
-@query("op4_near_duplicates")
+NEAR_SQL = rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+    sized AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM sets),
+    grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM grams a JOIN grams b USING (g)
+              WHERE a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+              WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+    both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT doc_id, doc_id AS least FROM sized UNION SELECT e.b, r.least FROM reach r JOIN both_ways e ON e.a = r.doc_id)
+    SELECT doc_id, any_value(n) AS n_shingles, min(least) AS component_id FROM reach JOIN sized USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op4_near_duplicates", NEAR_SQL)
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
