@@ -116,8 +116,8 @@ class ChunkIds:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[at] != keys
 
-    def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all rows with ``END_ID`` after each, and the rows' offsets in them."""
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows with ``end_id`` after each, and the rows' offsets in them."""
         cuts = None
         if SPECIAL_MARK not in raw.tobytes():
             side = SIDE[raw]
@@ -137,7 +137,7 @@ class ChunkIds:
         ids = self.pool[np.arange(before[-1]) + np.repeat(begin - before[:-1], size)]
         rows = len(offsets) - 1
         row_ends = before[row_words[1:]] + np.arange(rows)
-        out = np.full(len(ids) + rows, END_ID, dtype=np.uint32)
+        out = np.full(len(ids) + rows, end_id, dtype=np.uint32)
         place = np.ones(len(out), dtype=bool)
         place[row_ends] = False
         out[place] = ids

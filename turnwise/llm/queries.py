@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, near, packing, pii, secrets, sharding
+from turnwise.llm import decontaminate, exact, language, lines, near, packing, pii, secrets, sharding, token_counts
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -144,3 +144,12 @@ NEAR_SQL = rf"""
 @query("op4_near_duplicates", NEAR_SQL)
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir))
+
+
+# The vocabulary's ids end at 49407, so this one stands for the end of a document only.
+FREE_ID = 49408
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), FREE_ID)
