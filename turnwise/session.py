@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Rows that travel to Python and back at once; texts can be long, so few of them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Session windows of a stream are merged within a task before the shuffle, so a busy
     # user arrives as one row per session and task.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
