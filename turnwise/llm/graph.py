@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from turnwise.session import landed
 
 
-def _stamp(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (a, b) are stars: each node points to one other, which points to none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    roles = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return roles.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,8 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
                    "graph-nodes")
     now = landed(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                  "graph-edges")
-    stamp = _stamp(now)
-    while stamp[0]:
+    while not _settled(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = landed(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "graph-low")
         large = (both.where("b > a").join(lowest.hint("merge"), "a").where("b <> m")
@@ -35,8 +37,5 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = landed(spark, large.groupBy("a").agg(F.min("b").alias("m")), "graph-low")
         small = large.join(lowest.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = landed(spark, small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), "graph-edges")
-        before, stamp = stamp, _stamp(now)
-        if stamp == before:
-            break
     return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("label")), "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"))

@@ -9,11 +9,11 @@ by bit counts; what passes is checked by intersecting the sorted sets.
 
 Groups of thousands of copies would make pairs by the million, so tiles are worked in rounds.
 First each set of a tile is paired with the tile's smallest fitting set only, and these pairs
-are checked. Tiles whose sets are then all connected are done. In the others, each set is
-paired with a few sets of other components, by a preference that all tiles share, and the links
-found join components. The last round takes all pairs of sets in different components that are
-left. Every link between components is found, and the number of pairs that leave a tile stays
-near the number of sets.
+are checked. Tiles whose sets are then all connected are done. Next each set of the others goes
+into one of its open tiles only, and is paired there with a few sets of other components, by a
+preference that all sets share; the links found join components. The last round takes all open
+tiles, and all pairs of sets in different components. Every link between components is found,
+and the number of pairs that leave a tile stays near the number of sets.
 
 How frequent a shingle is comes from a count sketch of fixed size over all documents. It only
 decides the order, which is the same for all sets, so its errors cost time, never a link.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from turnwise.llm.graph import components
-from turnwise.llm.text import IS_BLANK, LOWER, add_columns, hash_spans, mix64, text_pieces, word_spans
+from turnwise.llm.text import IS_BLANK, LOWER, add_columns, hash_spans, mix64, release_memory, text_pieces, word_spans
 from turnwise.session import landed
 
 WORDS = 5
@@ -37,10 +37,11 @@ WORDS = 5
 PART, OF = 3, 4
 SKETCH_BITS = 20
 SLICES = 64
-SEEN_KEYS = 1 << 20
+SEEN_KEYS, SEEN_PAIRS = 1 << 20, 1 << 17
 PAIRS_AT_ONCE = 1 << 18
-# Partners of a set in a tile, round by round; the last round has no limit and makes the result whole.
-ROUNDS = (2, 4, None)
+# Which open tile a set enters and how many partners it is given there, round by round; the last
+# round has all tiles and all partners, which makes the result whole.
+ROUNDS = (("min", 16), ("max", 16), (None, None))
 NARROWEST, WIDEST = 256, 1 << 16
 
 _MIX = np.random.default_rng(5).integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -280,12 +281,13 @@ def _cross(most: int | None):
                 pairs = []
                 for pair in zip(key[i].tolist(), key[j].tolist()):
                     if pair not in done:
-                        if len(done) >= SEEN_KEYS:
+                        if len(done) >= SEEN_PAIRS:
                             done.clear()
                         done.add(pair)
                         pairs.append(pair)
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
                                                  names=["a", "b"])
+        release_memory()
     return run
 
 
@@ -312,7 +314,8 @@ def _sets_of(docs: DataFrame, described: DataFrame, keys: DataFrame) -> DataFram
         F.col("doc_id").isNull().alias("none"), "doc_id")).alias("_d"))
     some = landed(docs.sparkSession, some.select("key", F.col("_d.doc_id").alias("_id")), "near-some")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = rows.join(some.select("_id").distinct().hint("merge"), rows.doc_id.eqNullSafe(F.col("_id")), "left_semi")
+    # Spark knows the written table's size, and sends it to the texts only if it is small.
+    rows = rows.join(some.select("_id").distinct(), rows.doc_id.eqNullSafe(F.col("_id")), "left_semi")
 
     def work(part: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         sets = list(shingle_rows(raw, offsets))
@@ -323,13 +326,25 @@ def _sets_of(docs: DataFrame, described: DataFrame, keys: DataFrame) -> DataFram
     return landed(docs.sparkSession, made.join(some.select("key"), "key", "left_semi").dropDuplicates(["key"]), "near-sets")
 
 
-def _linked(docs: DataFrame, described: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set names that link, by exact intersection."""
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = _sets_of(docs, described, keys)
-    joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("grams").alias("set_b")).hint("merge"), "b")
-              .join(sets.select(F.col("key").alias("a"), F.col("grams").alias("set_a")).hint("merge"), "a"))
-    return landed(docs.sparkSession, joined.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a bigint, b bigint"), "near-links")
+class _Checker:
+    """Checks pairs of sets by exact intersection; sets made for one round serve the next ones."""
+
+    def __init__(self, docs: DataFrame, described: DataFrame):
+        self.docs, self.described, self.sets = docs, described, None
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of set names that link."""
+        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        if self.sets is None:
+            self.sets = _sets_of(self.docs, self.described, keys)
+        else:
+            new = landed(self.docs.sparkSession, keys.join(self.sets.select("key"), "key", "left_anti"), "near-new")
+            if not new.isEmpty():
+                self.sets = self.sets.unionByName(_sets_of(self.docs, self.described, new))
+        joined = (pairs.join(self.sets.select(F.col("key").alias("b"), F.col("grams").alias("set_b")).hint("merge"), "b")
+                  .join(self.sets.select(F.col("key").alias("a"), F.col("grams").alias("set_a")).hint("merge"), "a"))
+        return landed(self.docs.sparkSession, joined.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a bigint, b bigint"),
+                      "near-links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -355,23 +370,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = (stars.join(bits.select(F.col("key").alias("b"), F.col("bits").alias("bits_b")).hint("merge"), "b")
              .join(bits.select(F.col("key").alias("a"), F.col("bits").alias("bits_a")).hint("merge"), "a"))
     stars = landed(spark, stars.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_allowed, "a bigint, b bigint"), "near-stars")
-    found = _linked(docs, described, stars)
+    checker = _Checker(docs, described)
+    found = checker.linked(stars)
     final = landed(spark, components(found), "near-labels")
     tiles = shared.select("token", "n", "key")
-    for most in ROUNDS:
+    for pick, most in ROUNDS:
         labels = final.withColumnRenamed("node", "key").hint("merge")
         known = landed(spark, tiles.join(labels, "key", "left").select("token", "n", "key", F.coalesce("label", "key").alias("label")), "near-known")
         # A tile whose sets are all in one component has nothing left to find.
         still = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
         known = landed(spark, known.join(landed(spark, still, "near-open").hint("merge"), "token", "left_semi"), "near-open-tiles")
-        pairs = (known.join(bits.hint("merge"), "key").select("token", "n", "key", "label", "bits")
+        entered = known if pick is None else known.groupBy("key", "n", "label").agg(F.expr(f"{pick}(token)").alias("token"))
+        pairs = (entered.join(bits.hint("merge"), "key").select("token", "n", "key", "label", "bits")
                  .repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_cross(most), "a bigint, b bigint").distinct())
         pairs = landed(spark, pairs, "near-pairs")
+        tiles = known.select("token", "n", "key")
         if pairs.isEmpty():
-            break
-        found = found.unionByName(_linked(docs, described, pairs))
+            continue
+        found = found.unionByName(checker.linked(pairs))
         final = landed(spark, components(found), "near-labels")
-        tiles = known.select("token", "n", "key")
 
     final = final.withColumnRenamed("node", "key")
     keys = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
@@ -388,7 +405,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat that id all stay; rows without an id stay where they are alone.
     """
-    groups = near_duplicates(docs)
+    # Columns but these two go by other names meanwhile, so none can clash.
+    rows = docs.toDF(*[c if c in ("doc_id", "text") else f"_c{i}" for i, c in enumerate(docs.columns)])
+    groups = near_duplicates(rows)
     least = landed(docs.sparkSession, groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_id")).distinct(), "near-kept")
-    return docs.join(least.hint("merge"), docs.doc_id.cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    kept = rows.join(least.hint("merge"), rows.doc_id.cast("bigint").eqNullSafe(F.col("_id")), "left_semi")
+    return kept.toDF(*docs.columns)
