@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType
 
-from turnwise.llm.text import add_columns, code_points, text_pieces
+from turnwise.llm.text import add_columns, code_points, release_memory, text_pieces
 from turnwise.session import landed
 
 ORDER = 4
@@ -36,6 +36,8 @@ CALIBRATION_ROWS = 5000
 REJECT_SIGMAS = 8.0
 REJECT_MARGIN = 0.25
 MERGE_AT = 1 << 22
+# Text is worked on in slices of this size, since its arrays take many times as much.
+SLICE_BYTES = 2 << 20
 
 COUNT_DDL = "lang string, gram bigint, n bigint"
 MODEL_DDL = "lang string, kind string, grams binary, weights binary"
@@ -127,13 +129,14 @@ def count_grams(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
         for batch in batches:
-            for rows, raw, offsets in text_pieces(batch):
+            for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
                 grams, ends, _ = grams_of(raw, offsets)
                 langs = rows.column(0).dictionary_encode()
                 names, which = langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(ends))
                 for i, name in enumerate(names):
                     tally.add(name, grams[which == i])
         yield from tally.batches()
+        release_memory()
 
     return (docs.select("lang", "text").mapInArrow(run, COUNT_DDL)
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
@@ -251,7 +254,7 @@ def _calibrate(sample: DataFrame, model: LanguageModel) -> np.ndarray:
         at = np.arange(len(rows))
         return [pa.array(mean[own, at]), pa.array(square[own, at]), pa.array(np.diff(ends))]
 
-    rows = (add_columns(sample.select("lang", "text"), {"mean": DoubleType(), "square": DoubleType(), "size": LongType()}, work)
+    rows = (add_columns(sample.select("lang", "text"), {"mean": DoubleType(), "square": DoubleType(), "size": LongType()}, work, most=SLICE_BYTES)
             .where("size > 0").select("lang", "mean", "square", "size").collect())
     limits = np.tile(np.array([np.inf, 0.0, 1.0]), (len(model.langs), 1))
     for i, lang in enumerate(model.langs):
@@ -319,7 +322,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
         return [pa.array(names[best], pa.string()), pa.array(score), pa.array(entropy, from_pandas=True),
                 pa.array(rejected), pa.array(letters, pa.int64())]
 
-    return add_columns(docs, ADDED, work)
+    return add_columns(docs, ADDED, work, most=SLICE_BYTES)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from turnwise.llm.text import IS_BLANK, LOWER, hash_spans, text_pieces, word_spans
+from turnwise.llm.text import IS_BLANK, LOWER, hash_spans, release_memory, text_pieces, word_spans
 
 END_ID = 2
 CACHED_CHUNKS = 1 << 21
@@ -258,5 +258,6 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(), prompt
                 yield packer.batch()
         packer.pack(last=True)
         yield packer.batch()
+        release_memory()
 
     return rows.mapInArrow(run, PIECE_DDL)

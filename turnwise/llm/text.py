@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Iterator, Mapping
 
@@ -12,7 +13,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 # Space and the controls \x09-\x0D; fixed by the contracts.
 BLANKS = " \t\n\x0b\x0c\r"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def lower_ascii(text: Column) -> Column:
@@ -40,6 +41,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give free memory back to the system; Python workers live on for other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_pieces(batch: pa.RecordBatch, name: str = "text", most: int = BATCH_BYTES
                 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch into row slices of about ``most`` text bytes: (rows, bytes, row offsets).
@@ -121,6 +130,7 @@ def add_columns(docs: DataFrame, added: Mapping[str, DataType], work, text: str
             for rows, raw, offsets in text_pieces(batch, f"c{at}", most):
                 arrays = [rows.column(i) for i in passed] + list(work(rows, raw, offsets))
                 yield pa.RecordBatch.from_arrays(arrays, names=out.fieldNames())
+        release_memory()
 
     named = docs.toDF(*inner.fieldNames())
     return named.mapInArrow(run, out).toDF(*[f.name for f in keep], *added)

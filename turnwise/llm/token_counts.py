@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from turnwise.llm.packing import encoder
-from turnwise.llm.text import text_pieces
+from turnwise.llm.text import release_memory, text_pieces
 from turnwise.session import landed
 
 BLOCK_IDS = 1 << 20
@@ -62,6 +62,7 @@ def write_flat(docs: DataFrame, tokenizer_path: str, end_id: int, block_ids: int
                 yield batch(blocks, piece.column(0).to_pylist())
         if size:
             yield batch([np.concatenate(waiting).tobytes()], [])
+        release_memory()
 
     return rows.mapInArrow(run, FLAT_DDL)
 
