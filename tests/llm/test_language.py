@@ -50,6 +50,24 @@ def test_empty(spark):
     assert language.identify(docs).first().lang_pred == "und"
 
 
+def test_limits_come_from_all_rows_of_each_language(spark):
+    """A language with one row in six thousand has a limit, and a language's rows count in full."""
+    rows = [(i, "en", f"the cat number {i % 90} sat on the mat") for i in range(12000)]
+    rows += [(12000 + i, "fr", ("le chat est sur la table " * (i + 1))[: 20 + 9 * i]) for i in range(2)] + [(13000, "xx", "12 34")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = language.train(docs.repartition(5))
+    assert model.langs == ["en", "fr"]
+    scorer = model.ready()
+    for i, lang in enumerate(model.langs):
+        texts = [t.encode() for _, known, t in rows if known == lang]
+        grams, ends, _ = language.grams_of(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0] + [len(t) for t in texts]))
+        mean, square = (x[i] for x in scorer.cross_entropy(grams, ends))
+        size = np.diff(ends)
+        centre = np.average(mean, weights=size)
+        expected = centre, np.average((mean - centre) ** 2, weights=size), max(np.average(square - mean**2, weights=size), 1e-6)
+        assert np.allclose(model.limits[i], expected, rtol=1e-6, atol=1e-9), lang
+
+
 def test_held_out(spark, sf):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = queries.QUERIES["op6_language"](spark, sf).collect()

@@ -8,7 +8,7 @@ task first, then summed); the lower orders follow from it as Kneser-Ney continua
 A model is a set of sorted arrays of n-gram numbers with their log-probabilities.
 
 A text goes to the language with the lowest cross-entropy per character. It is rejected where
-even that is far above what a calibration sample of that language shows for its length.
+even that is far above what the labelled documents of that language show for their length.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ GAP = 0
 OTHER_LETTERS = 37
 HELD_OUT_OF = 5
 UNDETERMINED = "und"
-CALIBRATION_ROWS = 5000
 REJECT_SIGMAS = 8.0
 REJECT_MARGIN = 0.25
 MERGE_AT = 1 << 22
@@ -40,6 +39,8 @@ MERGE_AT = 1 << 22
 SLICE_BYTES = 2 << 20
 
 COUNT_DDL = "lang string, gram bigint, n bigint"
+# Sums over a language's documents that its rejection limit is taken from.
+SUMS = ("n", "size", "mean", "mean_square", "square")
 MODEL_DDL = "lang string, kind string, grams binary, weights binary"
 
 _FOLDED: list[np.ndarray] = []
@@ -242,36 +243,46 @@ def _scorer(model: LanguageModel) -> Scorer:
     return model.scorer
 
 
-def _calibrate(sample: DataFrame, model: LanguageModel) -> np.ndarray:
-    """Per language: mean cross-entropy, spread between documents, and variance per character."""
-    sent = sample.sparkSession.sparkContext.broadcast(model)
+def _calibrate(docs: DataFrame, model: LanguageModel) -> np.ndarray:
+    """Per language: mean cross-entropy, spread between documents, and variance per character.
 
-    def work(rows: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        scorer = _scorer(sent.value)
-        grams, ends, _ = grams_of(raw, offsets)
-        mean, square = scorer.cross_entropy(grams, ends)
-        own = np.array([scorer.langs.index(x) for x in rows.column(0).to_pylist()], dtype=np.int64)
-        at = np.arange(len(rows))
-        return [pa.array(mean[own, at]), pa.array(square[own, at]), pa.array(np.diff(ends))]
-
-    rows = (add_columns(sample.select("lang", "text"), {"mean": DoubleType(), "square": DoubleType(), "size": LongType()}, work, most=SLICE_BYTES)
-            .where("size > 0").select("lang", "mean", "square", "size").collect())
-    limits = np.tile(np.array([np.inf, 0.0, 1.0]), (len(model.langs), 1))
-    for i, lang in enumerate(model.langs):
-        own = np.array([(r.mean, r.square, r.size) for r in rows if r.lang == lang])
-        if len(own):
-            mean, square, size = own.T
-            centre = np.average(mean, weights=size)
-            limits[i] = (centre, np.average((mean - centre) ** 2, weights=size),
-                         max(np.average(square - mean**2, weights=size), 1e-6))
+    They follow from sums over all rows of (lang, text); a task gives one row a language.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs = sent.value.langs
+        number = {lang: i for i, lang in enumerate(langs)}
+        sums = np.zeros((len(SUMS), len(langs)))
+        for batch in batches:
+            scorer = _scorer(sent.value)
+            for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
+                grams, ends, _ = grams_of(raw, offsets)
+                mean, square = scorer.cross_entropy(grams, ends)
+                # A language without any letter has no number, and nothing to add.
+                own = np.array([number.get(x, 0) for x in rows.column(0).to_pylist()], dtype=np.int64)
+                mean, square = mean[own, np.arange(len(rows))], square[own, np.arange(len(rows))]
+                size = np.diff(ends).astype(np.float64)
+                for total, value in zip(sums, (size > 0, size, size * mean, size * mean**2, size * square)):
+                    total += np.bincount(own, weights=value, minlength=len(langs))
+        met = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array([langs[i] for i in met], pa.string()), *[pa.array(x[met]) for x in sums]],
+                                         names=["lang", *SUMS])
+        release_memory()
+
+    rows = (docs.select("lang", "text").mapInArrow(run, "lang string, " + ", ".join(f"{x} double" for x in SUMS))
+            .groupBy("lang").agg(*[F.sum(x).alias(x) for x in SUMS]).collect())
+    limits = np.zeros((len(model.langs), 3))
+    for r in rows:
+        centre, between = r.mean / r.size, r.mean_square / r.size
+        limits[model.langs.index(r.lang)] = (centre, max(between - centre**2, 0.0), max(r.square / r.size - between, 1e-6))
     return limits
 
 
-def train(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
+def train(docs: DataFrame) -> LanguageModel:
     """A model of every ``lang`` of the rows of (doc_id, lang, text), which are all learned from.
 
-    Only the rejection limits come from a sample: about ``calibration_rows`` rows, chosen by a
-    hash of their id. Empty input gives a model without languages.
+    The rejection limits come from all these rows too. Empty input gives a model without languages.
     """
     spark = docs.sparkSession
     counts = landed(spark, count_grams(docs), "lang-counts")
@@ -280,10 +291,7 @@ def train(docs: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> Language
     arrays = {(r.lang, r.kind): (np.frombuffer(r.grams, dtype=np.uint32).astype(np.int64), np.frombuffer(r.weights, dtype=np.float32))
               for r in rows}
     model = LanguageModel(langs, arrays)
-    total = docs.count()
-    part = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("calibration")), F.lit(1 << 30))
-    sample = docs.where(part < int((1 << 30) * min(1.0, calibration_rows / max(1, total))))
-    model.limits = _calibrate(sample, model) if langs else np.zeros((0, 3))
+    model.limits = _calibrate(docs, model) if langs else np.zeros((0, 3))
     return model
 
 
