@@ -1,5 +1,6 @@
 """Language models: probabilities sum to one, held-out accuracy, odd rows."""
 
+import random
 import zlib
 
 import numpy as np
@@ -43,6 +44,47 @@ def test_odd_rows(spark):
     assert len({r.lang_pred for r in got if r.doc_id == 7}) == 1
 
 
+def _texts_of_one_script(seed, first, step, n_docs):
+    """Documents of invented words over 300 letters that start at ``first``, a ``step`` apart."""
+    rng = random.Random(seed)
+    letters = [chr(first + step * i) for i in range(300)]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 4))) for _ in range(2000)]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    return ["".join(rng.choices(words, weights, k=30)) for _ in range(n_docs)]
+
+
+def _accuracy(spark, languages):
+    rows = [(name, t, i) for name, texts in languages.items() for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(j, *r) for j, r in enumerate(rows)], "doc_id bigint, lang string, text string, i int")
+    model = language.train(docs.where("i % 4 > 0"))
+    got = language.predict(docs.where("i % 4 = 0"), model).collect()
+    return np.mean([r.lang_pred == r.lang for r in got])
+
+
+def test_languages_of_one_script(spark):
+    """Letters that a class takes together, and letters that two languages share, in Han characters and syllables."""
+    apart = {"a": _texts_of_one_script(1, 0x4E00, 37, 80)}
+    # The same words in letters 37 code points on: every class is the same.
+    apart["b"] = [t.translate({0x4E00 + 37 * i: 0x4E00 + 37 * (i + 301) for i in range(300)}) for t in apart["a"]]
+    assert _accuracy(spark, apart) == 1
+    shared = {"zh": _texts_of_one_script(2, 0x4E00, 1, 80), "ja": _texts_of_one_script(3, 0x4E00, 1, 80),
+              "ko": _texts_of_one_script(4, 0xAC00, 1, 80), "kp": _texts_of_one_script(5, 0xAC00, 1, 80)}
+    assert _accuracy(spark, shared) >= 0.99
+
+
+def test_letter_probabilities_sum_to_one():
+    rng = np.random.default_rng(2)
+    letters = 0x4E00 + 37 * rng.integers(0, 40, (4000, 3))
+    grams, counts = np.unique((letters << (21 * np.arange(3))).sum(axis=1), return_counts=True)
+    arrays = {("x", k): v for k, v in (language.kneser_ney(np.array([5]), np.array([1])) | language.letter_kneser_ney(grams, counts)).items()}
+    scorer = language.LanguageModel(["x"], arrays).ready()
+    every = np.unique(language.tables()[0])[1:].astype(np.int64)
+    same = every[language.class_of(every) == language.class_of(np.array([0x4E00]))[0]]
+    for before in [int(grams[7]) >> 21 << 21, 0x4E00 << 21, 98 << 21]:
+        assert abs(np.exp(scorer.letters("x", before | same)).sum() - 1) < 1e-4
+    assert len(scorer.letters("x", np.zeros(0, dtype=np.int64))) == 0
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert language.identify(docs).collect() == []

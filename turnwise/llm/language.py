@@ -1,11 +1,14 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Characters are folded to 64 classes: word gap, a-z, and the other letters by code point modulo
-37, which keeps the accented Latin letters apart. An n-gram of four classes is a 24-bit
-number, so a language's model has at most 64**4 entries whatever the corpus, and four orders of
-it can be broadcast. Training counts the highest order over all labelled documents (in each
-task first, then summed); the lower orders follow from it as Kneser-Ney continuation counts.
-A model is a set of sorted arrays of n-gram numbers with their log-probabilities.
+A character is predicted in two steps. First its class, of 64: word gap, a-z, and the other
+letters by code point modulo 37. An n-gram of four classes is a 24-bit number. Then, where the
+class has several letters, which of them it is, from the two characters before it: an n-gram of
+three code points is a 63-bit number, so none is folded, hashed or left out. The product of
+both is a probability over all letters, and languages of one script are told apart by their
+letters and words. Training counts the highest orders over all labelled documents (in each task
+first, then summed); the lower orders follow from them as Kneser-Ney continuation counts. A
+model is a set of sorted arrays of n-gram numbers with their log-probabilities, and is
+broadcast: at most 64**4 class n-grams a language, and as many letter n-grams as the corpus has.
 
 A text goes to the language with the lowest cross-entropy per character. It is rejected where
 even that is far above what the labelled documents of that language show for their length.
@@ -30,6 +33,10 @@ CLASSES = 64
 BITS = 6
 GAP = 0
 OTHER_LETTERS = 37
+FIRST_OTHER = 27
+# Letters are numbered by their code points.
+LETTER_ORDER = 3
+LETTER_BITS = 21
 HELD_OUT_OF = 5
 UNDETERMINED = "und"
 REJECT_SIGMAS = 8.0
@@ -43,49 +50,93 @@ COUNT_DDL = "lang string, gram bigint, n bigint"
 SUMS = ("n", "size", "mean", "mean_square", "square")
 MODEL_DDL = "lang string, kind string, grams binary, weights binary"
 
-_FOLDED: list[np.ndarray] = []
+_TABLES: list[tuple[np.ndarray, np.ndarray]] = []
 
 
-def folded() -> np.ndarray:
-    """The class of every code point; anything but a letter is a gap."""
-    if not _FOLDED:
-        table = np.zeros(0x110000, dtype=np.uint8)
+def tables() -> tuple[np.ndarray, np.ndarray]:
+    """The lower-case letter of every code point, or 0 for anything but a letter, and its class."""
+    if not _TABLES:
+        lower = np.zeros(0x110000, dtype=np.uint32)
         for point in range(0x110000):
             char = chr(point)
             if char.isalpha():
-                low = ord(char.lower()[0])
-                table[point] = low - 96 if 97 <= low <= 122 else 27 + low % OTHER_LETTERS
-        _FOLDED.append(table)
-    return _FOLDED[0]
+                lower[point] = ord(char.lower()[0])
+        classes = np.where((lower >= 97) & (lower <= 122), lower - 96, FIRST_OTHER + lower % OTHER_LETTERS)
+        _TABLES.append((lower, np.where(lower == 0, GAP, classes).astype(np.uint8)))
+    return _TABLES[0]
 
 
-def grams_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Four-class numbers of all characters, the rows' offsets in them, and letters per row.
+def class_sizes() -> np.ndarray:
+    """How many letters each class has."""
+    letters = np.unique(tables()[0])[1:]
+    return np.bincount(class_of(letters), minlength=CLASSES)
+
+
+def class_of(letter: np.ndarray) -> np.ndarray:
+    """The class of lower-case letters."""
+    return np.where((letter >= 97) & (letter <= 122), letter - 96, FIRST_OTHER + letter % OTHER_LETTERS).astype(np.int64)
+
 
-    Runs of other characters are one gap, none at a row's start; before it stand gaps only.
+@dataclass
+class Grams:
+    """The characters of a slice's rows: class n-grams, rows' offsets in them, and letters per row.
+
+    ``spelled`` holds the letter n-grams of those characters, at ``where``, whose class has several letters.
     """
+
+    classes: np.ndarray
+    ends: np.ndarray
+    letters: np.ndarray
+    where: np.ndarray
+    spelled: np.ndarray
+
+
+def _windows(values: np.ndarray, ends: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """The numbers of each value and those before it in its row; before a row stand zeros."""
+    sizes = np.diff(ends)
+    padded = np.zeros(int(ends[-1]) + (order - 1) * len(sizes), dtype=values.dtype)
+    at = np.arange(int(ends[-1])) + np.repeat((order - 1) * np.arange(1, len(sizes) + 1), sizes)
+    padded[at] = values
+    gram = padded[at]
+    for back in range(1, order):
+        gram |= padded[at - back] << values.dtype.type(bits * back)
+    return gram
+
+
+def read_grams(raw: np.ndarray, offsets: np.ndarray) -> Grams:
+    """Runs of other characters than letters are one gap, none at a row's start."""
     points = np.zeros(len(raw) + 1, dtype=np.int64)
     np.cumsum((raw & 0xC0) != 0x80, out=points[1:])
     rows = points[offsets]
-    classes = folded()[code_points(raw)]
-    letter = np.zeros(len(classes) + 1, dtype=bool)
-    letter[1:] = classes != GAP
+    lower, classes = tables()
+    codes = code_points(raw)
+    letter = np.zeros(len(codes) + 1, dtype=bool)
+    letter[1:] = lower[codes] != 0
     after = letter[:-1].copy()
     after[rows[:-1][rows[:-1] < len(after)]] = False
     kept = letter[1:] | after
-    before = np.zeros(len(classes) + 1, dtype=np.int64)
+    before = np.zeros(len(codes) + 1, dtype=np.int64)
     np.cumsum(kept, out=before[1:])
     ends = before[rows]
-    letters = np.zeros(len(classes) + 1, dtype=np.int64)
+    letters = np.zeros(len(codes) + 1, dtype=np.int64)
     np.cumsum(letter[1:], out=letters[1:])
-    sizes = np.diff(ends)
-    padded = np.zeros(int(ends[-1]) + (ORDER - 1) * len(sizes), dtype=np.uint32)
-    at = np.arange(int(ends[-1])) + np.repeat((ORDER - 1) * np.arange(1, len(sizes) + 1), sizes)
-    padded[at] = classes[kept]
-    gram = padded[at]
-    for back in range(1, ORDER):
-        gram |= padded[at - back] << np.uint32(BITS * back)
-    return gram, ends, np.diff(letters[rows])
+    codes = codes[kept]
+    own = classes[codes]
+    where = np.flatnonzero(own >= FIRST_OTHER)
+    spelled = np.zeros(0, dtype=np.int64)
+    if len(where):
+        # The two letters before, none from before the row.
+        at = where - ends[np.searchsorted(ends, where, side="right") - 1]
+        spelled = lower[codes[where]].astype(np.int64)
+        for back in range(1, LETTER_ORDER):
+            spelled |= np.where(at >= back, lower[codes[where - back]], 0).astype(np.int64) << (LETTER_BITS * back)
+    return Grams(_windows(own.astype(np.uint32), ends, ORDER, BITS), ends, np.diff(letters[rows]), where, spelled)
+
+
+def grams_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Four-class numbers of all characters, the rows' offsets in them, and letters per row."""
+    found = read_grams(raw, offsets)
+    return found.classes, found.ends, found.letters
 
 
 def learnable(doc_id: Column, lang: Column) -> Column:
@@ -121,21 +172,22 @@ class _Tally:
         for lang, parts in self.parts.items():
             grams, counts = self._merged(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)],
+                [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)],
                 names=["lang", "gram", "n"])
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all rows of (lang, text)."""
+    """(lang, gram, n) over all rows of (lang, text); the numbers of letter n-grams are inverted, so below 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
         for batch in batches:
             for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
-                grams, ends, _ = grams_of(raw, offsets)
+                found = read_grams(raw, offsets)
                 langs = rows.column(0).dictionary_encode()
-                names, which = langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(ends))
+                names, which = langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(found.ends))
                 for i, name in enumerate(names):
-                    tally.add(name, grams[which == i])
+                    tally.add(name, found.classes[which == i].astype(np.int64))
+                    tally.add(name, ~found.spelled[which[found.where] == i])
         yield from tally.batches()
         release_memory()
 
@@ -143,6 +195,11 @@ def count_grams(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
+def _discount(number: np.ndarray) -> float:
+    ones, twos = float((number == 1).sum()), float((number == 2).sum())
+    return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+
 def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """Sorted arrays of one language: log-probabilities of each order, log back-off weights of each context."""
     order = np.argsort(grams)
@@ -156,8 +213,7 @@ def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> dict[str, tuple[np.ndar
     lower_grams = np.zeros(1, dtype=np.int64)
     for k in range(1, ORDER + 1):
         found, number = levels[k]
-        ones, twos = float((number == 1).sum()), float((number == 2).sum())
-        discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+        discount = _discount(number)
         contexts, which = np.unique(found >> BITS, return_inverse=True)
         total = np.bincount(which, weights=number)
         kinds = np.bincount(which)
@@ -171,9 +227,41 @@ def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> dict[str, tuple[np.ndar
     return out
 
 
+def _letter_context(grams: np.ndarray) -> np.ndarray:
+    """The number of what a letter is predicted from: the letters before it, then its class."""
+    return (grams >> LETTER_BITS << BITS) | class_of(grams & ((1 << LETTER_BITS) - 1))
+
+
+def letter_kneser_ney(grams: np.ndarray, counts: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The same for which letter of its class a character is, given the letters before it."""
+    order = np.argsort(grams)
+    levels = {LETTER_ORDER: (grams[order], counts[order].astype(np.float64))}
+    for k in range(LETTER_ORDER - 1, 0, -1):
+        found, number = np.unique(levels[k + 1][0] & ((1 << (LETTER_BITS * k)) - 1), return_counts=True)
+        levels[k] = (found, number.astype(np.float64))
+    out = {}
+    for k in range(1, LETTER_ORDER + 1):
+        found, number = levels[k]
+        discount = _discount(number)
+        contexts, which = np.unique(_letter_context(found), return_inverse=True)
+        total = np.bincount(which, weights=number, minlength=len(contexts))
+        spare = discount * np.bincount(which, minlength=len(contexts)) / total
+        if k == 1:
+            below = 1.0 / class_sizes()[class_of(found)]
+        else:
+            below = lower[np.searchsorted(lower_grams, found & ((1 << (LETTER_BITS * (k - 1))) - 1))]
+        prob = np.maximum(number - discount, 0) / total[which] + spare[which] * below
+        out[f"letter_prob{k}"] = (found, np.log(prob))
+        out[f"letter_back{k}"] = (contexts, np.log(spare))
+        lower, lower_grams = prob, found
+    return out
+
+
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
-    made = kneser_ney(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
-    return pd.DataFrame([{"lang": pdf["lang"].iloc[0], "kind": kind, "grams": grams.astype(np.uint32).tobytes(),
+    grams, counts = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
+    spelled = grams < 0
+    made = kneser_ney(grams[~spelled], counts[~spelled]) | letter_kneser_ney(~grams[spelled], counts[spelled])
+    return pd.DataFrame([{"lang": pdf["lang"].iloc[0], "kind": kind, "grams": grams.astype(np.int64).tobytes(),
                           "weights": weights.astype(np.float32).tobytes()} for kind, (grams, weights) in made.items()])
 
 
@@ -193,7 +281,8 @@ class Scorer:
     """A model laid out for lookup: one row of values, by language, for each n-gram any language has."""
 
     def __init__(self, model: LanguageModel):
-        self.langs, self.limits = model.langs, model.limits
+        self.langs, self.limits, self.arrays = model.langs, model.limits, model.arrays
+        self.base = -np.log(np.maximum(class_sizes(), 1))
         n = len(self.langs)
         lower = np.full((1, n), -np.log(CLASSES), dtype=np.float32)
         for k in range(1, ORDER + 1):
@@ -215,8 +304,36 @@ class Scorer:
         self.slot = np.full(CLASSES**ORDER, -1, dtype=np.int32)
         self.slot[grams] = np.arange(len(grams))
 
-    def cross_entropy(self, grams: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean negative log-probability per character of each row (language by row), and its mean square."""
+    def _look_up(self, kind: str, lang: str, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the numbers the language has, and their weights, 0 for the others."""
+        found, weights = self.arrays[lang, kind]
+        if not len(found):
+            return np.zeros(len(grams), dtype=bool), np.zeros(len(grams))
+        at = np.minimum(np.searchsorted(found, grams), len(found) - 1)
+        has = found[at] == grams
+        return has, np.where(has, weights[at], 0.0)
+
+    def letters(self, lang: str, grams: np.ndarray) -> np.ndarray:
+        """Log-probability of each letter n-gram's last letter among its class, given the letters before."""
+        value = self.base[class_of(grams & ((1 << LETTER_BITS) - 1))]
+        rows = np.arange(len(grams))
+        for k in range(1, LETTER_ORDER + 1):
+            tails = grams[rows] & ((1 << (LETTER_BITS * k)) - 1)
+            met, back = self._look_up(f"letter_back{k}", lang, _letter_context(tails))
+            # What follows a context never met is as after the shorter one, and so for all longer ones.
+            rows, tails, back = rows[met], tails[met], back[met]
+            has, prob = self._look_up(f"letter_prob{k}", lang, tails)
+            value[rows] = np.where(has, prob, value[rows] + back)
+        return value
+
+    def cross_entropy(self, grams: np.ndarray, ends: np.ndarray, where: np.ndarray | None = None,
+                      spelled: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Mean negative log-probability per character of each row (language by row), and its mean square.
+
+        ``spelled`` are letter n-grams of the characters ``where``; without them classes only are scored.
+        """
+        if where is not None:
+            kinds, which = np.unique(spelled, return_inverse=True)
         rows = len(ends) - 1
         full = np.flatnonzero(np.diff(ends))
         total = np.zeros((len(self.langs), rows))
@@ -230,6 +347,8 @@ class Scorer:
                 value[unseen] = self.back[gram >> BITS, i] + self.lower[gram & (CLASSES ** (ORDER - 1) - 1), i]
             # In double, whatever the number of characters.
             value = value.astype(np.float64)
+            if where is not None and len(where):
+                value[where] += self.letters(self.langs[i], kinds)[which]
             total[i, full] = np.add.reduceat(value, ends[:-1][full])
             square[i, full] = np.add.reduceat(value * value, ends[:-1][full])
         size = np.maximum(np.diff(ends), 1)
@@ -257,12 +376,12 @@ def _calibrate(docs: DataFrame, model: LanguageModel) -> np.ndarray:
         for batch in batches:
             scorer = _scorer(sent.value)
             for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
-                grams, ends, _ = grams_of(raw, offsets)
-                mean, square = scorer.cross_entropy(grams, ends)
+                found = read_grams(raw, offsets)
+                mean, square = scorer.cross_entropy(found.classes, found.ends, found.where, found.spelled)
                 # A language without any letter has no number, and nothing to add.
                 own = np.array([number.get(x, 0) for x in rows.column(0).to_pylist()], dtype=np.int64)
                 mean, square = mean[own, np.arange(len(rows))], square[own, np.arange(len(rows))]
-                size = np.diff(ends).astype(np.float64)
+                size = np.diff(found.ends).astype(np.float64)
                 for total, value in zip(sums, (size > 0, size, size * mean, size * mean**2, size * square)):
                     total += np.bincount(own, weights=value, minlength=len(langs))
         met = np.flatnonzero(sums[0])
@@ -288,7 +407,7 @@ def train(docs: DataFrame) -> LanguageModel:
     counts = landed(spark, count_grams(docs), "lang-counts")
     rows = landed(spark, counts.groupBy("lang").applyInPandas(_fit, MODEL_DDL), "lang-model").collect()
     langs = sorted({r.lang for r in rows})
-    arrays = {(r.lang, r.kind): (np.frombuffer(r.grams, dtype=np.uint32).astype(np.int64), np.frombuffer(r.weights, dtype=np.float32))
+    arrays = {(r.lang, r.kind): (np.frombuffer(r.grams, dtype=np.int64), np.frombuffer(r.weights, dtype=np.float32))
               for r in rows}
     model = LanguageModel(langs, arrays)
     model.limits = _calibrate(docs, model) if langs else np.zeros((0, 3))
@@ -311,14 +430,15 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def work(rows: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         scorer = _scorer(sent.value)
-        grams, ends, letters = grams_of(raw, offsets)
+        found = read_grams(raw, offsets)
+        ends, letters = found.ends, found.letters
         known = (letters > 0) & bool(scorer.langs)
         names = np.array([*scorer.langs, UNDETERMINED], dtype=object)
         best = np.full(len(rows), len(scorer.langs))
         score, entropy = np.zeros(len(rows)), np.full(len(rows), np.nan)
         rejected = ~known
         if scorer.langs:
-            mean, _ = scorer.cross_entropy(grams, ends)
+            mean, _ = scorer.cross_entropy(found.classes, ends, found.where, found.spelled)
             size = np.maximum(np.diff(ends), 1)
             lead = mean.argmin(axis=0)
             low = mean.min(axis=0)
