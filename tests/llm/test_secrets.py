@@ -67,6 +67,31 @@ def test_models_tell_apart():
     assert len(found & set(held[:200])) >= 198 and not found & set(held[200:])
 
 
+def test_random_strings_of_one_kind_of_character():
+    """Keys of letters only, and long ones of digits only, are scored like any others."""
+    rng = random.Random(4)
+
+    def slice_of(strings):
+        raw = np.frombuffer("\n".join(strings).encode(), dtype=np.uint8)
+        return raw, np.array([0, len(raw)])
+
+    def pairs(strings):
+        raw, offsets = slice_of(strings)
+        starts, ends, _ = secrets.word_spans(raw, offsets, secrets.NOT_CANDIDATE)
+        return np.bincount(secrets._pairs(raw, starts, ends)[0], minlength=secrets.SYMBOLS**2)
+
+    def drawn(alphabet, size, n):
+        return ["".join(rng.choices(alphabet, k=size)) for _ in range(n)]
+
+    words = ["get", "user", "index", "value", "table", "count", "file", "path", "list", "name", "v2", "utf8", "sha1", "part3"]
+    names = ["_".join(rng.choices(words, k=5)) for _ in range(3200)]
+    model = secrets.SecretModel.of(pairs(drawn(string.ascii_letters + string.digits, 32, 3000)), pairs(names[:3000]))
+    for held in (drawn(string.ascii_letters, 20, 200), drawn(string.digits, 40, 200)):
+        raw, offsets = slice_of(held + names[3000:])
+        found = {raw[s:e].tobytes().decode() for _, s, _, e, _ in secrets.random_spans(raw, offsets, [], model)}
+        assert len(found & set(held)) >= 180 and not found & set(names[3000:])
+
+
 def test_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 

@@ -48,7 +48,6 @@ def _all_but(chars: bytes) -> np.ndarray:
 NOT_HEX = _all_but(b"0123456789abcdef")
 NOT_CANDIDATE = _all_but(_ALPHABET)
 NOT_IDENTIFIER = _all_but(_ALPHABET.replace(b"+", b"").replace(b"/", b"").replace(b"-", b""))
-_DIGIT = ~_all_but(b"0123456789")
 _LETTER = ~_all_but(_ALPHABET[:52])
 
 
@@ -148,13 +147,12 @@ def train(pairs: DataFrame) -> SecretModel:
 
 def random_spans(raw: np.ndarray, offsets: np.ndarray, spans: list[tuple], model: SecretModel
                  ) -> list[tuple[int, int, int, int, float]]:
-    """(row, start, rank, end, ratio) of long strings with letters and digits that look random."""
+    """(row, start, rank, end, ratio) of long strings that look random, whatever their characters."""
     starts, ends, row_spans = word_spans(raw, offsets, NOT_CANDIDATE)
     long = np.flatnonzero(ends - starts >= LEAST_RANDOM)
     starts, ends = starts[long], ends[long]
-    digits = _amount(_DIGIT[raw], starts, ends)
-    mixed = (digits > 0) & (_amount(_LETTER[raw], starts, ends) > 0) & _clear_of(starts, ends, spans)
-    long, starts, ends = long[mixed], starts[mixed], ends[mixed]
+    clear = _clear_of(starts, ends, spans)
+    long, starts, ends = long[clear], starts[clear], ends[clear]
     if not len(long):
         return []
     pairs, first = _pairs(raw, starts, ends)
