@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, near, packing, pii, secrets, sharding, token_counts
+from turnwise.llm import decontaminate, exact, language, lines, merkle, near, packing, pii, secrets, sharding, token_counts
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -153,3 +153,60 @@ FREE_ID = 49408
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), FREE_ID)
+
+
+def _run_sql(rows: str, out: str) -> str:
+    """Levels of trees over ``rows`` (t, i, n, h): every three consecutive nodes become their hash."""
+    return f"""{out} AS (
+        SELECT t, 0 AS lv, i, n, h FROM {rows}
+        UNION ALL
+        SELECT t, any_value(lv) + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i))
+        FROM {out} WHERE n > 1 GROUP BY t, i // 3)"""
+
+
+def _walk_sql(start: str, levels: str, out: str) -> str:
+    """Each start (id, t, i, n, h, proof) folded up to its tree's root."""
+    return f"""{out} AS (
+        SELECT id, t, 0 AS lv, i, n, h, proof FROM {start}
+        UNION ALL
+        SELECT w.id, any_value(w.t), any_value(w.lv) + 1, any_value(w.i) // 3, (any_value(w.n) + 2) // 3,
+               sha256(string_agg(CASE WHEN l.i = w.i THEN w.h ELSE l.h END, '' ORDER BY l.i)),
+               any_value(w.proof) || coalesce(string_agg(l.h, '' ORDER BY l.i) FILTER (l.i <> w.i), '')
+        FROM {out} w JOIN {levels} l ON l.t = w.t AND l.lv = w.lv AND l.i // 3 = w.i // 3 WHERE w.n > 1 GROUP BY w.id)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit (the polynomial is a fixed value)."""
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(range(1, length({text}) + 1), lambda k: CAST(ascii(substr({text}, k, 1)) AS BIGINT))),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+_HEAD_SQL = " || ".join(_field_sql(c) for c in merkle.FIELDS[:-1])
+
+
+MERKLE_SQL = f"""
+    WITH RECURSIVE d AS (
+        SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '') AS t, sha256({_HEAD_SQL} || {_field_sql("text")}) AS leaf,
+               sha256({_HEAD_SQL} || {_field_sql(f"CASE WHEN {_crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS changed
+        FROM documents),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY t) AS n FROM d),
+    first_rows AS (SELECT t, i, n, leaf AS h FROM leaves),
+    {_run_sql("first_rows", "nodes")},
+    subs AS (SELECT t AS sub, 0 AS t, row_number() OVER (ORDER BY t) - 1 AS i, count(*) OVER () AS n, h FROM nodes WHERE n = 1),
+    {_run_sql("subs", "tops")},
+    starts AS (SELECT id, t, i, n, changed AS h, '' AS proof FROM leaves),
+    {_walk_sql("starts", "nodes", "walk")},
+    arrived AS (SELECT w.id, 0 AS t, s.i, s.n, w.h, w.proof, s.h AS subroot FROM walk w JOIN subs s ON s.sub = w.t WHERE w.n = 1),
+    {_walk_sql("arrived", "tops", "climb")}
+    SELECT doc_id, leaf, subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = r.h AS verified
+    FROM climb c JOIN arrived USING (id) JOIN leaves USING (id), (SELECT h FROM tops WHERE n = 1) r WHERE c.n = 1"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(documents(spark, sf_dir))
