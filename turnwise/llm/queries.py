@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import decontaminate, exact, language, lines, merkle, near, packing, pii, secrets, sharding, token_counts
+from turnwise.llm import caps, decontaminate, exact, language, lines, merkle, near, packing, pii, secrets, sharding, token_counts
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -210,3 +210,22 @@ MERKLE_SQL = f"""
 @query("op11_merkle_manifest", MERKLE_SQL)
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(documents(spark, sf_dir))
+
+
+VECTORS_SQL = f"""
+    WITH RECURSIVE v AS (
+        SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r
+              WHERE list_cosine_similarity(a.e, b.e) >= {caps.SIMILARITY}),
+    reach AS (SELECT r, vec_id AS least FROM v UNION SELECT l.b, x.least FROM reach x JOIN links l ON l.a = x.r),
+    groups AS (SELECT r, min(least) AS component_id FROM reach GROUP BY r),
+    degrees AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+    FROM v JOIN groups USING (r) LEFT JOIN degrees USING (r)"""
+
+
+@query("op12_embedding_near_dedup", VECTORS_SQL)
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
