@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from turnwise.llm import caps, decontaminate, exact, language, lines, merkle, near, packing, pii, secrets, sharding, token_counts
+from turnwise.llm import caps, decontaminate, exact, language, lines, merkle, near, packing, pii, repair, secrets, sharding, token_counts
 from turnwise.llm.registry import ORACLES, QUERIES, documents, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -229,3 +229,48 @@ VECTORS_SQL = f"""
 @query("op12_embedding_near_dedup", VECTORS_SQL)
 def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+_SAID = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+# States: 0 nothing yet, 1 system, 2 user, 3 assistant. An edit step is some inserts and one row's edit.
+REPAIR_SQL = rf"""
+    WITH RECURSIVE given AS (
+        SELECT *, {_crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind FROM conversations),
+    kept AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+                    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM given WHERE kind <> 0),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos, rtrim(text, {_SAID}) AS bare FROM kept),
+    marked AS (SELECT *, substr(role, 1, 1) AS c, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS dup,
+                      right(bare, 1) NOT IN ('.', '!', '?') AS cut, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS p FROM placed),
+    counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                      count(*) FILTER (dup) AS duplicate, count(*) FILTER (NOT blank AND NOT dup AND cut) AS truncated,
+                      count(*) FILTER (p IS NOT NULL AND p || c NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM marked GROUP BY conv_id),
+    inserts AS (SELECT * FROM (VALUES (0, 0, 0, []), (1, 0, 1, []), (2, 0, 2, []), (3, 0, 3, []), (0, 1, 2, ['user:']), (1, 1, 2, ['user:']),
+                (2, 1, 3, ['assistant:']), (3, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']), (1, 2, 3, ['user:', 'assistant:'])) AS t(s, k, s2, said)),
+    steps AS (SELECT s, k, s2, said, edit, c, CASE WHEN edit = 'D' THEN s2 WHEN edit = 'K' AND c = 's' THEN 1 WHEN s2 = 2 THEN 3 ELSE 2 END AS s3
+              FROM inserts, (VALUES ('D', NULL), ('R', NULL), ('K', 's'), ('K', 'u'), ('K', 'a')) AS e(edit, c)
+              WHERE edit <> 'K' OR (c = 's' AND s2 = 0) OR (c = 'u' AND s2 <> 2) OR (c = 'a' AND s2 = 2)),
+    ways AS (
+        SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS s, {{'cost': CAST(0 AS BIGINT), 'audit': '', 'said': CAST([] AS VARCHAR[])}} AS best FROM counts
+        UNION ALL
+        SELECT w.conv_id, any_value(m.pos), t.s3, min({{
+            'cost': w.best.cost + 5 * t.k + CASE t.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN t.edit <> 'D' AND m.cut THEN 5 ELSE 0 END,
+            'audit': w.best.audit || repeat('I', t.k) || t.edit,
+            'said': w.best.said || CAST(t.said AS VARCHAR[]) || CASE t.edit WHEN 'D' THEN CAST([] AS VARCHAR[]) WHEN 'K' THEN [m.role || ':' || m.text]
+                    ELSE [CASE t.s3 WHEN 2 THEN 'user:' ELSE 'assistant:' END || m.text] END}})
+        FROM ways w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.pos = w.pos + 1
+        JOIN steps t ON t.s = w.s AND (t.edit = 'D' OR (NOT m.blank AND NOT m.dup AND (t.edit = 'R' OR t.c = m.c)))
+        GROUP BY w.conv_id, t.s3),
+    done AS (SELECT w.conv_id, min({{'cost': w.best.cost + 5 * t.k, 'audit': w.best.audit || repeat('I', t.k), 'said': w.best.said || CAST(t.said AS VARCHAR[])}}) AS best
+             FROM ways w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.pos JOIN inserts t ON t.s = w.s AND t.s2 IN (0, 3) GROUP BY w.conv_id)
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(d.best.cost, 0) AS cost, coalesce(d.best.audit, '') AS audit,
+           sha256(coalesce(array_to_string(d.best.said, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+    LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
+@query("op13_conversation_repair", REPAIR_SQL)
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
