@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from turnwise.plans import views as V
 from turnwise.plans.activity import _flagged
 from turnwise.plans.registry import query
-from turnwise.session import ROCKSDB, scratch_path
-from turnwise.streaming import jobs, stateful
+from turnwise.session import scratch_path
+from turnwise.streaming import jobs, ordered
 
 _ST = V.STAMP.format
 
@@ -33,11 +33,6 @@ def _stream(spark, sf, name, view):
     return view(_source(spark, sf, name)).unionByName(spark.readStream.schema(batch.schema).parquet(closing))
 
 
-def _with_rocksdb(spark):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return spark
-
-
 @query("r1_stream_sessions", f"""WITH {V.sessionized(1800)} SELECT namespace, user_id, session_id, {_ST('created_at')} AS created_at,
   {_ST('last_activity')} AS last_activity, events FROM sessions""")
 def r1(spark, sf):
@@ -47,18 +42,49 @@ def r1(spark, sf):
 
 @query("r2_stream_sessionize", f"WITH {V.sessionized(1800, forced=True, closing=True)} SELECT event_id, session_id FROM sessionized")
 def r2(spark, sf):
-    stream = _stream(_with_rocksdb(spark), sf, "events", V.activity_of)
-    out = jobs.run_available(stateful.stream_sessionize(
-        stream, 1800, force_new=F.col("force_new"), close=F.col("is_close")), "sessionized")
+    stream = _stream(spark, sf, "events", V.activity_of)
+    out = ordered.run_ordered(spark, lambda write, state: ordered.stream_sessionize(
+        stream, write, state, 1800, force_new=F.col("force_new"), close=F.col("is_close")), "sessionized")
     return out.where("event_id >= 0").select("event_id", "session_id")
 
 
 @query("r3_stream_dedup_60s", f"WITH {_flagged(60)} SELECT id, is_duplicate FROM flagged")
 def r3(spark, sf):
-    out = jobs.run_available(stateful.stream_dedup(_stream(_with_rocksdb(spark), sf, "documents", V.dups_of), "key"), "dedup")
+    stream = _stream(spark, sf, "documents", V.dups_of)
+    out = ordered.run_ordered(spark, lambda write, state: ordered.stream_dedup(stream, write, state, "key"), "dedup")
     return out.where("id >= 0").select("id", "is_duplicate")
 
 
+# Four deliveries by time; every tenth event comes with a later one, every fiftieth with the one after.
+_DELIVERY = "CAST(floor((day(ts) - 1) / 8) AS BIGINT) + CASE WHEN event_id % 50 = 0 THEN 2 WHEN event_id % 10 = 0 THEN 1 ELSE 0 END"
+
+
+@query("r7_late_rows", f"""WITH d AS (SELECT event_id, ts, {_DELIVERY} AS delivery FROM events),
+  seen AS (SELECT delivery, max(max(ts)) OVER (ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY AS watermark
+           FROM d GROUP BY delivery),
+  marked AS (SELECT event_id, delivery, watermark, coalesce(ts < watermark, false) AS late FROM d JOIN seen USING (delivery))
+  SELECT delivery, late, {_ST('max(CASE WHEN late THEN watermark END)')} AS watermark, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids,
+         min(event_id) AS first_id FROM marked GROUP BY delivery, late""")
+def r7(spark, sf):
+    """Events delivered in several loads, each a run of the same stream; late rows go to their own table."""
+    source, state = scratch_path(spark, "deliveries"), scratch_path(spark, "late-state")
+    kept, late = scratch_path(spark, "in-time"), scratch_path(spark, "late")
+    events = V.table(spark, sf, "events").selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", f"{_DELIVERY} AS delivery")
+    deliveries = [r[0] for r in events.select("delivery").distinct().orderBy("delivery").collect()]
+    for number in [*deliveries, None]:
+        # A last load far in the future lets all that waits go on.
+        load = events.where(F.col("delivery") == number) if number is not None else events.agg(
+            F.lit(-1).cast("bigint").alias("event_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.lit(-1).cast("bigint").alias("delivery"))
+        load.write.parquet(f"{source}/load-{'end' if number is None else number}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(source)
+        ordered.split_late(stream, ordered.into(kept), ordered.into(late), state, "ts", 2 * 86400).awaitTermination()
+    in_time = spark.read.parquet(kept).select("event_id", "delivery", F.lit(False).alias("late"), F.lit(None).cast("timestamp").alias("watermark"))
+    rejected = spark.read.parquet(late).select("event_id", "delivery", F.lit(True).alias("late"), "watermark")
+    return in_time.unionByName(rejected).groupBy("delivery", "late").agg(
+        F.max("watermark").alias("_w"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.min("event_id").alias("first_id")).select(
+        "delivery", "late", V.stamp("_w", "watermark"), "n", "ids", "first_id")
+
+
 def _calls(events):
     return events.where("event_type = 'view'").selectExpr(
         "ts", "concat('model', event_id % 3) AS model", "cast(floor(value) AS bigint) AS latency_ms", "event_id % 50 AS tokens")

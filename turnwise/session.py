@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,8 +30,6 @@ STATIC_CONF = {
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created.
@@ -49,13 +46,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str | int = "*", app: str = "turnwise", memory: str = "8g",
+def local_session(folder: str, cores: str | int = "*", app: str = "turnwise", memory: str = "8g",
                   shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own."""
+    """A local session for tests and the bench, with its shared folder; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", folder)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.extraJavaOptions", "-Duser.timezone=UTC")
     )
@@ -67,19 +65,12 @@ def local_session(cores: str | int = "*", app: str = "turnwise", memory: str = "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in
-    local tests, a temporary folder of this machine is used, and set for the session.
-    """
+    """The folder all executors can reach, as ``spark.checkpoint.dir`` names it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="turnwise-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return named
 
 
@@ -93,3 +84,9 @@ def landed(spark: SparkSession, df, label: str):
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote below the shared folder."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
