@@ -98,6 +98,59 @@ def r6(spark, sf):
     return out.where("model <> ''").withColumn("window_start", V.stamp("window_start"))
 
 
+def _write_files(root: str, share: float):
+    """Of (path, line, value) sorted by path and line: one file per path below ``root``, its first bytes only.
+
+    A file is written anew with what it held before and more, so a task that is run again leaves the same.
+    """
+    from turnwise.sources.growing import open_path
+
+    def run(batches):
+        import pyarrow as pa
+        store, folder = open_path(root)
+        now, body, paths = None, [], []
+
+        def close():
+            if now is not None:
+                data = "".join(v + "\n" for v in body).encode()
+                name = f"{folder}{now}"
+                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(f"{name}.part") as out:
+                    out.write(data[:int(len(data) * share)])
+                store.move(f"{name}.part", name)
+                paths.append(name)
+        for batch in batches:
+            for path, value in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+                if path != now:
+                    close()
+                    now, body = path, []
+                body.append(value)
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], names=["path"])
+    return run
+
+
+@query("r4_stream_growing", f"""WITH {V.LINES}, l AS (SELECT session_id, line, role, text, conv_id,
+    sum((role = 'user')::INT) OVER (PARTITION BY session_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS t FROM lines WHERE role IN ('user', 'assistant')),
+  turns AS (SELECT session_id, t, count(*) FILTER (role = 'assistant') AS replies, max(t) OVER (PARTITION BY session_id) AS last,
+    sum(length(text)) FILTER (role = 'user') AS asked FROM l WHERE t > 0 GROUP BY session_id, t)
+  SELECT session_id, CAST(t AS BIGINT) AS turn_no, t = last AS is_open, CAST(asked AS BIGINT) AS asked FROM turns WHERE replies > 0""")
+def r4_growing(spark, sf):
+    """Transcript files that grow between runs of one stream, cut in the middle of lines."""
+    from turnwise.operators.turns import group_turns
+    from turnwise.sources.transcripts import parse_claude_lines
+    root, state, out = scratch_path(spark, "transcripts"), scratch_path(spark, "growing-state"), scratch_path(spark, "growing-turns")
+    group = lambda lines: group_turns(lines, "claude")
+    for share in (0.6, 1.0):
+        V.claude_raw(spark, sf).repartition("path").sortWithinPartitions("path", "line").mapInArrow(
+            _write_files(root, share), "path string").write.format("noop").mode("overwrite").save()
+        jobs.stream_growing(spark, root, parse_claude_lines, group, ordered.into(out), state, F.col("role") == "user").awaitTermination()
+    asked = F.length(F.col("msg")[0]["content"]).cast("bigint").alias("asked")
+    done = spark.read.parquet(out).select("session_id", "turn_no", F.lit(False).alias("is_open"), asked)
+    rest = jobs.open_turns(spark, state, parse_claude_lines, group)
+    return done.unionByName(rest.select("session_id", "turn_no", F.lit(True).alias("is_open"), asked))
+
+
 @query("r4_stream_incremental", """WITH l AS (SELECT 'conv-' || conv_id AS session_id, turn, role,
     sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS t FROM conversations WHERE role IN ('user', 'assistant')),
   turns AS (SELECT session_id, t FROM l WHERE t > 0 GROUP BY session_id, t HAVING count(*) FILTER (role = 'assistant') > 0)

@@ -6,11 +6,13 @@ import time
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnwise.operators.redact import RulesNotReady, compile_rules, redact_messages
 from turnwise.operators.sessions import known_keys, session_id
-from turnwise.session import scratch_path
+from turnwise.session import remove_path, scratch_path
+from turnwise.sources.growing import read_growing_lines
+from turnwise.sources.transcripts import file_stem
 
 
 def stream_sessions(stream: DataFrame, timeout: float = 120, keys: Sequence[str] = ("namespace", "user_id"),
@@ -77,6 +79,67 @@ def stream_incremental(spark: SparkSession, source: str, parse: Callable[[DataFr
             .trigger(availableNow=True).start())
 
 
+def _followed(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}/open-{number:012d}"
+
+
+def stream_growing(spark: SparkSession, source: str, parse: Callable[[DataFrame], DataFrame], group: Callable[[DataFrame], DataFrame],
+                   write: Callable[[DataFrame, int], None], checkpoint: str, opens: Column, session: Column | None = None,
+                   pattern: str = "*.jsonl", max_bytes: int = 1 << 33, split_bytes: int = 1 << 26):
+    """Turns of transcripts that go on growing, each handed to ``write`` once it is complete.
+
+    ``parse`` makes lines of (path, line, value), ``opens`` tells the lines that open a turn, and
+    ``group`` makes turns with ``session_id`` and ``turn_no``; ``session`` is the session of a
+    ``path``, the file's name if not given. A turn is complete when the next one opens. The lines of
+    a session's last, open turn are written with the micro-batch's state and join the lines of the
+    next one; nothing older is read again. Turn numbers go on over micro-batches. :func:`open_turns`
+    gives the rest once no file grows any more.
+
+    A folder of lines per micro-batch is all the state besides Spark's checkpoint and the log of
+    admitted ranges below it; a replayed micro-batch replaces its own, and ``write`` must too.
+    """
+    checkpoint = checkpoint.rstrip("/")
+    state = f"{checkpoint}/turns"
+    session = file_stem(F.col("path")) if session is None else session
+
+    def batch(df: DataFrame, number: int) -> None:
+        held = df.select("path", "line", "value", session.alias("_session"), F.lit(0).cast("bigint").alias("_before"))
+        schema = held.schema
+        if number:
+            held = held.unionByName(spark.read.schema(schema).parquet(_followed(state, number - 1)))
+        path = f"{state}/lines-{number:012d}"
+        held.write.mode("overwrite").parquet(f"{path}/held")
+        held = spark.read.schema(schema).parquet(f"{path}/held")
+        lines = parse(held.select("path", "line", "value"))
+        # Per session: the line that opens its last turn, the turns opened here and those before.
+        heads = lines.where(opens).groupBy(F.col("session_id").alias("_session")).agg(F.max("line").alias("_open"), F.count(F.lit(1)).alias("_opened"))
+        heads = held.groupBy("_session").agg(F.max("_before").alias("_known")).join(heads, "_session")
+        heads.write.mode("overwrite").parquet(f"{path}/heads")
+        heads = spark.read.schema(heads.schema).parquet(f"{path}/heads")
+        turns = group(lines).join(heads.withColumnRenamed("_session", "session_id"), "session_id").where("turn_no < _opened")
+        write(turns.withColumn("turn_no", F.col("turn_no") + F.col("_known")).drop("_open", "_opened", "_known"), number)
+        kept = held.join(heads, "_session", "left").where(F.col("_open").isNull() | (F.col("line") >= F.col("_open")))
+        kept = kept.withColumn("_before", F.coalesce(F.col("_known") + F.col("_opened") - 1, F.col("_before")))
+        kept.select(schema.names).write.mode("overwrite").parquet(_followed(state, number))
+        remove_path(spark, path)
+        if number >= 2:
+            remove_path(spark, _followed(state, number - 2))
+
+    stream = read_growing_lines(spark, source, f"{checkpoint}/files", pattern=pattern, maxBytesPerTrigger=max_bytes, splitBytes=split_bytes)
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def open_turns(spark: SparkSession, checkpoint: str, parse: Callable[[DataFrame], DataFrame], group: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The turns that :func:`stream_growing` still holds back, for when no file grows any more."""
+    state = f"{checkpoint.rstrip('/')}/turns"
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(state)
+    number = names.agg(F.max(F.regexp_extract("path", "/open-([0-9]+)/", 1).try_cast("bigint"))).first()[0]
+    held = spark.read.parquet(_followed(state, number))
+    known = held.groupBy(F.col("_session").alias("session_id")).agg(F.max("_before").alias("_known"))
+    turns = group(parse(held.select("path", "line", "value"))).join(known, "session_id")
+    return turns.withColumn("turn_no", F.col("turn_no") + F.col("_known")).drop("_known")
+
+
 class RulesCache:
     """Rules re-read at most every ``ttl`` seconds; the last good ones serve when a read fails.
 
