@@ -54,3 +54,12 @@ def test_members(spark):
     new = spark.createDataFrame([(3, b"b" * 32), (4, b"c" * 32), (5, b"c" * 32)], "doc_id bigint, digest binary")
     got = {bytes(r.digest)[:1]: (r.keep_id, r.group_size, r.member) for r in exact.dedup_against_history(old, new).collect()}
     assert got == {b"a": (1, 1, False), b"b": (3, 2, True), b"c": (5, 2, False)}
+
+
+def test_large_ids_beside_missing_ones(spark):
+    """Ids that a double does not hold, over several shards, with a missing id in each."""
+    docs = [(2**60 + 2 * i + 1, f"text {i % 40}") for i in range(120)] + [(None, f"text {i}") for i in range(0, 60, 3)] + [(None, None)]
+    docs += [(-(2**60) - i, f"text {i % 40}") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = exact.dedup(df, keys_per_shard=5).collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.kept or r.doc_id is None and r.keep_id is None, r.text_sha256) for r in got], key=repr) == brute(docs)

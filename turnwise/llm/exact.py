@@ -26,7 +26,9 @@ GAMMA = 2.0
 
 INDEX_DDL = ("shard bigint, sizes array<bigint>, bits binary, digests binary, "
              "winners binary, known binary, counts binary")
-GROUP_DDL = "digest binary, keep_id bigint, group_size bigint, member boolean"
+# An id travels through pandas beside a flag that tells whether there is one: a column with a gap
+# would turn into doubles there, which do not hold large ids.
+GROUP_DDL = "digest binary, keep_id bigint, known boolean, group_size bigint, member boolean"
 
 
 def text_digest(text: Column) -> Column:
@@ -86,17 +88,16 @@ def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     digests = _digest_array(pdf["digest"])
     levels, slots = build_hash(digests)
     order = np.argsort(slots)
-    known = pdf["keep_id"].notna().to_numpy()[order]
     return pd.DataFrame([{
         "shard": int(pdf["shard"].iloc[0]), "sizes": [len(x) for x in levels],
         "bits": np.packbits(np.concatenate(levels)).tobytes(), "digests": digests[order].tobytes(),
-        "winners": pdf["keep_id"].fillna(0).to_numpy(dtype=np.int64)[order].tobytes(),
-        "known": known.tobytes(), "counts": pdf["group_size"].to_numpy(dtype=np.int64)[order].tobytes(),
+        "winners": pdf["keep_id"].to_numpy(dtype=np.int64)[order].tobytes(),
+        "known": pdf["known"].to_numpy(dtype=bool)[order].tobytes(), "counts": pdf["group_size"].to_numpy(dtype=np.int64)[order].tobytes(),
     }])
 
 
 def _merge_shard(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
-    columns = ["digest", "keep_id", "group_size", "member"]
+    columns = ["digest", "keep_id", "known", "group_size", "member"]
     fresh = batch.assign(member=False)[columns]
     if index.empty:
         return fresh
@@ -115,17 +116,14 @@ def _merge_shard(index: pd.DataFrame, batch: pd.DataFrame) -> pd.DataFrame:
         member = slots >= 0
         member[member] = (held[slots[member]] == digests[member]).all(axis=1)
         at = slots[member]
-        ids = batch["keep_id"][member]
-        new, given = ids.fillna(0).to_numpy(dtype=np.int64), ids.notna().to_numpy()
+        new, given = batch["keep_id"].to_numpy(dtype=np.int64)[member], batch["known"].to_numpy(dtype=bool)[member]
         better = given & (~known[at] | (new > winners[at]))
         winners[at[better]], known[at[better]] = new[better], True
         counts[at] += batch["group_size"].to_numpy(dtype=np.int64)[member]
         hit[at] = True
         fresh = fresh[~member]
-    old = pd.DataFrame({"digest": [bytes(x) for x in held], "keep_id": pd.array(winners, dtype="Int64"),
-                        "group_size": counts, "member": hit})
-    old.loc[~known, "keep_id"] = pd.NA
-    return old if fresh.empty else pd.concat([old, fresh.astype({"keep_id": "Int64"})])
+    old = pd.DataFrame({"digest": [bytes(x) for x in held], "keep_id": winners, "known": known, "group_size": counts, "member": hit})
+    return old if fresh.empty else pd.concat([old, fresh])
 
 
 def digest_groups(rows: DataFrame) -> DataFrame:
@@ -134,7 +132,8 @@ def digest_groups(rows: DataFrame) -> DataFrame:
 
 
 def _sharded(groups: DataFrame, shards: int) -> DataFrame:
-    return groups.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(shards)))
+    return groups.withColumns({"shard": F.pmod(F.xxhash64("digest"), F.lit(shards)), "known": F.col("keep_id").isNotNull(),
+                               "keep_id": F.coalesce("keep_id", F.lit(0).cast("bigint"))})
 
 
 def build_index(groups: DataFrame, shards: int) -> DataFrame:
@@ -147,8 +146,9 @@ def merge_groups(index: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
 
     ``member`` is true where the load repeats a digest of the index.
     """
-    return (index.groupBy("shard").cogroup(_sharded(batch, shards).groupBy("shard"))
-            .applyInPandas(_merge_shard, GROUP_DDL))
+    merged = (index.groupBy("shard").cogroup(_sharded(batch, shards).groupBy("shard"))
+              .applyInPandas(_merge_shard, GROUP_DDL))
+    return merged.withColumn("keep_id", F.when(F.col("known"), F.col("keep_id"))).drop("known")
 
 
 def dedup_against_history(history: DataFrame, batch: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
