@@ -34,7 +34,10 @@ SLOTS = 4
 MAX_KICKS = 500
 
 FILTER_DDL = "shard bigint, buckets bigint, seed bigint, cells binary"
-COUNT_DDL = "digest binary, n_docs bigint, keep_id bigint"
+# How far shards may fill up before they are dealt anew.
+FULL = 3
+# Beside an id stands whether there is one: pandas would turn a column with a gap into doubles.
+PROBE_DDL = "digest binary, n_docs bigint, keep_id bigint, known boolean, maybe boolean"
 REF_DDL = "digest binary, doc_id bigint, n bigint"
 
 
@@ -148,12 +151,13 @@ def line_refs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 @dataclass
 class LineState:
-    """``refs``, ``counts`` and ``filters`` as landed tables, and the number of shards."""
+    """``refs``, ``counts`` and ``filters`` as landed tables, the number of shards and of keys meant for each."""
 
     refs: DataFrame
     counts: DataFrame
     filters: DataFrame
     shards: int
+    keys_per_shard: int = KEYS_PER_SHARD
 
 
 def _shard(shards: int) -> Column:
@@ -174,16 +178,19 @@ def build_filters(counts: DataFrame, shards: int) -> DataFrame:
 
 
 def _probe(filters: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+    columns = ["digest", "n_docs", "keep_id", "known", "maybe"]
     if filters.empty or keys.empty:
-        return keys.assign(maybe=False)[["digest", "n_docs", "keep_id", "maybe"]]
+        return keys.assign(maybe=False)[columns]
     maybe = CuckooFilter.from_row(filters.iloc[0]).contains(_digests(keys["digest"]))
-    return keys.assign(maybe=maybe)[["digest", "n_docs", "keep_id", "maybe"]]
+    return keys.assign(maybe=maybe)[columns]
 
 
 def probe(state: LineState, keys: DataFrame) -> DataFrame:
     """Distinct counted ``keys`` with ``maybe``: False proves that the state does not hold the key."""
-    return (state.filters.groupBy("shard").cogroup(keys.withColumn("shard", _shard(state.shards)).groupBy("shard"))
-            .applyInPandas(_probe, COUNT_DDL + ", maybe boolean"))
+    sharded = keys.select("digest", "n_docs", F.coalesce("keep_id", F.lit(0).cast("bigint")).alias("keep_id"),
+                          F.col("keep_id").isNotNull().alias("known"), _shard(state.shards).alias("shard"))
+    probed = state.filters.groupBy("shard").cogroup(sharded.groupBy("shard")).applyInPandas(_probe, PROBE_DDL)
+    return probed.select("digest", "n_docs", F.when(F.col("known"), F.col("keep_id")).alias("keep_id"), "maybe")
 
 
 def _renew(filters: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
@@ -214,30 +221,49 @@ def _renewed(state: LineState, changes: DataFrame, counts: DataFrame) -> DataFra
     return landed(spark, done.where("buckets > 0").unionByName(build_filters(again, state.shards)), "lines-filters")
 
 
+def _shards_for(keys: int, keys_per_shard: int) -> int:
+    return max(1, -(-keys // keys_per_shard))
+
+
+def _first_state(refs: DataFrame, keys_per_shard: int) -> LineState:
+    spark = refs.sparkSession
+    counts = landed(spark, _counted(refs), "lines-counts")
+    shards = _shards_for(counts.count(), keys_per_shard)
+    return LineState(refs, counts, landed(spark, build_filters(counts, shards), "lines-filters"), shards, keys_per_shard)
+
+
 def build_state(docs: DataFrame, min_chars: int = MIN_CHARS, keys_per_shard: int = KEYS_PER_SHARD) -> LineState:
     """The state of a first load."""
-    spark = docs.sparkSession
-    refs = landed(spark, line_refs(docs, min_chars), "lines-refs")
-    counts = landed(spark, _counted(refs), "lines-counts")
-    shards = max(1, -(-counts.count() // keys_per_shard))
-    return LineState(refs, counts, landed(spark, build_filters(counts, shards), "lines-filters"), shards)
+    return _first_state(landed(docs.sparkSession, line_refs(docs, min_chars), "lines-refs"), keys_per_shard)
 
 
-def insert_docs(state: LineState, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineState:
-    """The state with the lines of more documents; their ids are not in it yet."""
-    spark = docs.sparkSession
-    more = landed(spark, line_refs(docs, min_chars), "lines-more")
+def _with_refs(state: LineState, more: DataFrame) -> LineState:
+    """The state with more references.
+
+    Keys that the filters prove new go to the counts as they are; only the others meet the exact
+    counts. Shards are dealt anew once they hold ``FULL`` times the keys meant for them.
+    """
+    spark = more.sparkSession
     probed = landed(spark, probe(state, _counted(more)), "lines-probed")
     seen = probed.where("maybe").select("digest", F.col("n_docs").alias("_n"), F.col("keep_id").alias("_keep"))
+    # Marked where the filter wrongly took a key for known: it is new to the exact counts.
     old = state.counts.join(seen, "digest", "full_outer").select(
         "digest", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n_docs"),
-        F.greatest("keep_id", "_keep").alias("keep_id"))
-    counts = landed(spark, old.unionByName(probed.where("not maybe").drop("maybe")), "lines-counts")
-    # A key the filter wrongly took for known is new to the exact table, so it is added as well.
-    new = probed.where("not maybe").select("digest").unionByName(
-        seen.join(state.counts, "digest", "left_anti").select("digest")).withColumn("added", F.lit(True))
-    filters = _renewed(state, new, counts)
-    return LineState(landed(spark, state.refs.unionByName(more), "lines-refs"), counts, filters, state.shards)
+        F.greatest("keep_id", "_keep").alias("keep_id"), F.col("n_docs").isNull().alias("new"))
+    fresh = probed.where("not maybe").select("digest", "n_docs", "keep_id", F.lit(True).alias("new"))
+    counted = landed(spark, old.unionByName(fresh), "lines-counts")
+    counts, keys = counted.drop("new"), counted.count()
+    refs = state.refs.unionByName(more)
+    if keys > FULL * state.shards * state.keys_per_shard:
+        shards = _shards_for(keys, state.keys_per_shard)
+        return LineState(refs, counts, landed(spark, build_filters(counts, shards), "lines-filters"), shards, state.keys_per_shard)
+    filters = _renewed(state, counted.where("new").select("digest", F.lit(True).alias("added")), counts)
+    return LineState(refs, counts, filters, state.shards, state.keys_per_shard)
+
+
+def insert_docs(state: LineState, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineState:
+    """The state with the lines of more documents; their ids are not in it yet."""
+    return _with_refs(state, landed(docs.sparkSession, line_refs(docs, min_chars), "lines-more"))
 
 
 def delete_docs(state: LineState, ids: DataFrame) -> LineState:
@@ -250,15 +276,32 @@ def delete_docs(state: LineState, ids: DataFrame) -> LineState:
     again = landed(spark, _counted(refs.join(touched, "digest", "left_semi")), "lines-again")
     counts = landed(spark, state.counts.join(touched, "digest", "left_anti").unionByName(again), "lines-counts")
     lost = touched.join(again, "digest", "left_anti").withColumn("added", F.lit(False))
-    return LineState(refs, counts, _renewed(state, lost, counts), state.shards)
+    return LineState(refs, counts, _renewed(state, lost, counts), state.shards, state.keys_per_shard)
+
+
+def corpus_state(docs: DataFrame, min_chars: int = MIN_CHARS, keys_per_shard: int = KEYS_PER_SHARD) -> LineState:
+    """The state of a whole table, loaded in two parts: the lower half of the id range, then the rest.
+
+    So the filters of the first part prove most keys of the second one new.
+    """
+    refs = landed(docs.sparkSession, line_refs(docs, min_chars), "lines-refs")
+    low, high = refs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    early = F.coalesce(F.col("doc_id") <= F.lit(0 if low is None else (low + high) // 2), F.lit(False))
+    state = _with_refs(_first_state(refs.where(early), keys_per_shard), refs.where(~early))
+    return LineState(refs, state.counts, state.filters, state.shards, keys_per_shard)
 
 
 def drops(state: LineState, refs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, digests): the line keys that each document of ``refs`` loses."""
+    """(doc_id, digests): the line keys that each document of ``refs`` loses.
+
+    Keys of other documents than the state's pass its filters first; its own are all in it.
+    """
     spark = refs.sparkSession
-    keys = probe(state, _counted(refs)).where("maybe").select("digest")
     often = state.counts.where(F.col("n_docs") >= min_docs).select("digest", "keep_id")
-    often = landed(spark, often.join(keys, "digest", "left_semi"), "lines-often")
+    if refs is not state.refs:
+        keys = probe(state, _counted(refs)).where("maybe").select("digest")
+        often = often.join(keys, "digest", "left_semi")
+    often = landed(spark, often, "lines-often")
     lost = refs.join(often.hint("merge"), "digest").where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     return lost.groupBy("doc_id").agg(F.collect_set("digest").alias("_drop"))
 
@@ -308,7 +351,7 @@ def dedup_lines(docs: DataFrame, state: LineState | None = None, min_chars: int
     texts are kept byte for byte. Empty tables give no rows.
     """
     if state is None:
-        state = build_state(docs, min_chars)
+        state = corpus_state(docs, min_chars)
         refs = state.refs
     else:
         refs = landed(docs.sparkSession, line_refs(docs, min_chars), "lines-refs")
