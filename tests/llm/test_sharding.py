@@ -78,3 +78,27 @@ def test_nulls(spark):
     rows = sharding.shard_table(docs, 2).collect()
     check(rows, 4, 2)
     assert sorted(r.size for r in rows) == [16, 16, 16, 18]
+
+
+def test_deal_does_not_depend_on_how_the_rows_are_split(spark, tmp_path):
+    """The scan is planned with other splits between the count and the deal, as after a lost executor."""
+    path = str(tmp_path / "t")
+    spark.range(20000).repartition(5).write.parquet(path)
+    name, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    dealt = sharding.shuffle_to_shards(spark.read.parquet(path), 7, block_rows=500)
+    want = sorted(dealt.collect())
+    try:
+        spark.conf.set(name, "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        again = sharding.shuffle_to_shards(spark.read.parquet(path), 7, block_rows=500)
+        rows = again.collect()
+        spark.conf.set(name, "100")
+        # The written cells are read in many more splits than they were counted in.
+        more = again.union(again.limit(0)).collect()
+    finally:
+        spark.conf.set(name, old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for got in (want, rows, more):
+        check(got, 20000, 7)
+        assert sorted(r.id for r in got) == list(range(20000))
+    assert sorted(rows) == sorted(more)

@@ -1,6 +1,6 @@
 """A uniform shuffle into shards of exact sizes by a hypergeometric communication matrix.
 
-The rows lie in cells (input partitions) of known sizes; the shards are cut into blocks of
+The rows lie in cells (partitions as first written) of known sizes; the shards are cut into blocks of
 known sizes. How many rows go from each cell to each block is drawn exactly, from the
 multivariate hypergeometric law that a uniform permutation of all rows follows. A cell then
 deals its rows in random order to these counts, the rows are exchanged by block, and each
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -29,6 +28,7 @@ BLOCK_ROWS = 100_000
 SEED = 20240607
 # The library's sampler is exact below this population.
 SMALL_POPULATION = 10**9
+_IN_CELL = 33  # bits that monotonically_increasing_id leaves to the row within its partition
 
 
 def _hypergeometric(good: int, bad: int, draws: int, rng: np.random.Generator) -> int:
@@ -56,12 +56,13 @@ def split_counts(counts: np.ndarray, draws: int, rng: np.random.Generator) -> np
     total = int(counts.sum())
     if total < SMALL_POPULATION:
         return rng.multivariate_hypergeometric(counts, draws, method="marginals")
-    out = np.zeros_like(counts)
-    for i, size in enumerate(counts[:-1]):
-        out[i] = _hypergeometric(int(size), total - int(size), draws, rng)
-        total, draws = total - int(size), draws - int(out[i])
-    out[-1] = draws
-    return out
+    if len(counts) == 1:
+        return np.array([draws], dtype=counts.dtype)
+    # Halves of the groups, until a half is small enough for the library's sampler.
+    half = len(counts) // 2
+    good = int(counts[:half].sum())
+    first = _hypergeometric(good, total - good, draws, rng)
+    return np.concatenate([split_counts(counts[:half], first, rng), split_counts(counts[half:], draws - first, rng)])
 
 
 def matrix_row(cells: np.ndarray, blocks: np.ndarray, cell: int, seed: int = SEED) -> np.ndarray:
@@ -94,35 +95,40 @@ def block_sizes(rows: int, shards: int, block_rows: int = BLOCK_ROWS) -> tuple[n
 def shuffle_to_shards(rows: DataFrame, shards: int = SHARDS, block_rows: int = BLOCK_ROWS, seed: int = SEED) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards-1) and ``slot`` (0 onwards in each shard) added.
 
-    Every order of all rows over all shards and slots is equally likely over seeds. ``rows``
-    must be read from files (a scan gives the same partitions again). Values do not matter:
-    nulls and repeated rows are dealt like any other; with fewer rows than shards the last
-    shards are empty; an empty table gives no rows. Columns of the added names are replaced.
+    Every order of all rows over all shards and slots is equally likely over seeds. The rows are
+    written once with the cell and the place in it that they are dealt by, so whatever splits a
+    later job reads them in, the counts hold. Values do not matter: nulls and repeated rows are
+    dealt like any other; with fewer rows than shards the last shards are empty; an empty table
+    gives no rows. Columns of the added names are replaced.
     """
     keep = [f for f in rows.schema.fields if f.name not in ("shard", "slot")]
-    rows = rows.select(*[f.name for f in keep])
-    cell = F.spark_partition_id().alias("cell")
-    counted = dict(rows.select(cell).groupBy("cell").count().collect())
-    cells = np.array([counted.get(i, 0) for i in range(max(counted, default=-1) + 1)], dtype=np.int64)
     inner = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(keep)]
-                       + [StructField(n, LongType()) for n in ("block", "owner", "first", "cell", "place")])
+                       + [StructField(n, LongType()) for n in ("cell", "place", "block", "owner", "first")])
+    named = rows.select(*[f.name for f in keep]).toDF(*inner.fieldNames()[:-5]).withColumn("_at", F.monotonically_increasing_id())
+    named = landed(rows.sparkSession, named.withColumns({
+        "cell": F.shiftright("_at", _IN_CELL), "place": F.col("_at").bitwiseAND(F.lit((1 << _IN_CELL) - 1))}).drop("_at"), "shard-cells")
+    counted = dict(named.groupBy("cell").count().collect())
+    cells = np.array([counted.get(i, 0) for i in range(max(counted, default=-1) + 1)], dtype=np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, at, dealt = TaskContext.get().partitionId(), 0, None
+        blocks, owner, first = block_sizes(int(cells.sum()), shards, block_rows)
+        now, dealt = None, np.zeros(0, dtype=np.int32)
         for batch in batches:
-            if dealt is None:
-                blocks, owner, first = block_sizes(int(cells.sum()), shards, block_rows)
-                sent = matrix_row(cells, blocks, cell, seed)
-                dealt = np.repeat(np.arange(len(blocks)), sent)
-                np.random.default_rng([seed, 1, cell]).shuffle(dealt)
-            n = len(batch)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(dealt[at: at + n]), pa.array(owner[dealt[at: at + n]]),
-                 pa.array(first[dealt[at: at + n]]), pa.array(np.full(n, cell, dtype=np.int64)),
-                 pa.array(np.arange(at, at + n))], names=inner.fieldNames())
-            at += n
-
-    dealt = rows.toDF(*inner.fieldNames()[:-5]).mapInArrow(deal, inner)
+            cell, place = batch.column("cell").to_numpy(), batch.column("place").to_numpy()
+            block = np.empty(len(batch), dtype=np.int64)
+            for one in np.unique(cell):
+                if one != now:
+                    dealt = np.repeat(np.arange(len(blocks), dtype=np.int32), matrix_row(cells, blocks, int(one), seed))
+                    np.random.default_rng([seed, 1, int(one)]).shuffle(dealt)
+                    now = one
+                at = place[cell == one]
+                if at.max() >= len(dealt):
+                    raise RuntimeError(f"cell {one} has more rows than were counted")
+                block[cell == one] = dealt[at]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(block), pa.array(owner[block]), pa.array(first[block])],
+                                             names=inner.fieldNames())
+
+    dealt = named.mapInArrow(deal, inner)
     again = F.xxhash64(F.lit(seed), "cell", "place")
     place = F.row_number().over(Window.partitionBy("block").orderBy(again, "cell", "place")) - 1
     placed = dealt.withColumn("place", place)
@@ -138,4 +144,4 @@ def shard_table(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     raw = F.coalesce("text", F.lit("")).cast("binary")
     narrow = docs.select("doc_id", (F.octet_length(raw) + 16).cast("bigint").alias("size"), F.crc32(raw).alias("text_crc32"))
-    return shuffle_to_shards(landed(docs.sparkSession, narrow, "shard-rows"), shards)
+    return shuffle_to_shards(narrow, shards)
