@@ -248,3 +248,56 @@ def test_audit_counts_then_zero(spark):
     before = O.pii_audit(df, "t").agg(F.sum("hits")).first()[0]
     after = O.pii_audit(O.redact_column(df, "t"), "t").agg(F.sum("hits")).first()[0]
     assert before > 10 and after == 0
+
+
+@pytest.mark.parametrize("pattern, want", [
+    ("ticket-[0-9]+", ["ticket-"]), ("[0-9]+", None), ("a|bcd", None), ("abc|de", ["abc", "de"]), ("(?:foo|barbar)x?", ["foo", "barbar"]),
+    ("(?i)PROJECT", ["projec"[:3]]), ("x(abcd)*", None), ("x(abcd)+y", ["abcd"]), ("(?i:AB)CD", ["ab"]), ("é?naïve word", ["ve word"]), ("(?=abc)..", None),
+    ("a.b", None),
+])
+def test_literals_that_a_match_cannot_do_without(pattern, want):
+    found = O.required_literals(pattern)
+    if pattern == "(?i)PROJECT":
+        assert found and all("s" not in x and "k" not in x and "i" not in x for x in found)
+        return
+    assert found == want
+
+
+def test_literals_against_matches():
+    """Whatever a pattern matches holds one of its literals, over texts of odd letters."""
+    import itertools
+    import random
+    import re
+    rng = random.Random(3)
+    patterns = ["(?i)task", "(?i)mr[sz]? smith", "ab(c|de)+f", "(no|yes)\\s+way", "(?i)straße", "k{2,}elvin", "(?i)Kelvin", "(ab|ba){2}", "x?yz"]
+    letters = ["task", "TASK", "ta\u017fk", "TAS\u212a", "mr smith", "MRS SMITH", "abcf", "abdecf", "no way", "yes\tway", "stra\u00dfe", "kkelvin", "\u212aelvin", "abba", "baab", "yz", "Σ"]
+    for pattern in patterns:
+        literals = O.required_literals(pattern)
+        for _ in range(200):
+            text = "".join(rng.choice(letters) + rng.choice(["", " ", "."]) for _ in range(3))
+            if re.search(pattern, text) and literals:
+                assert any(x.lower() in text.lower() for x in literals), (pattern, text)
+
+
+def test_only_texts_that_rules_may_match_go_through_arrow(spark):
+    """The rows of the branch that leaves the JVM are counted; results are those of running every rule on every row."""
+    from pyspark.sql import functions as F
+    from turnwise.functions.jsonredact import _custom
+    raw = [("t", 1, {}, [("a", "secret-[0-9]+", "<s>"), ("b", "(?i)codename \\w+", "<c>")]), ("u", 2, {}, [("c", "[0-9]{9}", "<n>")]), ("v", 3, {}, []),
+           ("w", 4, {}, [("d", "EMAIL", "<e>")])]
+    rules = O.compile_rules(spark, spark.createDataFrame(raw, O.RULES_DDL))
+    assert {r.tenant: r.literals for r in rules.collect()} == {"t": ["codename ", "secret-"], "u": None, "v": [], "w": None} or \
+        {r.tenant: r.literals for r in rules.collect()}["u"] is None
+    texts = ["nothing here", "a secret-12 b", "CodeName Zorro", "mail a.b@example.com", "123456789", "secret", "x" * 1000]
+    rows = [(i, tenant, text) for i, (tenant, text) in enumerate((t, x) for t in "tuvw" for x in texts)]
+    records = spark.createDataFrame(rows, "id int, namespace string, text string").select("id", "namespace", F.from_json(
+        F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content")))), MSG_DDL).alias("msg"))
+    from turnwise.operators.scan import lookup_join
+    joined = lookup_join(records, rules.withColumnRenamed("tenant", "namespace"), ["namespace"])
+    sent = joined.where(O.needs_rules(F.col("msg"), F.col("custom_json"), F.col("literals")))
+    # Of t the two texts with a literal, of u and w (nothing can be told) all, of v none.
+    assert sorted(r.id for r in sent.collect()) == [1, 2, *range(7, 14), *range(21, 28)]
+    got = {r.id: r.t for r in O.redact_messages(records, rules).select("id", F.try_variant_get(F.col("msg")[0]["content"], "$", "string").alias("t")).collect()}
+    every = rules.withColumn("literals", F.lit(None).cast("array<string>"))
+    want = {r.id: r.t for r in O.redact_messages(records, every).select("id", F.try_variant_get(F.col("msg")[0]["content"], "$", "string").alias("t")).collect()}
+    assert got == want and got[1] == "a <s> b" and got[2] == "<c>" and got[24] == "mail [<e>]"

@@ -117,13 +117,15 @@ def _successors(ok: DataFrame, micros: int) -> DataFrame:
     block = F.floor(F.col("_t") / F.lit(width)).alias("_block")
     rows = ok.select(*BY_KEY, F.col("_at").alias("_t"), F.lit(1).alias("_real"), "_id").unionByName(
         ok.select(*BY_KEY, (F.col("_at") + F.lit(micros)).alias("_t"), F.lit(0).alias("_real"), "_id")).select("*", block)
-    onwards = (Window.partitionBy(*BY_KEY, "_block").orderBy("_t", "_real", "_id")
-               .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # From the end, so that the nearest one after a row is the last one seen: a running value, where
+    # a frame that reaches to the end of its partition would be gone through again for every row.
+    back = Window.partitionBy(*BY_KEY, "_block").orderBy(F.desc("_t"), F.desc("_real"), F.desc("_id"))
+    onwards = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     real = F.when(F.col("_real") == 1, F.col("_id"))
-    here = rows.withColumn("_here", F.first(real, ignorenulls=True).over(onwards)).where("_real = 0")
+    here = rows.withColumn("_here", F.last(real, ignorenulls=True).over(onwards)).where("_real = 0")
     blocks = rows.groupBy(*BY_KEY, "_block").agg(F.min_by(real, F.when(F.col("_real") == 1, F.struct("_t", "_id"))).alias("_first"))
-    later = Window.partitionBy(*BY_KEY).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
-    after = blocks.select(*BY_KEY, "_block", F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    later = Window.partitionBy(*BY_KEY).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
+    after = blocks.select(*BY_KEY, "_block", F.last("_first", ignorenulls=True).over(later).alias("_after"))
     return (here.join(after.hint("merge"), [*BY_KEY, "_block"])
             .select(*BY_KEY, "_id", F.coalesce("_here", "_after").alias("_next")).where("_next IS NOT NULL"))
 

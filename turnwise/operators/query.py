@@ -37,12 +37,49 @@ def filter_logs(df: DataFrame, namespace: str, level=None, resource_id=None, sta
                      start_date, end_date)
 
 
+# Up to here the rows before a page are kept in one top-k; deeper pages are found by counting first.
+NEAR_ROWS = 10_000
+# Ranges of time that are counted, each within what the one before left.
+GRAINS = (86400 * 1_000_000, 60 * 1_000_000, 1_000)
+
+
 def _page(df: DataFrame, ts: str, tie: str, limit: int, offset: int) -> DataFrame:
     if not 1 <= limit <= MAX_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1..{MAX_LIMIT} and offset not negative")
+    if offset + limit > NEAR_ROWS:
+        return deep_page(df, ts, tie, limit, offset)
     return df.orderBy(F.col(ts).desc(), F.col(tie)).offset(offset).limit(limit)
 
 
+def deep_page(df: DataFrame, ts: str, tie: str, limit: int, offset: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit``, newest first, without sorting the rows before them.
+
+    Rows are counted by day, then by minute, then by millisecond, each time only within the ranges
+    that hold the page; a count is one number per range and task. What is left, a few milliseconds,
+    is numbered in ranges of (time, id), so rows of one time are spread by id. Rows without a time
+    come last.
+    """
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    rest, skip = df, offset
+    for grain in GRAINS:
+        counts = rest.groupBy(F.floor(at / F.lit(grain)).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+        held, before = [], 0
+        for row in sorted(counts.collect(), key=lambda r: (r._range is None, -(r._range or 0))):
+            if before + row._n > skip and before < skip + limit:
+                held.append((row._range, before))
+            before += row._n
+        if not held:
+            return df.limit(0)
+        skip -= held[0][1]
+        known = [r for r, _ in held if r is not None]
+        inside = (at >= F.lit(min(known) * grain)) & (at < F.lit((max(known) + 1) * grain)) if known else F.lit(False)
+        if any(r is None for r, _ in held):
+            inside = F.coalesce(inside, F.lit(False)) | F.col(ts).isNull()
+        rest = rest.where(inside)
+    rows = paginate(rest, 1, ts, tie).where((F.col("row_no") >= skip) & (F.col("row_no") < skip + limit))
+    return rows.orderBy("row_no").select(df.columns)
+
+
 def query_records(df: DataFrame, namespace: str, agent=None, session_id=None, start_date=None, end_date=None,
                   limit: int = 100, offset: int = 0, tie: str = "id") -> tuple[DataFrame, DataFrame]:
     """(page of records newest first, one-row total ``count``)."""

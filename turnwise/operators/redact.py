@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Sequence
+from re import _parser
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -86,14 +87,93 @@ def read_rules(rules: DataFrame, most: int = MAX_RULE_BYTES) -> list:
     return kept.collect()
 
 
-COMPILED_DDL = "tenant string, version int, toggles map<string,boolean>, disabled array<string>, custom_json string"
+# Letters that a pattern ignoring case also finds in others than their own two forms.
+_ODD_CASE = set("iskISK")
+_SHORTEST = 2
+
+
+def required_literals(pattern: str) -> list[str] | None:
+    """Texts of which every match of the pattern holds at least one; None if none can be told.
+
+    Taken from the parsed pattern: the longest run of plain characters that a sequence cannot do
+    without, or such runs of all its alternatives. A run is ASCII, whose lower case does not depend
+    on what stands around; where case is ignored it ends at letters that have more than two forms.
+    """
+    tree = _parser.parse(pattern)
+    return _required(tree, bool(tree.state.flags & re.IGNORECASE))
+
+
+def _required(tree, nocase: bool) -> list[str] | None:
+    best: list[str] | None = None
+    run = ""
+
+    def better(found: list[str] | None) -> None:
+        nonlocal best
+        if found and (best is None or min(map(len, found)) > min(map(len, best))):
+            best = found
+
+    def flush() -> None:
+        nonlocal run
+        if len(run) >= _SHORTEST:
+            better([run])
+        run = ""
+
+    for op, arg in tree:
+        if op is _parser.LITERAL and arg < 128 and not (nocase and chr(arg) in _ODD_CASE):
+            run += chr(arg).lower() if nocase else chr(arg)
+            continue
+        flush()
+        if op is _parser.SUBPATTERN:
+            _, add, remove, inner = arg
+            better(_required(inner, (nocase or bool(add & re.IGNORECASE)) and not remove & re.IGNORECASE))
+        elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT, _parser.POSSESSIVE_REPEAT) and arg[0] > 0:
+            better(_required(arg[2], nocase))
+        elif op is _parser.ATOMIC_GROUP:
+            better(_required(arg, nocase))
+        elif op is _parser.BRANCH:
+            parts = [_required(part, nocase) for part in arg[1]]
+            if all(parts):
+                better([x for part in parts for x in part])
+    flush()
+    return best
+
+
+def _meets_token(literal: str) -> bool:
+    """Whether the literal can take part in a token that a built-in class leaves in the text."""
+    for token in [token.lower() for _, _, token in R.PLAIN_CLASSES] + [R.CARD_TOKEN.lower(), R.CPF_TOKEN.lower()]:
+        low = literal.lower()
+        if low in token or token in low or any(token.endswith(low[:n]) or token.startswith(low[-n:]) for n in range(1, len(low))):
+            return True
+    return False
+
+
+def rule_literals(custom: Sequence[dict]) -> list[str] | None:
+    """Lower-case texts of which a content holds one if any of the rules changes it; None if that cannot be told.
+
+    Rules run on text that the built-in classes have been over, so a literal that could take part in
+    one of their tokens tells nothing. What a rule puts in stands only where that rule matched.
+    """
+    out: set[str] = set()
+    for rule in custom:
+        try:
+            found = required_literals(rule["pattern"])
+        except (re.error, RecursionError):
+            return None
+        if not found or any(_meets_token(x) for x in found):
+            return None
+        out.update(x.lower() for x in found)
+    return sorted(out)
+
+
+COMPILED_DDL = "tenant string, version int, toggles map<string,boolean>, disabled array<string>, custom_json string, literals array<string>"
 
 
 def compile_rules(spark: SparkSession, rules: DataFrame) -> DataFrame:
-    """Rules table ready to join: ``tenant, version, toggles, disabled, custom_json``.
+    """Rules table ready to join: ``tenant, version, toggles, disabled, custom_json, literals``.
 
     Rules that do not compile, or whose replacement names a group the pattern lacks, are left
-    out. ``custom_json`` lists the others in order, null where a tenant has none.
+    out. ``custom_json`` lists the others in order, null where a tenant has none. Only a text with
+    one of ``literals`` (see :func:`rule_literals`) needs to be run through them; null means any.
     """
     out = []
     for row in read_rules(rules):
@@ -102,7 +182,7 @@ def compile_rules(spark: SparkSession, rules: DataFrame) -> DataFrame:
                   for r in (row.custom or []) if r is not None]
         good = [r for r in listed if usable(r["pattern"], r["replacement"])]
         out.append((row.tenant, row.version, toggles, [k for k, v in toggles.items() if v is False],
-                    json.dumps(good) if good else None))
+                    json.dumps(good) if good else None, rule_literals(good)))
     return spark.createDataFrame(out, COMPILED_DDL)
 
 
@@ -148,15 +228,28 @@ def unsupported_content(msg: Column) -> Column:
                            & ~F.schema_of_variant(m["content"]).rlike("^(STRING|ARRAY|VOID)")))
 
 
+def _may_match(text: Column, literals: Column) -> Column:
+    """Whether rules that need one of ``literals`` can match in the text; any text where they are null."""
+    low = F.lower(text)
+    return F.coalesce(F.exists(literals, lambda x: F.contains(low, x)), literals.isNull())
+
+
+def needs_rules(msg: Column, custom: Column, literals: Column) -> Column:
+    """Whether a text content of the messages may be changed by the tenant's custom rules."""
+    def meets(m: Column) -> Column:
+        return F.coalesce(_may_match(F.try_variant_get(m["content"], "$", "string"), literals), F.lit(False))
+    return custom.isNotNull() & (literals.isNull() | F.exists(msg, meets))
+
+
 def redact_messages(records: DataFrame, rules: DataFrame | None = None, tenant: str = "namespace",
                     disabled: Iterable[str] | None = None, required: bool = False) -> DataFrame:
     """Redact the ``msg`` array of stored messages and stamp ``anonymization_version``.
 
     ``rules`` is the output of :func:`compile_rules`. Plain text is redacted in the JVM. Rows
-    with blocks or tool calls, or of a tenant with custom rules, are a branch of their own that
-    goes through Arrow once; no other row does, and a rule is only ever run by one regex
-    engine. A tenant without rules gets the baseline and version 0. ``required`` refuses to go
-    on without rules.
+    with blocks or tool calls, or with a text that the tenant's custom rules may match, are a branch
+    of their own that goes through Arrow once; no other row does, and a rule is only ever run by
+    one regex engine. A tenant without rules gets the baseline and version 0. ``required`` refuses
+    to go on without rules.
     """
     if required:
         rules = require_rules(rules)
@@ -168,15 +261,16 @@ def redact_messages(records: DataFrame, rules: DataFrame | None = None, tenant:
         clean = lambda t: R.redact_text(t, disabled)
         skip, custom_json = off, F.lit(None).cast("string")
     else:
-        dim = rules.select(F.col("tenant").alias(tenant), F.struct(
-            "version", "toggles", "disabled", "custom_json").alias("_rules"))
+        # Plain columns, so that a branch carries only those it needs.
+        dim = rules.select(F.col("tenant").alias(tenant), *[F.col(c).alias(f"_rules_{c}") for c in (
+            "version", "toggles", "disabled", "custom_json", "literals")])
         df = lookup_join(records, dim, [tenant])
-        toggles = F.coalesce(F.col("_rules.toggles"), F.create_map().cast("map<string,boolean>"))
+        toggles = F.coalesce(F.col("_rules_toggles"), F.create_map().cast("map<string,boolean>"))
         clean = lambda t: R.redact_text_toggled(t, toggles)
-        skip = F.coalesce(F.array_union(F.col("_rules.disabled"), off), off)
-        custom_json = F.col("_rules.custom_json")
-        deep = deep | custom_json.isNotNull()
-        df = df.withColumn("anonymization_version", F.coalesce(F.col("_rules.version"), F.lit(0)))
+        skip = F.coalesce(F.array_union(F.col("_rules_disabled"), off), off)
+        custom_json = F.col("_rules_custom_json")
+        deep = deep | needs_rules(F.col("msg"), custom_json, F.col("_rules_literals"))
+        df = df.withColumn("anonymization_version", F.coalesce(F.col("_rules_version"), F.lit(0)))
         kept = [*[c for c in kept if c != "anonymization_version"], "anonymization_version"]
     deep = F.coalesce(deep, F.lit(False))
     plain = df.where(~deep).withColumn("msg", F.transform("msg", lambda m: _native_message(m, clean)))
@@ -200,19 +294,45 @@ def reapply_on_drift(records: DataFrame, rules: DataFrame, tenant: str = "namesp
     version are not touched; only rows that get rules go through Arrow.
     """
     kept = records.columns
-    dim = rules.select(F.col("tenant").alias(tenant), F.struct("version", "custom_json").alias("_rules"))
+    dim = rules.select(F.col("tenant").alias(tenant), *[F.col(c).alias(f"_rules_{c}") for c in ("version", "custom_json", "literals")])
     df = lookup_join(records, dim, [tenant])
-    behind = F.coalesce(F.coalesce(F.col("anonymization_version"), F.lit(0)) < F.col("_rules.version"), F.lit(False))
-    with_rules = behind & F.col("_rules.custom_json").isNotNull()
-    stamped = F.when(behind, F.col("_rules.version")).otherwise(F.col("anonymization_version"))
+    behind = F.coalesce(F.coalesce(F.col("anonymization_version"), F.lit(0)) < F.col("_rules_version"), F.lit(False))
+    stamped = F.when(behind, F.col("_rules_version")).otherwise(F.col("anonymization_version"))
     text_column = dict(records.dtypes)[message] == "string"
-    fixed = custom_rules_text(F.col(message) if text_column else F.to_json(message), F.col("_rules.custom_json"))
+    text = F.col(message) if text_column else F.to_json(message)
+    with_rules = behind & F.col("_rules_custom_json").isNotNull() & F.coalesce(_may_match(text, F.col("_rules_literals")), F.lit(False))
+    fixed = custom_rules_text(text, F.col("_rules_custom_json"))
     changed = df.where(with_rules).withColumn("_text", fixed).withColumns({
         message: F.col("_text") if text_column else F.from_json("_text", ddl), "anonymization_version": stamped})
     others = df.where(~with_rules).withColumn("anonymization_version", stamped)
     return others.select(*kept).unionByName(changed.select(*kept))
 
 
+def drifted_partitions(records: DataFrame, rules: DataFrame, tenant: str = "namespace", day: str = "dt") -> DataFrame:
+    """(tenant, day) of stored partitions that hold a row stamped with an older version than the rules."""
+    oldest = records.groupBy(tenant, day).agg(F.min(F.coalesce("anonymization_version", F.lit(0))).alias("_oldest"))
+    dim = rules.select(F.col("tenant").alias(tenant), F.col("version").alias("_version"))
+    return lookup_join(oldest, dim, [tenant], how="inner").where("_oldest < _version").select(tenant, day)
+
+
+def reapply_stored(spark: SparkSession, path: str, rules: DataFrame, tenant: str = "namespace", day: str = "dt",
+                   message: str = "msg", ddl: str = MSG_DDL) -> DataFrame:
+    """Bring a stored table, partitioned by tenant and day, up to its rules; returns the partitions rewritten.
+
+    Only partitions that hold older versions are read and replaced; the files of all others stay as
+    they are. The new content is complete in the shared folder before the first partition is
+    replaced, and a run that dies in between is simply repeated: what is done is not found again.
+    """
+    records = spark.read.parquet(path)
+    stale = landed(spark, drifted_partitions(records, rules, tenant, day), "drifted")
+    # Few and narrow, so as a rule broadcast, which also prunes the partitions that are scanned.
+    touched = lookup_join(records, stale.withColumn("_stale", F.lit(True)), [tenant, day], how="inner").drop("_stale")
+    fixed = landed(spark, reapply_on_drift(touched.select(records.columns), rules, tenant, message, ddl), "reapplied")
+    (fixed.hint("rebalance", tenant, day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(tenant, day).parquet(path))
+    return stale
+
+
 def pii_audit(df: DataFrame, column: str, by: Sequence[str] = ("namespace",),
               classes: Sequence[str] | None = None) -> DataFrame:
     """Hits per class and group that are still in the text; all zero after redaction."""

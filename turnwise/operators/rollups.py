@@ -110,6 +110,53 @@ def llm_latency(calls: DataFrame, grain: str = "1 hour", by: Sequence[str] = ("m
     return solid_join(base, exact_percentiles(counts, keys, "latency_ms", {"p50_ms": 0.5, "p95_ms": 0.95}), keys, "left")
 
 
+# Of a KLL sketch of this size the rank of a given quantile is off by less than 1% (normalised, single
+# quantile, 99% of the time 0.7%); merging keeps that.
+KLL_SIZE = 400
+# Of a theta sketch of 2^12 entries the count is exact below that and has a standard error of 1.6% above.
+THETA_LOG_SIZE = 12
+
+
+def latency_sketches(calls: DataFrame, grain: str = "1 hour", by: Sequence[str] = ("model",), ts: str = "ts") -> DataFrame:
+    """Calls, sum and quantile sketch of the latency per time bucket: small rows to store and merge later.
+
+    A sketch is built on the map side and has a bounded size, so a bucket of any size reaches its
+    reducer as one row per task. Missing values do not count in it.
+    """
+    return calls.groupBy(F.window(F.col(ts), grain)["start"].alias("bucket"), *by).agg(
+        F.count(F.lit(1)).alias("calls"), F.count("latency_ms").alias("known"), F.sum("latency_ms").alias("sum_ms"),
+        F.max("latency_ms").alias("max_ms"), F.kll_sketch_agg_bigint("latency_ms", F.lit(KLL_SIZE)).alias("sketch"))
+
+
+def merge_latency(sketches: DataFrame, grain: str = "1 day", by: Sequence[str] = ("model",), probs: dict[str, float] | None = None) -> DataFrame:
+    """Latency per coarser bucket from stored sketches, for whatever percentiles are asked."""
+    probs = probs or {"p50_ms": 0.5, "p95_ms": 0.95}
+    merged = sketches.groupBy(F.window("bucket", grain)["start"].alias("bucket"), *by).agg(
+        F.sum("calls").alias("calls"), F.sum("known").alias("known"), F.sum("sum_ms").alias("sum_ms"), F.max("max_ms").alias("max_ms"),
+        F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    some = F.when(F.col("known") > 0, F.col("sketch"))
+    return merged.select("bucket", *by, "calls", "sum_ms", "max_ms", *[
+        F.kll_sketch_get_quantile_bigint(some, F.lit(p)).alias(name) for name, p in probs.items()])
+
+
+def user_sketches(records: DataFrame, by: Sequence[str] = ("channel",), user: str = "external_user_id", ts: str = "ts") -> DataFrame:
+    """A theta sketch of the users per day and group: small rows to store, unite and intersect later."""
+    return records.where(F.col(user).isNotNull()).groupBy(F.to_date(ts).alias("day"), *by).agg(
+        F.theta_sketch_agg(user, F.lit(THETA_LOG_SIZE)).alias("sketch"))
+
+
+def distinct_users(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Distinct users per group over whatever days the sketches are of."""
+    return sketches.groupBy(*by).agg(F.theta_sketch_estimate(F.theta_union_agg("sketch", F.lit(THETA_LOG_SIZE))).alias("users"))
+
+
+def shared_users(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Users that two sets of sketches have in common, per group; also the overlap of two loads."""
+    a = left.groupBy(*by).agg(F.theta_union_agg("sketch", F.lit(THETA_LOG_SIZE)).alias("_a"))
+    b = right.groupBy(*by).agg(F.theta_union_agg("sketch", F.lit(THETA_LOG_SIZE)).alias("_b"))
+    return a.join(b, list(by)).select(*by, F.theta_sketch_estimate(F.theta_intersection("_a", "_b")).alias("users"))
+
+
 def log_level_counts(logs: DataFrame, grain: str = "1 day", by: Sequence[str] = ("namespace",), ts: str = "timestamp") -> DataFrame:
     """Logs per level and time bucket, a column per level."""
     return logs.groupBy(*by, F.window(F.col(ts), grain)["start"].alias("bucket")).agg(

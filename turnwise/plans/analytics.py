@@ -8,6 +8,7 @@ from turnwise.functions import tokens as T
 from turnwise.operators import query as Q, rollups as G
 from turnwise.plans import views as V
 from turnwise.plans.registry import query
+from turnwise.session import landed
 
 _ST = V.STAMP.format
 _SUMS = ", ".join(f"CAST(sum({n}) AS BIGINT) AS {n}" for n in T.TOKEN_FIELDS)
@@ -227,3 +228,51 @@ def q5(spark, sf):
 @query("o1_sort_limit", f"""WITH {V.RECORDS} SELECT id, output_tokens FROM records ORDER BY output_tokens DESC, id LIMIT 25 OFFSET 5""")
 def o1(spark, sf):
     return V.turn_records(spark, sf).select("id", "output_tokens").orderBy(F.desc("output_tokens"), "id").offset(5).limit(25)
+
+
+_MIDDLE = "(SELECT count(*) // 2 FROM logs)"
+
+
+@query("q2_deep_offset", f"""WITH {V.LOGS}, numbered AS (SELECT *, row_number() OVER (ORDER BY timestamp DESC, id) - 1 AS n FROM logs)
+  SELECT id, level, {_ST('timestamp')} AS "timestamp" FROM numbered WHERE n >= {_MIDDLE} AND n < {_MIDDLE} + 1000""")
+def q2_deep(spark, sf):
+    """The thousand rows after the newest half of all logs."""
+    logs = V.logs(spark, sf)
+    page = Q.deep_page(logs, "timestamp", "id", 1000, logs.count() // 2)
+    return page.select("id", "level", V.stamp("timestamp"))
+
+
+_SKETCH_ERROR = 0.01
+
+
+@query("g7_latency_sketches", f"""WITH {V.TRACES} SELECT {_ST("date_trunc('day', ts)")} AS bucket, model, count(*) AS calls,
+  CAST(sum(latency_ms) AS BIGINT) AS sum_ms, true AS p50_within, true AS p95_within FROM traces WHERE type = 'llm' GROUP BY 1, 2""")
+def g7_sketches(spark, sf):
+    """Percentiles per day and model from stored hourly sketches, held against the exact ranks of what they give."""
+    calls = V.traces(spark, sf).where("type = 'llm'")
+    hourly = landed(spark, G.latency_sketches(calls, "1 hour"), "hourly-sketches")
+    daily = landed(spark, G.merge_latency(hourly, "1 day"), "daily-percentiles")
+    ranked = calls.withColumn("bucket", F.window("ts", "1 day")["start"]).join(daily.select("bucket", "model", "p50_ms", "p95_ms"), ["bucket", "model"])
+    def within(name, p):
+        value, n = F.col(f"{name}_ms"), F.count(F.lit(1))
+        return ((F.count_if(F.col("latency_ms") < value) / n <= p + _SKETCH_ERROR)
+                & (F.count_if(F.col("latency_ms") <= value) / n >= p - _SKETCH_ERROR)).alias(f"{name}_within")
+    checked = ranked.groupBy("bucket", "model").agg(within("p50", 0.5), within("p95", 0.95))
+    return daily.join(checked, ["bucket", "model"]).select(V.stamp("bucket"), "model", "calls", "sum_ms", "p50_within", "p95_within")
+
+
+_USERS = """users AS (SELECT 'ns' || (user_id % 5) AS namespace, user_id, ts, event_type FROM events WHERE user_id IS NOT NULL)"""
+
+
+@query("g12_distinct_users", f"""WITH {_USERS} SELECT namespace, count(DISTINCT user_id) AS users, count(DISTINCT user_id) FILTER (ts >= TIMESTAMP '2024-01-08'
+    AND ts < TIMESTAMP '2024-01-15') AS week_users, (SELECT count(*) FROM (SELECT user_id FROM users a WHERE a.namespace = u.namespace AND event_type = 'click'
+    INTERSECT SELECT user_id FROM users b WHERE b.namespace = u.namespace AND event_type = 'purchase')) AS click_and_purchase FROM users u GROUP BY namespace""")
+def g12_users(spark, sf):
+    """Distinct users from stored sketches of days: of all days, of one week, and of two kinds of events. Below 4,096 users a sketch is exact."""
+    events = V.table(spark, sf, "events").selectExpr("concat('ns', user_id % 5) AS namespace", "cast(user_id AS string) AS user_id", "ts", "event_type")
+    daily = landed(spark, G.user_sketches(events, ["namespace", "event_type"], "user_id", "ts"), "user-sketches")
+    whole = G.distinct_users(daily, ["namespace"])
+    week = G.distinct_users(daily.where("day >= DATE '2024-01-08' AND day < DATE '2024-01-15'"), ["namespace"]).withColumnRenamed("users", "week_users")
+    both = G.shared_users(daily.where("event_type = 'click'"), daily.where("event_type = 'purchase'"), ["namespace"]).withColumnRenamed("users", "click_and_purchase")
+    return whole.join(week, "namespace", "left").join(both, "namespace", "left").select(
+        "namespace", "users", F.coalesce("week_users", F.lit(0)).alias("week_users"), F.coalesce("click_and_purchase", F.lit(0)).alias("click_and_purchase"))

@@ -9,6 +9,7 @@ from turnwise.operators import redact as O
 from turnwise.plans import views as V
 from turnwise.plans.registry import query
 from turnwise.schemas import MSG_DDL
+from turnwise.session import landed, scratch_path
 
 _NO_PHONE = ("brazilian_phone",)
 
@@ -197,3 +198,44 @@ def a10_usable(spark, sf):
     names = F.when(F.col("custom_json").isNotNull(), F.array_join(F.transform(
         listed, lambda r: F.regexp_extract(r["pattern"], "(the|und)", 1)), ","))
     return _rules(spark, sf).select("tenant", names.alias("kept"))
+
+
+# Of every tenant some days are up to date, others hold rows of older versions.
+_STORED_VERSION = "CAST(CASE WHEN doc_id % 7 < 3 THEN doc_id % 5 + 1 ELSE least(doc_id % 4, doc_id % 5 + 1) END AS INT)"
+
+
+@query("a9_partition_rewrite", f"""WITH d AS (SELECT doc_id, text, doc_id % 5 AS ns, doc_id % 7 AS day, {_STORED_VERSION} AS version FROM documents),
+  p AS (SELECT ns, day, min(version) < ns + 1 AS rewritten FROM d GROUP BY ns, day)
+  SELECT doc_id, md5(CASE WHEN ns = 2 AND version < 3 THEN {_CUSTOM.format('text')} ELSE text END) AS text_md5, CAST(ns + 1 AS INTEGER) AS anonymization_version, rewritten
+  FROM d JOIN p USING (ns, day)""")
+def a9_partitions(spark, sf):
+    """A stored table brought up to date by partition; tells which files were replaced."""
+    path = scratch_path(spark, "stored")
+    rows = docs(spark, sf).withColumns({
+        "anonymization_version": F.expr(_STORED_VERSION), "dt": F.expr("date_add(DATE '2024-01-01', CAST(doc_id % 7 AS INT))")})
+    rows.hint("rebalance", "namespace", "dt").write.partitionBy("namespace", "dt").parquet(path)
+    before = landed(spark, spark.read.parquet(path).select("_metadata.file_path").distinct(), "files-before")
+    O.reapply_stored(spark, path, _rules(spark, sf), message="text")
+    after = spark.read.parquet(path).select("doc_id", F.md5("text").alias("text_md5"), "anonymization_version", "_metadata.file_path")
+    kept = before.withColumn("_kept", F.lit(True))
+    return after.join(kept, "file_path", "left").select("doc_id", "text_md5", "anonymization_version", F.col("_kept").isNull().alias("rewritten"))
+
+
+@query("a11_fail_closed", """SELECT namespace, required, CASE WHEN required THEN 'refused' ELSE 'published' END AS outcome,
+    CASE WHEN required THEN 0 ELSE n END AS published FROM (SELECT 'ns' || (doc_id % 5) AS namespace, count(*) AS n FROM documents GROUP BY 1), (VALUES (true), (false)) AS r(required)
+  UNION ALL SELECT namespace, true, 'published with rules', n FROM (SELECT 'ns' || (doc_id % 5) AS namespace, count(*) AS n FROM documents GROUP BY 1)""")
+def a11(spark, sf):
+    """What gets out with no rules table, an empty one and a loaded one, when rules are required and when not."""
+    records = text_records(docs(spark, sf))
+    out = None
+    for required, rules, name in ((True, None, "published"), (True, _rules(spark, sf).limit(0), "published"), (False, None, "published"),
+                                  (True, _rules(spark, sf), "published with rules")):
+        by = records.groupBy("namespace").agg(F.count(F.lit(1)).alias("published"))
+        try:
+            by = O.redact_messages(records, rules, required=required).groupBy("namespace").agg(F.count("msg").alias("published"))
+            by = by.withColumn("outcome", F.lit(name))
+        except O.RulesNotReady:
+            by = by.select("namespace", F.lit(0).cast("bigint").alias("published"), F.lit("refused").alias("outcome"))
+        by = by.select("namespace", F.lit(required).alias("required"), "outcome", "published")
+        out = by if out is None else out.unionByName(by)
+    return out.distinct()
