@@ -148,29 +148,32 @@ def latest_sessions(sessions: DataFrame, as_of: Column, timeout: float = 120,
     return live.groupBy(*keys).agg(newest.alias("_s")).select(*keys, "_s.*")
 
 
-# Widths of the cells that sessions are listed under, an hour and 16 times that, and so on; the last
-# one is longer than all of time.
-CELL_SECONDS = tuple(3600 * 16**level for level in range(8))
+def _cell_micros(bucket_seconds: int) -> list[int]:
+    """Widths of the cells that sessions are listed under: each 16 times the one before, up to 2^62."""
+    widths = [bucket_seconds * 1_000_000]
+    while widths[-1] < 2**58:
+        widths.append(widths[-1] * 16)
+    return widths
 
 
-def session_cells(sessions: DataFrame, start: Column, end: Column) -> DataFrame:
+def session_cells(sessions: DataFrame, start: Column, end: Column, bucket_seconds: int = 3600) -> DataFrame:
     """``sessions`` listed under (``_level``, ``_cell``): one row or two, however long a session is.
 
     A session goes to the narrowest level whose cells are as wide as it is long, so it touches two
     of them at most.
     """
-    length = end - start
-    level, width = F.lit(len(CELL_SECONDS) - 1), F.lit(CELL_SECONDS[-1] * 1_000_000)
-    for i in range(len(CELL_SECONDS) - 2, -1, -1):
-        fits = length <= CELL_SECONDS[i] * 1_000_000
-        level, width = F.when(fits, F.lit(i)).otherwise(level), F.when(fits, F.lit(CELL_SECONDS[i] * 1_000_000)).otherwise(width)
+    length, widths = end - start, _cell_micros(bucket_seconds)
+    level, width = F.lit(len(widths) - 1), F.lit(widths[-1])
+    for i in range(len(widths) - 2, -1, -1):
+        fits = length <= widths[i]
+        level, width = F.when(fits, F.lit(i)).otherwise(level), F.when(fits, F.lit(widths[i])).otherwise(width)
     return sessions.withColumns({"_level": level, "_width": width}).withColumn("_cell", F.explode(F.array_distinct(F.array(
         F.floor(start / F.col("_width")), F.floor(end / F.col("_width")))))).drop("_width")
 
 
 def attach_session(events: DataFrame, sessions: DataFrame,
                    keys: Sequence[str] = ("namespace", "user_id"), ts: str = "ts",
-                   timeout: float = 0) -> DataFrame:
+                   timeout: float = 0, bucket_seconds: int = 3600) -> DataFrame:
     """Session id of every event that falls within a stored session of its user.
 
     An interval join made an equi-join: a session is listed under one or two cells of time of the
@@ -187,24 +190,25 @@ def attach_session(events: DataFrame, sessions: DataFrame,
     spans = sessions.select(
         *[c.alias(n) for n, c in zip(names, known_keys(keys).values())], "session_id",
         F.unix_micros(F.col("created_at").cast("timestamp")).alias("_from"), end.alias("_to"))
-    spans = landed(sessions.sparkSession, session_cells(spans, F.col("_from"), F.col("_to")), "session-cells")
-    levels = sorted(r[0] for r in spans.select("_level").distinct().collect())
+    spans = landed(sessions.sparkSession, session_cells(spans, F.col("_from"), F.col("_to"), bucket_seconds), "session-cells")
+    levels, widths = sorted(r[0] for r in spans.select("_level").distinct().collect()), _cell_micros(bucket_seconds)
     at = F.unix_micros(F.col(ts).cast("timestamp"))
     upper = F.col("_at") < F.col("_to") if micros else F.col("_at") <= F.col("_to")
     probe = events.withColumns({"_at": at, **dict(zip(names, known_keys(keys).values()))})
     by = [*names, "_level", "_cell"]
     if len(levels) == 1:
         # The usual case: every event looks into one cell, and keeps its row without a session.
-        width = CELL_SECONDS[levels[0]] * 1_000_000
-        probe = probe.withColumns({"_level": F.lit(levels[0]), "_cell": F.floor(F.col("_at") / F.lit(width))})
+        probe = probe.withColumns({"_level": F.lit(levels[0]), "_cell": F.floor(F.col("_at") / F.lit(widths[levels[0]]))})
         e, s = probe.alias("e"), spans.alias("s")
         cond = (F.col("_at") >= F.col("_from")) & upper
         for name in by:
             cond = (F.col(f"e.{name}") == F.col(f"s.{name}")) & cond
         return e.join(s, cond, "left").select(*[F.col(f"e.{c}") for c in events.columns], F.col("s.session_id").alias("session_id"))
-    # Several levels: an event is a row per level there, put together again by its own number.
+    # Several levels, or none: an event is a row per level there, put together again by its own number.
     probe = landed(events.sparkSession, probe.withColumn("_row", F.monotonically_increasing_id()), "session-probes")
-    cells = F.array(*[F.struct(F.lit(i).alias("_level"), F.floor(F.col("_at") / F.lit(CELL_SECONDS[i] * 1_000_000)).alias("_cell")) for i in levels])
+    cells = F.array(*[F.struct(F.lit(i).alias("_level"), F.floor(F.col("_at") / F.lit(widths[i])).alias("_cell")) for i in levels])
+    if not levels:
+        return probe.select(*events.columns, F.lit(None).cast("string").alias("session_id"))
     looks = probe.select("_row", "_at", *names, F.inline(cells))
     found = looks.join(spans, by).where((F.col("_at") >= F.col("_from")) & upper).select("_row", "session_id")
     return probe.join(found, "_row", "left").select(*events.columns, "session_id")
