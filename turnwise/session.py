@@ -81,9 +81,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def landed(spark: SparkSession, df, label: str):
     """Write ``df`` once below the shared folder and return the written table."""
+    return landed_path(spark, df, label)[0]
+
+
+def landed_path(spark: SparkSession, df, label: str):
+    """As :func:`landed`, with the path, so that the table can be removed once it is used up."""
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
