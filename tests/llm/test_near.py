@@ -111,3 +111,52 @@ def test_query(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = queries.QUERIES["op4_near_duplicates"](spark, sf).collect()
     assert order((r.doc_id, r.n_shingles, r.component_id) for r in got) == order(brute(docs))
+
+
+def _near_threshold(rng, copies, words=120, changed=4):
+    """Copies of one text with a few words changed in each: some pairs link, most just fail to."""
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(copies):
+        own = list(base)
+        for at in rng.sample(range(words), changed):
+            own[at] = f"c{k}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_groups_that_resemble_without_linking(spark, monkeypatch, parts):
+    """Large tiles and groups, whole and cut into parts; no pair of a resembling group becomes a row."""
+    if parts:
+        monkeypatch.setattr(near, "TILE_SETS", 32)
+        monkeypatch.setattr(near, "GROUP_SETS", 16)
+        monkeypatch.setattr(near, "FEW", 8)
+    rng = random.Random(11)
+    docs = [(i, t) for i, t in enumerate(_near_threshold(rng, 90) + _near_threshold(rng, 60, 60, 2) + _near_threshold(rng, 80, 200, 12))]
+    check(spark, docs)
+
+
+def test_overlaps_are_exact(monkeypatch):
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(1, 200))).astype(np.uint64) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    for words in (1 << 22, 64):
+        monkeypatch.setattr(near, "WORDS_AT_ONCE", words)
+        got = near.overlaps(sets)
+        off = ~np.eye(30, dtype=bool)
+        assert (got[off] == want[off]).all()
+
+
+def test_large_tiles_pass_the_same_pairs_as_small_ones(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, rng.integers(60, 400)).astype(np.uint64)) for _ in range(8)]
+    sets += [np.unique(np.concatenate([s[rng.random(len(s)) > 0.05], rng.integers(0, 2**63, 5).astype(np.uint64)])) for s in sets for _ in range(6)]
+    sets.sort(key=len)
+    n = np.array([len(s) for s in sets])
+    rows = dict(tile=np.zeros(len(n), int), cross=np.zeros(len(n), bool), part=np.zeros(len(n), int), n=n, label=np.arange(len(n)) % 50,
+                bits=np.array([near.signature(s) for s in sets], dtype=object))
+    some = [set(zip(*(x.tolist() for x in near._tile_pairs(**rows))))]
+    monkeypatch.setattr(near, "FEW", 4)
+    some.append(set(zip(*(x.tolist() for x in near._tile_pairs(**rows)))))
+    assert some[0] == {(min(p), max(p)) for p in some[1]} and len(some[0]) > 50

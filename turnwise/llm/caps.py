@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from turnwise.llm.graph import components
+from turnwise.llm.graph import components, spanning
 from turnwise.llm.text import release_memory
 from turnwise.session import landed
 
@@ -193,21 +193,6 @@ def _decoded(kind: np.dtype, largest: int, settings: tuple):
     return run
 
 
-def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node that it reaches over the links (i, j)."""
-    label = np.arange(n)
-    while True:
-        a, b = label[i], label[j]
-        if (a == b).all():
-            return label
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            nearer = label[label]
-            if (nearer == label).all():
-                break
-            label = nearer
-
-
 class Tiles(NamedTuple):
     """Rows of whole tiles, in order: filter, parts of the tile, own part, and the vector's row."""
 

@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from turnwise.session import landed
+from turnwise.session import landed, landed_path, remove_path
+
+
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node that it reaches over the links (i, j)."""
+    label = np.arange(n)
+    while True:
+        a, b = label[i], label[j]
+        if (a == b).all():
+            return label
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            nearer = label[label]
+            if (nearer == label).all():
+                break
+            label = nearer
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -26,16 +42,19 @@ def components(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     nodes = landed(spark, edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct(),
                    "graph-nodes")
-    now = landed(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
-                 "graph-edges")
+    now, path = landed_path(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                            "graph-edges")
     while not _settled(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = landed(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "graph-low")
+        lowest, low_path = landed_path(spark, both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "graph-low")
         large = (both.where("b > a").join(lowest.hint("merge"), "a").where("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        large = landed(spark, large, "graph-large")
-        lowest = landed(spark, large.groupBy("a").agg(F.min("b").alias("m")), "graph-low")
-        small = large.join(lowest.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = landed(spark, small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), "graph-edges")
+        large, large_path = landed_path(spark, large, "graph-large")
+        least, least_path = landed_path(spark, large.groupBy("a").agg(F.min("b").alias("m")), "graph-low")
+        small = large.join(least.hint("merge"), "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        now, next_path = landed_path(spark, small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "graph-edges")
+        for used in (path, low_path, large_path, least_path):
+            remove_path(spark, used)
+        path = next_path
     return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("label")), "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"))

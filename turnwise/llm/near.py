@@ -12,8 +12,12 @@ First each set of a tile is paired with the tile's smallest fitting set only, an
 are checked. Tiles whose sets are then all connected are done. Next each set of the others goes
 into one of its open tiles only, and is paired there with a few sets of other components, by a
 preference that all sets share; the links found join components. The last round takes all open
-tiles, and all pairs of sets in different components. Every link between components is found,
-and the number of pairs that leave a tile stays near the number of sets.
+tiles. No pair leaves a tile there: the pairs that the bitmaps allow are joined to groups, and a
+tile gives one row per set, which names its group. Groups of all tiles are then joined, and each
+set is sent once to its group, where all sets are intersected with all others within the task,
+as products of the table of sets and shared shingles. Large tiles and groups are cut into parts,
+and pairs of parts are tasks of their own. Sets that resemble each other without being near
+duplicates thus cost work inside tasks, but no rows.
 
 How frequent a shingle is comes from a count sketch of fixed size over all documents. It only
 decides the order, which is the same for all sets, so its errors cost time, never a link.
@@ -28,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from turnwise.llm.graph import components
+from turnwise.llm.graph import components, spanning
 from turnwise.llm.text import IS_BLANK, LOWER, add_columns, hash_spans, mix64, release_memory, text_pieces, word_spans
-from turnwise.session import landed
+from turnwise.session import landed, landed_path, remove_path
 
 WORDS = 5
 # Similarity 3/4, as whole numbers; prefix and bands below follow from it.
@@ -39,9 +43,14 @@ SKETCH_BITS = 20
 SLICES = 64
 SEEN_KEYS, SEEN_PAIRS = 1 << 20, 1 << 17
 PAIRS_AT_ONCE = 1 << 18
-# Which open tile a set enters and how many partners it is given there, round by round; the last
-# round has all tiles and all partners, which makes the result whole.
-ROUNDS = (("min", 16), ("max", 16), (None, None))
+# Which open tile a set enters and how many partners it is given there, round by round, before the
+# last round takes all tiles and all partners, which makes the result whole.
+ROUNDS = (("min", 16), ("max", 16))
+# Sets of a tile or group that are compared in one task; more are cut into parts.
+TILE_SETS, GROUP_SETS = 2048, 512
+# Tiles up to this size are compared many at once.
+FEW = 64
+WORDS_AT_ONCE = 1 << 22
 NARROWEST, WIDEST = 256, 1 << 16
 
 _MIX = np.random.default_rng(5).integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -246,51 +255,146 @@ def _preferred(i: np.ndarray, j: np.ndarray, key: np.ndarray, most: int) -> np.n
     return chosen[: len(i)] | chosen[len(i):]
 
 
-def _cross(most: int | None):
-    """Of (token, n, key, label, bits) sorted: pairs of a tile in different components that the bitmaps allow."""
+def _dense_pairs(n: np.ndarray, label: np.ndarray, part: np.ndarray, cross: bool, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one large tile, sorted by size, that the bitmaps allow: blocks of rows against all their band."""
+    widths = np.array([len(x) * 8 for x in bits])
+    found_i, found_j = [], []
+    for wide in np.unique(widths):
+        rows = np.flatnonzero(widths == wide)
+        for other in np.unique(widths[widths >= wide]):
+            partners = np.flatnonzero(widths == other)
+            a = _folded([bits[x] for x in rows], int(wide)).view(np.uint64)
+            b = a if other == wide else np.ascontiguousarray(_folded([bits[x] for x in partners], int(wide))).view(np.uint64)
+            step = max(1, WORDS_AT_ONCE // (len(partners) * a.shape[1]))
+            for at in range(0, len(rows), step):
+                own = rows[at:at + step]
+                differ = np.bitwise_count(a[at:at + step, None, :] ^ b[None, :, :]).sum(axis=2, dtype=np.int64)
+                total = n[own][:, None] + n[partners][None, :]
+                passed = (total - differ) * (PART + OF) >= 2 * PART * total
+                passed &= OF * np.minimum(n[own][:, None], n[partners][None, :]) >= PART * np.maximum(n[own][:, None], n[partners][None, :])
+                passed &= label[own][:, None] != label[partners][None, :]
+                if cross:
+                    passed &= part[own][:, None] != part[partners][None, :]
+                if other == wide:
+                    passed &= own[:, None] < partners[None, :]
+                i, j = np.nonzero(passed)
+                found_i.append(own[i])
+                found_j.append(partners[j])
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def _tile_pairs(tile: np.ndarray, cross: np.ndarray, part: np.ndarray, n: np.ndarray, label: np.ndarray, bits: np.ndarray
+                ) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of whole tiles, sorted by (tile, n), in different components that the bitmaps allow."""
+    begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+    ends = np.r_[begins[1:], len(tile)]
+    sizes = ends - begins
+    found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+    for a, b in zip(begins[sizes > FEW], ends[sizes > FEW]):
+        i, j = _dense_pairs(n[a:b], label[a:b], part[a:b], bool(cross[a]), bits[a:b])
+        found.append((i + a, j + a))
+    # The others all at once: past-the-end row of each row's band is in the same tile, and not too large for it.
+    last = np.repeat(np.where(sizes > FEW, begins, ends), sizes)
+    rank, span = np.repeat(np.arange(len(begins)), sizes), int(n.max()) + 1
+    end = np.minimum(np.searchsorted(rank * span + n, rank * span + np.minimum(OF * n // PART, span - 1), side="right"), last)
+    counts = np.maximum(end - np.arange(len(tile)) - 1, 0)
+    upto = np.concatenate([[0], np.cumsum(counts)])
+    at = 0
+    while at < len(tile):
+        stop = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, side="right")) - 1)
+        i = np.repeat(np.arange(at, stop), counts[at:stop])
+        j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:stop] - upto[at], counts[at:stop])
+        apart = (label[i] != label[j]) & (~cross[i] | (part[i] != part[j]))
+        i, j, at = i[apart], j[apart], stop
+        if len(i):
+            passed = may_link([bits[x] for x in i], [bits[x] for x in j], n[i], n[j])
+            found.append((i[passed], j[passed]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _few_pairs(most: int):
+    """Of tile rows sorted by (tile, n, key): pairs of sets, for each set its ``most`` preferred partners."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[tuple[int, int]] = set()
-        for token, n, key, label, bits in _runs(batches):
-            begins = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-            # Past-the-end row of each row's band: same tile, and not too large for it.
-            tile_end = np.repeat(np.r_[begins[1:], len(token)], np.diff(np.r_[begins, len(token)]))
-            rank = np.repeat(np.arange(len(begins)), np.diff(np.r_[begins, len(token)]))
-            span = int(n.max()) + 1
-            end = np.minimum(np.searchsorted(rank * span + n, rank * span + np.minimum(OF * n // PART, span - 1), side="right"), tile_end)
-            counts = end - np.arange(len(token)) - 1
-            upto = np.concatenate([[0], np.cumsum(counts)])
-            held_i = held_j = np.zeros(0, dtype=np.int64)
-            at = 0
-            while at < len(token):
-                stop = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, side="right")) - 1)
-                size = counts[at:stop]
-                i = np.repeat(np.arange(at, stop), size)
-                j = i + 1 + np.arange(len(i)) - np.repeat(upto[at:stop] - upto[at], size)
-                apart = label[i] != label[j]
-                i, j, at = i[apart], j[apart], stop
-                if len(i):
-                    passed = may_link([bits[x] for x in i], [bits[x] for x in j], n[i], n[j])
-                    i, j = i[passed], j[passed]
-                if most is not None:
-                    i, j = np.concatenate([held_i, i]), np.concatenate([held_j, j])
-                    few = _preferred(i, j, key, most) if len(i) else slice(None)
-                    held_i, held_j = i[few], j[few]
-                    if at < len(token):
-                        continue
-                    i, j = held_i, held_j
-                pairs = []
-                for pair in zip(key[i].tolist(), key[j].tolist()):
-                    if pair not in done:
-                        if len(done) >= SEEN_PAIRS:
-                            done.clear()
-                        done.add(pair)
-                        pairs.append(pair)
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                                                 names=["a", "b"])
+        for tile, cross, part, n, key, label, bits in _runs(batches):
+            i, j = _tile_pairs(tile, cross, part, n, label, bits)
+            if len(i):
+                few = _preferred(i, j, key, most)
+                i, j = i[few], j[few]
+            pairs = []
+            for pair in zip(key[i].tolist(), key[j].tolist()):
+                if pair not in done:
+                    if len(done) >= SEEN_PAIRS:
+                        done.clear()
+                    done.add(pair)
+                    pairs.append(pair)
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
+                                             names=["a", "b"])
         release_memory()
     return run
 
 
+def _resembling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of tile rows sorted by (tile, n, key): (key, another key of its group) for the pairs that the bitmaps allow."""
+    for tile, cross, part, n, key, label, bits in _runs(batches):
+        i, j = _tile_pairs(tile, cross, part, n, label, bits)
+        root = spanning(len(tile), i, j)
+        rows = np.flatnonzero(root != np.arange(len(tile)))
+        yield pa.RecordBatch.from_arrays([pa.array(key[root[rows]]), pa.array(key[rows])], names=["a", "b"])
+    release_memory()
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share, from the table of sets and shingles that several hold."""
+    grams, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    count = np.bincount(column, minlength=len(grams))
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    several = np.flatnonzero(count > 1)
+    place = np.full(len(grams), -1)
+    place[several] = np.arange(len(several))
+    at = place[column]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    step = max(1, WORDS_AT_ONCE // len(sets))
+    for low in range(0, len(several), step):
+        a, b = np.searchsorted(at, [low, low + step])
+        marks = np.zeros((len(sets), min(step, len(several) - low)), dtype=np.float32)
+        marks[row[a:b], at[a:b] - low] = 1
+        shared += marks @ marks.T
+    return shared
+
+
+def _linked_in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (tile, cross, part, key, label, grams) sorted by tile: links (a, b) that join all sets of a tile that links join."""
+    for tile, cross, part, key, label, grams in _runs(batches):
+        begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+        for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
+            sets = [np.frombuffer(x, dtype=np.uint64) for x in grams[a:b]]
+            n = np.array([len(x) for x in sets])
+            shared = overlaps(sets)
+            total = n[:, None] + n[None, :]
+            linked = np.triu(OF * shared >= PART * (total - shared), 1)
+            if cross[a]:
+                linked &= part[a:b][:, None] != part[a:b][None, :]
+            i, j = np.nonzero(linked)
+            root = spanning(b - a, i, j)
+            rows = np.flatnonzero(root != np.arange(b - a))
+            yield pa.RecordBatch.from_arrays([pa.array(key[a + root[rows]]), pa.array(key[a + rows])], names=["a", "b"])
+    release_memory()
+
+
+def _in_parts(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """``rows`` with tile, cross and part: those of one ``by`` in one tile, or in a tile for each pair of parts if they are many."""
+    parts = F.ceil(F.col("_n") / F.lit(most)).cast("bigint")
+    sized = rows.join(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).hint("merge"), by)
+    sized = sized.withColumn("part", F.pmod(F.xxhash64("key", F.lit(7)), parts)).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+    low, high = F.least("part", "_other"), F.greatest("part", "_other")
+    return sized.withColumns({"tile": F.when(parts == 1, F.col(by)).otherwise(F.xxhash64(by, low, high)),
+                              "cross": low != high}).drop("_n", "_other")
+
+
 def _allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, na, nb, bits_a, bits_b): the pairs that the bitmaps allow."""
     for batch in batches:
@@ -308,11 +412,9 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _sets_of(docs: DataFrame, described: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, grams) of the sets named in ``keys``, made again from one document each."""
-    some = described.where("prefix IS NOT NULL").join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id")).alias("_d"))
-    some = landed(docs.sparkSession, some.select("key", F.col("_d.doc_id").alias("_id")), "near-some")
+def _sets_of(docs: DataFrame, first: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, grams) of the sets named in ``keys``, made again from one document each (``first``)."""
+    some = landed(docs.sparkSession, first.join(keys, "key", "left_semi"), "near-some")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # Spark knows the written table's size, and sends it to the texts only if it is small.
     rows = rows.join(some.select("_id").distinct(), rows.doc_id.eqNullSafe(F.col("_id")), "left_semi")
@@ -329,20 +431,24 @@ def _sets_of(docs: DataFrame, described: DataFrame, keys: DataFrame) -> DataFram
 class _Checker:
     """Checks pairs of sets by exact intersection; sets made for one round serve the next ones."""
 
-    def __init__(self, docs: DataFrame, described: DataFrame):
-        self.docs, self.described, self.sets = docs, described, None
+    def __init__(self, docs: DataFrame, first: DataFrame):
+        self.docs, self.first, self.sets = docs, first, None
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) of set names that link."""
-        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    def sets_of(self, keys: DataFrame) -> DataFrame:
+        """(key, grams) with the sets named in ``keys`` at least."""
         if self.sets is None:
-            self.sets = _sets_of(self.docs, self.described, keys)
+            self.sets = _sets_of(self.docs, self.first, keys)
         else:
             new = landed(self.docs.sparkSession, keys.join(self.sets.select("key"), "key", "left_anti"), "near-new")
             if not new.isEmpty():
-                self.sets = self.sets.unionByName(_sets_of(self.docs, self.described, new))
-        joined = (pairs.join(self.sets.select(F.col("key").alias("b"), F.col("grams").alias("set_b")).hint("merge"), "b")
-                  .join(self.sets.select(F.col("key").alias("a"), F.col("grams").alias("set_a")).hint("merge"), "a"))
+                self.sets = self.sets.unionByName(_sets_of(self.docs, self.first, new))
+        return self.sets
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of set names that link."""
+        sets = self.sets_of(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
+        joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("grams").alias("set_b")).hint("merge"), "b")
+                  .join(sets.select(F.col("key").alias("a"), F.col("grams").alias("set_a")).hint("merge"), "a"))
         return landed(self.docs.sparkSession, joined.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a bigint, b bigint"),
                       "near-links")
 
@@ -358,44 +464,72 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     only if none of its rows has an id, when component_id is null. Empty tables give no rows.
     """
     spark = docs.sparkSession
-    described = landed(spark, describe_sets(docs, sketch_levels(docs)), "near-described")
+    described, described_path = landed_path(spark, describe_sets(docs, sketch_levels(docs)), "near-described")
+    # What the end needs of every row, without prefixes and bitmaps.
+    ids = landed(spark, described.select("doc_id", "n", "key"), "near-ids")
+    first = landed(spark, described.where("prefix IS NOT NULL").groupBy("key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")).alias("_d")).select("key", F.col("_d.doc_id").alias("_id")), "near-first")
     postings = described.where("prefix IS NOT NULL").select(F.explode("prefix").alias("token"), "n", "key")
-    shared = landed(spark, postings.repartition("token").sortWithinPartitions("token", "n", "key")
-                    .mapInArrow(_lead, "token bigint, n bigint, key bigint, leader bigint, leader_n bigint"), "near-shared")
-    bits = landed(spark, described.where("bits IS NOT NULL").join(shared.select("key").distinct(), "key", "left_semi")
-                  .groupBy("key").agg(F.first("bits").alias("bits")), "near-bits")
+    shared, shared_path = landed_path(spark, postings.repartition("token").sortWithinPartitions("token", "n", "key")
+                                      .mapInArrow(_lead, "token bigint, n bigint, key bigint, leader bigint, leader_n bigint"), "near-shared")
+    bits, bits_path = landed_path(spark, described.where("bits IS NOT NULL").join(shared.select("key").distinct(), "key", "left_semi")
+                                  .groupBy("key").agg(F.first("bits").alias("bits")), "near-bits")
+    remove_path(spark, described_path)
 
     stars = shared.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b"),
                                                  F.col("leader_n").alias("na"), F.col("n").alias("nb")).distinct()
     stars = (stars.join(bits.select(F.col("key").alias("b"), F.col("bits").alias("bits_b")).hint("merge"), "b")
              .join(bits.select(F.col("key").alias("a"), F.col("bits").alias("bits_a")).hint("merge"), "a"))
     stars = landed(spark, stars.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_allowed, "a bigint, b bigint"), "near-stars")
-    checker = _Checker(docs, described)
+    checker = _Checker(docs, first)
     found = checker.linked(stars)
     final = landed(spark, components(found), "near-labels")
-    tiles = shared.select("token", "n", "key")
-    for pick, most in ROUNDS:
+    tiles, tiles_path = shared.select("token", "n", "key"), shared_path
+
+    def still_open(tiles: DataFrame, tiles_path: str) -> tuple[DataFrame, str]:
+        """The tiles whose sets are not all in one component, with labels; the former table is used up."""
         labels = final.withColumnRenamed("node", "key").hint("merge")
-        known = landed(spark, tiles.join(labels, "key", "left").select("token", "n", "key", F.coalesce("label", "key").alias("label")), "near-known")
-        # A tile whose sets are all in one component has nothing left to find.
+        known, known_path = landed_path(spark, tiles.join(labels, "key", "left").select("token", "n", "key", F.coalesce("label", "key").alias("label")), "near-known")
+        remove_path(spark, tiles_path)
         still = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-        known = landed(spark, known.join(landed(spark, still, "near-open").hint("merge"), "token", "left_semi"), "near-open-tiles")
-        entered = known if pick is None else known.groupBy("key", "n", "label").agg(F.expr(f"{pick}(token)").alias("token"))
-        pairs = (entered.join(bits.hint("merge"), "key").select("token", "n", "key", "label", "bits")
-                 .repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_cross(most), "a bigint, b bigint").distinct())
-        pairs = landed(spark, pairs, "near-pairs")
+        left = landed_path(spark, known.join(landed(spark, still, "near-open").hint("merge"), "token", "left_semi"), "near-open-tiles")
+        remove_path(spark, known_path)
+        return left
+
+    def compared(entered: DataFrame, work, ddl: str) -> DataFrame:
+        rows = _in_parts(entered, "token", TILE_SETS).join(bits.hint("merge"), "key")
+        return (rows.select("tile", "cross", "part", "n", "key", "label", "bits").repartition("tile").sortWithinPartitions("tile", "n", "key")
+                .mapInArrow(work, ddl))
+
+    for pick, most in ROUNDS:
+        known, tiles_path = still_open(tiles, tiles_path)
         tiles = known.select("token", "n", "key")
+        entered = landed(spark, known.groupBy("key", "n", "label").agg(F.expr(f"{pick}(token)").alias("token")), "near-entered")
+        pairs = landed(spark, compared(entered, _few_pairs(most), "a bigint, b bigint").distinct(), "near-pairs")
         if pairs.isEmpty():
             continue
         found = found.unionByName(checker.linked(pairs))
         final = landed(spark, components(found), "near-labels")
 
+    known, tiles_path = still_open(tiles, tiles_path)
+    alike = landed(spark, compared(known, _resembling, "a bigint, b bigint").distinct(), "near-alike")
+    remove_path(spark, tiles_path)
+    remove_path(spark, bits_path)
+    if not alike.isEmpty():
+        groups = landed(spark, components(alike).withColumnsRenamed({"node": "key", "label": "grp"}), "near-groups")
+        sets = checker.sets_of(groups.select("key"))
+        members = _in_parts(groups, "grp", GROUP_SETS).withColumn("label", F.lit(0)).join(sets.hint("merge"), "key")
+        links_found = (members.select("tile", "cross", "part", "key", "label", "grams").repartition("tile").sortWithinPartitions("tile", "key")
+                       .mapInArrow(_linked_in_groups, "a bigint, b bigint"))
+        found = found.unionByName(landed(spark, links_found, "near-links"))
+        final = landed(spark, components(found), "near-labels")
+
     final = final.withColumnRenamed("node", "key")
-    keys = described.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+    keys = ids.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     keys = landed(spark, keys.join(final, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label")), "near-keys")
     least = keys.groupBy("label").agg(F.min("least").alias("component_id"))
     named = landed(spark, keys.join(least, "label").select("key", "component_id"), "near-named")
-    joined = described.select("doc_id", "n", "key").join(named.hint("merge"), "key", "left")
+    joined = ids.join(named.hint("merge"), "key", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"),
                          F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
