@@ -280,7 +280,8 @@ def test_plain_rows_do_not_reach_python(spark):
 
 
 def test_audit_counts_then_zero(spark):
-    df = spark.createDataFrame([("n", f"write {MAIL}, {dotted(TAX)} or {TAX}; {CARD} {grouped(CARD)}"), ("n", f"{FIRM} and 172.20.9.33"), ("n", "nothing")], "namespace string, t string")
+    df = spark.createDataFrame([("n", f"write {MAIL}, {dotted(TAX)} or {TAX}; {CARD} {grouped(CARD)}"), ("n", f"{FIRM} and 172.20.9.33"), ("n", "nothing"),
+                                ("n", f"{TAX} again, {CARD}, {MAIL}, 10.1.2.3 and {dotted(TAX)}")], "namespace string, t string")
     before = O.pii_audit(df, "t").agg(F.sum("hits")).first()[0]
     after = O.pii_audit(O.redact_column(df, "t"), "t").agg(F.sum("hits")).first()[0]
     assert before > 10 and after == 0
