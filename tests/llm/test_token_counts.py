@@ -36,6 +36,20 @@ def test_scan(spark, block):
         assert own == [(i, n, c) for i, (n, c) in enumerate(brute(ids))]
 
 
+def test_ends_are_not_ordered_per_file(spark):
+    """What the windows sort for one file is a row of numbers per block, without the ends."""
+    blocks = spark.range(4).selectExpr("0L AS file", "id AS block", "unhex('09000100') AS ids")
+    plan = token_counts.count_tokens(blocks, END)._jdf.queryExecution().executedPlan().toString()
+    below = [line.split("Window [", 1)[1] for line in plan.splitlines() if "Window [" in line]
+    assert below and not any("ends#" in line.replace("n_ends#", "") for line in below)
+
+
+def test_odd_blocks(spark):
+    rows = [(0, 0, b"\x01\x00\x09\x00"), (None, 0, b"\x01\x00"), (0, None, b"\x01\x00"), (1, 3, None), (1, 5, b"\x02\x00")]
+    got = token_counts.count_tokens(spark.createDataFrame(rows, "file bigint, block bigint, ids binary"), END).collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 1, True), (1, 0, 1, False)]
+
+
 def test_documents(spark):
     texts = [None, "", "a b c", "# ## ###", "<|endoftext|> x", "word " * 5000, "a b c"]
     rows = [(i, t, "k") for i, t in enumerate(texts)] + [(None, "no id", "k"), (2, "a b c", "k")]

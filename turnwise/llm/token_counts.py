@@ -4,8 +4,9 @@ A flat token file is nothing but token ids, one document after another, each clo
 end-of-document id; there is no index. It travels as blocks of a fixed number of ids, cut
 wherever the count falls. Each block is searched for the end id at once; only the ends found go
 on. A prefix scan over a file's block summaries then gives every block the position it starts
-at and the last end before it, which stitches the documents that reach over block edges. No
-file is ever in one task; what is ordered per file is one narrow row per block.
+at and the last end before it, which stitches the documents that reach over block edges. What is
+ordered per file is one row of numbers per block; the ends found in a block stay where they are
+and meet the block's position in a merge join on (file, block).
 """
 
 from __future__ import annotations
@@ -68,36 +69,45 @@ def write_flat(docs: DataFrame, tokenizer_path: str, end_id: int, block_ids: int
 
 
 def scan_blocks(blocks: DataFrame, end_id: int) -> DataFrame:
-    """(file, block, size, ends): the positions of the end id in each block of (file, block, ids)."""
+    """(file, block, size, n_ends, tail, ends): where the end id is in each block of (file, block, ids).
+
+    ``tail`` is the last such place, null if there is none.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.frombuffer(x.as_buffer(), dtype="<u2") for x in batch.column(2)]
             ends = [np.flatnonzero(ids == end_id) for ids in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(ids) for ids in found], pa.int64()),
-                 pa.array(ends, pa.list_(pa.int64()))], names=["file", "block", "size", "ends"])
+                 pa.array([len(e) for e in ends], pa.int64()), pa.array([int(e[-1]) if len(e) else None for e in ends], pa.int64()),
+                 pa.array(ends, pa.list_(pa.int64()))], names=["file", "block", "size", "n_ends", "tail", "ends"])
 
-    return blocks.select("file", "block", "ids").mapInArrow(run, "file bigint, block bigint, size bigint, ends array<bigint>")
+    return blocks.select("file", "block", "ids").mapInArrow(
+        run, "file bigint, block bigint, size bigint, n_ends bigint, tail bigint, ends array<bigint>")
 
 
 def count_tokens(blocks: DataFrame, end_id: int) -> DataFrame:
     """(file, ordinal, n_tokens, complete) of every document of flat token files.
 
-    ``blocks`` has (file, block, ids), blocks numbered in order within a file, gaps allowed.
+    ``blocks`` has (file, block, ids), blocks numbered in order within a file, no number twice,
+    gaps allowed; a missing file or block number is an error of the input and its ids are not counted.
     The end id is not counted; two ends in a row are a document of 0 tokens. Ids after a
     file's last end are one more document, not ``complete``. A file without ids has none.
     """
-    found = landed(blocks.sparkSession, scan_blocks(blocks, end_id), "token-ends")
+    numbered = blocks.where("file IS NOT NULL AND block IS NOT NULL AND ids IS NOT NULL")
+    found = landed(blocks.sparkSession, scan_blocks(numbered, end_id), "token-ends")
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    placed = found.withColumns({"at": at, "first": F.coalesce(F.sum(F.size("ends").cast("bigint")).over(earlier), F.lit(0))})
-    placed = placed.withColumn("last", F.col("at") + F.element_at(F.when(F.size("ends") > 0, F.col("ends")), -1))
+    placed = found.select("file", "block", "size", "n_ends", "tail").withColumns({
+        "at": F.coalesce(F.sum("size").over(earlier), F.lit(0)), "first": F.coalesce(F.sum("n_ends").over(earlier), F.lit(0))})
+    placed = placed.withColumn("last", F.col("at") + F.col("tail"))
     placed = placed.withColumn("before", F.coalesce(F.max("last").over(earlier), F.lit(-1)))
     start = F.when(F.col("i") > 0, F.col("at") + F.col("ends")[F.col("i") - 1]).otherwise(F.col("before"))
-    whole = placed.select("file", "first", "at", "before", "ends", F.posexplode("ends").alias("i", "end")).select(
+    whole = found.where("n_ends > 0").select("file", "block", "ends").join(
+        placed.where("n_ends > 0").select("file", "block", "first", "at", "before").hint("merge"), ["file", "block"])
+    whole = whole.select("file", "first", "at", "before", "ends", F.posexplode("ends").alias("i", "end")).select(
         "file", (F.col("first") + F.col("i")).alias("ordinal"), (F.col("at") + F.col("end") - start - 1).alias("n_tokens"),
         F.lit(True).alias("complete"))
-    files = placed.groupBy("file").agg(F.sum("size").alias("size"), F.sum(F.size("ends").cast("bigint")).alias("ordinal"),
+    files = placed.groupBy("file").agg(F.sum("size").alias("size"), F.sum("n_ends").alias("ordinal"),
                                        F.coalesce(F.max("last"), F.lit(-1)).alias("last"))
     rest = files.where("size > last + 1").select("file", "ordinal", (F.col("size") - F.col("last") - 1).alias("n_tokens"),
                                                  F.lit(False).alias("complete"))
