@@ -78,6 +78,17 @@ def test_against_brute_force(spark, block_bytes):
     assert run(spark, docs, items, block_bytes=block_bytes) == brute(docs, items)
 
 
+def test_blocks_with_clashing_names(spark):
+    """Rows keep their own columns, whatever these are called, over several passes."""
+    docs = spark.createDataFrame([(1, "one two three four", "a", 7), (2, "nothing", None, 8), (None, "four five six", "b", 9), (1, "one two three four", "a", 7)],
+                                 "_row bigint, text string, _items string, _hits int")
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(["two three", "five six", "seven eight", "three four"])], "item_id int, text string")
+    whole = decontaminate.mark_contamination(docs, items)
+    parts = decontaminate.mark_contamination(docs, items, block_bytes=9)
+    assert len(decontaminate.item_blocks(items, 9)) > 1 and parts.columns == whole.columns
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
+
+
 def test_empty(spark):
     docs, items = table(1)
     assert run(spark, [], items) == []

@@ -7,11 +7,16 @@ at once through wavelet-tree ranks, occurrences are located by sampled suffix po
 their word ranges are merged into removal spans. Documents never leave their task: there is
 no shuffle, and memory is bounded by the slice.
 
-The benchmark travels in blocks of bounded size; documents go through one pass per block.
+The benchmark travels in blocks of bounded size, one at a time. A benchmark of more than one
+block costs a pass over the texts for each: a pass writes the marks of the rows it hit, its block
+is given back by driver and workers before the next one is sent, and the last pass joins what
+the others wrote.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +24,8 @@ from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, Stru
 
 from turnwise.llm.fm_index import FMIndex
 from turnwise.llm.text import LOWER, add_columns, hash_spans, keep_where, word_spans
+from turnwise.operators.scan import lookup_join
+from turnwise.session import landed
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -161,6 +168,11 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[Da
     return [items.where(part == i) for i in range(blocks)] if blocks > 1 else [items]
 
 
+def _phrases(block: DataFrame, window: int):
+    """A block's phrases, sent to the workers."""
+    return block.sparkSession.sparkContext.broadcast(Phrases([(r.item_id, r.text) for r in block.collect()], window))
+
+
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                        block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, items, contaminated, hit_words and removal_spans added.
@@ -176,16 +188,31 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     has no phrase; an item without an id counts under the empty id; equal ids count once.
     Repeated documents are judged alike. Empty tables on either side are fine.
     """
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     kept = [c for c in docs.columns if c not in _ADDED]
-    done = docs.select(*kept)
-    earlier = None
-    for block in item_blocks(benchmark, block_bytes):
-        items = [(r.item_id, r.text) for r in block.collect()]
-        done = add_columns(done if earlier is None else done.select(*kept, F.col("hit_words").alias("_hits"), F.col("items").alias("_items")),
-                           _ADDED, _shard_work(sc.broadcast(Phrases(items, window)), earlier))
-        earlier = (len(kept), len(kept) + 1)
-    return done.select(*kept, *_ADDED)
+    blocks = item_blocks(benchmark, block_bytes)
+    if len(blocks) == 1:
+        return _pass(docs.select(*kept), _phrases(blocks[0], window), None).select(*kept, *_ADDED)
+    # Rows have no key of their own; their numbers are written, so that all passes mean the same.
+    names = ["text" if c == "text" else f"_c{i}" for i, c in enumerate(kept)]
+    rows = landed(spark, docs.select(*kept).toDF(*names).withColumn("_row", F.monotonically_increasing_id()), "contamination-rows")
+    marks = []
+    for block in blocks[:-1]:
+        sent = _phrases(block, window)
+        hit = _pass(rows.select("_row", "text"), sent, None).where("n_hit > 0").select("_row", "hit_words", "items")
+        marks.append(landed(spark, hit, "contamination-marks"))
+        sent.destroy()
+    marked = reduce(DataFrame.unionByName, marks).groupBy("_row").agg(
+        F.flatten(F.collect_list("hit_words")).alias("_hits"), F.flatten(F.collect_list("items")).alias("_items"))
+    none = F.array()
+    joined = lookup_join(rows, marked, ["_row"]).select(
+        *names, F.coalesce("_hits", none.cast("array<bigint>")).alias("_hits"), F.coalesce("_items", none.cast("array<string>")).alias("_items"))
+    done = _pass(joined, _phrases(blocks[-1], window), (len(names), len(names) + 1))
+    return done.select(*names, *_ADDED).toDF(*kept, *_ADDED)
+
+
+def _pass(rows: DataFrame, phrases, earlier: tuple[int, int] | None) -> DataFrame:
+    return add_columns(rows, _ADDED, _shard_work(phrases, earlier))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
