@@ -1,11 +1,16 @@
 """Secrets against plain regular expressions, and the models' held-out accuracy."""
 
+import collections
 import hashlib
+import math
+import os
 import random
 import re
 import string
+import sysconfig
 
 import numpy as np
+import pytest
 
 from turnwise.llm import queries, secrets
 
@@ -92,6 +97,116 @@ def test_random_strings_of_one_kind_of_character():
         assert len(found & set(held)) >= 180 and not found & set(names[3000:])
 
 
+def chances(pairs, even):
+    """The smoothed chance of b after a, in plain Python."""
+    single, after, kinds = collections.Counter(), collections.Counter(), collections.Counter()
+    for (a, b), n in pairs.items():
+        single[b] += n
+        after[a] += n
+        kinds[a] += 1
+    total = sum(single.values())
+
+    def chance(a, b):
+        alone = (single[b] + 1) / (total + secrets.SYMBOLS)
+        mixed = (pairs[a, b] + kinds[a] * alone) / (after[a] + kinds[a]) if after[a] else alone
+        return (1 - even) * mixed + even / secrets.SYMBOLS
+    return chance
+
+
+def brute_random(texts):
+    """Random spans of all texts, by models of plain counts over the same texts."""
+    values, ordinary, long = collections.Counter(), collections.Counter(), []
+    symbol = lambda c: c if re.fullmatch(r"[A-Za-z0-9+/_-]", c) else "?"
+    for text in texts:
+        base = []
+        for kind, pattern in BASE.items():
+            for m in re.finditer(pattern, text):
+                if len(m.group(2)) >= 8 if kind == "assign" else len(m.group()) >= (16 if kind == "access" else 32):
+                    base.append((m.start(), m.end()))
+                    value = m.group(2) if kind == "assign" else m.group()
+                    values.update((symbol(a), symbol(b)) for a, b in zip(value, value[1:]))
+        own = []
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{8,}", text):
+            if not any(m.start() < e and s < m.end() for s, e in base):
+                ordinary.update(zip(m.group(), m.group()[1:]))
+                if len(m.group()) >= 16:
+                    own.append((m.start(), m.end(), m.group()))
+        long.append(own)
+    ordinary = collections.Counter({(symbol(a), symbol(b)): n for (a, b), n in ordinary.items()})
+    secret, plain = chances(values, secrets.EVEN_RANDOM), chances(ordinary, secrets.EVEN_ORDINARY)
+    out = []
+    for own in long:
+        spans = []
+        for start, end, value in own:
+            ratio = sum(math.log(secret(a, b) / plain(a, b)) for a, b in zip(value, value[1:]))
+            if ratio > secrets.LEAST_RATIO and ratio >= secrets.LEAST_MEAN * (len(value) - 1):
+                spans.append((start, end, ratio))
+        out.append(spans)
+    return out
+
+
+def test_random_spans_against_plain_counts(spark):
+    rng = random.Random(5)
+    parts = ["get", "value", "index", "table", "name", "order", "state", "under", "line", "count"]
+    parts += [p.capitalize() for p in parts] + [p.upper() for p in parts] + ["2024", "x1", "v20", "13579"]
+    texts = []
+    for i in range(120):
+        text = ["".join(rng.choices(parts, k=rng.randrange(1, 5))) + rng.choice(["", "", "ing", "_all", "Of", "/in/", "-ated", "ß"]) for _ in range(400)]
+        key = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=rng.choice([15, 16, 20, 40])))
+        text[rng.randrange(400)] = rng.choice(["token=" + key, "secret: " + key] * 6 + [key, "(" + key + ")", "ß" + key, "f0" * 16 + " " + key])
+        texts.append(" ".join(text) + rng.choice(["", "\U0001F600", "\n"]))
+    texts += [texts[0], "", "x" * 50000 + " " + texts[1]]
+    rows = [(i if i % 7 else None, t) for i, t in enumerate(texts)] + [(None, None), (3, texts[3]), (3, texts[3])]
+    want = brute_random([t or "" for _, t in rows])
+    assert sum(map(bool, want)) > 10
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    got = [(r.doc_id, r.text, [(x.start, x.end, round(x.ratio, 6)) for x in r.secrets if x.kind == "random"]) for r in found]
+    want = [(d, t, [(s, e, round(v, 6)) for s, e, v in spans]) for (d, t), spans in zip(rows, want)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@pytest.fixture(scope="module")
+def corpus_model(spark, sf):
+    folder = os.path.join(os.path.dirname(sf), "sf0.01")
+    if not os.path.isdir(folder):
+        pytest.skip("no larger table")
+    return secrets.train(secrets.count_pairs(spark.read.parquet(f"{folder}/documents.parquet")))
+
+
+def found_share(model, strings):
+    raw = np.frombuffer("\n".join(strings).encode(), dtype=np.uint8)
+    return len(secrets.random_spans(raw, np.array([0, len(raw)]), [], model)) / len(strings)
+
+
+def test_false_alarms_on_code(corpus_model):
+    """Names and paths of the Python library: code that the model has not seen."""
+    lib, names, paths = sysconfig.get_paths()["stdlib"], set(), set()
+    for folder, below, files in os.walk(lib):
+        below[:] = [d for d in below if d != "site-packages"]
+        for file in files:
+            if file.endswith(".py"):
+                path = os.path.join(folder, file)
+                paths.add(os.path.relpath(path, lib)[:-3])
+                with open(path, encoding="utf8", errors="ignore") as f:
+                    names.update(re.findall(r"\b[a-z]+(?:_[a-z]+)+\b", f.read()))
+    snake = sorted(n for n in names if len(n) >= 16)
+    camel = ["".join(w.capitalize() for w in n.split("_")) for n in snake]
+    paths = sorted(p for p in paths if len(p) >= 16)
+    assert len(snake) > 5000 and len(paths) > 300
+    assert found_share(corpus_model, ["src/main/java/org/example/App", "getUserAccountSettingsById"]) == 0
+    assert found_share(corpus_model, paths) <= 0.005
+    assert found_share(corpus_model, snake) <= 0.01
+    assert found_share(corpus_model, [c for c in camel if len(c) >= 16]) <= 0.02
+
+
+def test_random_strings_are_found(corpus_model):
+    rng = random.Random(6)
+    for alphabet, size, least in ((string.ascii_letters + string.digits, 16, 0.95), (string.ascii_letters + string.digits, 20, 0.98),
+                                  (string.ascii_letters + string.digits + "+/", 24, 0.98), (string.ascii_letters, 20, 0.94),
+                                  ("0123456789abcdef", 28, 0.8)):
+        assert found_share(corpus_model, ["".join(rng.choices(alphabet, k=size)) for _ in range(2000)]) >= least
+
+
 def test_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
@@ -102,5 +217,4 @@ def test_query(spark, sf):
     assert len(rows) == len(docs)
     for r in rows:
         assert r.base_sha256 == hashlib.sha256(brute(docs[r.doc_id].text).encode()).hexdigest()
-    print([r.spans for r in rows if r.n_random])
     assert sum(r.n_random > 0 for r in rows) <= 0.01 * len(rows)

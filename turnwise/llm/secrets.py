@@ -1,8 +1,11 @@
 """Secrets in texts: fixed patterns, and Markov models of random strings against identifiers.
 
 Two character Markov models (each character given the one before) are trained on labelled
-strings: values that a fixed pattern marks as secret, and ordinary identifiers. A further
-string is reported when its log-likelihood ratio outweighs the prior odds against a secret.
+strings over one alphabet: values that a fixed pattern marks as secret, and all other strings
+of that alphabet, such as words, identifiers, paths and numbers. In both, pairs are interpolated
+with single characters, and these with equal chances for all. A
+further string is reported when its log-likelihood ratio outweighs the prior odds against a
+secret and is large enough for each of its characters, so that length alone proves nothing.
 The labels come from the whole corpus, as sums of character-pair counts, which are a few
 thousand numbers whatever its size. Both passes work on slices of whole texts in place.
 """
@@ -29,9 +32,15 @@ KINDS = ("assign", "access", "hex", "random")
 BASE = 3
 
 LEAST_RANDOM = 16
-LEAST_IDENTIFIER = 8
+LEAST_ORDINARY = 8
 # A string is taken for a secret from even odds, starting at one in a million.
 LEAST_RATIO = float(np.log(1e6))
+# The ratio a string must have for each of its pairs of characters.
+LEAST_MEAN = 0.75
+# The parts of the models that give every character the same chance. A secret's format may be
+# none of the labelled ones. For ordinary strings the part bounds what one unseen pair can
+# weigh, as code holds many pairs that prose lacks.
+EVEN_RANDOM, EVEN_ORDINARY = 0.5, 0.05
 
 _ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 SYMBOLS = len(_ALPHABET) + 1
@@ -47,8 +56,6 @@ def _all_but(chars: bytes) -> np.ndarray:
 
 NOT_HEX = _all_but(b"0123456789abcdef")
 NOT_CANDIDATE = _all_but(_ALPHABET)
-NOT_IDENTIFIER = _all_but(_ALPHABET.replace(b"+", b"").replace(b"/", b"").replace(b"-", b""))
-_LETTER = ~_all_but(_ALPHABET[:52])
 
 
 def base_spans(raw: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -94,11 +101,6 @@ def _pairs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return _SYMBOL[raw[at]] * SYMBOLS + _SYMBOL[raw[at + 1]], first
 
 
-def _amount(mask: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(mask)])
-    return total[ends] - total[starts]
-
-
 @dataclass
 class SecretModel:
     """Log-likelihood ratio of each character pair, random over ordinary."""
@@ -107,16 +109,27 @@ class SecretModel:
 
     @classmethod
     def of(cls, random: np.ndarray, ordinary: np.ndarray) -> SecretModel:
-        """From pair counts, each pair counted once more than seen."""
-        logs = []
-        for counts in (random, ordinary):
-            table = counts.reshape(SYMBOLS, SYMBOLS) + 1.0
-            logs.append(np.log(table / table.sum(axis=1, keepdims=True)))
+        """From pair counts of the two kinds of strings."""
+        logs = [np.log(_interpolated(counts.reshape(SYMBOLS, SYMBOLS), even))
+                for counts, even in ((random, EVEN_RANDOM), (ordinary, EVEN_ORDINARY))]
         return cls((logs[0] - logs[1]).ravel())
 
 
+def _interpolated(counts: np.ndarray, even: float) -> np.ndarray:
+    """Chances of each character after each, from pair counts.
+
+    A pair weighs as often as it was seen, single characters as often as the first one was
+    followed by something new.
+    """
+    single = counts.sum(axis=0)
+    single = (single + 1.0) / (single.sum() + SYMBOLS)
+    seen, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    pairs = np.where(seen > 0, (counts + kinds * single) / np.maximum(seen + kinds, 1), single)
+    return (1 - even) * pairs + even / SYMBOLS
+
+
 def count_pairs(docs: DataFrame) -> DataFrame:
-    """(random, pair, n) over all texts: pairs in values the fixed patterns mark, and in identifiers."""
+    """(random, pair, n) over all texts: pairs in values the fixed patterns mark, and in all other strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, SYMBOLS * SYMBOLS), dtype=np.int64)
         for batch in batches:
@@ -124,10 +137,10 @@ def count_pairs(docs: DataFrame) -> DataFrame:
                 spans = base_spans(raw, offsets)
                 values = np.array([(s[4], s[3]) for s in spans], dtype=np.int64).reshape(-1, 2)
                 counts[1] += np.bincount(_pairs(raw, values[:, 0], values[:, 1])[0], minlength=counts.shape[1])
-                starts, ends, _ = word_spans(raw, offsets, NOT_IDENTIFIER)
-                long = ends - starts >= LEAST_IDENTIFIER
+                starts, ends, _ = word_spans(raw, offsets, NOT_CANDIDATE)
+                long = ends - starts >= LEAST_ORDINARY
                 starts, ends = starts[long], ends[long]
-                ordinary = _clear_of(starts, ends, spans) & (_amount(_LETTER[raw], starts, ends) > 0)
+                ordinary = _clear_of(starts, ends, spans)
                 counts[0] += np.bincount(_pairs(raw, starts[ordinary], ends[ordinary])[0], minlength=counts.shape[1])
         label, pair = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(label == 1), pa.array(pair.astype(np.int64)), pa.array(counts[label, pair])],
@@ -158,7 +171,8 @@ def random_spans(raw: np.ndarray, offsets: np.ndarray, spans: list[tuple], model
     pairs, first = _pairs(raw, starts, ends)
     ratio = np.add.reduceat(model.ratio[pairs], first)
     rows = np.searchsorted(row_spans, long, side="right") - 1
-    return [(int(rows[i]), int(starts[i]), 3, int(ends[i]), float(ratio[i])) for i in np.flatnonzero(ratio > LEAST_RATIO)]
+    told = (ratio > LEAST_RATIO) & (ratio >= LEAST_MEAN * (ends - starts - 1))
+    return [(int(rows[i]), int(starts[i]), 3, int(ends[i]), float(ratio[i])) for i in np.flatnonzero(told)]
 
 
 _SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType()),
