@@ -211,3 +211,11 @@ def test_percentiles_with_null_groups(spark):
     got = {r.tool_name: (r.calls, r.errors, r.p50_ms, r.p95_ms) for r in rollups.tool_usage(df).collect()}
     assert got == {None: (2, 1, 10, 30), "t": (1, 0, None, None)}
     assert rollups.tool_usage(df, approx=True).count() == 2
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_exported_times_keep_microseconds(spark, tmp_path, fmt, kind):
+    logs = spark.sql(f"SELECT 1L AS id, 'n' AS namespace, 'info' AS level, 'm' AS message, CAST('2024-01-04 06:33:45.410546' AS {kind}) AS timestamp")
+    K.export_logs(logs, str(tmp_path / "out"), fmt, namespace="n")
+    assert any("06:33:45.410546" in r.value for r in spark.read.text(str(tmp_path / "out")).collect())

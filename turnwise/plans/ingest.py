@@ -37,14 +37,16 @@ def stored(spark, sf):
     return R.parse_records(valid)
 
 
-@query("s1_read_records", f"""WITH {V.LINES} SELECT namespace, agent, session_id, CAST(CASE WHEN line % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS messages,
+_RECORD_SQL = f"""WITH {V.LINES} SELECT namespace, agent, session_id, CAST(CASE WHEN line % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS messages,
   line AS input_tokens, CAST(length(text) AS BIGINT) AS output_tokens, CAST(line + length(text) AS BIGINT) AS total_tokens, md5(text) AS text_md5, model,
   CASE WHEN line % 2 = 0 THEN agent END AS refusal, CASE WHEN line % 2 = 0 THEN line END AS annotation,
   CASE WHEN line % 2 = 0 THEN conv_id END AS audio_id, CASE WHEN line % 2 = 0 THEN tool END AS function_name
-  FROM lines WHERE {_VALID}""")
-def s1(spark, sf):
+  FROM lines WHERE {_VALID}"""
+
+
+def _record_view(records):
     first = F.col("msg")[0]
-    return stored(spark, sf).select(
+    return records.select(
         "namespace", "agent", "session_id", F.size("msg").cast("bigint").alias("messages"), "input_tokens", "output_tokens",
         "total_tokens", F.md5(C.extract_text(first["content"])).alias("text_md5"), "model", first["refusal"].alias("refusal"),
         F.try_variant_get(first["annotations"], "$[0]", "bigint").alias("annotation"),
@@ -52,6 +54,19 @@ def s1(spark, sf):
         F.try_variant_get(first["function_call"], "$.name", "string").alias("function_name"))
 
 
+@query("s1_read_records", _RECORD_SQL)
+def s1(spark, sf):
+    return _record_view(stored(spark, sf))
+
+
+@query("s1_record_files", _RECORD_SQL)
+def s1_files(spark, sf):
+    """The records as files of JSON lines, read back."""
+    path = scratch_path(spark, "record-files")
+    _json_records(spark, sf).select("value").write.text(path)
+    return _record_view(R.read_records_json(spark, path, lines=True))
+
+
 @query("s3_validate_records", f"""WITH {V.LINES}, bad AS (SELECT 'missing_agent' AS reason FROM lines WHERE conv_id % 11 = 0
   UNION ALL SELECT 'bad_msg' FROM lines WHERE line % 7 = 6 UNION ALL SELECT 'bad_input_tokens' FROM lines WHERE conv_id % 13 = 5)
   SELECT reason, count(*) AS rows FROM bad GROUP BY reason""")
@@ -59,17 +74,36 @@ def s3(spark, sf):
     return R.rejects_by_reason(R.validate_records(R.raw_records(_json_records(spark, sf)))[1])
 
 
-@query("s2_read_logs", f"""WITH {V.LOGS} SELECT CASE WHEN id % 4 = 0 THEN 'fallback' ELSE namespace END AS namespace, level, message,
-  {_ST('timestamp')} AS "timestamp", resource_id, replace(custom_object, ' ', '') AS custom_object FROM logs WHERE id % 9 <> 0""")
-def s2(spark, sf):
-    raw = V.logs(spark, sf).selectExpr(
+_LOG_SQL = f"""WITH {V.LOGS} SELECT CASE WHEN id % 4 = 0 THEN 'fallback' ELSE namespace END AS namespace, level, message,
+  {_ST('timestamp')} AS "timestamp", resource_id, replace(custom_object, ' ', '') AS custom_object FROM logs WHERE id % 9 <> 0"""
+
+
+def _json_logs(spark, sf):
+    """Every event as one log entry in JSON; some lack the namespace or the level."""
+    return V.logs(spark, sf).selectExpr(
         """concat('{"id":', id, CASE WHEN id % 4 = 0 THEN '' ELSE concat(',"namespace":"', namespace, '"') END,
           CASE WHEN id % 9 = 0 THEN '' ELSE concat(',"level":"', level, '"') END, ',"message":"', message,
           '","timestamp":"', date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), 'Z","resource_id":"', resource_id,
           '","custom_object":', custom_object, '}') AS value""")
-    valid, _ = R.validate_logs(R.default_namespace(R.raw_logs(raw), "fallback"))
-    return R.parse_logs(valid).select("namespace", "level", "message", V.stamp("timestamp"), "resource_id",
-                                      F.to_json("custom_object").alias("custom_object"))
+
+
+def _log_view(logs):
+    return logs.select("namespace", "level", "message", V.stamp("timestamp"), "resource_id",
+                       F.to_json("custom_object").alias("custom_object"))
+
+
+@query("s2_read_logs", _LOG_SQL)
+def s2(spark, sf):
+    valid, _ = R.validate_logs(R.default_namespace(R.raw_logs(_json_logs(spark, sf)), "fallback"))
+    return _log_view(R.parse_logs(valid))
+
+
+@query("s2_log_files", _LOG_SQL)
+def s2_files(spark, sf):
+    """The entries as files of JSON lines, read back."""
+    path = scratch_path(spark, "log-files")
+    _json_logs(spark, sf).write.text(path)
+    return _log_view(R.read_logs_json(spark, path, "fallback", lines=True))
 
 
 @query("s8_org_usage", """WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_type = 'view') AS s,
@@ -87,20 +121,49 @@ def s8(spark, sf):
                        "custom_object.acceptance_rate", "message")
 
 
-@query("s9_usage_rows", f"""WITH {V.USAGE}, r AS (SELECT *, CASE WHEN shown > 0 THEN round(100.0::DOUBLE * accepted / shown, 1) ELSE 0.0::DOUBLE END AS rate FROM usage)
+_USAGE_SQL = f"""WITH {V.USAGE}, r AS (SELECT *, CASE WHEN shown > 0 THEN round(100.0::DOUBLE * accepted / shown, 1) ELSE 0.0::DOUBLE END AS rate FROM usage)
   SELECT 'copilot-' || "user" || '-' || date AS resource_id, shown AS suggestions_shown, accepted AS suggestions_accepted, rate AS acceptance_rate,
   'Copilot usage: ' || "user" || ' (' || editor || ') - ' || CASE WHEN rate = 0 THEN '0' ELSE CAST(rate AS VARCHAR) END || '% acceptance' AS message
-  FROM r WHERE shown < 5""")
-def s9(spark, sf):
-    rows = V.usage(spark, sf).select(
+  FROM r WHERE shown < 5"""
+
+
+def _usage_rows(spark, sf):
+    """Usage per user and day under other column names; some counts are empty or no numbers."""
+    return V.usage(spark, sf).select(
         F.col("date").alias("day"), F.col("user").alias("login"), F.col("editor").alias("ide"),
         F.when(F.col("shown") >= 5, F.lit("many")).when(F.col("shown") == 0, F.lit("")).otherwise(F.col("shown").cast("string")).alias("shown"),
         F.col("accepted").cast("string").alias("accepted"))
-    logs, _ = U.usage_to_logs(U.resolve_usage_columns(rows))
+
+
+def _usage_files(spark, sf):
+    """The usage rows as CSV files, read back: (logs, rejects)."""
+    path = scratch_path(spark, "usage-files")
+    _usage_rows(spark, sf).write.option("header", True).csv(path)
+    return U.read_copilot_csv(spark, path)
+
+
+def _usage_view(logs):
     return logs.select("resource_id", "custom_object.suggestions_shown", "custom_object.suggestions_accepted",
                        "custom_object.acceptance_rate", "message")
 
 
+@query("s9_usage_rows", _USAGE_SQL)
+def s9(spark, sf):
+    return _usage_view(U.usage_to_logs(U.resolve_usage_columns(_usage_rows(spark, sf)))[0])
+
+
+@query("s9_usage_files", _USAGE_SQL)
+def s9_files(spark, sf):
+    return _usage_view(_usage_files(spark, sf)[0])
+
+
+@query("s9_usage_rejects", f"""WITH {V.USAGE} SELECT "user", date, editor, 'many' AS suggestions_shown,
+  CAST(accepted AS VARCHAR) AS suggestions_accepted FROM usage WHERE shown >= 5""")
+def s9_rejects(spark, sf):
+    """The rows of the CSV files that are set aside, as they were written."""
+    return _usage_files(spark, sf)[1].select("user", "date", "editor", "suggestions_shown", "suggestions_accepted")
+
+
 def _batch(spark, sf):
     return V.traces(spark, sf).withColumns({
         "batch_id": F.floor(F.col("event_id") / 100), "index": F.col("event_id") % 100,
@@ -156,23 +219,49 @@ def k1(spark, sf):
     return spark.read.parquet(path).groupBy("namespace").agg(F.count(F.lit(1)).alias("rows"), F.sum("output_tokens").alias("output_tokens"))
 
 
-@query("k2_export_records", f"""WITH {V.LINES} SELECT CAST(NULL AS VARCHAR) AS id, namespace, agent, session_id, CAST(NULL AS VARCHAR) AS inserted_at,
+_RECORD_EXPORT_SQL = f"""WITH {V.LINES} SELECT CAST(NULL AS VARCHAR) AS id, namespace, agent, session_id, CAST(NULL AS VARCHAR) AS inserted_at,
   CAST(NULL AS VARCHAR) AS created_at, line AS input_tokens, CAST(length(text) AS BIGINT) AS output_tokens, CAST(NULL AS BIGINT) AS process_tokens,
   CAST(NULL AS BIGINT) AS memory_tokens, CAST(line + length(text) AS BIGINT) AS total_tokens, CAST(NULL AS VARCHAR) AS external_user_id,
   CAST(NULL AS VARCHAR) AS external_user_name, CAST(NULL AS VARCHAR) AS external_user_channel,
-  CASE WHEN line % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS msg, CAST(NULL AS VARCHAR) AS transfers FROM lines WHERE namespace = 'ns1' AND {_VALID}""")
+  CASE WHEN line % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS msg, CAST(NULL AS VARCHAR) AS transfers FROM lines WHERE namespace = 'ns1' AND {_VALID}"""
+
+
+@query("k2_export_records", _RECORD_EXPORT_SQL)
 def k2(spark, sf):
     out = K.records_export(filter_records(stored(spark, sf), "ns1"))
     return out.withColumns({"msg": F.json_array_length("msg").cast("bigint"), "inserted_at": F.col("inserted_at").cast("string")})
 
 
-@query("k3_export_logs", f"""WITH {V.LOGS} SELECT id, namespace, level, message, resource_id, {_ST('timestamp')} AS "timestamp",
-  CAST(NULL AS VARCHAR) AS created_at, custom_object FROM logs WHERE namespace = 'ns2' AND level = 'error'""")
+@query("k2_export_files", _RECORD_EXPORT_SQL)
+def k2_files(spark, sf):
+    """The exported JSON files, read back."""
+    path = scratch_path(spark, "record-export")
+    records = stored(spark, sf)
+    K.export_records(records, path, namespace="ns1")
+    back = spark.read.schema(K.records_export(records).schema).json(path)
+    return back.withColumns({"msg": F.json_array_length("msg").cast("bigint"), "inserted_at": F.col("inserted_at").cast("string")})
+
+
+_LOG_EXPORT_SQL = f"""WITH {V.LOGS} SELECT id, namespace, level, message, resource_id, {_ST('timestamp')} AS "timestamp",
+  CAST(NULL AS VARCHAR) AS created_at, custom_object FROM logs WHERE namespace = 'ns2' AND level = 'error'"""
+
+
+@query("k3_export_logs", _LOG_EXPORT_SQL)
 def k3(spark, sf):
     out = K.logs_export(filter_logs(V.logs(spark, sf), "ns2", level="error"))
     return out.withColumn("timestamp", V.stamp("timestamp"))
 
 
+@query("k3_export_files", _LOG_EXPORT_SQL)
+def k3_files(spark, sf):
+    """The exported CSV files, read back."""
+    path = scratch_path(spark, "log-export")
+    logs = V.logs(spark, sf)
+    K.export_logs(logs, path, "csv", namespace="ns2", level="error")
+    back = spark.read.schema(K.logs_export(logs).schema).option("header", True).option("escape", '"').csv(path)
+    return back.withColumn("timestamp", V.stamp("timestamp"))
+
+
 @query("k4_ingest_summary", f"""WITH {V.DUPS}, f AS (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY key ORDER BY ts, id) <= INTERVAL 300 SECOND, false) AS d FROM dups)
   SELECT source AS namespace, count(*) AS received, count(*) FILTER (NOT d AND lang <> 'en') AS inserted, count(*) FILTER (d AND lang <> 'en') AS dropped,
   count(*) FILTER (lang = 'en') AS rejected FROM f GROUP BY source""")

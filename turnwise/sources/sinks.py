@@ -54,7 +54,9 @@ def _export(frame: DataFrame, fmt: str, path: str, cap: int | None) -> None:
         raise ValueError(f"unsupported format {fmt!r}")
     if cap is not None:
         frame = frame.limit(cap)
-    writer = frame.write.mode("errorifexists")
+    # The writers' own formats end at milliseconds.
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    writer = frame.write.mode("errorifexists").options(timestampFormat=f"{micros}XXX", timestampNTZFormat=micros)
     if fmt == "json":
         writer.json(path)
     else:
