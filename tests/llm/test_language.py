@@ -92,22 +92,66 @@ def test_empty(spark):
     assert language.identify(docs).first().lang_pred == "und"
 
 
-def test_limits_come_from_all_rows_of_each_language(spark):
-    """A language with one row in six thousand has a limit, and a language's rows count in full."""
-    rows = [(i, "en", f"the cat number {i % 90} sat on the mat") for i in range(12000)]
-    rows += [(12000 + i, "fr", ("le chat est sur la table " * (i + 1))[: 20 + 9 * i]) for i in range(2)] + [(13000, "xx", "12 34")]
+def _plain_limit(texts, halves, lang_texts_of):
+    """Limits of one language by fitting and scoring here, each half under the model of the other."""
+    mean, square, size = [], [], []
+    for half in (0, 1):
+        own = [t for t, h in zip(texts, halves) if h == half]
+        rest = [t for t, h in zip(texts, halves) if h != half]
+        if not own or not rest:
+            continue
+        grams, ends, _ = lang_texts_of(rest)
+        arrays = language.kneser_ney(*np.unique(grams.astype(np.int64), return_counts=True))
+        nothing = np.zeros(0, dtype=np.int64)
+        arrays |= language.letter_kneser_ney(nothing, nothing)
+        scorer = language.LanguageModel(["x"], {("x", k): v for k, v in arrays.items()}).ready()
+        grams, ends, _ = lang_texts_of(own)
+        found = scorer.cross_entropy(grams, ends)
+        mean, square, size = np.append(mean, found[0][0]), np.append(square, found[1][0]), np.append(size, np.diff(ends))
+    if not len(mean):
+        return None
+    centre = np.average(mean, weights=size)
+    return centre, np.average((mean - centre) ** 2, weights=size), max(np.average(square - mean**2, weights=size), 1e-6)
+
+
+def test_limits_come_from_all_rows_by_the_other_half(spark):
+    """Rows count in full, a small language has its limit, and one with a single text has none."""
+    rows = [(i, "en", f"the cat number {'abcdefghij'[i % 10] * (i % 7)} sat on the mat") for i in range(6000)]
+    rows += [(12000 + i, "fr", ("le chat est sur la table " * (i + 1))[: 20 + 9 * i]) for i in range(9)]
+    rows += [(13000, "xx", "12 34"), (13001, "it", "una sola riga"), (13002, "it", "una sola riga")]
     docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
     model = language.train(docs.repartition(5))
-    assert model.langs == ["en", "fr"]
-    scorer = model.ready()
+    assert model.langs == ["en", "fr", "it"]
+    halves = {r.text: r.half for r in docs.selectExpr("text", "pmod(xxhash64(text), 2) AS half").distinct().collect()}
+
+    def grams_of(texts):
+        raw = [t.encode() for t in texts]
+        return language.grams_of(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0] + [len(t) for t in raw]))
+
     for i, lang in enumerate(model.langs):
-        texts = [t.encode() for _, known, t in rows if known == lang]
-        grams, ends, _ = language.grams_of(np.frombuffer(b"".join(texts), dtype=np.uint8), np.cumsum([0] + [len(t) for t in texts]))
-        mean, square = (x[i] for x in scorer.cross_entropy(grams, ends))
-        size = np.diff(ends)
-        centre = np.average(mean, weights=size)
-        expected = centre, np.average((mean - centre) ** 2, weights=size), max(np.average(square - mean**2, weights=size), 1e-6)
-        assert np.allclose(model.limits[i], expected, rtol=1e-6, atol=1e-9), lang
+        texts = [t for _, known, t in rows if known == lang]
+        expected = _plain_limit(texts, [halves[t] for t in texts], grams_of)
+        if lang == "it":
+            assert expected is None and np.isinf(model.limits[i][0])
+        else:
+            assert np.allclose(model.limits[i], expected, rtol=1e-5, atol=1e-9), lang
+    assert not language.predict(docs.where("lang = 'it'"), model).where("rejected").count()
+
+
+def test_held_out_texts_of_a_small_language_are_kept(spark):
+    """Where there is little to learn from, texts that the model has not learned are as welcome as the others."""
+    texts = {"a": _texts_of_one_script(1, 0x4E00, 37, 60)}
+    texts["b"] = [t.translate({0x4E00 + 37 * i: 0x4E00 + 37 * (i + 301) for i in range(300)}) for t in texts["a"]]
+    rows = [(i, lang, t) for lang, own in texts.items() for i, t in enumerate(own)]
+    docs = spark.createDataFrame(rows, "i bigint, lang string, text string")
+    model = language.train(docs.where("i % 4 > 0"))
+    got = language.predict(docs.where("i % 4 = 0"), model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+    assert np.mean([r.rejected for r in got]) <= 0.05
+    rng = np.random.default_rng(9)
+    noise = ["".join(chr(c) for c in rng.integers(0x4E00, 0x9FA5, 400)) for _ in range(20)]
+    odd = language.predict(spark.createDataFrame([(t,) for t in noise], "text string"), model).collect()
+    assert all(r.rejected for r in odd)
 
 
 def test_held_out(spark, sf):

@@ -11,7 +11,8 @@ model is a set of sorted arrays of n-gram numbers with their log-probabilities,
 broadcast: at most 64**4 class n-grams a language, and as many letter n-grams as the corpus has.
 
 A text goes to the language with the lowest cross-entropy per character. It is rejected where
-even that is far above what the labelled documents of that language show for their length.
+even that is far above what the labelled documents of that language show for their length, each
+under a model of the half of the labelled texts that it is not in.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType
 
 from turnwise.llm.text import add_columns, code_points, release_memory, text_pieces
-from turnwise.session import landed
+from turnwise.session import landed, landed_path, remove_path
 
 ORDER = 4
 CLASSES = 64
@@ -38,6 +39,8 @@ FIRST_OTHER = 27
 LETTER_ORDER = 3
 LETTER_BITS = 21
 HELD_OUT_OF = 5
+# Parts of the labelled texts; each is scored by a model of the others for the rejection limits.
+HALVES = 2
 UNDETERMINED = "und"
 REJECT_SIGMAS = 8.0
 REJECT_MARGIN = 0.25
@@ -45,7 +48,7 @@ MERGE_AT = 1 << 22
 # Text is worked on in slices of this size, since its arrays take many times as much.
 SLICE_BYTES = 2 << 20
 
-COUNT_DDL = "lang string, gram bigint, n bigint"
+COUNT_DDL = "lang string, half int, gram bigint, n bigint"
 # Sums over a language's documents that its rejection limit is taken from.
 SUMS = ("n", "size", "mean", "mean_square", "square")
 MODEL_DDL = "lang string, kind string, grams binary, weights binary"
@@ -149,15 +152,15 @@ def fold(doc_id: Column) -> Column:
 
 
 class _Tally:
-    """Counts per language of one task, merged whenever they grow large."""
+    """Counts per language and half of one task, merged whenever they grow large."""
 
     def __init__(self):
-        self.parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.parts: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
         self.size = 0
 
-    def add(self, lang: str, grams: np.ndarray) -> None:
+    def add(self, lang: str, half: int, grams: np.ndarray) -> None:
         found = np.unique(grams, return_counts=True)
-        self.parts.setdefault(lang, []).append(found)
+        self.parts.setdefault((lang, half), []).append(found)
         self.size += len(found[0])
         if self.size > MERGE_AT:
             self.parts = {k: [self._merged(v)] for k, v in self.parts.items()}
@@ -169,30 +172,33 @@ class _Tally:
         return grams, np.bincount(where, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        for lang, parts in self.parts.items():
+        for (lang, half), parts in self.parts.items():
             grams, counts = self._merged(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)],
-                names=["lang", "gram", "n"])
+                [pa.array([lang] * len(grams), pa.string()), pa.array(np.full(len(grams), half, dtype=np.int32)),
+                 pa.array(grams), pa.array(counts)],
+                names=["lang", "half", "gram", "n"])
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all rows of (lang, text); the numbers of letter n-grams are inverted, so below 0."""
+    """(lang, half, gram, n) over all rows of (lang, half, text); numbers of letter n-grams are inverted, so below 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = _Tally()
         for batch in batches:
             for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
                 found = read_grams(raw, offsets)
                 langs = rows.column(0).dictionary_encode()
-                names, which = langs.dictionary.to_pylist(), np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(found.ends))
-                for i, name in enumerate(names):
-                    tally.add(name, found.classes[which == i].astype(np.int64))
-                    tally.add(name, ~found.spelled[which[found.where] == i])
+                own = HALVES * langs.indices.to_numpy(zero_copy_only=False) + rows.column(1).to_numpy(zero_copy_only=False)
+                which = np.repeat(own, np.diff(found.ends))
+                for i in np.unique(own):
+                    lang, half = langs.dictionary[i // HALVES].as_py(), int(i % HALVES)
+                    tally.add(lang, half, found.classes[which == i].astype(np.int64))
+                    tally.add(lang, half, ~found.spelled[which[found.where] == i])
         yield from tally.batches()
         release_memory()
 
-    return (docs.select("lang", "text").mapInArrow(run, COUNT_DDL)
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return (docs.select("lang", "half", "text").mapInArrow(run, COUNT_DDL)
+            .groupBy("lang", "half", "gram").agg(F.sum("n").alias("n")))
 
 
 def _discount(number: np.ndarray) -> float:
@@ -258,7 +264,9 @@ def letter_kneser_ney(grams: np.ndarray, counts: np.ndarray) -> dict[str, tuple[
 
 
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
-    grams, counts = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
+    # A number that both halves have is one n-gram.
+    grams, which = np.unique(pdf["gram"].to_numpy(), return_inverse=True)
+    counts = np.bincount(which, weights=pdf["n"].to_numpy())
     spelled = grams < 0
     made = kneser_ney(grams[~spelled], counts[~spelled]) | letter_kneser_ney(~grams[spelled], counts[spelled])
     return pd.DataFrame([{"lang": pdf["lang"].iloc[0], "kind": kind, "grams": grams.astype(np.int64).tobytes(),
@@ -362,10 +370,18 @@ def _scorer(model: LanguageModel) -> Scorer:
     return model.scorer
 
 
-def _calibrate(docs: DataFrame, model: LanguageModel) -> np.ndarray:
-    """Per language: mean cross-entropy, spread between documents, and variance per character.
+def _fitted(counts: DataFrame) -> LanguageModel:
+    """The model of (lang, half, gram, n), the halves taken together."""
+    rows = landed(counts.sparkSession, counts.groupBy("lang").applyInPandas(_fit, MODEL_DDL), "lang-model").collect()
+    arrays = {(r.lang, r.kind): (np.frombuffer(r.grams, dtype=np.int64), np.frombuffer(r.weights, dtype=np.float32))
+              for r in rows}
+    return LanguageModel(sorted({r.lang for r in rows}), arrays)
 
-    They follow from sums over all rows of (lang, text); a task gives one row a language.
+
+def _entropy_sums(docs: DataFrame, model: LanguageModel) -> list:
+    """Per language, :data:`SUMS` over all rows of (lang, text) under their own language's model.
+
+    A task gives one row a language. Rows of a language that the model lacks have no number.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -378,10 +394,10 @@ def _calibrate(docs: DataFrame, model: LanguageModel) -> np.ndarray:
             for rows, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
                 found = read_grams(raw, offsets)
                 mean, square = scorer.cross_entropy(found.classes, found.ends, found.where, found.spelled)
-                # A language without any letter has no number, and nothing to add.
-                own = np.array([number.get(x, 0) for x in rows.column(0).to_pylist()], dtype=np.int64)
+                own = np.array([number.get(x, -1) for x in rows.column(0).to_pylist()], dtype=np.int64)
+                size = np.where(own < 0, 0, np.diff(found.ends)).astype(np.float64)
+                own = np.maximum(own, 0)
                 mean, square = mean[own, np.arange(len(rows))], square[own, np.arange(len(rows))]
-                size = np.diff(found.ends).astype(np.float64)
                 for total, value in zip(sums, (size > 0, size, size * mean, size * mean**2, size * square)):
                     total += np.bincount(own, weights=value, minlength=len(langs))
         met = np.flatnonzero(sums[0])
@@ -391,26 +407,43 @@ def _calibrate(docs: DataFrame, model: LanguageModel) -> np.ndarray:
 
     rows = (docs.select("lang", "text").mapInArrow(run, "lang string, " + ", ".join(f"{x} double" for x in SUMS))
             .groupBy("lang").agg(*[F.sum(x).alias(x) for x in SUMS]).collect())
-    limits = np.zeros((len(model.langs), 3))
-    for r in rows:
-        centre, between = r.mean / r.size, r.mean_square / r.size
-        limits[model.langs.index(r.lang)] = (centre, max(between - centre**2, 0.0), max(r.square / r.size - between, 1e-6))
+    sent.destroy()
+    return rows
+
+
+def _calibrate(docs: DataFrame, counts: DataFrame, langs: list[str]) -> np.ndarray:
+    """Per language: mean cross-entropy, spread between documents, and variance per character.
+
+    They follow from sums over all rows of (lang, half, text), each scored by the model of the
+    other half, one half after the other so that one model is in memory at a time. A language with
+    texts in one half only cannot be held against others of its own and gets no limit.
+    """
+    sums = np.zeros((len(langs), len(SUMS)))
+    for half in range(HALVES):
+        model = _fitted(counts.where(F.col("half") != half))
+        for r in _entropy_sums(docs.where(F.col("half") == half), model) if model.langs else []:
+            sums[langs.index(r.lang)] += [r[x] for x in SUMS]
+    limits = np.zeros((len(langs), 3))
+    limits[:, 0] = np.inf
+    for i in np.flatnonzero(sums[:, 0]):
+        _, size, mean, mean_square, square = sums[i]
+        centre, between = mean / size, mean_square / size
+        limits[i] = (centre, max(between - centre**2, 0.0), max(square / size - between, 1e-6))
     return limits
 
 
 def train(docs: DataFrame) -> LanguageModel:
     """A model of every ``lang`` of the rows of (doc_id, lang, text), which are all learned from.
 
-    The rejection limits come from all these rows too. Empty input gives a model without languages.
+    The rejection limits come from all these rows too, by models of two halves of the texts;
+    equal texts are in one half. Empty input gives a model without languages.
     """
     spark = docs.sparkSession
-    counts = landed(spark, count_grams(docs), "lang-counts")
-    rows = landed(spark, counts.groupBy("lang").applyInPandas(_fit, MODEL_DDL), "lang-model").collect()
-    langs = sorted({r.lang for r in rows})
-    arrays = {(r.lang, r.kind): (np.frombuffer(r.grams, dtype=np.int64), np.frombuffer(r.weights, dtype=np.float32))
-              for r in rows}
-    model = LanguageModel(langs, arrays)
-    model.limits = _calibrate(docs, model) if langs else np.zeros((0, 3))
+    docs = docs.select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(HALVES)).cast("int").alias("half"))
+    counts, path = landed_path(spark, count_grams(docs), "lang-counts")
+    model = _fitted(counts)
+    model.limits = _calibrate(docs, counts, model.langs) if model.langs else np.zeros((0, 3))
+    remove_path(spark, path)
     return model
 
 
