@@ -211,3 +211,29 @@ def test_bodies_are_shuffled_once(spark):
     out = T.group_turns(lines.select("session_id", "line", "role", F.col("text").cast("variant").alias("content"), "agent"), "openclaw")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(session_id") == 1
+
+
+def test_token_estimator(spark):
+    """Texts are counted by the function that is given, in turns, chats and chains."""
+    from turnwise.operators.folds import fold_chain_events
+    rows = [("s", 1, "user", "one two three", "a"), ("s", 2, "assistant", "four five", "a")]
+    lines = spark.createDataFrame(rows, "session_id string, line bigint, role string, text string, agent string")
+    lines = lines.select("session_id", "line", "role", F.col("text").cast("variant").alias("content"), "agent")
+    words = lambda text: F.size(F.split(F.coalesce(text, F.lit("x")), " ")).cast("bigint")
+    for dialect in ("openclaw", "cline"):
+        t = T.group_turns(lines, dialect, token_estimator=words).first()
+        assert (t.input_tokens, t.output_tokens, t.total_tokens) == (3, 2, 5), dialect
+        t = T.group_turns(lines, dialect).first()
+        assert (t.input_tokens, t.output_tokens) == (13 // 4, 9 // 4), dialect
+    chat = spark.sql("""SELECT 'c' AS conv_id, array(parse_json('{"role": "user", "content": "a b c d"}'),
+      parse_json('{"role": "bot", "content": "e f"}')) AS turns""")
+    c = T.chat_records(chat, token_estimator=words).first()
+    assert (c.input_tokens, c.output_tokens) == (4, 2)
+    ddl = ("run string, seq bigint, event string, prompt string, prompt_tokens bigint, completion_tokens bigint, tool string, "
+           "input string, output string, model string")
+    events = spark.createDataFrame([
+        ("r", 1, "llm_start", "a b c", None, None, None, None, None, "m"),
+        ("r", 2, "llm_end", None, None, None, None, None, "d e", None),
+        ("r", 3, "chain_end", None, None, None, None, None, "done", None)], ddl)
+    got = fold_chain_events(events, ["run"], token_estimator=words).where("input_tokens > 0").first()
+    assert (got.input_tokens, got.output_tokens) == (3, 2)

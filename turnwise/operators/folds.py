@@ -7,7 +7,7 @@ grouped aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,17 +20,18 @@ TOOL_RESULT_PREVIEW = 200
 
 
 def fold_chain_events(events: DataFrame, keys: Sequence[str] = ("run",), agent: str = "langchain-agent",
-                      estimate: bool = True) -> DataFrame:
+                      estimate: bool = True, token_estimator: Callable[[Column], Column] | None = None) -> DataFrame:
     """Chain callback events -> one assistant record per finished chain, one per agent action.
 
     Columns: keys, ``seq, event, prompt, prompt_tokens, completion_tokens, tool, input,
     output, model``. Prompts are estimated until the model reports prompt tokens, which
     replace what was counted so far; completions add up. ``process_tokens_raw`` counts an
     action's input again when its tool starts, ``process_tokens`` counts it once.
+    ``token_estimator`` replaces the estimate of a text's tokens.
     """
     keys = list(keys)
     ev = F.col("event")
-    est = lambda c: T.tokens_chars4_min1(c, estimate)
+    est = token_estimator if token_estimator and estimate else lambda c: T.tokens_chars4_min1(c, estimate)
     zero = F.lit(0).cast("bigint")
     ends = (ev == "chain_end") & F.col("output").isNotNull()
     reports = (ev == "llm_end") & F.col("prompt_tokens").isNotNull()

@@ -13,7 +13,7 @@ is a turn, which is what a record is.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -57,7 +57,8 @@ def _collected(lines: DataFrame, keys: list[str], keep: Column, sums: Mapping[st
 
 
 def group_turns(lines: DataFrame, dialect: str = "claude", keys: Sequence[str] = ("session_id",),
-                agent: str = "agent", merge_tool_results: bool = False) -> DataFrame:
+                agent: str = "agent", merge_tool_results: bool = False,
+                token_estimator: Callable[[Column], Column] = T.tokens_chars4) -> DataFrame:
     """Turns of a transcript, one row per turn: ``turn_no``, ``msg``, tokens, ``model``.
 
     ``claude``: every user line opens a turn; a turn counts only with an assistant line
@@ -69,15 +70,16 @@ def group_turns(lines: DataFrame, dialect: str = "claude", keys: Sequence[str] =
     estimated from the text. ``cline``: tool results continue the turn as tool messages,
     turns with a user line only and assistants before the first user line are kept.
 
-    ``agent`` names the column holding the agent's name.
+    ``agent`` names the column holding the agent's name. ``token_estimator`` makes a text's
+    tokens where a dialect reports none.
     """
     shape = {"claude": _claude_lines, "openclaw": _openclaw_lines, "cline": _cline_lines}
     if dialect not in shape:
         raise ValueError(f"unknown dialect {dialect!r}")
-    return shape[dialect](lines, list(keys), F.col(agent), merge_tool_results)
+    return shape[dialect](lines, list(keys), F.col(agent), merge_tool_results, token_estimator)
 
 
-def _claude_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool) -> DataFrame:
+def _claude_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool, estimator: Callable) -> DataFrame:
     content = F.col("content")
     opens = F.col("role") == "user"
     if merge:
@@ -109,7 +111,7 @@ def _claude_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
     return _finish(turns.withColumns(tokens), keys, "claude-code")
 
 
-def _openclaw_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool) -> DataFrame:
+def _openclaw_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool, estimator: Callable) -> DataFrame:
     content = F.col("content")
     is_user, is_reply = F.col("role") == "user", F.col("role") == "assistant"
     sender = F.col("sender") if "sender" in lines.columns else agent
@@ -123,18 +125,18 @@ def _openclaw_lines(lines: DataFrame, keys: list[str], agent: Column, merge: boo
     said = is_user | F.col("_kept")
     turns = _collected(shaped, keys, said, {
         "_replies": F.col("_kept").cast("bigint"),
-        **{name: F.when(said, _role_tokens(F.col("_messages"), role))
+        **{name: F.when(said, _role_tokens(F.col("_messages"), role, estimator))
            for name, role in (("input_tokens", "user"), ("output_tokens", "assistant"), ("process_tokens", "tool"))},
     }).where(F.col("_replies") > 0)
     return _finish(turns, keys, "openclaw")
 
 
-def _role_tokens(messages: Column, role: str) -> Column:
+def _role_tokens(messages: Column, role: str, estimator: Callable) -> Column:
     return F.aggregate(F.filter(messages, lambda m: m["role"] == role), F.lit(0).cast("bigint"),
-                       lambda a, m: a + T.tokens_chars4(m["content"]))
+                       lambda a, m: a + estimator(m["content"]))
 
 
-def _cline_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool) -> DataFrame:
+def _cline_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool, estimator: Callable) -> DataFrame:
     content = F.col("content")
     no_messages = F.array().cast(f"array<{C.MESSAGE_DDL}>")
     is_user, is_reply = F.col("role") == "user", F.col("role") == "assistant"
@@ -167,11 +169,11 @@ def _cline_lines(lines: DataFrame, keys: list[str], agent: Column, merge: bool)
         .when(is_reply, C.assistant_messages(F.col("_text"), F.col("_calls"), agent, agent,
                                              always=False, category=True)), no_messages))
     zero = F.lit(0).cast("bigint")
-    process = F.coalesce(F.aggregate("_results", zero, lambda a, r: a + T.tokens_chars4(r["text"])), zero) + F.when(
-        is_reply, F.aggregate("_calls", zero, lambda a, c: a + T.tokens_chars4(c["arguments"]))).otherwise(zero)
+    process = F.coalesce(F.aggregate("_results", zero, lambda a, r: a + estimator(r["text"])), zero) + F.when(
+        is_reply, F.aggregate("_calls", zero, lambda a, c: a + estimator(c["arguments"]))).otherwise(zero)
     turns = _collected(shaped, keys, F.size("_messages") > 0, {
-        "input_tokens": F.when(is_user & ~F.col("_result"), T.tokens_chars4(F.col("_text"))).otherwise(zero),
-        "output_tokens": F.when(is_reply, T.tokens_chars4(F.col("_text"))).otherwise(zero),
+        "input_tokens": F.when(is_user & ~F.col("_result"), estimator(F.col("_text"))).otherwise(zero),
+        "output_tokens": F.when(is_reply, estimator(F.col("_text"))).otherwise(zero),
         "process_tokens": process,
     }).where(F.size("msg") > 0)
     return _finish(turns, keys, "cline")
@@ -193,7 +195,8 @@ def _finish(turns: DataFrame, keys: list[str], source: str) -> DataFrame:
         F.lit(source).alias("source"), col("model", "string").alias("model"))
 
 
-def chat_records(conversations: DataFrame, agent: Column | None = None) -> DataFrame:
+def chat_records(conversations: DataFrame, agent: Column | None = None,
+                 token_estimator: Callable[[Column], Column] = T.tokens_chars4) -> DataFrame:
     """One record per chat conversation (``conv_id``, ``turns array<variant>``).
 
     A conversation arrives as one JSON array, so nothing is shuffled: roles are normalised,
@@ -216,7 +219,7 @@ def chat_records(conversations: DataFrame, agent: Column | None = None) -> DataF
     zero = F.lit(0).cast("bigint")
 
     def tokens(which) -> Column:
-        return F.aggregate(F.filter("msg", which), zero, lambda a, m: a + T.tokens_chars4(m["content"]))
+        return F.aggregate(F.filter("msg", which), zero, lambda a, m: a + token_estimator(m["content"]))
 
     shaped = conversations.withColumn("msg", kept).where(F.size("msg") > 0)
     return shaped.withColumns({

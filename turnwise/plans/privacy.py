@@ -152,21 +152,39 @@ def a9(spark, sf):
     return out.select("doc_id", F.md5("text").alias("text_md5"), "anonymization_version")
 
 
-@query("a6_redact_messages")
-def a6(spark, sf):
-    """Text and nested payloads of tool calls; the payload walk has no SQL form."""
-    rec = V.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("ns"), F.col("doc_id") % 5).alias("namespace"), F.from_json(
+def _tool_records(spark, sf):
+    """Documents as two messages: the text as a block list, and as an argument of a tool call."""
+    return V.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("ns"), F.col("doc_id") % 5).alias("namespace"), F.from_json(
         F.to_json(F.array(
             F.struct(F.lit("user").alias("role"), F.array(F.struct(F.lit("text").alias("type"), "text")).alias("content"),
                      F.lit(None).cast("array<struct<name:string,arguments:struct<q:string,n:bigint>>>").alias("tool_calls")),
             F.struct(F.lit("assistant").alias("role"), F.array(F.struct(F.lit("text").alias("type"), F.lit("ok").alias("text"))).alias("content"),
                      F.array(F.struct(F.lit("find").alias("name"), F.struct(F.col("text").alias("q"), F.col("doc_id").alias("n")).alias("arguments"))).alias("tool_calls")))),
         MSG_DDL).alias("msg"))
-    out = O.redact_messages(rec)
+
+
+@query("a6_redact_messages")
+def a6(spark, sf):
+    """Text and nested payloads of tool calls; the phone class keeps it from a SQL form."""
+    out = O.redact_messages(_tool_records(spark, sf))
     return out.select("doc_id", F.md5(F.to_json(F.col("msg")[0]["content"])).alias("content"),
                       F.md5(F.to_json(F.col("msg")[1]["tool_calls"])).alias("tool_calls"))
 
 
+@query("a6_redact_messages_nophone", f"SELECT doc_id, md5({_redacted('text')}) AS block, md5({_redacted('text')}) AS argument, doc_id AS number FROM documents")
+def a6_nophone(spark, sf):
+    """As above with the phone class off: the leaves of block lists and tool arguments, numbers untouched."""
+    rules = docs(spark, sf).select("namespace").distinct().select(
+        F.col("namespace").alias("tenant"), F.lit(1).alias("version"),
+        F.create_map(F.lit(_NO_PHONE[0]), F.lit(False)).alias("toggles"),
+        F.expr("cast(array() AS array<struct<name:string,pattern:string,replacement:string>>)").alias("custom"))
+    out = O.redact_messages(_tool_records(spark, sf), O.compile_rules(spark, rules), required=True)
+    block, calls = F.col("msg")[0]["content"], F.col("msg")[1]["tool_calls"]
+    return out.select("doc_id", F.md5(F.try_variant_get(block, "$[0].text", "string")).alias("block"),
+                      F.md5(F.try_variant_get(calls, "$[0].arguments.q", "string")).alias("argument"),
+                      F.try_variant_get(calls, "$[0].arguments.n", "bigint").alias("number"))
+
+
 _CLASSES = [c for c in R.PLAIN_CLASSES if c[0] != "brazilian_phone"]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from turnwise.plans import views as V
 from turnwise.plans.activity import _flagged
+from turnwise.plans.privacy import _redacted, docs, docs_of, text_records
 from turnwise.plans.registry import query
 from turnwise.session import scratch_path
 from turnwise.streaming import jobs, ordered
@@ -179,9 +180,19 @@ def r4(spark, sf):
 @query("r5_stream_redact")
 def r5(spark, sf):
     """Documents as a stream, redacted with the tenants' rules; the phone class keeps it from a SQL form."""
-    from turnwise.plans.privacy import docs, docs_of, text_records
+    return _stream_redacted(spark, sf, F.create_map().cast("map<string,boolean>"))
+
+
+@query("r5_stream_redact_nophone", f"""SELECT doc_id, md5(regexp_replace({_redacted('text')}, 'the', '<the>', 'g')) AS redacted,
+  CAST(1 AS INTEGER) AS anonymization_version FROM documents""")
+def r5_nophone(spark, sf):
+    """As above with the phone class off."""
+    return _stream_redacted(spark, sf, F.create_map(F.lit("brazilian_phone"), F.lit(False)))
+
+
+def _stream_redacted(spark, sf, toggles):
     rules = jobs.RulesCache(lambda: docs(spark, sf).select(
-        F.col("namespace").alias("tenant"), F.lit(1).alias("version"), F.create_map().cast("map<string,boolean>").alias("toggles"),
+        F.col("namespace").alias("tenant"), F.lit(1).alias("version"), toggles.alias("toggles"),
         F.expr("array(named_struct('name', 'the', 'pattern', 'the', 'replacement', '<the>'))").alias("custom")).dropDuplicates(["tenant"]))
     out = scratch_path(spark, "redacted")
     stream = text_records(docs_of(_source(spark, sf, "documents")))
