@@ -15,9 +15,13 @@ _ST = V.STAMP.format
 
 
 def _source(spark, sf, name):
-    """A given table as a file stream."""
+    """A given table, one file or a folder of files, as a file stream.
+
+    The file source takes a folder's path as the base of its partitions, which a single file cannot
+    be; a pattern has no base, so the name is given as one that only this table matches.
+    """
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def _stream(spark, sf, name, view):
