@@ -103,7 +103,7 @@ def r6(spark, sf):
     return out.where("model <> ''").withColumn("window_start", V.stamp("window_start"))
 
 
-def _write_files(root: str, share: float):
+def _write_files(root: str, share: float = 1.0):
     """Of (path, line, value) sorted by path and line: one file per path below ``root``, its first bytes only.
 
     A file is written anew with what it held before and more, so a task that is run again leaves the same.
@@ -113,13 +113,16 @@ def _write_files(root: str, share: float):
     def run(batches):
         import pyarrow as pa
         store, folder = open_path(root)
-        now, body, paths = None, [], []
+        now, body, paths, made = None, [], [], set()
 
         def close():
             if now is not None:
-                data = "".join(v + "\n" for v in body).encode()
+                data = "".join(f"{v or ''}\n" for v in body).encode()
                 name = f"{folder}{now}"
-                store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                place = name.rsplit("/", 1)[0]
+                if place not in made:
+                    store.create_dir(place, recursive=True)
+                    made.add(place)
                 with store.open_output_stream(f"{name}.part") as out:
                     out.write(data[:int(len(data) * share)])
                 store.move(f"{name}.part", name)
@@ -135,6 +138,17 @@ def _write_files(root: str, share: float):
     return run
 
 
+def _land_files(spark, lines, root, share=1.0):
+    """Write (path, line, value) as files below ``root``.
+
+    Writing a file costs the same however short it is, so the tasks are as many as the session's
+    shuffle partitions; a number of its own would be merged by bytes into few.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.select("path", "line", "value").repartition(tasks, "path").sortWithinPartitions("path", "line").mapInArrow(
+        _write_files(root, share), "path string").write.format("noop").mode("overwrite").save()
+
+
 @query("r4_stream_growing", f"""WITH {V.LINES}, l AS (SELECT session_id, line, role, text, conv_id,
     sum((role = 'user')::INT) OVER (PARTITION BY session_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS t FROM lines WHERE role IN ('user', 'assistant')),
   turns AS (SELECT session_id, t, count(*) FILTER (role = 'assistant') AS replies, max(t) OVER (PARTITION BY session_id) AS last,
@@ -147,8 +161,7 @@ def r4_growing(spark, sf):
     root, state, out = scratch_path(spark, "transcripts"), scratch_path(spark, "growing-state"), scratch_path(spark, "growing-turns")
     group = lambda lines: group_turns(lines, "claude")
     for share in (0.6, 1.0):
-        V.claude_raw(spark, sf).repartition("path").sortWithinPartitions("path", "line").mapInArrow(
-            _write_files(root, share), "path string").write.format("noop").mode("overwrite").save()
+        _land_files(spark, V.claude_raw(spark, sf), root, share)
         jobs.stream_growing(spark, root, parse_claude_lines, group, ordered.into(out), state, F.col("role") == "user").awaitTermination()
     asked = F.length(F.col("msg")[0]["content"]).cast("bigint").alias("asked")
     done = spark.read.parquet(out).select("session_id", "turn_no", F.lit(False).alias("is_open"), asked)
