@@ -181,16 +181,15 @@ def r4(spark, sf):
     from turnwise.operators.turns import group_turns
     from turnwise.sources.transcripts import parse_claude_lines
     land, out = scratch_path(spark, "transcripts"), scratch_path(spark, "turns")
-    # One folder per session; its lines go into files of that folder, in order.
-    V.claude_raw(spark, sf).selectExpr("regexp_extract(path, '([^/]+)[.]jsonl$', 1) AS session", "line", "value").repartition(
-        "session").sortWithinPartitions("session", "line").drop("line").write.partitionBy("session").text(land)
+    # A file per session in its project's folder; lines of no session are one too. The mark lets no name begin as a hidden one.
+    named = F.coalesce(F.regexp_replace("path", "([^/]+)$", "session=$1"), F.lit("/session=__HIVE_DEFAULT_PARTITION__.jsonl"))
+    _land_files(spark, V.claude_raw(spark, sf).withColumn("path", named), land)
 
     def parse(raw):
-        named = raw.withColumn("path", F.concat(F.regexp_extract("path", "session=([^/]+)", 1), F.lit(".jsonl")))
-        return group_turns(parse_claude_lines(named), "claude")
+        return group_turns(parse_claude_lines(raw.withColumn("path", F.regexp_replace("path", "session=([^/]+)$", "$1"))), "claude")
 
     jobs.stream_incremental(spark, land, parse, lambda df, _: df.select("session_id", "turn_no").write.mode("append").parquet(out),
-                            scratch_path(spark, "transcripts-state"), pattern="*.txt").awaitTermination()
+                            scratch_path(spark, "transcripts-state")).awaitTermination()
     return spark.read.parquet(out).groupBy("session_id").agg(F.count(F.lit(1)).alias("turns"))
 
 

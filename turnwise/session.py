@@ -22,6 +22,10 @@ RUNTIME_CONF = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Tasks per core that list files. By default every path of up to 10,000 is a task, and a file
+# stream lists each file it has found by itself, so small files cost a task each.
+LISTING_TASKS_PER_CORE = 4
+
 # Settings that only a session under construction takes.
 STATIC_CONF = {
     # No call-site capture per Column call; it dominates plan building for wide expressions.
@@ -37,7 +41,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     Python workers started for this session also find the package where it lies, so a
     checkout works without being installed.
     """
-    for key, value in RUNTIME_CONF.items():
+    listing = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    for key, value in {**RUNTIME_CONF, "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(listing)}.items():
         if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
