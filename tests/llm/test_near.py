@@ -103,6 +103,16 @@ def test_components(spark):
     assert got == root
 
 
+def test_links_of_one_task_need_no_rounds(spark, monkeypatch):
+    """A task contracts what it holds: a long chain is settled as soon as it is read."""
+    asked, settled = [], graph._settled
+    monkeypatch.setattr(graph, "_settled", lambda edges: asked.append(1) or settled(edges))
+    chain = spark.range(500).selectExpr("id AS a", "id + 1 AS b").coalesce(1)
+    got = {r.node: r.label for r in graph.components(chain).collect()}
+    assert got == dict.fromkeys(range(501), 0)
+    assert len(asked) == 1
+
+
 def test_empty(spark):
     assert near.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 

@@ -417,7 +417,7 @@ def _sets_of(docs: DataFrame, first: DataFrame, keys: DataFrame) -> DataFrame:
     some = landed(docs.sparkSession, first.join(keys, "key", "left_semi"), "near-some")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # Spark knows the written table's size, and sends it to the texts only if it is small.
-    rows = rows.join(some.select("_id").distinct(), rows.doc_id.eqNullSafe(F.col("_id")), "left_semi")
+    rows = rows.join(some.select("_id"), rows.doc_id.eqNullSafe(F.col("_id")), "left_semi")
 
     def work(part: pa.RecordBatch, raw: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         sets = list(shingle_rows(raw, offsets))
@@ -446,7 +446,7 @@ class _Checker:
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of set names that link."""
-        sets = self.sets_of(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
+        sets = self.sets_of(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))))
         joined = (pairs.join(sets.select(F.col("key").alias("b"), F.col("grams").alias("set_b")).hint("merge"), "b")
                   .join(sets.select(F.col("key").alias("a"), F.col("grams").alias("set_a")).hint("merge"), "a"))
         return landed(self.docs.sparkSession, joined.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a bigint, b bigint"),
@@ -482,20 +482,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              .join(bits.select(F.col("key").alias("a"), F.col("bits").alias("bits_a")).hint("merge"), "a"))
     stars = landed(spark, stars.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_allowed, "a bigint, b bigint"), "near-stars")
     checker = _Checker(docs, first)
-    found = checker.linked(stars)
-    final = landed(spark, components(found), "near-labels")
+    final = landed(spark, components(checker.linked(stars)), "near-labels")
     tiles, tiles_path = shared.select("token", "n", "key"), shared_path
 
     def still_open(tiles: DataFrame, tiles_path: str) -> tuple[DataFrame, str]:
         """The tiles whose sets are not all in one component, with labels; the former table is used up."""
-        labels = final.withColumnRenamed("node", "key").hint("merge")
+        labels = final.withColumnRenamed("node", "key")
         known, known_path = landed_path(spark, tiles.join(labels, "key", "left").select("token", "n", "key", F.coalesce("label", "key").alias("label")), "near-known")
         remove_path(spark, tiles_path)
         still = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-        left = landed_path(spark, known.join(landed(spark, still, "near-open").hint("merge"), "token", "left_semi"), "near-open-tiles")
+        left = landed_path(spark, known.join(landed(spark, still, "near-open"), "token", "left_semi"), "near-open-tiles")
         remove_path(spark, known_path)
         return left
 
+    def joined_by(links: DataFrame) -> DataFrame:
+        """The labels after further links; those so far stand for the links found before."""
+        so_far = final.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        return landed(spark, components(so_far.unionByName(links)), "near-labels")
+
     def compared(entered: DataFrame, work, ddl: str) -> DataFrame:
         rows = _in_parts(entered, "token", TILE_SETS).join(bits.hint("merge"), "key")
         return (rows.select("tile", "cross", "part", "n", "key", "label", "bits").repartition("tile").sortWithinPartitions("tile", "n", "key")
@@ -508,8 +512,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = landed(spark, compared(entered, _few_pairs(most), "a bigint, b bigint").distinct(), "near-pairs")
         if pairs.isEmpty():
             continue
-        found = found.unionByName(checker.linked(pairs))
-        final = landed(spark, components(found), "near-labels")
+        final = joined_by(checker.linked(pairs))
 
     known, tiles_path = still_open(tiles, tiles_path)
     alike = landed(spark, compared(known, _resembling, "a bigint, b bigint").distinct(), "near-alike")
@@ -521,15 +524,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         members = _in_parts(groups, "grp", GROUP_SETS).withColumn("label", F.lit(0)).join(sets.hint("merge"), "key")
         links_found = (members.select("tile", "cross", "part", "key", "label", "grams").repartition("tile").sortWithinPartitions("tile", "key")
                        .mapInArrow(_linked_in_groups, "a bigint, b bigint"))
-        found = found.unionByName(landed(spark, links_found, "near-links"))
-        final = landed(spark, components(found), "near-labels")
+        final = joined_by(landed(spark, links_found, "near-links"))
 
     final = final.withColumnRenamed("node", "key")
     keys = ids.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     keys = landed(spark, keys.join(final, "key", "left").select("key", "least", F.coalesce("label", "key").alias("label")), "near-keys")
     least = keys.groupBy("label").agg(F.min("least").alias("component_id"))
     named = landed(spark, keys.join(least, "label").select("key", "component_id"), "near-named")
-    joined = ids.join(named.hint("merge"), "key", "left")
+    joined = ids.join(named, "key", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"),
                          F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
