@@ -162,3 +162,20 @@ def test_held_out(spark, sf):
     assert {r.doc_id for r in held} == {i for i in docs if zlib.crc32(str(i).encode()) % 5 == 0}
     assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in held]) >= 0.97
     assert all(0 <= r.score <= 1 for r in rows) and np.mean([r.rejected for r in rows]) < 0.01
+
+
+def test_memory_of_counting_and_scoring(monkeypatch):
+    """The lookup table has a row for each context met only; counts that do not shrink are not merged at every slice."""
+    grams = np.unique(np.random.default_rng(3).integers(0, language.CLASSES**language.ORDER, 5000))
+    counts = np.ones(len(grams), dtype=np.int64)
+    arrays = {("x", kind): (g.astype(np.int64), w.astype(np.float32)) for kind, (g, w) in language.kneser_ney(grams, counts).items()}
+    scorer = language.LanguageModel(["x"], arrays).ready()
+    assert sum(v.nbytes for v in vars(scorer).values() if isinstance(v, np.ndarray)) < 16 << 20
+
+    monkeypatch.setattr(language, "MERGE_AT", 1000)
+    merged, merge = [], language._Tally._merged
+    monkeypatch.setattr(language._Tally, "_merged", staticmethod(lambda parts: merged.append(1) or merge(parts)))
+    tally = language._Tally()
+    for i in range(100):
+        tally.add("x", 0, np.arange(100 * i, 100 * i + 100))
+    assert len(merged) <= 10

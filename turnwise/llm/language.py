@@ -44,9 +44,9 @@ HALVES = 2
 UNDETERMINED = "und"
 REJECT_SIGMAS = 8.0
 REJECT_MARGIN = 0.25
-MERGE_AT = 1 << 22
+MERGE_AT = 1 << 20
 # Text is worked on in slices of this size, since its arrays take many times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 COUNT_DDL = "lang string, half int, gram bigint, n bigint"
 # Sums over a language's documents that its rejection limit is taken from.
@@ -156,15 +156,18 @@ class _Tally:
 
     def __init__(self):
         self.parts: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
-        self.size = 0
+        self.size, self.most = 0, MERGE_AT
 
     def add(self, lang: str, half: int, grams: np.ndarray) -> None:
         found = np.unique(grams, return_counts=True)
         self.parts.setdefault((lang, half), []).append(found)
         self.size += len(found[0])
-        if self.size > MERGE_AT:
-            self.parts = {k: [self._merged(v)] for k, v in self.parts.items()}
+        if self.size > self.most:
+            for k, v in self.parts.items():
+                self.parts[k] = [self._merged(v)]
             self.size = sum(len(v[0][0]) for v in self.parts.values())
+            # What does not shrink is not merged again before it has doubled.
+            self.most = max(MERGE_AT, 2 * self.size)
 
     @staticmethod
     def _merged(parts):
@@ -309,8 +312,12 @@ class Scorer:
                 lower = value
         self.back, self.lower = back, lower
         self.values = np.ascontiguousarray(value.T)
-        self.slot = np.full(CLASSES**ORDER, -1, dtype=np.int32)
-        self.slot[grams] = np.arange(len(grams))
+        # Where an n-gram's values are: a row of places, by last class, for each context met; row 0 has none.
+        contexts = np.unique(grams >> BITS)
+        self.row = np.zeros(CLASSES ** (ORDER - 1), dtype=np.int32)
+        self.row[contexts] = np.arange(1, len(contexts) + 1)
+        self.place = np.full((len(contexts) + 1, CLASSES), -1, dtype=np.int32)
+        self.place[self.row[grams >> BITS], grams & (CLASSES - 1)] = np.arange(len(grams))
 
     def _look_up(self, kind: str, lang: str, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the numbers the language has, and their weights, 0 for the others."""
@@ -346,7 +353,7 @@ class Scorer:
         full = np.flatnonzero(np.diff(ends))
         total = np.zeros((len(self.langs), rows))
         square = np.zeros((len(self.langs), rows))
-        slot = self.slot[grams]
+        slot = self.place[self.row[grams >> BITS], grams & (CLASSES - 1)]
         unseen = np.flatnonzero(slot < 0)
         for i in range(len(self.langs) if len(grams) else 0):
             value = self.values[i][slot]

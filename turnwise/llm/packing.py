@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame, functions as F
 from turnwise.llm.text import IS_BLANK, LOWER, hash_spans, release_memory, text_pieces, word_spans
 
 END_ID = 2
-CACHED_CHUNKS = 1 << 21
+CACHED_CHUNKS = 1 << 20
+# Text is tokenised in slices of this size, since its arrays take many times as much.
+SLICE_BYTES = 1 << 20
 ENCODE_AT_ONCE = 4096
 JOINED = 256
 WAITING = 4096
@@ -248,7 +250,7 @@ def pack(docs: DataFrame, tokenizer_path: str, limits: Limits = Limits(), prompt
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, packer = encoder(tokenizer_path), Packer(limits, TaskContext.get().partitionId())
         for batch in batches:
-            for part, raw, offsets in text_pieces(batch):
+            for part, raw, offsets in text_pieces(batch, most=SLICE_BYTES):
                 ids, ends = coder.encode(raw, offsets)
                 names, prompts = part.column(0).to_pylist(), part.column(2).to_pylist()
                 for row in range(len(part)):
